@@ -126,3 +126,116 @@ def customer_feats_by_class(spark, sf):
 @register("terminal_feats_by_class", _class_means_sql(TERM))
 def terminal_feats_by_class(spark, sf):
     return _class_means(_feat(spark, sf), TERM)
+
+
+# ---------------------------------------------------------------- step 3 ---
+from ..operators import split as SP  # noqa: E402
+
+# Parameters of the registered split queries: a 7/7/7 split from the first day
+# and two sequential folds (the only 7/7/7 folds 30 days of events can hold).
+SPLIT_START, TRAIN_D, DELAY_D, TEST_D = "2024-01-01", 7, 7, 7
+CV_START, N_FOLDS = "2024-01-08", 2
+_SPLIT = Q.split_ctes(SPLIT_START, TRAIN_D, DELAY_D, TEST_D)
+_FOLDS = Q.fold_ctes(CV_START, N_FOLDS, TRAIN_D, DELAY_D, TEST_D)
+_ROWCOLS = [S.TX_ID, S.CUSTOMER_ID, S.TX_TIME_DAYS, S.TX_FRAUD]
+
+
+def _split(spark, sf, tx=None):
+    return SP.delayed_split(tx if tx is not None else _tx(spark, sf), SPLIT_START, TRAIN_D, DELAY_D, TEST_D)
+
+
+def _folds(spark, sf, tx=None):
+    return SP.cv_folds(tx if tx is not None else _tx(spark, sf), CV_START, N_FOLDS, TRAIN_D, DELAY_D, TEST_D)
+
+
+@register("train_window", f"""WITH {Q.TX}, {_SPLIT}
+SELECT TRANSACTION_ID, CUSTOMER_ID, TX_TIME_DAYS, TX_FRAUD FROM trn""")
+def train_window_q(spark, sf):
+    return SP.train_window(_tx(spark, sf), SPLIT_START, TRAIN_D).select(*_ROWCOLS)
+
+
+@register("known_customers", f"""WITH {Q.TX}, {_SPLIT}
+SELECT CUSTOMER_ID, min(kd) AS KNOWN_DAY FROM (
+  SELECT CUSTOMER_ID, (SELECT s FROM s) AS kd FROM trn WHERE TX_FRAUD = 1
+  UNION ALL
+  SELECT CUSTOMER_ID, TX_TIME_DAYS FROM tx, s WHERE TX_FRAUD = 1
+     AND TX_TIME_DAYS BETWEEN s.s + {TRAIN_D - 1} AND s.s + {TRAIN_D + TEST_D - 2}) k
+GROUP BY CUSTOMER_ID""")
+def known_customers_q(spark, sf):
+    tx = _tx(spark, sf)
+    train = SP.train_window(tx, SPLIT_START, TRAIN_D)
+    s = SP.first_train_day(train)
+    return SP.known_customers(tx, train, s, TRAIN_D, TEST_D)
+
+
+@register("exclude_known", f"""WITH {Q.TX}, {_SPLIT}
+SELECT TRANSACTION_ID, CUSTOMER_ID, TX_TIME_DAYS, TX_FRAUD FROM tst""")
+def exclude_known_q(spark, sf):
+    return _split(spark, sf)[1].select(*_ROWCOLS)
+
+
+@register("delayed_split", f"""WITH {Q.TX}, {_SPLIT}
+SELECT 'train' AS role, TRANSACTION_ID FROM trn UNION ALL SELECT 'test' AS role, TRANSACTION_ID FROM tst""")
+def delayed_split_q(spark, sf):
+    train, test = _split(spark, sf)
+    return train.select(F.lit("train").alias("role"), S.TX_ID).unionByName(
+        test.select(F.lit("test").alias("role"), S.TX_ID))
+
+
+@register("split_ranges", f"""WITH {Q.TX}, {_SPLIT}
+SELECT role, count(*) AS n_rows, sum(TX_FRAUD) AS n_fraud,
+       strftime(min(TX_DATETIME), '%Y-%m-%d') AS first_day, strftime(max(TX_DATETIME), '%Y-%m-%d') AS last_day,
+       CAST(min(TX_AMOUNT) AS DOUBLE) AS min_amount, CAST(max(TX_AMOUNT) AS DOUBLE) AS max_amount,
+       CAST(sum(TX_AMOUNT) AS DOUBLE) AS sum_amount
+FROM (SELECT 'train' AS role, * FROM trn UNION ALL SELECT 'test' AS role, * FROM tst) u GROUP BY role""")
+def split_ranges(spark, sf):
+    train, test = _split(spark, sf)
+    u = train.withColumn("role", F.lit("train")).unionByName(test.withColumn("role", F.lit("test")))
+    return _ranges(u, ["role"])
+
+
+def _ranges(df, keys):
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(S.TX_FRAUD).alias("n_fraud"),
+        F.date_format(F.min(S.TX_DATETIME), "yyyy-MM-dd").alias("first_day"),
+        F.date_format(F.max(S.TX_DATETIME), "yyyy-MM-dd").alias("last_day"),
+        F.min(S.TX_AMOUNT).cast("double").alias("min_amount"),
+        F.max(S.TX_AMOUNT).cast("double").alias("max_amount"),
+        F.sum(S.TX_AMOUNT).cast("double").alias("sum_amount"))
+
+
+@register("daily_frauds", f"""WITH {Q.TX}, {_SPLIT}
+SELECT count(*) AS n_days, sum(n) AS n_fraud, CAST(sum(n) AS DOUBLE) / count(*) AS mean_daily_frauds
+FROM (SELECT TX_TIME_DAYS, sum(TX_FRAUD) AS n FROM tst GROUP BY TX_TIME_DAYS) d""")
+def daily_frauds(spark, sf):
+    test = _split(spark, sf)[1]
+    per_day = test.groupBy(S.TX_TIME_DAYS).agg(F.sum(S.TX_FRAUD).alias("n"))
+    return per_day.agg(F.count(F.lit(1)).alias("n_days"), F.sum("n").alias("n_fraud")) \
+        .select("n_days", "n_fraud", _ratio("n_fraud", "n_days").alias("mean_daily_frauds"))
+
+
+@register("cv_folds", f"""WITH {Q.TX}, {_FOLDS}
+SELECT fold, role, TRANSACTION_ID FROM cvf""")
+def cv_folds_q(spark, sf):
+    return _folds(spark, sf).select(SP.FOLD, SP.ROLE, S.TX_ID)
+
+
+@register("fold_ranges", f"""WITH {Q.TX}, {_FOLDS}
+SELECT fold, role, count(*) AS n_rows, sum(TX_FRAUD) AS n_fraud,
+       strftime(min(TX_DATETIME), '%Y-%m-%d') AS first_day, strftime(max(TX_DATETIME), '%Y-%m-%d') AS last_day,
+       CAST(min(TX_AMOUNT) AS DOUBLE) AS min_amount, CAST(max(TX_AMOUNT) AS DOUBLE) AS max_amount,
+       CAST(sum(TX_AMOUNT) AS DOUBLE) AS sum_amount
+FROM cvf GROUP BY fold, role""")
+def fold_ranges(spark, sf):
+    return _ranges(_folds(spark, sf), [SP.FOLD, SP.ROLE])
+
+
+@register("fold_rows", f"""WITH {Q.TX}, {_FOLDS}
+SELECT c.fold, c.role, t.TRANSACTION_ID, t.TX_AMOUNT, t.TX_FRAUD
+FROM (SELECT fold, role, TRANSACTION_ID FROM cvf) c JOIN tx t ON t.TRANSACTION_ID = c.TRANSACTION_ID""")
+def fold_rows(spark, sf):
+    """Select rows by an id relation (the fold index), as a join on the id."""
+    tx = _tx(spark, sf)
+    ids = _folds(spark, sf, tx).select(SP.FOLD, SP.ROLE, S.TX_ID)
+    return ids.join(tx.select(S.TX_ID, S.TX_AMOUNT, S.TX_FRAUD), S.TX_ID, "inner") \
+        .select(SP.FOLD, SP.ROLE, S.TX_ID, S.TX_AMOUNT, S.TX_FRAUD)

@@ -42,3 +42,32 @@ FEAT = f"""feat AS (
   FROM (SELECT *, {customer_cols()}
         FROM (SELECT *, {FLAGS} FROM tx WHERE CUSTOMER_ID IS NOT NULL) t0) t1
   WHERE TERMINAL_ID IS NOT NULL)"""
+
+
+def split_ctes(start="2024-01-01", train=7, delay=7, test=7) -> str:
+    """train / s / test CTEs of the delayed split, written as the reference's
+    day-by-day rule (EXISTS per test row) rather than the closed form."""
+    return f"""trn AS (SELECT * FROM tx WHERE TX_DATETIME >= TIMESTAMP '{start}'
+                  AND TX_DATETIME < TIMESTAMP '{start}' + INTERVAL {train} DAY),
+s AS (SELECT min(TX_TIME_DAYS) AS s FROM trn),
+tst AS (SELECT tx.* FROM tx, s
+  WHERE tx.TX_TIME_DAYS BETWEEN s.s + {train + delay} AND s.s + {train + delay + test - 1}
+    AND NOT EXISTS (SELECT 1 FROM trn t WHERE t.TX_FRAUD = 1 AND t.CUSTOMER_ID = tx.CUSTOMER_ID)
+    AND NOT EXISTS (SELECT 1 FROM tx f WHERE f.TX_FRAUD = 1 AND f.CUSTOMER_ID = tx.CUSTOMER_ID
+                    AND f.TX_TIME_DAYS BETWEEN s.s + {train - 1} AND tx.TX_TIME_DAYS - {delay + 1}))"""
+
+
+def fold_ctes(start="2024-01-08", n_folds=2, train=7, delay=7, val=7) -> str:
+    return f"""folds AS (SELECT i AS fold, TIMESTAMP '{start}' - to_days(CAST(i * {val} AS INTEGER)) AS st
+          FROM range({n_folds}) r(i)),
+ftrn AS (SELECT f.fold, tx.* FROM folds f JOIN tx
+         ON tx.TX_DATETIME >= f.st AND tx.TX_DATETIME < f.st + INTERVAL {train} DAY),
+fs AS (SELECT fold, min(TX_TIME_DAYS) AS s FROM ftrn GROUP BY fold),
+fval AS (SELECT fs.fold, tx.* FROM fs JOIN tx
+         ON tx.TX_TIME_DAYS BETWEEN fs.s + {train + delay} AND fs.s + {train + delay + val - 1}
+  WHERE NOT EXISTS (SELECT 1 FROM ftrn t WHERE t.fold = fs.fold AND t.TX_FRAUD = 1
+                    AND t.CUSTOMER_ID = tx.CUSTOMER_ID)
+    AND NOT EXISTS (SELECT 1 FROM tx f WHERE f.TX_FRAUD = 1 AND f.CUSTOMER_ID = tx.CUSTOMER_ID
+                    AND f.TX_TIME_DAYS BETWEEN fs.s + {train - 1} AND tx.TX_TIME_DAYS - {delay + 1})),
+cvf AS (SELECT fold, 'train' AS role, * EXCLUDE (fold) FROM ftrn
+        UNION ALL SELECT fold, 'val' AS role, * EXCLUDE (fold) FROM fval)"""
