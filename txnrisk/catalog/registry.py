@@ -239,3 +239,144 @@ def fold_rows(spark, sf):
     ids = _folds(spark, sf, tx).select(SP.FOLD, SP.ROLE, S.TX_ID)
     return ids.join(tx.select(S.TX_ID, S.TX_AMOUNT, S.TX_FRAUD), S.TX_ID, "inner") \
         .select(SP.FOLD, SP.ROLE, S.TX_ID, S.TX_AMOUNT, S.TX_FRAUD)
+
+
+# ---------------------------------------------------------------- step 4 ---
+from ..operators import metrics as M  # noqa: E402
+
+R9 = 9  # digits kept for floating aggregates whose summation order is engine-specific
+_SCORE_SQL = "CAST(floor(TX_AMOUNT) AS DOUBLE) / 500"
+_SC = f"sc AS (SELECT *, {_SCORE_SQL} AS score FROM tst)"
+
+
+def amount_score():
+    """A deterministic stand-in score with ties: floor(amount) / 500."""
+    return F.floor(F.col(S.TX_AMOUNT)).cast("double") / F.lit(500.0)
+
+
+def _scored_test(spark, sf):
+    return _split(spark, sf)[1].withColumn("score", amount_score())
+
+
+def _r(cols, digits=R9):
+    return [F.round(F.col(c), digits).alias(c) for c in cols]
+
+
+@register("threshold_metrics", f"""WITH {Q.TX}, {_SPLIT}, {_SC}
+SELECT n, tp, fp, tn, fn,
+  round(CAST(tp + tn AS DOUBLE) / n, {R9}) AS acc,
+  round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END, {R9}) AS f1_score,
+  round(sqrt((CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END)
+           * (CASE WHEN tn + fp = 0 THEN 0.0 ELSE CAST(tn AS DOUBLE) / (tn + fp) END)), {R9}) AS gmean
+FROM (SELECT count(*) AS n,
+        count(*) FILTER (WHERE score > 0.5 AND TX_FRAUD = 1) AS tp,
+        count(*) FILTER (WHERE score > 0.5 AND TX_FRAUD <> 1) AS fp,
+        count(*) FILTER (WHERE NOT score > 0.5 AND TX_FRAUD <> 1) AS tn,
+        count(*) FILTER (WHERE NOT score > 0.5 AND TX_FRAUD = 1) AS fn FROM sc) c""")
+def threshold_metrics_q(spark, sf):
+    m = M.threshold_metrics(_scored_test(spark, sf))
+    return m.select("n", "tp", "fp", "tn", "fn", *_r(["acc", "f1_score", "gmean"]))
+
+
+@register("roc_auc", f"""WITH {Q.TX}, {_SPLIT}, {_SC}
+SELECT n, n_pos, auc FROM ({Q.ranking_sql("sc")}) r""")
+def roc_auc_q(spark, sf):
+    return M.ranking_metrics(_scored_test(spark, sf)).select("n", "n_pos", *_r(["auc"]))
+
+
+@register("average_precision", f"""WITH {Q.TX}, {_SPLIT}, {_SC}
+SELECT n, n_pos, average_precision FROM ({Q.ranking_sql("sc")}) r""")
+def average_precision_q(spark, sf):
+    return M.ranking_metrics(_scored_test(spark, sf)).select("n", "n_pos", *_r(["average_precision"]))
+
+
+_TOPK = f"""tk AS (SELECT TX_TIME_DAYS, TRANSACTION_ID, TX_FRAUD, score,
+   row_number() OVER (PARTITION BY TX_TIME_DAYS ORDER BY score DESC, TRANSACTION_ID) AS rank FROM sc),
+tk2 AS (SELECT * FROM tk WHERE rank <= {S.TOP_K}),
+pk AS (SELECT TX_TIME_DAYS, count(*) AS n_top, sum(TX_FRAUD) AS n_hit,
+              CAST(sum(TX_FRAUD) AS DOUBLE) / count(*) AS precision_top_k FROM tk2 GROUP BY TX_TIME_DAYS)"""
+
+
+@register("top_k_per_day", f"""WITH {Q.TX}, {_SPLIT}, {_SC}, {_TOPK}
+SELECT TX_TIME_DAYS, TRANSACTION_ID, score, rank FROM tk2""")
+def top_k_per_day(spark, sf):
+    return M.top_k_per_group(_scored_test(spark, sf), S.TOP_K) \
+        .select(S.TX_TIME_DAYS, S.TX_ID, "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("precision_top_k", f"""WITH {Q.TX}, {_SPLIT}, {_SC}, {_TOPK}
+SELECT * FROM pk""")
+def precision_top_k_q(spark, sf):
+    return M.precision_top_k(_scored_test(spark, sf), S.TOP_K)
+
+
+@register("precision_top_k_avg", f"""WITH {Q.TX}, {_SPLIT}, {_SC}, {_TOPK}
+SELECT count(*) AS n_groups, round(avg(precision_top_k), {R9}) AS mean_precision_top_k FROM pk""")
+def precision_top_k_avg(spark, sf):
+    return M.mean_precision_top_k(_scored_test(spark, sf), S.TOP_K) \
+        .select("n_groups", *_r(["mean_precision_top_k"]))
+
+
+# Deterministic scorers standing in for model configurations in the CV keys.
+CV_CONFIGS = {
+    "amount": ("floor(TX_AMOUNT) / 500",
+               lambda: F.floor(F.col(S.TX_AMOUNT)).cast("double") / F.lit(500.0)),
+    "terminal_risk_7d": ("TERMINAL_ID_RISK_7DAY_WINDOW", lambda: F.col("TERMINAL_ID_RISK_7DAY_WINDOW")),
+    "terminal_risk_30d": ("TERMINAL_ID_RISK_30DAY_WINDOW", lambda: F.col("TERMINAL_ID_RISK_30DAY_WINDOW")),
+    "amount_vs_mean_30d": ("TX_AMOUNT / CUSTOMER_ID_AVG_AMOUNT_30DAY_WINDOW",
+                           lambda: F.col(S.TX_AMOUNT).cast("double") / F.col("CUSTOMER_ID_AVG_AMOUNT_30DAY_WINDOW")),
+}
+_CFG_CASE = "CASE cfg.config " + " ".join(
+    f"WHEN '{k}' THEN CAST({v[0].replace('TX_AMOUNT', 'CAST(TX_AMOUNT AS DOUBLE)') if 'floor' not in v[0] else 'CAST(floor(TX_AMOUNT) AS DOUBLE) / 500'} AS DOUBLE)"
+    for k, v in CV_CONFIGS.items()) + " END"
+_CV_SQL_CTES = f"""{Q.TX}, {Q.FEAT}, {Q.fold_ctes(CV_START, N_FOLDS, TRAIN_D, DELAY_D, TEST_D).replace(' tx', ' feat').replace('tx.', 'feat.').replace('FROM tx f', 'FROM feat f')},
+cvs AS (SELECT c.fold, c.TRANSACTION_ID, c.TX_FRAUD, cfg.config, {_CFG_CASE} AS score
+        FROM cvf c, (VALUES {", ".join(f"('{k}')" for k in CV_CONFIGS)}) cfg(config) WHERE c.role = 'val'),
+fsc AS (SELECT config, fold, average_precision AS score FROM ({Q.ranking_sql("cvs", ["config", "fold"], digits=None)}) r),
+summ AS (SELECT config, count(*) AS n_folds, round(avg(score), {R9}) AS mean_test_score,
+                round(stddev_pop(score), {R9}) AS std_test_score,
+                CAST(rank() OVER (ORDER BY avg(score) DESC) AS BIGINT) AS rank_test_score,
+                round(avg(score) - 2 * stddev_pop(score), {R9}) AS lower_bd,
+                round(avg(score) + 2 * stddev_pop(score), {R9}) AS upper_bd
+         FROM fsc GROUP BY config)"""
+
+
+def _cv_scored(spark, sf):
+    feat = _feat(spark, sf)
+    val = _folds(spark, sf, feat).where(F.col(SP.ROLE) == "val")
+    cfgs = F.array(*[F.struct(F.lit(k).alias("config"), fn().cast("double").alias("score"))
+                     for k, (_, fn) in CV_CONFIGS.items()])
+    return val.select(SP.FOLD, S.TX_ID, S.TX_FRAUD, F.inline(cfgs))
+
+
+def _fold_scores(spark, sf):
+    r = M.ranking_metrics(_cv_scored(spark, sf), group_cols=["config", SP.FOLD])
+    return r.select("config", SP.FOLD, F.col("average_precision").alias("score"))
+
+
+def _summary(spark, sf):
+    s = M.cv_summary(_fold_scores(spark, sf))
+    return s.select("config", "n_folds", *_r(["mean_test_score", "std_test_score"]), "rank_test_score",
+                    *_r(["lower_bd", "upper_bd"]))
+
+
+@register("cv_fold_scores", f"""WITH {_CV_SQL_CTES}
+SELECT config, fold, round(score, {R9}) AS score FROM fsc""")
+def cv_fold_scores(spark, sf):
+    return _fold_scores(spark, sf).select("config", SP.FOLD, *_r(["score"]))
+
+
+@register("cv_summary", f"""WITH {_CV_SQL_CTES}
+SELECT * FROM summ""")
+def cv_summary_q(spark, sf):
+    return _summary(spark, sf)
+
+
+@register("select_one_sd", f"""WITH {_CV_SQL_CTES},
+th AS (SELECT max(mean_test_score) - coalesce(stddev_samp(mean_test_score), 0) AS threshold FROM summ)
+SELECT config, mean_test_score, std_test_score, rank_test_score, round(threshold, {R9}) AS threshold
+FROM summ, th WHERE mean_test_score > threshold
+ORDER BY mean_test_score, rank_test_score, config LIMIT 1""")
+def select_one_sd_q(spark, sf):
+    return M.select_one_sd(_summary(spark, sf)).select(
+        "config", "mean_test_score", "std_test_score", "rank_test_score", *_r(["threshold"]))

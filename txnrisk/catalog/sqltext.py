@@ -71,3 +71,24 @@ fval AS (SELECT fs.fold, tx.* FROM fs JOIN tx
                     AND f.TX_TIME_DAYS BETWEEN fs.s + {train - 1} AND tx.TX_TIME_DAYS - {delay + 1})),
 cvf AS (SELECT fold, 'train' AS role, * EXCLUDE (fold) FROM ftrn
         UNION ALL SELECT fold, 'val' AS role, * EXCLUDE (fold) FROM fval)"""
+
+
+def ranking_sql(scored: str, group: list[str] = (), score: str = "score", label: str = "TX_FRAUD",
+                digits: int = 9) -> str:
+    """AP and AUC from grouped scores and cumulative counts (descending score)."""
+    gk = ", ".join(group)
+    gsel = (gk + ", ") if group else ""
+    part = f"PARTITION BY {gk}" if group else ""
+    rnd = (lambda e: f"round({e}, {digits})") if digits is not None else (lambda e: e)
+    ap = rnd("CASE WHEN sum(tp) > 0 THEN sum(CAST(tp AS DOUBLE) * ctp / ccnt) / sum(tp) END")
+    auc = rnd("""CASE WHEN sum(tp) > 0 AND sum(cnt) > sum(tp) THEN
+        sum(CAST(cnt - tp AS DOUBLE) * ((ctp - tp) + tp / 2.0)) / (CAST(sum(tp) AS DOUBLE) * (sum(cnt) - sum(tp))) END""")
+    return f"""SELECT {gsel}CAST(sum(cnt) AS BIGINT) AS n, CAST(sum(tp) AS BIGINT) AS n_pos,
+  {ap} AS average_precision,
+  {auc} AS auc
+FROM (SELECT {gsel}tp, cnt,
+        sum(tp) OVER ({part} ORDER BY {score} DESC) AS ctp,
+        sum(cnt) OVER ({part} ORDER BY {score} DESC) AS ccnt
+      FROM (SELECT {gsel}{score}, sum({label}) AS tp, count(*) AS cnt FROM {scored}
+            WHERE {score} IS NOT NULL GROUP BY {gsel}{score}) g) c
+{"GROUP BY " + gk if group else ""}"""
