@@ -380,3 +380,72 @@ ORDER BY mean_test_score, rank_test_score, config LIMIT 1""")
 def select_one_sd_q(spark, sf):
     return M.select_one_sd(_summary(spark, sf)).select(
         "config", "mean_test_score", "std_test_score", "rank_test_score", *_r(["threshold"]))
+
+
+# ---------------------------------------------------------------- step 5 ---
+from ..operators import snapshot as SN  # noqa: E402
+from ..sources import requests as RQ  # noqa: E402
+
+# Snapshots are frozen from the days before SERVE_DAY; requests are the rows
+# from SERVE_DAY on, sent as JSON lines with epoch-millisecond times.
+SERVE_DAY = 21
+
+
+def _snap_sql(key, cols, where=""):
+    return f"""SELECT {key}, TX_DATETIME, {", ".join(cols)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY TX_US DESC, TRANSACTION_ID DESC) AS rn
+  FROM feat {where}) z WHERE rn = 1"""
+
+
+_REQ = f"""req AS (SELECT TRANSACTION_ID, make_timestamp(CAST(floor(TX_US / 1000) AS BIGINT) * 1000) AS TX_DATETIME,
+  CUSTOMER_ID, TERMINAL_ID, CAST(TX_AMOUNT AS DOUBLE) AS TX_AMOUNT FROM tx WHERE TX_TIME_DAYS >= {SERVE_DAY}),
+reqf AS (SELECT *, {Q.FLAGS} FROM req)"""
+_SNAPS = f"""snc AS ({_snap_sql("CUSTOMER_ID", CUST, f"WHERE TX_TIME_DAYS < {SERVE_DAY}")}),
+snt AS ({_snap_sql("TERMINAL_ID", TERM, f"WHERE TX_TIME_DAYS < {SERVE_DAY}")})"""
+
+
+@register("customer_snapshot", f"""WITH {Q.TX}, {Q.FEAT}
+{_snap_sql("CUSTOMER_ID", CUST)}""")
+def customer_snapshot_q(spark, sf):
+    return SN.customer_snapshot(_feat(spark, sf))
+
+
+@register("terminal_snapshot", f"""WITH {Q.TX}, {Q.FEAT}
+{_snap_sql("TERMINAL_ID", TERM)}""")
+def terminal_snapshot_q(spark, sf):
+    return SN.terminal_snapshot(_feat(spark, sf))
+
+
+def _requests(spark, sf, tx=None):
+    tx = tx if tx is not None else _tx(spark, sf)
+    lines = RQ.requests_from_transactions(tx.where(F.col(S.TX_TIME_DAYS) >= SERVE_DAY))
+    return add_calendar_flags(RQ.parse_request_lines(lines))
+
+
+def _frozen_snapshots(spark, sf, tx=None):
+    tx = tx if tx is not None else _tx(spark, sf)
+    feat = feature_table(tx.where(F.col(S.TX_TIME_DAYS) < SERVE_DAY))
+    return SN.customer_snapshot(feat), SN.terminal_snapshot(feat)
+
+
+@register("parse_requests", f"""WITH {Q.TX}, {_REQ}
+SELECT * FROM reqf""")
+def parse_requests(spark, sf):
+    return _requests(spark, sf)
+
+
+@register("enrich_customer", f"""WITH {Q.TX}, {Q.FEAT}, {_REQ}, {_SNAPS}
+SELECT reqf.*, {", ".join("snc." + c for c in CUST)} FROM reqf LEFT JOIN snc USING (CUSTOMER_ID)""")
+def enrich_customer(spark, sf):
+    tx = _tx(spark, sf)
+    snc, _ = _frozen_snapshots(spark, sf, tx)
+    return SN.enrich(_requests(spark, sf, tx), snc, S.CUSTOMER_ID)
+
+
+@register("enrich_full", f"""WITH {Q.TX}, {Q.FEAT}, {_REQ}, {_SNAPS}
+SELECT reqf.*, {", ".join("snc." + c for c in CUST)}, {", ".join("snt." + c for c in TERM)}
+FROM reqf LEFT JOIN snc USING (CUSTOMER_ID) LEFT JOIN snt USING (TERMINAL_ID)""")
+def enrich_full(spark, sf):
+    tx = _tx(spark, sf)
+    snc, snt = _frozen_snapshots(spark, sf, tx)
+    return SN.enrich(SN.enrich(_requests(spark, sf, tx), snc, S.CUSTOMER_ID), snt, S.TERMINAL_ID)
