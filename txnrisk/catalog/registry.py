@@ -449,3 +449,168 @@ def enrich_full(spark, sf):
     tx = _tx(spark, sf)
     snc, snt = _frozen_snapshots(spark, sf, tx)
     return SN.enrich(SN.enrich(_requests(spark, sf, tx), snc, S.CUSTOMER_ID), snt, S.TERMINAL_ID)
+
+
+# ---------------------------------------------------------------- step 6 ---
+from ..functions import time as TF  # noqa: E402
+from ..operators import labels as LB  # noqa: E402
+from ..operators import spatial as SPA  # noqa: E402
+from ..operators.ordering import chronological_id  # noqa: E402
+from ..sources.transactions import EVENTS_ORIGIN  # noqa: E402
+
+
+def _md5sql(idc, day):
+    return f"md5(CAST({idc} AS VARCHAR) || ':' || CAST({day} AS VARCHAR))"
+
+
+def _sample_sql(ent_sql, idc, n, days):
+    return f"""SELECT start_day, {idc}, start_day + {days} AS end_day FROM (
+   SELECT d.start_day, e.{idc}, row_number() OVER (PARTITION BY d.start_day ORDER BY {_md5sql("e." + idc, "d.start_day")}) AS rn
+   FROM ({ent_sql}) e, (SELECT range AS start_day FROM range(0, (SELECT max(TX_TIME_DAYS) FROM tx))) d) z
+ WHERE rn <= {n}"""
+
+
+_IVALS = f"""tiv AS ({_sample_sql("SELECT DISTINCT TERMINAL_ID FROM tx WHERE TERMINAL_ID IS NOT NULL", "TERMINAL_ID",
+                                 S.TERMINALS_PER_DAY, S.TERMINAL_COMPROMISE_DAYS)}),
+civ AS ({_sample_sql("SELECT DISTINCT CUSTOMER_ID FROM tx WHERE CUSTOMER_ID IS NOT NULL", "CUSTOMER_ID",
+                     S.CUSTOMERS_PER_DAY, S.CUSTOMER_COMPROMISE_DAYS)}),
+cm AS (SELECT civ.start_day, tx.* FROM tx JOIN civ ON tx.CUSTOMER_ID = civ.CUSTOMER_ID
+       AND tx.TX_TIME_DAYS >= civ.start_day AND tx.TX_TIME_DAYS < civ.end_day),
+smp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY start_day ORDER BY {_md5sql("TRANSACTION_ID", "start_day")}, TRANSACTION_ID) AS rn,
+                       count(*) OVER (PARTITION BY start_day) AS n FROM cm) z WHERE rn <= floor(n / 3)),
+kk AS (SELECT TRANSACTION_ID, count(*) AS k FROM smp GROUP BY TRANSACTION_ID),
+lab AS (SELECT tx.TRANSACTION_ID,
+   CASE WHEN kk.k > 0 THEN CAST(tx.TX_AMOUNT * CAST(pow(5, kk.k) AS DECIMAL(20,0)) AS DECIMAL(18,2)) ELSE tx.TX_AMOUNT END AS TX_AMOUNT,
+   tx.TX_AMOUNT > 220 AS r1,
+   EXISTS (SELECT 1 FROM tiv WHERE tiv.TERMINAL_ID = tx.TERMINAL_ID AND tx.TX_TIME_DAYS >= tiv.start_day
+           AND tx.TX_TIME_DAYS < tiv.end_day) AS r2,
+   coalesce(kk.k, 0) AS k
+  FROM tx LEFT JOIN kk ON tx.TRANSACTION_ID = kk.TRANSACTION_ID
+  WHERE tx.CUSTOMER_ID IS NOT NULL AND tx.TERMINAL_ID IS NOT NULL)"""
+
+
+def _ivals(tx):
+    last = LB.last_start_day(tx)
+    tiv = LB.intervals(LB.sample_per_day(tx, S.TERMINAL_ID, S.TERMINALS_PER_DAY, last), S.TERMINAL_COMPROMISE_DAYS)
+    civ = LB.intervals(LB.sample_per_day(tx, S.CUSTOMER_ID, S.CUSTOMERS_PER_DAY, last), S.CUSTOMER_COMPROMISE_DAYS)
+    return tiv, civ
+
+
+def _keyed_tx(spark, sf):
+    return _tx(spark, sf).where(F.col(S.CUSTOMER_ID).isNotNull() & F.col(S.TERMINAL_ID).isNotNull())
+
+
+def _labelled(spark, sf):
+    tx = _keyed_tx(spark, sf)
+    tiv, civ = _ivals(tx)
+    return LB.label_fraud(tx, tiv, civ)
+
+
+@register("label_amount_rule", f"""WITH {Q.TX}
+SELECT TRANSACTION_ID, CAST(TX_AMOUNT > 220 AS BIGINT) AS TX_FRAUD,
+       CAST(CASE WHEN TX_AMOUNT > 220 THEN 1 ELSE 0 END AS BIGINT) AS TX_FRAUD_SCENARIO FROM tx""")
+def label_amount_rule(spark, sf):
+    r1 = LB.amount_rule(None)
+    return _tx(spark, sf).select(S.TX_ID, r1.cast("bigint").alias(S.TX_FRAUD),
+                                 F.when(r1, 1).otherwise(0).cast("bigint").alias(S.TX_FRAUD_SCENARIO))
+
+
+@register("sample_n_per_day", f"""WITH {Q.TX}, {_IVALS}
+SELECT 'terminal' AS kind, start_day, TERMINAL_ID AS id FROM tiv
+UNION ALL SELECT 'customer' AS kind, start_day, CUSTOMER_ID AS id FROM civ""")
+def sample_n_per_day(spark, sf):
+    tiv, civ = _ivals(_keyed_tx(spark, sf))
+    return tiv.select(F.lit("terminal").alias("kind"), LB.START, F.col(S.TERMINAL_ID).alias("id")).unionByName(
+        civ.select(F.lit("customer").alias("kind"), LB.START, F.col(S.CUSTOMER_ID).alias("id")))
+
+
+@register("label_terminal_intervals", f"""WITH {Q.TX}, {_IVALS}
+SELECT TRANSACTION_ID, TERMINAL_ID, TX_TIME_DAYS FROM tx
+WHERE CUSTOMER_ID IS NOT NULL AND EXISTS (SELECT 1 FROM tiv WHERE tiv.TERMINAL_ID = tx.TERMINAL_ID
+  AND tx.TX_TIME_DAYS >= tiv.start_day AND tx.TX_TIME_DAYS < tiv.end_day)""")
+def label_terminal_intervals(spark, sf):
+    tx = _keyed_tx(spark, sf)
+    tiv, _ = _ivals(tx)
+    return LB.in_intervals(tx.select(S.TX_ID, S.TERMINAL_ID, S.TX_TIME_DAYS), tiv, S.TERMINAL_ID, "hit") \
+        .where("hit").drop("hit")
+
+
+@register("customer_interval_matches", f"""WITH {Q.TX}, {_IVALS}
+SELECT start_day, TRANSACTION_ID FROM cm WHERE TERMINAL_ID IS NOT NULL""")
+def customer_interval_matches(spark, sf):
+    tx = _keyed_tx(spark, sf)
+    _, civ = _ivals(tx)
+    return LB.interval_matches(tx, civ, S.CUSTOMER_ID).select(LB.START, S.TX_ID)
+
+
+@register("sample_third", f"""WITH {Q.TX}, {_IVALS}
+SELECT start_day, TRANSACTION_ID FROM smp""")
+def sample_third(spark, sf):
+    tx = _keyed_tx(spark, sf)
+    _, civ = _ivals(tx)
+    return LB.sample_fraction(LB.interval_matches(tx, civ, S.CUSTOMER_ID)).select(LB.START, S.TX_ID)
+
+
+@register("label_fraud", f"""WITH {Q.TX}, {_IVALS}
+SELECT TRANSACTION_ID, TX_AMOUNT,
+  CAST(k > 0 OR r2 OR r1 AS BIGINT) AS TX_FRAUD,
+  CAST(CASE WHEN k > 0 THEN 3 WHEN r2 THEN 2 WHEN r1 THEN 1 ELSE 0 END AS BIGINT) AS TX_FRAUD_SCENARIO
+FROM lab""")
+def label_fraud_q(spark, sf):
+    return _labelled(spark, sf).select(S.TX_ID, S.TX_AMOUNT, S.TX_FRAUD, S.TX_FRAUD_SCENARIO)
+
+
+@register("rule_counts", f"""WITH {Q.TX}, {_IVALS}
+SELECT CAST(CASE WHEN r1 THEN 1 WHEN r2 THEN 2 ELSE 3 END AS BIGINT) AS rule, count(*) AS n_new_frauds
+FROM lab WHERE r1 OR r2 OR k > 0 GROUP BY 1""")
+def rule_counts_q(spark, sf):
+    return LB.rule_counts(_labelled(spark, sf))
+
+
+_PTS = """cp AS (SELECT CUSTOMER_ID, CAST((CUSTOMER_ID * 37) % 1000 AS DOUBLE) / 10.0 AS x_customer_id,
+                   CAST((CUSTOMER_ID * 91) % 1000 AS DOUBLE) / 10.0 AS y_customer_id
+            FROM (SELECT DISTINCT CUSTOMER_ID FROM tx WHERE CUSTOMER_ID IS NOT NULL) c),
+tp AS (SELECT TERMINAL_ID, CAST((TERMINAL_ID * 53) % 1000 AS DOUBLE) / 10.0 AS x_terminal_id,
+              CAST((TERMINAL_ID * 29) % 1000 AS DOUBLE) / 10.0 AS y_terminal_id
+       FROM (SELECT DISTINCT TERMINAL_ID FROM tx WHERE TERMINAL_ID IS NOT NULL) t),
+pr AS (SELECT CUSTOMER_ID, TERMINAL_ID,
+         sqrt((x_customer_id - x_terminal_id) * (x_customer_id - x_terminal_id)
+              + (y_customer_id - y_terminal_id) * (y_customer_id - y_terminal_id)) AS distance
+       FROM cp, tp)"""
+
+
+@register("radius_join", f"""WITH {Q.TX}, {_PTS}
+SELECT * FROM pr WHERE distance < 5.0""")
+def radius_join_q(spark, sf):
+    tx = _tx(spark, sf)
+    return SPA.radius_join(SPA.customer_points(tx), SPA.terminal_points(tx))
+
+
+@register("customer_terminals", f"""WITH {Q.TX}, {_PTS}
+SELECT cp.*, coalesce(string_agg(CAST(pr.TERMINAL_ID AS VARCHAR), ',' ORDER BY pr.TERMINAL_ID), '') AS available_terminals,
+       count(pr.TERMINAL_ID) AS nb_terminals
+FROM cp LEFT JOIN (SELECT * FROM pr WHERE distance < 5.0) pr USING (CUSTOMER_ID)
+GROUP BY cp.CUSTOMER_ID, cp.x_customer_id, cp.y_customer_id""")
+def customer_terminals(spark, sf):
+    tx = _tx(spark, sf)
+    out = SPA.terminals_within_radius(SPA.customer_points(tx), SPA.terminal_points(tx))
+    as_text = F.array_join(F.transform("available_terminals", lambda x: x.cast("string")), ",")
+    return out.select(S.CUSTOMER_ID, "x_customer_id", "y_customer_id", as_text.alias("available_terminals"),
+                      "nb_terminals")
+
+
+@register("chronological_id", f"""WITH {Q.TX}
+SELECT TRANSACTION_ID, row_number() OVER (ORDER BY TX_US, CUSTOMER_ID, TERMINAL_ID, TRANSACTION_ID) - 1 AS CHRONO_ID
+FROM tx""")
+def chronological_id_q(spark, sf):
+    return chronological_id(_tx(spark, sf).select(S.TX_ID, S.TX_US, S.CUSTOMER_ID, S.TERMINAL_ID)) \
+        .select(S.TX_ID, "CHRONO_ID")
+
+
+@register("time_offsets", f"""WITH {Q.TX}
+SELECT TRANSACTION_ID, TX_TIME_SECONDS, TX_TIME_DAYS,
+       TIMESTAMP '{EVENTS_ORIGIN} 00:00:00' + to_seconds(TX_TIME_SECONDS) AS TX_DATETIME_FROM_SECONDS FROM tx""")
+def time_offsets(spark, sf):
+    tx = _tx(spark, sf)
+    return tx.select(S.TX_ID, S.TX_TIME_SECONDS, S.TX_TIME_DAYS,
+                     TF.from_offset_seconds(S.TX_TIME_SECONDS, EVENTS_ORIGIN).alias("TX_DATETIME_FROM_SECONDS"))
