@@ -614,3 +614,94 @@ def time_offsets(spark, sf):
     tx = _tx(spark, sf)
     return tx.select(S.TX_ID, S.TX_TIME_SECONDS, S.TX_TIME_DAYS,
                      TF.from_offset_seconds(S.TX_TIME_SECONDS, EVENTS_ORIGIN).alias("TX_DATETIME_FROM_SECONDS"))
+
+
+# ---------------------------------------------------------------- step 7 ---
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from ..ml import pipeline as MLP  # noqa: E402
+from ..plans import training as TR  # noqa: E402
+
+_FSPLIT = Q.split_ctes(SPLIT_START, TRAIN_D, DELAY_D, TEST_D, src="feat")
+_R6 = 6
+
+
+def _feat_split(spark, sf, persist=False):
+    return TR.train_test_features(_tx(spark, sf), SPLIT_START, TRAIN_D, DELAY_D, TEST_D, persist=persist)
+
+
+def _thr_sql(src):
+    return f"""(SELECT n, tp, fp, tn, fn,
+  CAST(tp + tn AS DOUBLE) / n AS acc,
+  CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END AS f1_score,
+  sqrt((CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END)
+     * (CASE WHEN tn + fp = 0 THEN 0.0 ELSE CAST(tn AS DOUBLE) / (tn + fp) END)) AS gmean
+FROM (SELECT count(*) AS n,
+        count(*) FILTER (WHERE score > 0.5 AND TX_FRAUD = 1) AS tp,
+        count(*) FILTER (WHERE score > 0.5 AND TX_FRAUD <> 1) AS fp,
+        count(*) FILTER (WHERE NOT score > 0.5 AND TX_FRAUD <> 1) AS tn,
+        count(*) FILTER (WHERE NOT score > 0.5 AND TX_FRAUD = 1) AS fn FROM {src}) c)"""
+
+
+@register("dummy_metrics", f"""WITH {Q.TX}, {Q.FEAT}, {_FSPLIT},
+dsc AS (SELECT *, (SELECT avg(CAST(TX_FRAUD AS DOUBLE)) FROM trn) AS score FROM tst)
+SELECT 'dummy' AS clf, round(t.acc, {R9}) AS acc, round(t.f1_score, {R9}) AS f1_score, round(t.gmean, {R9}) AS gmean,
+       round(r.auc, {R9}) AS auc, round(r.average_precision, {R9}) AS average_precision
+FROM {_thr_sql("dsc")} t, ({Q.ranking_sql("dsc", digits=None)}) r""")
+def dummy_metrics(spark, sf):
+    train, test = _feat_split(spark, sf)
+    m = TR.evaluate(TR.dummy_scored(train, test), "dummy")
+    return m.select("clf", *_r(TR.METRIC_COLS))
+
+
+_IN = S.INPUT_FEATURES
+
+
+@register("impute_mean", f"""WITH {Q.TX}, {Q.FEAT}, {_FSPLIT}, {_REQ}, {_SNAPS},
+enr AS (SELECT reqf.*, {", ".join("snc." + c for c in CUST)}, {", ".join("snt." + c for c in TERM)}
+        FROM reqf LEFT JOIN snc USING (CUSTOMER_ID) LEFT JOIN snt USING (TERMINAL_ID))
+SELECT TRANSACTION_ID, {", ".join(f"round(coalesce(CAST({c} AS DOUBLE), (SELECT avg(CAST({c} AS DOUBLE)) FROM trn)), {R9}) AS {c}" for c in _IN)}
+FROM enr""")
+def impute_mean(spark, sf):
+    """M1: means learned on the train split fill the nulls of enriched requests
+    (unknown customers / terminals)."""
+    from pyspark.ml.feature import Imputer
+    train, _ = _feat_split(spark, sf)
+    req = enrich_full(spark, sf)
+    imp = Imputer(strategy="mean", inputCols=_IN, outputCols=[f"__i_{c}" for c in _IN])
+    model = imp.fit(MLP.prepare(train, _IN))
+    out = model.transform(MLP.prepare(req.withColumn(S.TX_FRAUD, F.lit(0)), _IN))
+    return out.select(S.TX_ID, *[F.round(f"__i_{c}", R9).alias(c) for c in _IN])
+
+
+@register("standardize", f"""WITH {Q.TX}, {Q.FEAT}, {_FSPLIT},
+st AS (SELECT {", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}" for c in _IN)} FROM trn)
+SELECT TRANSACTION_ID, {", ".join(f"round(CASE WHEN s_{c} = 0 THEN 0.0 ELSE (CAST({c} AS DOUBLE) - m_{c}) / s_{c} END, {_R6}) AS {c}" for c in _IN)}
+FROM tst, st""")
+def standardize(spark, sf):
+    """M2: population standardisation learned on train, applied to test."""
+    from pyspark.ml import Pipeline
+    train, test = _feat_split(spark, sf)
+    cols = MLP.usable_inputs(train, _IN)
+    pre = Pipeline(stages=MLP.preprocessing_stages(cols, train.count())).fit(MLP.prepare(train, cols))
+    arr = vector_to_array(F.col("features"))
+    out = pre.transform(MLP.prepare(test, cols))
+    return out.select(S.TX_ID, *[F.round(arr[i], _R6).alias(c) for i, c in enumerate(cols)])
+
+
+def _fit_key(kind, name, **params):
+    def fn(spark, sf):
+        train, test = _feat_split(spark, sf, persist=True)
+        return TR.fit_and_evaluate(train, test, name, kind, **params)
+    return fn
+
+
+for _name, (_kind, _params) in TR.DEFAULT_MODELS.items():
+    QUERIES[{"logistic": "fit_logistic", "tree": "fit_tree", "bagging": "fit_bagging", "rf": "fit_forest",
+             "GradientBoost": "fit_gbt"}[_name]] = _fit_key(_kind, _name, **_params)
+
+
+@register("leaderboard")
+def leaderboard_q(spark, sf):
+    train, test = _feat_split(spark, sf, persist=True)
+    return TR.leaderboard(train, test)

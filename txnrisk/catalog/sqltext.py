@@ -44,17 +44,17 @@ FEAT = f"""feat AS (
   WHERE TERMINAL_ID IS NOT NULL)"""
 
 
-def split_ctes(start="2024-01-01", train=7, delay=7, test=7) -> str:
+def split_ctes(start="2024-01-01", train=7, delay=7, test=7, src="tx") -> str:
     """train / s / test CTEs of the delayed split, written as the reference's
     day-by-day rule (EXISTS per test row) rather than the closed form."""
-    return f"""trn AS (SELECT * FROM tx WHERE TX_DATETIME >= TIMESTAMP '{start}'
+    return f"""trn AS (SELECT * FROM {src} WHERE TX_DATETIME >= TIMESTAMP '{start}'
                   AND TX_DATETIME < TIMESTAMP '{start}' + INTERVAL {train} DAY),
 s AS (SELECT min(TX_TIME_DAYS) AS s FROM trn),
-tst AS (SELECT tx.* FROM tx, s
-  WHERE tx.TX_TIME_DAYS BETWEEN s.s + {train + delay} AND s.s + {train + delay + test - 1}
-    AND NOT EXISTS (SELECT 1 FROM trn t WHERE t.TX_FRAUD = 1 AND t.CUSTOMER_ID = tx.CUSTOMER_ID)
-    AND NOT EXISTS (SELECT 1 FROM tx f WHERE f.TX_FRAUD = 1 AND f.CUSTOMER_ID = tx.CUSTOMER_ID
-                    AND f.TX_TIME_DAYS BETWEEN s.s + {train - 1} AND tx.TX_TIME_DAYS - {delay + 1}))"""
+tst AS (SELECT x.* FROM {src} x, s
+  WHERE x.TX_TIME_DAYS BETWEEN s.s + {train + delay} AND s.s + {train + delay + test - 1}
+    AND NOT EXISTS (SELECT 1 FROM trn t WHERE t.TX_FRAUD = 1 AND t.CUSTOMER_ID = x.CUSTOMER_ID)
+    AND NOT EXISTS (SELECT 1 FROM {src} f WHERE f.TX_FRAUD = 1 AND f.CUSTOMER_ID = x.CUSTOMER_ID
+                    AND f.TX_TIME_DAYS BETWEEN s.s + {train - 1} AND x.TX_TIME_DAYS - {delay + 1}))"""
 
 
 def fold_ctes(start="2024-01-08", n_folds=2, train=7, delay=7, val=7) -> str:
