@@ -705,3 +705,47 @@ for _name, (_kind, _params) in TR.DEFAULT_MODELS.items():
 def leaderboard_q(spark, sf):
     train, test = _feat_split(spark, sf, persist=True)
     return TR.leaderboard(train, test)
+
+
+# --------------------------------------------------------------- step 10 ---
+import uuid  # noqa: E402
+
+from ..plans import serving as SV  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..streaming.scoring import start_scoring  # noqa: E402
+
+# the configuration the workload deploys: logistic regression, L2, C = 0.5
+SERVE_MODEL = ("logistic", {"penalty": "l2", "C": 0.5, "max_iter": 2000})
+
+
+def _serving_artifacts(spark, sf, tx):
+    """Fit on the split's train rows, freeze snapshots before SERVE_DAY, and
+    round-trip everything through the shared scratch folder (S5/S6)."""
+    train = SP.delayed_split(feature_table(tx), SPLIT_START, TRAIN_D, DELAY_D, TEST_D)[0]
+    model = MLP.fit_pipeline(train, SERVE_MODEL[0], **SERVE_MODEL[1])
+    snc, snt = _frozen_snapshots(spark, sf, tx)
+    path = scratch_path(spark, f"artifacts-{uuid.uuid4().hex}")
+    SV.save_artifacts(path, model, snc, snt)
+    return SV.load_artifacts(spark, path)
+
+
+@register("score_batch")
+def score_batch(spark, sf):
+    tx = _tx(spark, sf)
+    model, snc, snt = _serving_artifacts(spark, sf, tx)
+    lines = RQ.requests_from_transactions(tx.where(F.col(S.TX_TIME_DAYS) >= SERVE_DAY))
+    return SV.score_requests(RQ.parse_request_lines(lines), snc, snt, model)
+
+
+@register("score_stream")
+def score_stream(spark, sf):
+    """Same replies as ``score_batch``, produced by a streaming query over
+    request files written from the data (availableNow trigger)."""
+    tx = _tx(spark, sf)
+    model, snc, snt = _serving_artifacts(spark, sf, tx)
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    RQ.requests_from_transactions(tx.where(F.col(S.TX_TIME_DAYS) >= SERVE_DAY)) \
+        .write.mode("overwrite").text(f"{run}/requests")
+    q = start_scoring(spark, f"{run}/requests", model, snc, snt, f"{run}/replies", f"{run}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/replies")
