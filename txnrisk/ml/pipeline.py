@@ -63,7 +63,9 @@ def make_classifier(kind: str, seed: int = 0, **p):
     feature subset strategy is "all".
     """
     if kind == "logistic":
+        # tol 1e-4 is the workload's (library default) stopping tolerance
         return LogisticRegression(featuresCol="features", labelCol=LABEL, maxIter=p.get("max_iter", 2000),
+                                  tol=p.get("tol", 1e-4),
                                   elasticNetParam=1.0 if p.get("penalty", "l2") == "l1" else 0.0,
                                   standardization=False)
     if kind == "tree":

@@ -40,6 +40,8 @@ def _score_buckets(g: DataFrame, score: str, n_buckets: int) -> DataFrame:
     """Attach a monotone bucket id (approximate quantiles of the distinct scores).
 
     ``approxQuantile`` returns at most ``n_buckets`` edges to the driver."""
+    if n_buckets <= 1:
+        return g.withColumn("__sb", F.lit(0.0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     edges = sorted(set(e for e in g.approxQuantile(score, probs, 0.001) if e is not None))
     splits = [float("-inf")] + edges + [float("inf")]
