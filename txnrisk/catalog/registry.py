@@ -749,3 +749,30 @@ def score_stream(spark, sf):
     q = start_scoring(spark, f"{run}/requests", model, snc, snt, f"{run}/replies", f"{run}/checkpoint")
     q.awaitTermination()
     return spark.read.parquet(f"{run}/replies")
+
+
+# ---------------------------------------------------------------- step 9 ---
+from ..ml import tuning as TU  # noqa: E402
+
+# Members per bagging configuration in the registered check.  The library
+# default is the workload's 200; the check uses GRID_MEMBERS so that all
+# 11 x 2 (configuration, fold) fits finish in minutes (see README).
+GRID_MEMBERS = 10
+
+
+def _grid_scores(spark, sf):
+    feat = _feat(spark, sf)
+    folds = SP.cv_folds(feat, CV_START, N_FOLDS, TRAIN_D, DELAY_D, TEST_D)
+    return TU.grid_search(folds, n_members=GRID_MEMBERS)
+
+
+@register("grid_search")
+def grid_search_q(spark, sf):
+    return _grid_scores(spark, sf)
+
+
+@register("final_report")
+def final_report_q(spark, sf):
+    scores = _grid_scores(spark, sf)
+    train, test = _feat_split(spark, sf, persist=True)
+    return TU.final_report(scores, train, test, n_members=GRID_MEMBERS)
