@@ -776,3 +776,26 @@ def final_report_q(spark, sf):
     scores = _grid_scores(spark, sf)
     train, test = _feat_split(spark, sf, persist=True)
     return TU.final_report(scores, train, test, n_members=GRID_MEMBERS)
+
+
+# ---------------------------------------------------------------- step 7b --
+from ..ml.knn import knn_scores  # noqa: E402
+
+KNN_K = 5  # fixed value: the workload's neighbour count
+
+
+def _z(c, alias):
+    return f"CASE WHEN s_{c} = 0 THEN 0.0 ELSE (CAST({c} AS DOUBLE) - m_{c}) / s_{c} END AS {alias}"
+
+
+@register("knn_score", f"""WITH {Q.TX}, {Q.FEAT}, {_FSPLIT},
+st AS (SELECT {", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}" for c in _IN)} FROM trn),
+ztr AS (SELECT TRANSACTION_ID AS tid, CAST(TX_FRAUD AS DOUBLE) AS y, {", ".join(_z(c, f"z{i}") for i, c in enumerate(_IN))} FROM trn, st),
+zte AS (SELECT TRANSACTION_ID AS qid, {", ".join(_z(c, f"z{i}") for i, c in enumerate(_IN))} FROM tst, st),
+d AS (SELECT qid, tid, y, {" + ".join(f"(zte.z{i} - ztr.z{i}) * (zte.z{i} - ztr.z{i})" for i in range(len(_IN)))} AS d2
+      FROM zte, ztr),
+r AS (SELECT qid, y, row_number() OVER (PARTITION BY qid ORDER BY d2, tid) AS rn FROM d)
+SELECT qid AS TRANSACTION_ID, avg(y) AS prob_fraud FROM r WHERE rn <= {KNN_K} GROUP BY qid""")
+def knn_score(spark, sf):
+    train, test = _feat_split(spark, sf, persist=True)
+    return knn_scores(train, test.select(S.TX_ID, *_IN), k=KNN_K).select(S.TX_ID, MLP.PROB)

@@ -59,7 +59,7 @@ def scorer_precision_top_k(k: int = S.TOP_K):
 
 
 def grid_search(folds: DataFrame, grid=GRID, scorer=scorer_average_precision, n_members: int | None = None,
-                parallelism: int = 4) -> DataFrame:
+                parallelism: int = 8) -> DataFrame:
     """Fold scores (config, fold, score) for every configuration.  ``folds``
     is the output of :func:`cv_folds` over the feature table."""
     folds = folds.persist(StorageLevel.MEMORY_AND_DISK)
