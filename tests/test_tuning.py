@@ -17,4 +17,5 @@ def test_scorer_hooks(spark):
                                "TRANSACTION_ID bigint, s double, TX_FRAUD bigint, TX_TIME_DAYS bigint") \
         .withColumn(PROB, F.col("s"))
     assert scorer_precision_top_k(1)(df).first()["score"] == 1.0
-    assert abs(scorer_average_precision(df).first()["score"] - 1.0) < 1e-12
+    # frauds at ranks 1 and 3: AP = 1/2 * 1/1 + 1/2 * 2/3
+    assert abs(scorer_average_precision(df).first()["score"] - 5 / 6) < 1e-12
