@@ -697,7 +697,8 @@ def _fit_key(kind, name, **params):
 
 
 for _name, (_kind, _params) in TR.DEFAULT_MODELS.items():
-    QUERIES[{"logistic": "fit_logistic", "tree": "fit_tree", "bagging": "fit_bagging", "rf": "fit_forest",
+    QUERIES[{"knn": "fit_knn", "logistic": "fit_logistic", "tree": "fit_tree", "bagging": "fit_bagging",
+             "rf": "fit_forest",
              "GradientBoost": "fit_gbt"}[_name]] = _fit_key(_kind, _name, **_params)
 
 

@@ -78,14 +78,15 @@ def _event_running_sums(df: DataFrame, key: str, lo_us: int, hi_us: list[int],
 
 
 def _dispatch(df: DataFrame, key: str, frame_fn, events_fn, strategy: str, bucket_us: int,
-              hot_rows: int) -> DataFrame:
+              hot_rows: int, hot=None) -> DataFrame:
     if strategy == "frame":
         return frame_fn(df)
     if strategy == "events":
         return events_fn(df, bucket_us)
     if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
-    hot = find_hot_keys(df, key, S.TX_US, hot_rows=hot_rows, default_bucket_us=bucket_us)
+    if hot is None:
+        hot = find_hot_keys(df, key, S.TX_US, hot_rows=hot_rows, default_bucket_us=bucket_us)
     if hot.empty:
         return frame_fn(df)
     if hot.overflow:
@@ -98,12 +99,13 @@ def _dispatch(df: DataFrame, key: str, frame_fn, events_fn, strategy: str, bucke
 
 def customer_spending_windows(df: DataFrame, windows=S.WINDOWS_DAYS, key: str = S.CUSTOMER_ID,
                               strategy: str = "auto", bucket_us: int = S.DAY_US,
-                              hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                              hot_rows: int = HOT_KEY_ROWS, hot=None) -> DataFrame:
     """Count and mean amount of the key's rows in (t - N days, t].
 
     Adds ``{key}_NB_TX_{N}DAY_WINDOW`` (bigint) and
     ``{key}_AVG_AMOUNT_{N}DAY_WINDOW`` (double) for each N.
-    Rows with a null key are dropped (they belong to no group).
+    Rows with a null key are dropped (they belong to no group).  ``hot`` may
+    carry precomputed :class:`HotKeys` for ``key`` (``auto`` only).
     """
     df = df.where(F.col(key).isNotNull())
     names = [(f"{key}_NB_TX_{n}DAY_WINDOW", f"{key}_AVG_AMOUNT_{n}DAY_WINDOW") for n in windows]
@@ -133,12 +135,12 @@ def customer_spending_windows(df: DataFrame, windows=S.WINDOWS_DAYS, key: str =
                     (sm.cast("double") / cnt.cast("double")).alias(avg_name)]
         return sums.select(*d.columns, *out)
 
-    return _dispatch(df, key, frame_fn, events_fn, strategy, bucket_us, hot_rows)
+    return _dispatch(df, key, frame_fn, events_fn, strategy, bucket_us, hot_rows, hot)
 
 
 def delayed_risk_windows(df: DataFrame, delay: int = S.DELAY_DAYS, windows=S.WINDOWS_DAYS,
                          key: str = S.TERMINAL_ID, strategy: str = "auto",
-                         bucket_us: int = S.DAY_US, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                         bucket_us: int = S.DAY_US, hot_rows: int = HOT_KEY_ROWS, hot=None) -> DataFrame:
     """For each N, rows and frauds of the key in (t-(d+N) days, t-d days].
 
     Adds ``{key}_NB_TX_{N}DAY_WINDOW`` (bigint) and ``{key}_RISK_{N}DAY_WINDOW``
@@ -170,4 +172,4 @@ def delayed_risk_windows(df: DataFrame, delay: int = S.DELAY_DAYS, windows=S.WIN
             out += [nb.cast("bigint").alias(nb_name), safe_ratio(fr, nb).alias(risk_name)]
         return sums.select(*d.columns, *out)
 
-    return _dispatch(df, key, frame_fn, events_fn, strategy, bucket_us, hot_rows)
+    return _dispatch(df, key, frame_fn, events_fn, strategy, bucket_us, hot_rows, hot)
