@@ -800,3 +800,15 @@ SELECT qid AS TRANSACTION_ID, avg(y) AS prob_fraud FROM r WHERE rn <= {KNN_K} GR
 def knn_score(spark, sf):
     train, test = _feat_split(spark, sf, persist=True)
     return knn_scores(train, test.select(S.TX_ID, *_IN), k=KNN_K).select(S.TX_ID, MLP.PROB)
+
+
+@register("final_report_top_k")
+def final_report_top_k(spark, sf):
+    """The second selection of the workload: the same grid scored by the daily
+    precision of the top-k alerts, one-SD choice, refit, test precision."""
+    feat = _feat(spark, sf)
+    folds = SP.cv_folds(feat, CV_START, N_FOLDS, TRAIN_D, DELAY_D, TEST_D)
+    scorer = TU.scorer_precision_top_k(S.TOP_K)
+    scores = TU.grid_search(folds, scorer=scorer, n_members=GRID_MEMBERS)
+    train, test = _feat_split(spark, sf, persist=True)
+    return TU.final_report(scores, train, test, scorer=scorer, n_members=GRID_MEMBERS)

@@ -27,7 +27,7 @@ class HotKeys:
 
 
 def find_hot_keys(df: DataFrame, key: str, time_us: str, hot_rows: int = HOT_KEY_ROWS,
-                  max_keys: int = MAX_HOT_KEYS, rows_per_bucket: int = ROWS_PER_BUCKET,
+                  max_keys: int = MAX_HOT_KEYS, rows_per_bucket: int | None = None,
                   default_bucket_us: int = 86_400_000_000) -> HotKeys:
     """One aggregate over (key, time) with map-side combine; only keys above
     ``hot_rows`` reach the driver, at most ``max_keys + 1`` of them."""
@@ -36,6 +36,7 @@ def find_hot_keys(df: DataFrame, key: str, time_us: str, hot_rows: int = HOT_KEY
                .where(F.col("n") > hot_rows)
                .limit(max_keys + 1)
                .collect())
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     if len(stats) > max_keys:
         return HotKeys([], {}, True)
     widths = {}
