@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schema as S
 from ..operators.metrics import cv_summary, mean_precision_top_k, ranking_metrics, select_one_sd
 from ..operators.split import FOLD, ROLE
+from ..session import persist_sized
 from .bagging import fit_bagging, score_bagging
 from .pipeline import PROB, fit_pipeline, score
 
@@ -62,7 +62,8 @@ def grid_search(folds: DataFrame, grid=GRID, scorer=scorer_average_precision, n_
                 parallelism: int = 8) -> DataFrame:
     """Fold scores (config, fold, score) for every configuration.  ``folds``
     is the output of :func:`cv_folds` over the feature table."""
-    folds = folds.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = folds
+    folds = persist_sized(cached)
     fold_ids = sorted(r[0] for r in folds.select(FOLD).distinct().collect())
     spark: SparkSession = folds.sparkSession
 
@@ -77,7 +78,7 @@ def grid_search(folds: DataFrame, grid=GRID, scorer=scorer_average_precision, n_
     tasks = [(n, k, p, f) for n, k, p in grid for f in fold_ids]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         rows = list(pool.map(run, tasks))
-    folds.unpersist()
+    cached.unpersist()   # same plan as the persisted one: drops its blocks
     return spark.createDataFrame(rows, "config string, fold bigint, score double")
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
 from ..ml.pipeline import PROB, fit_pipeline, score
+from ..session import persist_sized
 from ..operators.metrics import ranking_metrics, threshold_metrics
 from ..operators.split import delayed_split
 from .features import feature_table
@@ -32,8 +32,7 @@ def train_test_features(tx: DataFrame, start, delta_train=7, delta_delay=7, delt
     """Feature table -> delayed split.  Both sides are persisted (they feed many fits)."""
     train, test = delayed_split(feature_table(tx), start, delta_train, delta_delay, delta_test)
     if persist:
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        test = test.persist(StorageLevel.MEMORY_AND_DISK)
+        train, test = persist_sized(train), persist_sized(test)
     return train, test
 
 
