@@ -31,21 +31,37 @@ def find_hot_keys(df: DataFrame, key: str, time_us: str, hot_rows: int = HOT_KEY
                   default_bucket_us: int = 86_400_000_000) -> HotKeys:
     """One aggregate over (key, time) with map-side combine; only keys above
     ``hot_rows`` reach the driver, at most ``max_keys + 1`` of them."""
-    stats = (df.groupBy(key)
-               .agg(F.count(F.lit(1)).alias("n"), F.min(time_us).alias("t0"), F.max(time_us).alias("t1"))
+    return find_hot_keys_many(df, [key], time_us, hot_rows, max_keys, rows_per_bucket, default_bucket_us)[key]
+
+
+def find_hot_keys_many(df: DataFrame, keys: list[str], time_us: str, hot_rows: int = HOT_KEY_ROWS,
+                       max_keys: int = MAX_HOT_KEYS, rows_per_bucket: int | None = None,
+                       default_bucket_us: int = 86_400_000_000) -> dict:
+    """Hot keys of several key columns (same type) from one scan and one job:
+    rows are tagged with each key column (an explode of len(keys) tags), then
+    counted per (column, value).  Null key values are ignored."""
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
+    tags = F.array(*[F.struct(F.lit(i).alias("__k"), F.col(k).alias("__v")) for i, k in enumerate(keys)])
+    stats = (df.select(F.col(time_us).alias("__t"), F.inline(tags))
+               .where(F.col("__v").isNotNull())
+               .groupBy("__k", "__v")
+               .agg(F.count(F.lit(1)).alias("n"), F.min("__t").alias("t0"), F.max("__t").alias("t1"))
                .where(F.col("n") > hot_rows)
-               .limit(max_keys + 1)
+               .limit(len(keys) * (max_keys + 1))
                .collect())
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    if len(stats) > max_keys:
-        return HotKeys([], {}, True)
-    widths = {}
-    for r in stats:
-        span = max(int(r["t1"]) - int(r["t0"]) + 1, 1)
-        # choose a width giving ~rows_per_bucket rows per bucket, never wider than a day
-        w = max(1, min(default_bucket_us, span * rows_per_bucket // max(int(r["n"]), 1)))
-        widths[r[key]] = w
-    return HotKeys([r[key] for r in stats], widths, False)
+    out = {}
+    for i, k in enumerate(keys):
+        mine = [r for r in stats if r["__k"] == i]
+        if len(mine) > max_keys:
+            out[k] = HotKeys([], {}, True)
+            continue
+        widths = {}
+        for r in mine:
+            span = max(int(r["t1"]) - int(r["t0"]) + 1, 1)
+            # ~rows_per_bucket rows per bucket, never wider than the default (a day)
+            widths[r["__v"]] = max(1, min(default_bucket_us, span * rows_per_bucket // max(int(r["n"]), 1)))
+        out[k] = HotKeys([r["__v"] for r in mine], widths, False)
+    return out
 
 
 def bucket_width(hot: HotKeys, key: str, default_us: int) -> Column:

@@ -3,7 +3,7 @@
 Physical shape: one shuffle keyed by customer and one keyed by terminal (native
 RANGE frames for ordinary keys; time-bucketed event sums for hot keys, which
 then shuffle on (key, bucket)); everything else is narrow.  Hot keys are found
-by two small aggregates over (key, time) of the input.
+by one small aggregate over (key, time) of the input.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
 from ..operators.calendar import add_calendar_flags
-from ..operators.hotkeys import HOT_KEY_ROWS, find_hot_keys
+from ..operators.hotkeys import HOT_KEY_ROWS, find_hot_keys_many
 from ..operators.rolling import customer_spending_windows, delayed_risk_windows
 
 
@@ -22,12 +22,12 @@ def feature_table(tx: DataFrame, windows=S.WINDOWS_DAYS, delay: int = S.DELAY_DA
     hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
     hot_c = hot_t = None
     if strategy == "auto":
-        # both hot-key lists come from one narrow scan of the input (key, time)
-        base = tx.select(S.CUSTOMER_ID, S.TERMINAL_ID, S.TX_US)
-        hot_c = find_hot_keys(base.where(F.col(S.CUSTOMER_ID).isNotNull()), S.CUSTOMER_ID, S.TX_US,
-                              hot_rows=hot_rows, default_bucket_us=bucket_us)
-        hot_t = find_hot_keys(base.where(F.col(S.CUSTOMER_ID).isNotNull() & F.col(S.TERMINAL_ID).isNotNull()),
-                              S.TERMINAL_ID, S.TX_US, hot_rows=hot_rows, default_bucket_us=bucket_us)
+        # both hot-key lists come from one narrow scan of the input (key, time);
+        # terminal windows only see rows that have a customer
+        base = tx.select(S.CUSTOMER_ID, S.TERMINAL_ID, S.TX_US).where(F.col(S.CUSTOMER_ID).isNotNull())
+        hot = find_hot_keys_many(base, [S.CUSTOMER_ID, S.TERMINAL_ID], S.TX_US,
+                                 hot_rows=hot_rows, default_bucket_us=bucket_us)
+        hot_c, hot_t = hot[S.CUSTOMER_ID], hot[S.TERMINAL_ID]
     df = add_calendar_flags(tx)
     df = customer_spending_windows(df, windows, S.CUSTOMER_ID, strategy, bucket_us, hot_rows, hot_c)
     df = delayed_risk_windows(df, delay, windows, S.TERMINAL_ID, strategy, bucket_us, hot_rows, hot_t)
