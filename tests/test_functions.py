@@ -20,3 +20,18 @@ def test_calendar_flags(spark):
 def test_request_time_from_epoch_ms(spark):
     r = spark.range(1).select(from_epoch_ms(F.lit(1693612359000)).alias("t")).first()
     assert r["t"] == dt.datetime(2023, 9, 1, 23, 52, 39)
+
+
+def test_features_do_not_depend_on_session_time_zone(spark):
+    from conftest import SF0001
+
+    from txnrisk.plans.features import feature_table
+    from txnrisk.sources import load_transactions
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        ref = [tuple(r) for r in feature_table(load_transactions(spark, SF0001)).collect()]
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = [tuple(r) for r in feature_table(load_transactions(spark, SF0001)).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert sorted(got) == sorted(ref)

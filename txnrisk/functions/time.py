@@ -50,10 +50,16 @@ def night_flag(ts) -> Column:
 def epoch_us(ts) -> Column:
     """Microseconds since the epoch of a zone-less timestamp (a sortable long).
 
-    unix_micros() only accepts zoned timestamps; the zone-less form is the
-    difference from the zone-less epoch.
+    Built from calendar fields of the TIMESTAMP_NTZ value (days since epoch,
+    hour, minute, seconds with fraction), so no session time zone and no DST
+    rule can shift it; ``unix_micros`` / ``timestampdiff`` would first cast to
+    a zoned timestamp in the session zone.
     """
-    return F.timestamp_diff("MICROSECOND", _epoch(), to_ntz(ts))
+    t = to_ntz(ts)
+    return (F.unix_date(F.to_date(t)).cast("bigint") * F.lit(86_400_000_000)
+            + F.hour(t).cast("bigint") * F.lit(3_600_000_000)
+            + F.minute(t).cast("bigint") * F.lit(60_000_000)
+            + (F.date_part(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("bigint"))
 
 
 def day_offset(ts, origin) -> Column:
