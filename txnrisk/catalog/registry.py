@@ -319,17 +319,16 @@ def precision_top_k_avg(spark, sf):
 
 # Deterministic scorers standing in for model configurations in the CV keys.
 CV_CONFIGS = {
-    "amount": ("floor(TX_AMOUNT) / 500",
+    "amount": ("CAST(floor(TX_AMOUNT) AS DOUBLE) / 500",
                lambda: F.floor(F.col(S.TX_AMOUNT)).cast("double") / F.lit(500.0)),
     "terminal_risk_7d": ("TERMINAL_ID_RISK_7DAY_WINDOW", lambda: F.col("TERMINAL_ID_RISK_7DAY_WINDOW")),
     "terminal_risk_30d": ("TERMINAL_ID_RISK_30DAY_WINDOW", lambda: F.col("TERMINAL_ID_RISK_30DAY_WINDOW")),
-    "amount_vs_mean_30d": ("TX_AMOUNT / CUSTOMER_ID_AVG_AMOUNT_30DAY_WINDOW",
+    "amount_vs_mean_30d": ("CAST(TX_AMOUNT AS DOUBLE) / CUSTOMER_ID_AVG_AMOUNT_30DAY_WINDOW",
                            lambda: F.col(S.TX_AMOUNT).cast("double") / F.col("CUSTOMER_ID_AVG_AMOUNT_30DAY_WINDOW")),
 }
 _CFG_CASE = "CASE cfg.config " + " ".join(
-    f"WHEN '{k}' THEN CAST({v[0].replace('TX_AMOUNT', 'CAST(TX_AMOUNT AS DOUBLE)') if 'floor' not in v[0] else 'CAST(floor(TX_AMOUNT) AS DOUBLE) / 500'} AS DOUBLE)"
-    for k, v in CV_CONFIGS.items()) + " END"
-_CV_SQL_CTES = f"""{Q.TX}, {Q.FEAT}, {Q.fold_ctes(CV_START, N_FOLDS, TRAIN_D, DELAY_D, TEST_D).replace(' tx', ' feat').replace('tx.', 'feat.').replace('FROM tx f', 'FROM feat f')},
+    f"WHEN '{k}' THEN CAST({sql} AS DOUBLE)" for k, (sql, _) in CV_CONFIGS.items()) + " END"
+_CV_SQL_CTES = f"""{Q.TX}, {Q.FEAT}, {Q.fold_ctes(CV_START, N_FOLDS, TRAIN_D, DELAY_D, TEST_D, src="feat")},
 cvs AS (SELECT c.fold, c.TRANSACTION_ID, c.TX_FRAUD, cfg.config, {_CFG_CASE} AS score
         FROM cvf c, (VALUES {", ".join(f"('{k}')" for k in CV_CONFIGS)}) cfg(config) WHERE c.role = 'val'),
 fsc AS (SELECT config, fold, average_precision AS score FROM ({Q.ranking_sql("cvs", ["config", "fold"], digits=None)}) r),

@@ -57,18 +57,18 @@ tst AS (SELECT x.* FROM {src} x, s
                     AND f.TX_TIME_DAYS BETWEEN s.s + {train - 1} AND x.TX_TIME_DAYS - {delay + 1}))"""
 
 
-def fold_ctes(start="2024-01-08", n_folds=2, train=7, delay=7, val=7) -> str:
+def fold_ctes(start="2024-01-08", n_folds=2, train=7, delay=7, val=7, src="tx") -> str:
     return f"""folds AS (SELECT i AS fold, TIMESTAMP '{start}' - to_days(CAST(i * {val} AS INTEGER)) AS st
           FROM range({n_folds}) r(i)),
-ftrn AS (SELECT f.fold, tx.* FROM folds f JOIN tx
-         ON tx.TX_DATETIME >= f.st AND tx.TX_DATETIME < f.st + INTERVAL {train} DAY),
+ftrn AS (SELECT f.fold, x.* FROM folds f JOIN {src} x
+         ON x.TX_DATETIME >= f.st AND x.TX_DATETIME < f.st + INTERVAL {train} DAY),
 fs AS (SELECT fold, min(TX_TIME_DAYS) AS s FROM ftrn GROUP BY fold),
-fval AS (SELECT fs.fold, tx.* FROM fs JOIN tx
-         ON tx.TX_TIME_DAYS BETWEEN fs.s + {train + delay} AND fs.s + {train + delay + val - 1}
+fval AS (SELECT fs.fold, x.* FROM fs JOIN {src} x
+         ON x.TX_TIME_DAYS BETWEEN fs.s + {train + delay} AND fs.s + {train + delay + val - 1}
   WHERE NOT EXISTS (SELECT 1 FROM ftrn t WHERE t.fold = fs.fold AND t.TX_FRAUD = 1
-                    AND t.CUSTOMER_ID = tx.CUSTOMER_ID)
-    AND NOT EXISTS (SELECT 1 FROM tx f WHERE f.TX_FRAUD = 1 AND f.CUSTOMER_ID = tx.CUSTOMER_ID
-                    AND f.TX_TIME_DAYS BETWEEN fs.s + {train - 1} AND tx.TX_TIME_DAYS - {delay + 1})),
+                    AND t.CUSTOMER_ID = x.CUSTOMER_ID)
+    AND NOT EXISTS (SELECT 1 FROM {src} f WHERE f.TX_FRAUD = 1 AND f.CUSTOMER_ID = x.CUSTOMER_ID
+                    AND f.TX_TIME_DAYS BETWEEN fs.s + {train - 1} AND x.TX_TIME_DAYS - {delay + 1})),
 cvf AS (SELECT fold, 'train' AS role, * EXCLUDE (fold) FROM ftrn
         UNION ALL SELECT fold, 'val' AS role, * EXCLUDE (fold) FROM fval)"""
 
