@@ -51,8 +51,8 @@ def _block_top_k(k: int):
 def knn_scores(train: DataFrame, test: DataFrame, k: int = 5, cols: list[str] = S.INPUT_FEATURES,
                block_rows: int = 2048, id_col: str = S.TX_ID, label: str = S.TX_FRAUD) -> DataFrame:
     """``test`` plus ``prob_fraud`` = share of frauds among the k nearest train rows."""
-    cols = usable_inputs(train, cols)
-    n_train, n_test = train.count(), test.count()
+    cols, n_train = usable_inputs(train, cols, with_count=True)
+    n_test = test.count()
     prep_train = prepare(train, cols, label)
     pre = Pipeline(stages=preprocessing_stages(cols, n_train)).fit(prep_train)
     tr = pre.transform(prep_train).select(F.col(id_col).alias("tid"), F.col(LABEL).alias("y"),

@@ -25,14 +25,15 @@ LABEL = "label"
 PROB = "prob_fraud"
 
 
-def usable_inputs(train: DataFrame, cols: list[str]) -> list[str]:
+def usable_inputs(train: DataFrame, cols: list[str], with_count: bool = False):
     """Columns with at least one non-null value in train (an all-null column
-    cannot be imputed; it is dropped with a warning)."""
-    counts = train.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
+    cannot be imputed; it is dropped with a warning).  With ``with_count`` the
+    row count comes back from the same aggregate: ``(cols, n)``."""
+    counts = train.agg(F.count(F.lit(1)).alias("__n"), *[F.count(c).alias(c) for c in cols]).first().asDict()
     keep = [c for c in cols if counts[c] > 0]
     if len(keep) < len(cols):
         warnings.warn(f"dropping all-null inputs: {sorted(set(cols) - set(keep))}")
-    return keep
+    return (keep, counts["__n"]) if with_count else keep
 
 
 def preprocessing_stages(cols: list[str], n_train: int):
@@ -90,8 +91,7 @@ def make_classifier(kind: str, seed: int = 0, **p):
 def fit_pipeline(train: DataFrame, kind: str, cols: list[str] = S.INPUT_FEATURES, seed: int = 0,
                  **params) -> PipelineModel:
     """M3/M4: fit preprocessing + classifier on ``train`` (label TX_FRAUD)."""
-    cols = usable_inputs(train, cols)
-    n = train.count()
+    cols, n = usable_inputs(train, cols, with_count=True)
     clf = make_classifier(kind, seed, **params)
     if kind == "logistic":
         c = params.get("C", 1.0)
