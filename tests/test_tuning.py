@@ -19,3 +19,16 @@ def test_scorer_hooks(spark):
     assert scorer_precision_top_k(1)(df).first()["score"] == 1.0
     # frauds at ranks 1 and 3: AP = 1/2 * 1/1 + 1/2 * 2/3
     assert abs(scorer_average_precision(df).first()["score"] - 5 / 6) < 1e-12
+
+
+def test_bagging_checkpoints_keep_results(spark):
+    from conftest import SF0001
+
+    from txnrisk.ml.bagging import fit_bagging, score_bagging
+    from txnrisk.plans.training import train_test_features
+    from txnrisk.sources import load_transactions
+    train, test = train_test_features(load_transactions(spark, SF0001), "2024-01-01")
+    members = fit_bagging(train, "logistic", n_members=3, max_features=0.5, random_state=10)
+    a = {r["TRANSACTION_ID"]: r[PROB] for r in score_bagging(members, test, checkpoint_every=0).collect()}
+    b = {r["TRANSACTION_ID"]: r[PROB] for r in score_bagging(members, test, checkpoint_every=1).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)

@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
+from ..session import checkpoint_dir
 from .pipeline import PROB, fit_pipeline
 
 
@@ -40,20 +41,28 @@ def fit_bagging(train: DataFrame, base_kind: str, n_members: int = 200, max_feat
         return list(pool.map(member, range(n_members)))
 
 
-def score_bagging(members, df: DataFrame) -> DataFrame:
-    """Mean member probability as ``prob_fraud`` (narrow: one projection per member)."""
+CHECKPOINT_EVERY = 25
+
+
+def score_bagging(members, df: DataFrame, checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
+    """Mean member probability as ``prob_fraud`` (narrow: one projection per member).
+
+    Every ``checkpoint_every`` members the partial result (the carried columns
+    and a running probability sum) is checkpointed to the shared checkpoint
+    folder, so plans stay shallow and a lost executor recomputes at most that
+    many members."""
     keep = list(df.columns)
     used = sorted({c.replace("__imp_", "") for _, m in members for c in m.stages[0].getOutputCols()})
     # members read double inputs; the caller's columns are carried under aliases
     cur = df.select(*[F.col(c).alias(f"__o_{c}") for c in keep],
                     *[F.col(c).cast("double").alias(c) for c in used])
     carried = [f"__o_{c}" for c in keep] + used
-    probs = []
+    cur = cur.withColumn("__psum", F.lit(0.0))
     for m, (_, model) in enumerate(members):
-        name = f"__p{m}"
         out = model.transform(cur)
-        cur = out.select(*carried, *probs, vector_to_array("probability")[1].alias(name))
-        probs.append(name)
-    total = sum((F.col(p) for p in probs), F.lit(0.0))
+        cur = out.select(*carried, (F.col("__psum") + vector_to_array("probability")[1]).alias("__psum"))
+        if checkpoint_every and (m + 1) % checkpoint_every == 0 and m + 1 < len(members):
+            checkpoint_dir(cur.sparkSession)
+            cur = cur.checkpoint(eager=True)
     return cur.select(*[F.col(f"__o_{c}").alias(c) for c in keep],
-                      (total / F.lit(float(len(probs)))).alias(PROB))
+                      (F.col("__psum") / F.lit(float(len(members)))).alias(PROB))
