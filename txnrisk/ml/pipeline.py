@@ -20,6 +20,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
+from ..session import checkpoint_dir
 
 LABEL = "label"
 PROB = "prob_fraud"
@@ -82,9 +83,10 @@ def make_classifier(kind: str, seed: int = 0, **p):
                                       maxDepth=p.get("max_depth", 30), maxBins=p.get("max_bins", 256),
                                       seed=p.get("random_state", seed))
     if kind == "gbt":
+        # predictions are checkpointed every 10 iterations (lineage stays short)
         return GBTClassifier(featuresCol="features", labelCol=LABEL, maxIter=p.get("n_estimators", 100),
                              stepSize=p.get("learning_rate", 0.1), maxDepth=p.get("max_depth", 3),
-                             seed=p.get("random_state", seed))
+                             seed=p.get("random_state", seed), checkpointInterval=10)
     raise ValueError(f"unknown classifier {kind!r}")
 
 
@@ -92,6 +94,8 @@ def fit_pipeline(train: DataFrame, kind: str, cols: list[str] = S.INPUT_FEATURES
                  **params) -> PipelineModel:
     """M3/M4: fit preprocessing + classifier on ``train`` (label TX_FRAUD)."""
     cols, n = usable_inputs(train, cols, with_count=True)
+    if kind == "gbt":
+        checkpoint_dir(train.sparkSession)   # the shared folder; a scratch one only when unset
     clf = make_classifier(kind, seed, **params)
     if kind == "logistic":
         c = params.get("C", 1.0)
