@@ -58,3 +58,43 @@ def test_fold_zero_equals_delayed_split(spark):
     train, test = delayed_split(tx, "2024-01-08", 7, 7, 7)
     assert _ids(f.where("fold = 0 AND role = 'train'")) == _ids(train)
     assert _ids(f.where("fold = 0 AND role = 'val'")) == _ids(test)
+
+
+def _naive_split(pdf, start, train, delay, test):
+    """Day-by-day rule: the known set grows with each day's frauds before the test day."""
+    import datetime as dt
+    st = dt.datetime.fromisoformat(start)
+    tr = pdf[(pdf.TX_DATETIME >= st) & (pdf.TX_DATETIME < st + dt.timedelta(days=train))]
+    if tr.empty:
+        return set(tr.TRANSACTION_ID), set()
+    known = set(tr[tr.TX_FRAUD == 1].CUSTOMER_ID)
+    s = tr.TX_TIME_DAYS.min()
+    out = set()
+    for k in range(test):
+        day = pdf[pdf.TX_TIME_DAYS == s + train + delay + k]
+        prev = pdf[(pdf.TX_TIME_DAYS == s + train + k - 1) & (pdf.TX_FRAUD == 1)]
+        known |= set(prev.CUSTOMER_ID)
+        out |= set(day[~day.CUSTOMER_ID.isin(known)].TRANSACTION_ID)
+    return set(tr.TRANSACTION_ID), out
+
+
+def test_split_matches_day_loop(spark):
+    tx = load_transactions(spark, SF0001)
+    pdf = tx.select(S.TX_ID, S.TX_DATETIME, S.CUSTOMER_ID, S.TX_TIME_DAYS, S.TX_FRAUD).toPandas()
+    for start, tr_d, de_d, te_d in [("2024-01-01", 7, 7, 7), ("2024-01-03", 5, 0, 4), ("2024-01-02", 3, 2, 9),
+                                    ("2024-01-10", 7, 7, 7), ("2024-01-05", 1, 1, 1), ("2024-02-20", 7, 7, 7)]:
+        train, test = delayed_split(tx, start, tr_d, de_d, te_d)
+        want_train, want_test = _naive_split(pdf, start, tr_d, de_d, te_d)
+        assert set(_ids(train)) == want_train, (start, tr_d, de_d, te_d)
+        assert set(_ids(test)) == want_test, (start, tr_d, de_d, te_d)
+
+
+def test_every_fold_equals_its_delayed_split(spark):
+    import datetime as dt
+    tx = load_transactions(spark, SF0001)
+    f = cv_folds(tx, "2024-01-15", 3, 5, 3, 4)
+    for i in range(3):
+        start = (dt.datetime(2024, 1, 15) - dt.timedelta(days=4 * i)).isoformat()
+        train, test = delayed_split(tx, start, 5, 3, 4)
+        assert _ids(f.where(f"fold = {i} AND role = 'train'")) == _ids(train)
+        assert _ids(f.where(f"fold = {i} AND role = 'val'")) == _ids(test)
