@@ -39,10 +39,15 @@ def train_test_features(tx: DataFrame, start, delta_train=7, delta_delay=7, delt
 def evaluate(scored: DataFrame, name: str, prob: str = PROB, label: str = S.TX_FRAUD) -> DataFrame:
     """One row: clf, acc, f1_score, gmean, auc, average_precision.
 
-    Both inputs are single-row aggregates, paired on a constant key."""
-    thr = threshold_metrics(scored, label, prob).select(F.lit(1).alias("__one"), "acc", "f1_score", "gmean")
-    rk = ranking_metrics(scored, label, prob).select(F.lit(1).alias("__one"), "auc", "average_precision")
-    return thr.join(rk, "__one").select(F.lit(name).alias("clf"), *METRIC_COLS)
+    Both inputs are single-row aggregates; they are stacked (each filling its
+    own columns) and folded into one row by a global aggregate, not joined."""
+    thr = threshold_metrics(scored, label, prob).select(
+        "acc", "f1_score", "gmean", F.lit(None).cast("double").alias("auc"),
+        F.lit(None).cast("double").alias("average_precision"))
+    rk = ranking_metrics(scored, label, prob).select(
+        *[F.lit(None).cast("double").alias(c) for c in ("acc", "f1_score", "gmean")], "auc", "average_precision")
+    both = thr.unionByName(rk)
+    return both.agg(*[F.max(c).alias(c) for c in METRIC_COLS]).select(F.lit(name).alias("clf"), *METRIC_COLS)
 
 
 def dummy_scored(train: DataFrame, test: DataFrame, label: str = S.TX_FRAUD) -> DataFrame:
