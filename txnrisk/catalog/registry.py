@@ -509,7 +509,7 @@ def _labelled(spark, sf):
 SELECT TRANSACTION_ID, CAST(TX_AMOUNT > 220 AS BIGINT) AS TX_FRAUD,
        CAST(CASE WHEN TX_AMOUNT > 220 THEN 1 ELSE 0 END AS BIGINT) AS TX_FRAUD_SCENARIO FROM tx""")
 def label_amount_rule(spark, sf):
-    r1 = LB.amount_rule(None)
+    r1 = LB.amount_rule()
     return _tx(spark, sf).select(S.TX_ID, r1.cast("bigint").alias(S.TX_FRAUD),
                                  F.when(r1, 1).otherwise(0).cast("bigint").alias(S.TX_FRAUD_SCENARIO))
 

@@ -22,7 +22,7 @@ def _md5_key(id_col: Column, day_col: Column) -> Column:
     return F.md5(F.concat(id_col.cast("string"), F.lit(":"), day_col.cast("string")))
 
 
-def amount_rule(tx=None, threshold=S.AMOUNT_RULE_THRESHOLD) -> Column:
+def amount_rule(threshold=S.AMOUNT_RULE_THRESHOLD) -> Column:
     """Rule 1 predicate."""
     return F.col(S.TX_AMOUNT) > F.lit(threshold)
 
@@ -109,7 +109,7 @@ def label_fraud(tx: DataFrame, terminal_ivals: DataFrame, customer_ivals: DataFr
     hit = base.where("__c3").join(k, S.TX_ID, "left").select(*cols, F.coalesce("__k", F.lit(0)).alias("__k"))
     rest = base.where(~F.col("__c3")).select(*cols, F.lit(0).cast("bigint").alias("__k"))
     allr = hit.unionByName(rest)
-    r1 = F.col(S.TX_AMOUNT) > F.lit(threshold)
+    r1 = amount_rule(threshold)
     scen = (F.when(F.col("__k") > 0, 3).when(F.col("__r2"), 2).when(r1, 1).otherwise(0)).cast("bigint")
     amount = F.when(F.col("__k") > 0,
                     (F.col(S.TX_AMOUNT) * F.pow(F.lit(factor), F.col("__k")).cast("decimal(20,0)"))
