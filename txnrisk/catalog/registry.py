@@ -65,7 +65,7 @@ def customer_rolling(spark, sf):
 
 
 @register("fraud_rate", f"""WITH {Q.TX}
-SELECT count(*) AS n_tx, sum(TX_FRAUD) AS n_fraud,
+SELECT count(*) AS n_tx, CAST(sum(TX_FRAUD) AS BIGINT) AS n_fraud,
        CAST(sum(TX_FRAUD) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS fraud_rate FROM tx""")
 def fraud_rate(spark, sf):
     return _tx(spark, sf).agg(F.count(F.lit(1)).alias("n_tx"), F.sum(S.TX_FRAUD).alias("n_fraud")) \
@@ -94,9 +94,14 @@ def terminal_risk(spark, sf):
 
 
 @register("feature_table", f"""WITH {Q.TX}, {Q.FEAT}
-SELECT * FROM feat""")
+SELECT * REPLACE (CAST(TX_AMOUNT AS DOUBLE) AS TX_AMOUNT) FROM feat""")
 def feature_table_q(spark, sf):
-    return _feat(spark, sf)
+    return _amount_as_double(_feat(spark, sf))
+
+
+def _amount_as_double(df):
+    """Amounts leave the registry as doubles (exact decimals inside)."""
+    return df.withColumn(S.TX_AMOUNT, F.col(S.TX_AMOUNT).cast("double"))
 
 
 def _class_means_sql(cols: list[str], digits: int = 9) -> str:
@@ -183,7 +188,7 @@ def delayed_split_q(spark, sf):
 
 
 @register("split_ranges", f"""WITH {Q.TX}, {_SPLIT}
-SELECT role, count(*) AS n_rows, sum(TX_FRAUD) AS n_fraud,
+SELECT role, count(*) AS n_rows, CAST(sum(TX_FRAUD) AS BIGINT) AS n_fraud,
        strftime(min(TX_DATETIME), '%Y-%m-%d') AS first_day, strftime(max(TX_DATETIME), '%Y-%m-%d') AS last_day,
        CAST(min(TX_AMOUNT) AS DOUBLE) AS min_amount, CAST(max(TX_AMOUNT) AS DOUBLE) AS max_amount,
        CAST(sum(TX_AMOUNT) AS DOUBLE) AS sum_amount
@@ -205,7 +210,7 @@ def _ranges(df, keys):
 
 
 @register("daily_frauds", f"""WITH {Q.TX}, {_SPLIT}
-SELECT count(*) AS n_days, sum(n) AS n_fraud, CAST(sum(n) AS DOUBLE) / count(*) AS mean_daily_frauds
+SELECT count(*) AS n_days, CAST(sum(n) AS BIGINT) AS n_fraud, CAST(sum(n) AS DOUBLE) / count(*) AS mean_daily_frauds
 FROM (SELECT TX_TIME_DAYS, sum(TX_FRAUD) AS n FROM tst GROUP BY TX_TIME_DAYS) d""")
 def daily_frauds(spark, sf):
     test = _split(spark, sf)[1]
@@ -221,7 +226,7 @@ def cv_folds_q(spark, sf):
 
 
 @register("fold_ranges", f"""WITH {Q.TX}, {_FOLDS}
-SELECT fold, role, count(*) AS n_rows, sum(TX_FRAUD) AS n_fraud,
+SELECT fold, role, count(*) AS n_rows, CAST(sum(TX_FRAUD) AS BIGINT) AS n_fraud,
        strftime(min(TX_DATETIME), '%Y-%m-%d') AS first_day, strftime(max(TX_DATETIME), '%Y-%m-%d') AS last_day,
        CAST(min(TX_AMOUNT) AS DOUBLE) AS min_amount, CAST(max(TX_AMOUNT) AS DOUBLE) AS max_amount,
        CAST(sum(TX_AMOUNT) AS DOUBLE) AS sum_amount
@@ -231,14 +236,14 @@ def fold_ranges(spark, sf):
 
 
 @register("fold_rows", f"""WITH {Q.TX}, {_FOLDS}
-SELECT c.fold, c.role, t.TRANSACTION_ID, t.TX_AMOUNT, t.TX_FRAUD
+SELECT c.fold, c.role, t.TRANSACTION_ID, CAST(t.TX_AMOUNT AS DOUBLE) AS TX_AMOUNT, t.TX_FRAUD
 FROM (SELECT fold, role, TRANSACTION_ID FROM cvf) c JOIN tx t ON t.TRANSACTION_ID = c.TRANSACTION_ID""")
 def fold_rows(spark, sf):
     """Select rows by an id relation (the fold index), as a join on the id."""
     tx = _tx(spark, sf)
     ids = _folds(spark, sf, tx).select(SP.FOLD, SP.ROLE, S.TX_ID)
-    return ids.join(tx.select(S.TX_ID, S.TX_AMOUNT, S.TX_FRAUD), S.TX_ID, "inner") \
-        .select(SP.FOLD, SP.ROLE, S.TX_ID, S.TX_AMOUNT, S.TX_FRAUD)
+    return _amount_as_double(ids.join(tx.select(S.TX_ID, S.TX_AMOUNT, S.TX_FRAUD), S.TX_ID, "inner")
+                             .select(SP.FOLD, SP.ROLE, S.TX_ID, S.TX_AMOUNT, S.TX_FRAUD))
 
 
 # ---------------------------------------------------------------- step 4 ---
@@ -293,7 +298,7 @@ def average_precision_q(spark, sf):
 _TOPK = f"""tk AS (SELECT TX_TIME_DAYS, TRANSACTION_ID, TX_FRAUD, score,
    row_number() OVER (PARTITION BY TX_TIME_DAYS ORDER BY score DESC, TRANSACTION_ID) AS rank FROM sc),
 tk2 AS (SELECT * FROM tk WHERE rank <= {S.TOP_K}),
-pk AS (SELECT TX_TIME_DAYS, count(*) AS n_top, sum(TX_FRAUD) AS n_hit,
+pk AS (SELECT TX_TIME_DAYS, count(*) AS n_top, CAST(sum(TX_FRAUD) AS BIGINT) AS n_hit,
               CAST(sum(TX_FRAUD) AS DOUBLE) / count(*) AS precision_top_k FROM tk2 GROUP BY TX_TIME_DAYS)"""
 
 
@@ -551,12 +556,12 @@ def sample_third(spark, sf):
 
 
 @register("label_fraud", f"""WITH {Q.TX}, {_IVALS}
-SELECT TRANSACTION_ID, TX_AMOUNT,
+SELECT TRANSACTION_ID, CAST(TX_AMOUNT AS DOUBLE) AS TX_AMOUNT,
   CAST(k > 0 OR r2 OR r1 AS BIGINT) AS TX_FRAUD,
   CAST(CASE WHEN k > 0 THEN 3 WHEN r2 THEN 2 WHEN r1 THEN 1 ELSE 0 END AS BIGINT) AS TX_FRAUD_SCENARIO
 FROM lab""")
 def label_fraud_q(spark, sf):
-    return _labelled(spark, sf).select(S.TX_ID, S.TX_AMOUNT, S.TX_FRAUD, S.TX_FRAUD_SCENARIO)
+    return _amount_as_double(_labelled(spark, sf).select(S.TX_ID, S.TX_AMOUNT, S.TX_FRAUD, S.TX_FRAUD_SCENARIO))
 
 
 @register("rule_counts", f"""WITH {Q.TX}, {_IVALS}
