@@ -723,14 +723,14 @@ from ..streaming.scoring import start_scoring  # noqa: E402
 SERVE_MODEL = ("logistic", {"penalty": "l2", "C": 0.5, "max_iter": 2000})
 
 
-def _serving_artifacts(spark, sf, tx):
+def _serving_artifacts(spark, sf, tx, buckets=None):
     """Fit on the split's train rows, freeze snapshots before SERVE_DAY, and
     round-trip everything through the shared scratch folder (S5/S6)."""
     train = SP.delayed_split(feature_table(tx), SPLIT_START, TRAIN_D, DELAY_D, TEST_D)[0]
     model = MLP.fit_pipeline(train, SERVE_MODEL[0], **SERVE_MODEL[1])
     snc, snt = _frozen_snapshots(spark, sf, tx)
     path = scratch_path(spark, f"artifacts-{uuid.uuid4().hex}")
-    SV.save_artifacts(path, model, snc, snt)
+    SV.save_artifacts(path, model, snc, snt, buckets=buckets)
     return SV.load_artifacts(spark, path)
 
 
@@ -747,7 +747,9 @@ def score_stream(spark, sf):
     """Same replies as ``score_batch``, produced by a streaming query over
     request files written from the data (availableNow trigger)."""
     tx = _tx(spark, sf)
-    model, snc, snt = _serving_artifacts(spark, sf, tx)
+    # snapshots stored bucketed by key: micro-batches shuffle only the requests
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    model, snc, snt = _serving_artifacts(spark, sf, tx, buckets=buckets)
     run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     RQ.requests_from_transactions(tx.where(F.col(S.TX_TIME_DAYS) >= SERVE_DAY)) \
         .write.mode("overwrite").text(f"{run}/requests")

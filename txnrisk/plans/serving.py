@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.ml import PipelineModel
@@ -12,6 +13,8 @@ from ..ml.pipeline import PROB, score
 from ..operators.calendar import add_calendar_flags
 from ..operators.snapshot import enrich
 
+SNAPSHOTS = (("customer_snapshot", S.CUSTOMER_ID), ("terminal_snapshot", S.TERMINAL_ID))
+
 
 def enrich_requests(requests: DataFrame, customer_snap: DataFrame, terminal_snap: DataFrame) -> DataFrame:
     """Calendar flags + the last-known customer and terminal features."""
@@ -26,14 +29,45 @@ def score_requests(requests: DataFrame, customer_snap: DataFrame, terminal_snap:
     return score(model, enrich_requests(requests, customer_snap, terminal_snap)).select(S.TX_ID, PROB)
 
 
-def save_artifacts(path: str, model: PipelineModel, customer_snap: DataFrame, terminal_snap: DataFrame) -> None:
-    """Model via ML persistence, snapshots as Parquet, under one folder."""
+def _table_name(path: str, name: str) -> str:
+    return f"txnrisk_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
+
+
+def save_artifacts(path: str, model: PipelineModel, customer_snap: DataFrame, terminal_snap: DataFrame,
+                   buckets: int | None = None) -> None:
+    """Model via ML persistence, snapshots as Parquet, under one folder.
+
+    With ``buckets`` the snapshots are written as tables bucketed and sorted by
+    their key: a join with them then shuffles only the request side, which
+    matters for streaming, where every micro-batch would otherwise shuffle the
+    whole snapshot again.  The bucket count is kept in a small manifest so
+    another session can re-register the tables."""
+    spark = customer_snap.sparkSession
     model.write().overwrite().save(os.path.join(path, "model"))
-    customer_snap.write.mode("overwrite").parquet(os.path.join(path, "customer_snapshot"))
-    terminal_snap.write.mode("overwrite").parquet(os.path.join(path, "terminal_snapshot"))
+    for (name, key), df in zip(SNAPSHOTS, (customer_snap, terminal_snap)):
+        p = os.path.join(path, name)
+        if buckets:
+            (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+               .option("path", p).saveAsTable(_table_name(path, name)))
+        else:
+            df.write.mode("overwrite").parquet(p)
+    spark.createDataFrame([(int(buckets or 0),)], "buckets int").write.mode("overwrite") \
+        .json(os.path.join(path, "manifest"))
 
 
 def load_artifacts(spark: SparkSession, path: str):
-    return (PipelineModel.load(os.path.join(path, "model")),
-            spark.read.parquet(os.path.join(path, "customer_snapshot")),
-            spark.read.parquet(os.path.join(path, "terminal_snapshot")))
+    """(model, customer snapshot, terminal snapshot) saved by :func:`save_artifacts`."""
+    buckets = spark.read.json(os.path.join(path, "manifest")).first()["buckets"]
+    snaps = []
+    for name, key in SNAPSHOTS:
+        p = os.path.join(path, name)
+        if buckets:
+            tbl = _table_name(path, name)
+            if not spark.catalog.tableExists(tbl):
+                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(p).schema)
+                spark.sql(f"CREATE TABLE {tbl} ({cols}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
+                          f"INTO {buckets} BUCKETS LOCATION '{p}'")
+            snaps.append(spark.table(tbl))
+        else:
+            snaps.append(spark.read.parquet(p))
+    return (PipelineModel.load(os.path.join(path, "model")), *snaps)
