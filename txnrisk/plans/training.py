@@ -65,7 +65,7 @@ def fit_and_evaluate(train: DataFrame, test: DataFrame, name: str, kind: str, se
     return evaluate(score(model, test), name)
 
 
-def leaderboard(train: DataFrame, test: DataFrame, models: dict = None, parallelism: int = 2) -> DataFrame:
+def leaderboard(train: DataFrame, test: DataFrame, models: dict = None, parallelism: int = 4) -> DataFrame:
     """Dummy + every model, one metrics row each, sorted by average precision.
 
     Fits are independent Spark jobs; a small driver thread pool keeps the
