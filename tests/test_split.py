@@ -98,3 +98,12 @@ def test_every_fold_equals_its_delayed_split(spark):
         train, test = delayed_split(tx, start, 5, 3, 4)
         assert _ids(f.where(f"fold = {i} AND role = 'train'")) == _ids(train)
         assert _ids(f.where(f"fold = {i} AND role = 'val'")) == _ids(test)
+
+
+def test_origin_predicates_change_nothing_and_push_down(spark):
+    tx = load_transactions(spark, SF0001)
+    a_train, a_test = delayed_split(tx, "2024-01-01", 7, 7, 7)
+    b_train, b_test = delayed_split(tx, "2024-01-01", 7, 7, 7, origin="2024-01-01")
+    assert _ids(a_test) == _ids(b_test) and _ids(a_train) == _ids(b_train)
+    plan = b_test._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2024-01-15" in plan

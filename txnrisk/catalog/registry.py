@@ -15,7 +15,7 @@ from .. import schema as S
 from ..operators.calendar import add_calendar_flags
 from ..operators.rolling import customer_spending_windows, delayed_risk_windows
 from ..plans.features import feature_table
-from ..sources.transactions import load_transactions
+from ..sources.transactions import EVENTS_ORIGIN, load_transactions
 from . import sqltext as Q
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,7 +146,8 @@ _ROWCOLS = [S.TX_ID, S.CUSTOMER_ID, S.TX_TIME_DAYS, S.TX_FRAUD]
 
 
 def _split(spark, sf, tx=None):
-    return SP.delayed_split(tx if tx is not None else _tx(spark, sf), SPLIT_START, TRAIN_D, DELAY_D, TEST_D)
+    return SP.delayed_split(tx if tx is not None else _tx(spark, sf), SPLIT_START, TRAIN_D, DELAY_D, TEST_D,
+                            origin=EVENTS_ORIGIN)
 
 
 def _folds(spark, sf, tx=None):
@@ -460,7 +461,6 @@ from ..functions import time as TF  # noqa: E402
 from ..operators import labels as LB  # noqa: E402
 from ..operators import spatial as SPA  # noqa: E402
 from ..operators.ordering import chronological_id  # noqa: E402
-from ..sources.transactions import EVENTS_ORIGIN  # noqa: E402
 
 
 def _md5sql(idc, day):

@@ -42,6 +42,18 @@ def _as_dt(start) -> _dt.datetime:
     return _dt.datetime(start.year, start.month, start.day)
 
 
+def day_range(d0: int, d1: int, origin=None) -> Column:
+    """TX_TIME_DAYS in [d0, d1].  With ``origin`` (the day-0 date) the same
+    range is also stated on TX_DATETIME, a plain column predicate the Parquet
+    scan can push down to row-group statistics (TX_TIME_DAYS may be computed)."""
+    pred = F.col(S.TX_TIME_DAYS).between(d0, d1)
+    if origin is not None:
+        o = _as_dt(origin)
+        lo, hi = o + _dt.timedelta(days=d0), o + _dt.timedelta(days=d1 + 1)
+        pred = pred & (F.col(S.TX_DATETIME) >= _ts(lo)) & (F.col(S.TX_DATETIME) < _ts(hi))
+    return pred
+
+
 def train_window(tx: DataFrame, start, delta_train: int = 7) -> DataFrame:
     """Rows with start <= TX_DATETIME < start + delta_train days."""
     st = _as_dt(start)
@@ -54,11 +66,12 @@ def first_train_day(train: DataFrame):
     return train.agg(F.min(S.TX_TIME_DAYS)).first()[0]
 
 
-def known_customers(tx: DataFrame, train: DataFrame, s: int, delta_train: int, delta_test: int) -> DataFrame:
+def known_customers(tx: DataFrame, train: DataFrame, s: int, delta_train: int, delta_test: int,
+                    origin=None) -> DataFrame:
     """(CUSTOMER_ID, KNOWN_DAY): first day a customer counts as known-defrauded."""
     from_train = train.where(F.col(S.TX_FRAUD) == 1).select(S.CUSTOMER_ID, F.lit(s).cast("bigint").alias(KNOWN_DAY))
     later = (tx.where((F.col(S.TX_FRAUD) == 1)
-                      & F.col(S.TX_TIME_DAYS).between(s + delta_train - 1, s + delta_train + delta_test - 2))
+                      & day_range(s + delta_train - 1, s + delta_train + delta_test - 2, origin))
                .select(S.CUSTOMER_ID, F.col(S.TX_TIME_DAYS).alias(KNOWN_DAY)))
     return from_train.unionByName(later).groupBy(S.CUSTOMER_ID).agg(F.min(KNOWN_DAY).alias(KNOWN_DAY))
 
@@ -76,15 +89,16 @@ def exclude_known(test_days: DataFrame, known: DataFrame, delta_delay: int) -> D
 
 
 def delayed_split(tx: DataFrame, start, delta_train: int = 7, delta_delay: int = 7,
-                  delta_test: int = 7) -> tuple[DataFrame, DataFrame]:
-    """(train, test) DataFrames of the delayed split."""
+                  delta_test: int = 7, origin=None) -> tuple[DataFrame, DataFrame]:
+    """(train, test) DataFrames of the delayed split.  ``origin`` (the date
+    of day 0) is optional and only adds pushable time predicates."""
     train = train_window(tx, start, delta_train)
     s = first_train_day(train)
     if s is None:  # empty train set gives an empty test set
         return train, tx.limit(0)
     d0 = s + delta_train + delta_delay
-    test_days = tx.where(F.col(S.TX_TIME_DAYS).between(d0, d0 + delta_test - 1))
-    known = known_customers(tx, train, s, delta_train, delta_test)
+    test_days = tx.where(day_range(d0, d0 + delta_test - 1, origin))
+    known = known_customers(tx, train, s, delta_train, delta_test, origin)
     return train, exclude_known(test_days, known, delta_delay)
 
 
