@@ -16,8 +16,11 @@ from ..plans.serving import score_requests
 from ..sources.requests import REQUEST_SCHEMA, normalize_requests
 
 
-def request_stream(spark: SparkSession, request_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(REQUEST_SCHEMA)
+def request_stream(spark: SparkSession, request_dir: str, max_files_per_trigger: int | None = None,
+                   multi_line: bool = False) -> DataFrame:
+    """Request files as a stream: JSON lines, or (``multi_line``) one JSON
+    array of records per file, like an API body."""
+    r = spark.readStream.schema(REQUEST_SCHEMA).option("multiLine", multi_line)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return normalize_requests(r.json(request_dir))
@@ -25,8 +28,9 @@ def request_stream(spark: SparkSession, request_dir: str, max_files_per_trigger:
 
 def start_scoring(spark: SparkSession, request_dir: str, model: PipelineModel, customer_snap: DataFrame,
                   terminal_snap: DataFrame, sink_dir: str, checkpoint: str, available_now: bool = True,
-                  processing_time: str | None = None) -> StreamingQuery:
-    scored = score_requests(request_stream(spark, request_dir), customer_snap, terminal_snap, model)
+                  processing_time: str | None = None, multi_line: bool = False) -> StreamingQuery:
+    scored = score_requests(request_stream(spark, request_dir, multi_line=multi_line),
+                            customer_snap, terminal_snap, model)
     w = (scored.writeStream.format("parquet").outputMode("append")
          .option("path", sink_dir).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
