@@ -7,15 +7,16 @@ Frames are half-open on the left, in microseconds:
 
 Rows with equal timestamps are peers: each sees all of them (RANGE frame).
 
-Two physical strategies compute the same numbers:
+Three strategies compute the same numbers:
 
-``"events"`` (default, skew-safe)
+``"events"`` (skew-safe)
     Every row emits a +measure event when it enters the frame of later rows
     and a -measure event when it leaves it (one per window size).  A window
     value is then a running sum of events up to the row's own time.  The
-    running sum is bucketed by day (see :mod:`.prefix`), so a key holding a
-    third of all rows is spread over one task per day, and the cost is
-    O(n log n) instead of O(n * frame) for a sliding frame on a busy key.
+    running sum is bucketed in time (see :mod:`.prefix`; a day, or a per-key
+    width in ``auto``), so a key holding a third of all rows is spread over
+    many tasks, and the cost is O(n log n) instead of O(n * frame) for a
+    sliding frame on a busy key.
 
 ``"frame"``
     Spark's own RANGE frames over ``partitionBy(key)``: one shuffle, one sort,
