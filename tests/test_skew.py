@@ -52,3 +52,28 @@ def test_skewed_terminal_windows_match_frames(spark):
     ref = delayed_risk_windows(df, strategy="frame")
     got = delayed_risk_windows(df, strategy="auto", hot_rows=500, bucket_us=S.DAY_US // 4)
     assert got.exceptAll(ref).count() == 0 and got.count() == ref.count()
+
+
+def test_hot_key_overflow_falls_back_to_events_for_all(spark, monkeypatch):
+    df = _skewed(spark, 1200)
+    hot = hotkeys.find_hot_keys(df, S.TERMINAL_ID, S.TX_US, hot_rows=10, max_keys=2)
+    assert hot.overflow and not hot.keys
+    monkeypatch.setattr(hotkeys, "MAX_HOT_KEYS", 2)
+    ref = delayed_risk_windows(df, strategy="frame")
+    got = delayed_risk_windows(df, strategy="auto", hot_rows=10)
+    assert got.exceptAll(ref).count() == 0 and got.count() == ref.count()
+
+
+def test_overflow_of_one_key_column_does_not_hide_the_other(spark):
+    df = _skewed(spark, 1200)
+    pdf = df.select(S.TERMINAL_ID, S.CUSTOMER_ID).toPandas()
+    for hot_rows, max_keys in [(300, 1), (15, 3), (12, 5), (5, 3)]:
+        got = hotkeys.find_hot_keys_many(df, [S.TERMINAL_ID, S.CUSTOMER_ID], S.TX_US,
+                                         hot_rows=hot_rows, max_keys=max_keys)
+        for col in (S.TERMINAL_ID, S.CUSTOMER_ID):
+            counts = pdf[col].value_counts()
+            want = set(counts[counts > hot_rows].index)
+            if len(want) > max_keys:
+                assert got[col].overflow, (col, hot_rows, max_keys)
+            else:
+                assert not got[col].overflow and set(got[col].keys) == want, (col, hot_rows, max_keys)
