@@ -83,3 +83,19 @@ def test_window_properties(spark):
 def test_null_keys_dropped(spark):
     tx = make_tx(spark, [(1, "2024-01-01 00:00:00", None, 1, 1, 0), (2, "2024-01-01 00:00:01", 1, 1, 1, 0)])
     assert customer_spending_windows(tx).count() == 1
+
+
+def test_sliced_features_equal_full_history(spark):
+    """Windows (1, 3) with delay 2 look back 5 days: slicing from Jan 20 cuts real history."""
+    from pyspark.sql import functions as F
+
+    from txnrisk.plans.features import feature_table_between
+    tx = load_transactions(spark, SF0001)
+    full = feature_table(tx, windows=(1, 3), delay=2).where(
+        (F.col(S.TX_DATETIME) >= "2024-01-20") & (F.col(S.TX_DATETIME) < "2024-01-26"))
+    part = feature_table_between(tx, "2024-01-20", "2024-01-26", windows=(1, 3), delay=2)
+    assert part.count() == full.count() > 0
+    assert part.exceptAll(full).count() == 0
+    # the slice really cut history: features over the sliced input alone differ
+    naive = feature_table(tx.where(F.col(S.TX_DATETIME) >= "2024-01-20"), windows=(1, 3), delay=2)
+    assert naive.exceptAll(full).count() > 0

@@ -346,8 +346,18 @@ summ AS (SELECT config, count(*) AS n_folds, round(avg(score), {R9}) AS mean_tes
          FROM fsc GROUP BY config)"""
 
 
+def _fold_feat(spark, sf):
+    """Features for the folds' time range only (plus the windows' look-back)."""
+    import datetime as dt
+    from ..plans.features import feature_table_between
+    st = dt.datetime.fromisoformat(CV_START)
+    lo = st - dt.timedelta(days=(N_FOLDS - 1) * TEST_D)
+    hi = st + dt.timedelta(days=2 * TRAIN_D + DELAY_D + TEST_D)
+    return feature_table_between(_tx(spark, sf), lo, hi)
+
+
 def _cv_scored(spark, sf):
-    feat = _feat(spark, sf)
+    feat = _fold_feat(spark, sf)
     val = _folds(spark, sf, feat).where(F.col(SP.ROLE) == "val")
     cfgs = F.array(*[F.struct(F.lit(k).alias("config"), fn().cast("double").alias("score"))
                      for k, (_, fn) in CV_CONFIGS.items()])
@@ -768,7 +778,7 @@ GRID_MEMBERS = 10
 
 
 def _grid_scores(spark, sf):
-    feat = _feat(spark, sf)
+    feat = _fold_feat(spark, sf)
     folds = SP.cv_folds(feat, CV_START, N_FOLDS, TRAIN_D, DELAY_D, TEST_D)
     return TU.grid_search(folds, n_members=GRID_MEMBERS)
 
@@ -812,7 +822,7 @@ def knn_score(spark, sf):
 def final_report_top_k(spark, sf):
     """The second selection of the workload: the same grid scored by the daily
     precision of the top-k alerts, one-SD choice, refit, test precision."""
-    feat = _feat(spark, sf)
+    feat = _fold_feat(spark, sf)
     folds = SP.cv_folds(feat, CV_START, N_FOLDS, TRAIN_D, DELAY_D, TEST_D)
     scorer = TU.scorer_precision_top_k(S.TOP_K)
     scores = TU.grid_search(folds, scorer=scorer, n_members=GRID_MEMBERS)

@@ -11,7 +11,7 @@ from ..ml.pipeline import PROB, fit_pipeline, score
 from ..session import persist_sized
 from ..operators.metrics import ranking_metrics, threshold_metrics
 from ..operators.split import delayed_split
-from .features import feature_table
+from .features import feature_table_between
 
 # The model families compared by the leaderboard, with their default settings
 # (fixed values of the workload: kNN k = 5; logistic max_iter 2000; bagging 10 trees;
@@ -29,8 +29,16 @@ METRIC_COLS = ["acc", "f1_score", "gmean", "auc", "average_precision"]
 
 def train_test_features(tx: DataFrame, start, delta_train=7, delta_delay=7, delta_test=7,
                         persist: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Feature table -> delayed split.  Both sides are persisted (they feed many fits)."""
-    train, test = delayed_split(feature_table(tx), start, delta_train, delta_delay, delta_test)
+    """Feature table -> delayed split.  Both sides are persisted (they feed many fits).
+
+    Features are computed only for the split's time range (plus the windows'
+    look-back): the test period ends at most 2 * train + delay + test days
+    after ``start``."""
+    import datetime as dt
+    st = dt.datetime.fromisoformat(start) if isinstance(start, str) else start
+    end = st + dt.timedelta(days=2 * delta_train + delta_delay + delta_test)
+    feat = feature_table_between(tx, st, end)
+    train, test = delayed_split(feat, start, delta_train, delta_delay, delta_test)
     if persist:
         train, test = persist_sized(train), persist_sized(test)
     return train, test
