@@ -35,3 +35,23 @@ def test_features_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert sorted(got) == sorted(ref)
+
+
+def test_split_and_request_times_do_not_depend_on_session_time_zone(spark):
+    from conftest import SF0001
+
+    from txnrisk.operators.split import delayed_split
+    from txnrisk.sources import load_transactions
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        tx = load_transactions(spark, SF0001)
+        ref = sorted(r[0] for r in delayed_split(tx, "2024-01-01", 7, 7, 7, origin="2024-01-01")[1]
+                     .select("TRANSACTION_ID").collect())
+        ms = spark.range(1).select(from_epoch_ms(F.lit(1693612359000)).alias("t")).first()["t"]
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got = sorted(r[0] for r in delayed_split(tx, "2024-01-01", 7, 7, 7, origin="2024-01-01")[1]
+                     .select("TRANSACTION_ID").collect())
+        ms2 = spark.range(1).select(from_epoch_ms(F.lit(1693612359000)).alias("t")).first()["t"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == ref and ms == ms2 == dt.datetime(2023, 9, 1, 23, 52, 39)

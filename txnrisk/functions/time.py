@@ -17,18 +17,27 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_literal(x) -> Column:
+    """A TIMESTAMP_NTZ literal from a datetime, date or ISO string.
+
+    Built by casting the ISO text: ``F.lit(datetime)`` would make a zoned
+    timestamp (via the Python process's zone) and a later cast would apply the
+    session zone, so the wall-clock value could shift between machines."""
+    if isinstance(x, _dt.datetime):
+        x = x.isoformat(sep=" ")
+    elif isinstance(x, _dt.date):
+        x = x.isoformat()
+    return F.lit(str(x)).cast("timestamp_ntz")
+
+
 def _epoch() -> Column:
-    return F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    return ntz_literal("1970-01-01 00:00:00")
 
 
 def _lit_ts(origin) -> Column:
     if isinstance(origin, Column):
         return origin.cast("timestamp_ntz")
-    if isinstance(origin, _dt.datetime):
-        return F.lit(origin).cast("timestamp_ntz")
-    if isinstance(origin, _dt.date):
-        origin = origin.isoformat()
-    return F.lit(str(origin)).cast("timestamp_ntz")
+    return ntz_literal(origin)
 
 
 def to_ntz(c) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Defaults: a key with more rows than this is processed by the split path.
 HOT_KEY_ROWS = 1_000_000
@@ -37,33 +37,28 @@ def find_hot_keys(df: DataFrame, key: str, time_us: str, hot_rows: int = HOT_KEY
 def find_hot_keys_many(df: DataFrame, keys: list[str], time_us: str, hot_rows: int = HOT_KEY_ROWS,
                        max_keys: int | None = None, rows_per_bucket: int | None = None,
                        default_bucket_us: int = 86_400_000_000) -> dict:
-    """Hot keys of several key columns (same type) from one scan and one job:
-    rows are tagged with each key column (an explode of len(keys) tags), then
-    counted per (column, value).  Null key values are ignored."""
+    """Hot keys of several key columns: one small job per column, each reading
+    only (column, time) with map-side combine and returning at most
+    ``max_keys + 1`` values (more means overflow).  Null values are ignored."""
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     max_keys = max_keys or MAX_HOT_KEYS
-    tags = F.array(*[F.struct(F.lit(i).alias("__k"), F.col(k).alias("__v")) for i, k in enumerate(keys)])
-    stats = (df.select(F.col(time_us).alias("__t"), F.inline(tags))
-               .where(F.col("__v").isNotNull())
-               .groupBy("__k", "__v")
-               .agg(F.count(F.lit(1)).alias("n"), F.min("__t").alias("t0"), F.max("__t").alias("t1"))
-               .where(F.col("n") > hot_rows)
-               # at most max_keys + 1 per key column, hottest first (WindowGroupLimit)
-               .select("*", F.row_number().over(Window.partitionBy("__k").orderBy(F.desc("n"))).alias("__r"))
-               .where(F.col("__r") <= max_keys + 1)
-               .collect())
     out = {}
-    for i, k in enumerate(keys):
-        mine = [r for r in stats if r["__k"] == i]
-        if len(mine) > max_keys:
+    for k in keys:
+        stats = (df.where(F.col(k).isNotNull())
+                   .groupBy(k)
+                   .agg(F.count(F.lit(1)).alias("n"), F.min(time_us).alias("t0"), F.max(time_us).alias("t1"))
+                   .where(F.col("n") > hot_rows)
+                   .limit(max_keys + 1)
+                   .collect())
+        if len(stats) > max_keys:
             out[k] = HotKeys([], {}, True)
             continue
         widths = {}
-        for r in mine:
+        for r in stats:
             span = max(int(r["t1"]) - int(r["t0"]) + 1, 1)
             # ~rows_per_bucket rows per bucket, never wider than the default (a day)
-            widths[r["__v"]] = max(1, min(default_bucket_us, span * rows_per_bucket // max(int(r["n"]), 1)))
-        out[k] = HotKeys([r["__v"] for r in mine], widths, False)
+            widths[r[k]] = max(1, min(default_bucket_us, span * rows_per_bucket // max(int(r["n"]), 1)))
+        out[k] = HotKeys([r[k] for r in stats], widths, False)
     return out
 
 

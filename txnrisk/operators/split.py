@@ -22,6 +22,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schema as S
+from ..functions.time import ntz_literal
 
 KNOWN_DAY = "KNOWN_DAY"
 
@@ -31,7 +32,7 @@ def _ts(start) -> Column:
         start = _dt.datetime.fromisoformat(start)
     elif isinstance(start, _dt.date) and not isinstance(start, _dt.datetime):
         start = _dt.datetime(start.year, start.month, start.day)
-    return F.lit(start).cast("timestamp_ntz")
+    return ntz_literal(start)
 
 
 def _as_dt(start) -> _dt.datetime:

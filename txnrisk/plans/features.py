@@ -3,7 +3,7 @@
 Physical shape: one shuffle keyed by customer and one keyed by terminal (native
 RANGE frames for ordinary keys; time-bucketed event sums for hot keys, which
 then shuffle on (key, bucket)); everything else is narrow.  Hot keys are found
-by one small aggregate over (key, time) of the input.
+by small aggregates over (key, time) of the input.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
+from ..functions.time import ntz_literal
 from ..operators.calendar import add_calendar_flags
 from ..operators.hotkeys import HOT_KEY_ROWS, find_hot_keys_many
 from ..operators.rolling import customer_spending_windows, delayed_risk_windows
@@ -22,7 +23,7 @@ def feature_table(tx: DataFrame, windows=S.WINDOWS_DAYS, delay: int = S.DELAY_DA
     hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
     hot_c = hot_t = None
     if strategy == "auto":
-        # both hot-key lists come from one narrow scan of the input (key, time);
+        # hot-key lists from small aggregates over (key, time) of the input;
         # terminal windows only see rows that have a customer
         base = tx.select(S.CUSTOMER_ID, S.TERMINAL_ID, S.TX_US).where(F.col(S.CUSTOMER_ID).isNotNull())
         hot = find_hot_keys_many(base, [S.CUSTOMER_ID, S.TERMINAL_ID], S.TX_US,
@@ -45,9 +46,9 @@ def feature_table_between(tx: DataFrame, t_from, t_to, windows=S.WINDOWS_DAYS, d
     weeks of a multi-year table reads only those weeks."""
     import datetime as dt
     lo = _ts(t_from) - dt.timedelta(days=delay + max(windows))
-    sliced = tx.where((F.col(S.TX_DATETIME) >= F.lit(lo)) & (F.col(S.TX_DATETIME) < F.lit(_ts(t_to))))
+    sliced = tx.where((F.col(S.TX_DATETIME) >= ntz_literal(lo)) & (F.col(S.TX_DATETIME) < ntz_literal(_ts(t_to))))
     feat = feature_table(sliced, windows, delay, **kw)
-    return feat.where(F.col(S.TX_DATETIME) >= F.lit(_ts(t_from)))
+    return feat.where(F.col(S.TX_DATETIME) >= ntz_literal(_ts(t_from)))
 
 
 def _ts(x):
