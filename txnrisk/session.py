@@ -43,13 +43,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """Shared folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) do we pick a fresh
-    scratch folder; on a cluster the configured shared path always wins.
-    """
+    Only a local master may go without the setting; then a fresh scratch folder is
+    made and set.  Elsewhere executors could not see a folder of the driver's
+    machine, so a missing setting is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="txnrisk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
