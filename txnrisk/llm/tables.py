@@ -108,13 +108,18 @@ def components(links: DataFrame, name: str) -> DataFrame:
             return labels
 
 
-def fixed_bitmap(df: DataFrame, column: str, bits: int = 22) -> np.ndarray:
-    """A bitmap of 2**bits flags, set where a value of the 64-bit ``column`` falls.  Its size does
-    not depend on the rows, so it may travel to every task; who uses it must join exactly afterwards."""
-    spot = F.shiftrightunsigned(F.xxhash64(column), 64 - bits)
-    rows = (df.select((spot / 64).cast("int").alias("w"), (spot % 64).cast("int").alias("k"))
+def fixed_bitmap(df: DataFrame, hash64: Column, bits: int = 22) -> np.ndarray:
+    """A bitmap of 2**bits flags (packed), set at the first ``bits`` bits of a 64-bit hash of each row.
+    Its size does not depend on the rows, so it may travel to every task; it only thins out, and
+    who uses it joins exactly afterwards."""
+    spot = F.shiftrightunsigned(hash64, 64 - bits)
+    rows = (df.select(F.shiftright(spot, 6).cast("int").alias("w"), spot.bitwiseAND(F.lit(63)).cast("int").alias("k"))
             .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("m")).collect())
     out = np.zeros(1 << (bits - 6), np.int64)
     for r in rows:
         out[r["w"]] = r["m"]
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+    return out.view(np.uint8)
+
+
+def flags(bitmap: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bitmap, bitorder="little").astype(bool)

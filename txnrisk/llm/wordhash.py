@@ -53,12 +53,14 @@ def blocks(offs: np.ndarray):
         lo = hi
 
 
-def words(data: np.ndarray, offs: np.ndarray, inside: np.ndarray = WORD):
-    """(hash, first byte, byte after the last) of every word, and the n + 1 word offsets of the documents."""
+def words(data: np.ndarray, offs: np.ndarray, inside: np.ndarray = WORD, heads: tuple[int, ...] = ()):
+    """(hash, first byte, byte after the last) of every word, and the n + 1 word offsets of the
+    documents.  With ``heads``, the hash has a further row for the first so many bytes of each word."""
     n = len(data)
+    none = np.zeros((1 + len(heads), 0) if heads else 0, np.uint64)
     if n == 0:
         e = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), e, e, np.zeros(len(offs), np.int64)
+        return none, e, e, np.zeros(len(offs), np.int64)
     isin = inside[data]
     first = isin.copy()
     first[1:] &= ~isin[:-1]
@@ -67,12 +69,15 @@ def words(data: np.ndarray, offs: np.ndarray, inside: np.ndarray = WORD):
     start = np.flatnonzero(first)
     if len(start) == 0:
         e = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), e, e, np.zeros(len(offs), np.int64)
+        return none, e, e, np.zeros(len(offs), np.int64)
     spot = np.arange(n, dtype=np.int64) - start[np.maximum(np.cumsum(first) - 1, 0)]
     val = mix((FOLD[data] + (spot.astype(np.uint64) << _U(8)) + _U(1)) * _U(0x9E3779B97F4A7C15))
     val[~isin] = 0
     length = np.add.reduceat(isin, start, dtype=np.int64)
-    return np.add.reduceat(val, start), start, start + length, np.searchsorted(start, offs)
+    h = np.add.reduceat(val, start)
+    if heads:
+        h = np.stack([h] + [np.add.reduceat(np.where(spot < k, val, _U(0)), start) for k in heads])
+    return h, start, start + length, np.searchsorted(start, offs)
 
 
 def sequence(h: np.ndarray, k: int) -> np.ndarray:
