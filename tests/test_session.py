@@ -1,15 +1,15 @@
-from txnrisk.session import checkpoint_dir, persist_sized
+from types import SimpleNamespace
 
+import pytest
 
-def test_persist_sized_follows_row_count(spark):
-    df = spark.range(0, 10_000, numPartitions=16)
-    one = persist_sized(df, rows_per_partition=1_000_000)
-    assert one.rdd.getNumPartitions() == 1 and one.count() == 10_000
-    four = persist_sized(spark.range(0, 10_000, numPartitions=16), rows_per_partition=2_500)
-    assert four.rdd.getNumPartitions() == 4 and four.count() == 10_000
-    # never more partitions than the input has
-    few = persist_sized(spark.range(0, 10_000, numPartitions=2), rows_per_partition=10)
-    assert few.rdd.getNumPartitions() == 2
+from txnrisk.session import checkpoint_dir, write_scratch
+
+
+def test_write_scratch_keeps_rows_and_caches_nothing(spark):
+    out = write_scratch(spark.range(0, 10_000, numPartitions=16), "t")
+    assert out.count() == 10_000 and "Scan parquet" in out._jdf.queryExecution().executedPlan().toString().replace("FileScan", "Scan")
+    assert write_scratch(spark.range(0), "t").count() == 0
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
 def test_checkpoint_dir_prefers_the_session_setting(spark):
@@ -18,3 +18,10 @@ def test_checkpoint_dir_prefers_the_session_setting(spark):
     if d:
         assert got == d
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_a_cluster_must_name_the_shared_folder():
+    unset = SimpleNamespace(get=lambda key, default=None: default)
+    cluster = SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        checkpoint_dir(cluster)

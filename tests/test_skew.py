@@ -27,15 +27,16 @@ def _skewed(spark, n=3000):
     return df.withColumn(S.TX_US, tf.epoch_us(S.TX_DATETIME))
 
 
-def test_hot_key_widths_are_bounded(spark):
+def test_hot_keys_are_cut_at_their_own_quantiles(spark):
     df = _skewed(spark)
-    hot = hotkeys.find_hot_keys(df, S.CUSTOMER_ID, S.TX_US, hot_rows=500, rows_per_bucket=5)
-    assert hot.keys == [1]
-    # ~1000 rows over 40 days at 5 rows per bucket: about a fifth of a day per bucket
-    assert S.DAY_US // 10 < hot.bucket_us[1] < 3 * S.DAY_US // 10
-    # never wider than a day
-    wide = hotkeys.find_hot_keys(df, S.CUSTOMER_ID, S.TX_US, hot_rows=500, rows_per_bucket=10_000)
-    assert wide.bucket_us[1] == S.DAY_US
+    hot = hotkeys.hot_keys(df, S.CUSTOMER_ID, S.TX_US, hot_rows=500, rows_per_bucket=50).collect()
+    assert [r[S.CUSTOMER_ID] for r in hot] == [1]
+    edges = hot[0][hotkeys.EDGES]
+    assert edges == sorted(edges) and 15 <= len(edges) <= 20
+    times = sorted(r[0] for r in df.where(f"{S.CUSTOMER_ID} = 1").select(S.TX_US).collect())
+    sizes = [sum(a <= t < b for t in times) for a, b in zip(edges, edges[1:])]
+    assert max(sizes) <= 2 * 50
+    assert hotkeys.hot_keys(df, S.CUSTOMER_ID, S.TX_US, hot_rows=10_000) is None
 
 
 def test_skewed_customer_windows_match_frames(spark, monkeypatch):
@@ -54,26 +55,35 @@ def test_skewed_terminal_windows_match_frames(spark):
     assert got.exceptAll(ref).count() == 0 and got.count() == ref.count()
 
 
-def test_hot_key_overflow_falls_back_to_events_for_all(spark, monkeypatch):
+def test_many_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(hotkeys, "ROWS_PER_BUCKET", 7)
     df = _skewed(spark, 1200)
-    hot = hotkeys.find_hot_keys(df, S.TERMINAL_ID, S.TX_US, hot_rows=10, max_keys=2)
-    assert hot.overflow and not hot.keys
-    monkeypatch.setattr(hotkeys, "MAX_HOT_KEYS", 2)
     ref = delayed_risk_windows(df, strategy="frame")
     got = delayed_risk_windows(df, strategy="auto", hot_rows=10)
     assert got.exceptAll(ref).count() == 0 and got.count() == ref.count()
 
 
-def test_overflow_of_one_key_column_does_not_hide_the_other(spark):
-    df = _skewed(spark, 1200)
-    pdf = df.select(S.TERMINAL_ID, S.CUSTOMER_ID).toPandas()
-    for hot_rows, max_keys in [(300, 1), (15, 3), (12, 5), (5, 3)]:
-        got = hotkeys.find_hot_keys_many(df, [S.TERMINAL_ID, S.CUSTOMER_ID], S.TX_US,
-                                         hot_rows=hot_rows, max_keys=max_keys)
-        for col in (S.TERMINAL_ID, S.CUSTOMER_ID):
-            counts = pdf[col].value_counts()
-            want = set(counts[counts > hot_rows].index)
-            if len(want) > max_keys:
-                assert got[col].overflow, (col, hot_rows, max_keys)
-            else:
-                assert not got[col].overflow and set(got[col].keys) == want, (col, hot_rows, max_keys)
+def test_null_times_and_amounts_agree_in_all_strategies(spark, monkeypatch):
+    monkeypatch.setattr(hotkeys, "ROWS_PER_BUCKET", 3)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, None if i % 5 == 0 else t0 + dt.timedelta(hours=i), i % 2, i % 3, None if i % 2 else Decimal(i), 0 if i % 4 else None)
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "TRANSACTION_ID bigint, TX_DATETIME timestamp_ntz, CUSTOMER_ID bigint, "
+                                     "TERMINAL_ID bigint, TX_AMOUNT decimal(18,2), TX_FRAUD bigint")
+    df = df.withColumn(S.TX_US, tf.epoch_us(S.TX_DATETIME))
+    for fn in (customer_spending_windows, lambda d, **k: delayed_risk_windows(d, 1, **k)):
+        ref = fn(df, strategy="frame")
+        assert ref.count() == 60
+        for kw in (dict(strategy="events"), dict(strategy="auto", hot_rows=2), dict(strategy="auto", hot_rows=25)):
+            got = fn(df, **kw)
+            assert got.count() == 60 and got.exceptAll(ref).count() == 0
+    none = customer_spending_windows(df.where("CUSTOMER_ID = 1"), strategy="events")
+    assert none.where("CUSTOMER_ID_AVG_AMOUNT_1DAY_WINDOW is not null").count() == 0 and none.count() == 30
+
+
+def test_chronological_id_keeps_rows_without_time(spark):
+    from txnrisk.operators.ordering import chronological_id
+    rows = [(1, None), (2, t0 := dt.datetime(2024, 1, 1)), (3, None), (4, t0 + dt.timedelta(days=2))]
+    df = spark.createDataFrame([(i, t, 1, 1) for i, t in rows], "TRANSACTION_ID bigint, TX_DATETIME timestamp_ntz, CUSTOMER_ID bigint, TERMINAL_ID bigint")
+    got = chronological_id(df.withColumn(S.TX_US, tf.epoch_us(S.TX_DATETIME))).collect()
+    assert {r[S.TX_ID]: r["CHRONO_ID"] for r in got} == {1: 0, 3: 1, 2: 2, 4: 3}

@@ -1,70 +1,45 @@
-"""Hot-key detection: a bounded list of keys too large for one task."""
+"""Hot keys: keys with too many rows for a sliding frame, and time slices for them."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Defaults: a key with more rows than this is processed by the split path.
-HOT_KEY_ROWS = 1_000_000
-# At most this many hot keys are collected; more than that means at least
-# MAX_HOT_KEYS * HOT_KEY_ROWS rows are hot and the whole input takes the split path.
-MAX_HOT_KEYS = 10_000
-# Target rows per (hot key, time bucket) task slice.
-ROWS_PER_BUCKET = 200_000
-
-
-@dataclass
-class HotKeys:
-    keys: list            # key values, len <= MAX_HOT_KEYS
-    bucket_us: dict       # key -> bucket width in microseconds
-    overflow: bool        # True when more than MAX_HOT_KEYS keys are hot
-
-    @property
-    def empty(self) -> bool:
-        return not self.keys and not self.overflow
-
-
-def find_hot_keys(df: DataFrame, key: str, time_us: str, hot_rows: int = HOT_KEY_ROWS,
-                  max_keys: int | None = None, rows_per_bucket: int | None = None,
-                  default_bucket_us: int = 86_400_000_000) -> HotKeys:
-    """One aggregate over (key, time) with map-side combine; only keys above
-    ``hot_rows`` reach the driver, at most ``max_keys + 1`` of them."""
-    return find_hot_keys_many(df, [key], time_us, hot_rows, max_keys, rows_per_bucket, default_bucket_us)[key]
-
-
-def find_hot_keys_many(df: DataFrame, keys: list[str], time_us: str, hot_rows: int = HOT_KEY_ROWS,
-                       max_keys: int | None = None, rows_per_bucket: int | None = None,
-                       default_bucket_us: int = 86_400_000_000) -> dict:
-    """Hot keys of several key columns: one small job per column, each reading
-    only (column, time) with map-side combine and returning at most
-    ``max_keys + 1`` values (more means overflow).  Null values are ignored."""
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    max_keys = max_keys or MAX_HOT_KEYS
-    out = {}
-    for k in keys:
-        stats = (df.where(F.col(k).isNotNull())
-                   .groupBy(k)
-                   .agg(F.count(F.lit(1)).alias("n"), F.min(time_us).alias("t0"), F.max(time_us).alias("t1"))
-                   .where(F.col("n") > hot_rows)
-                   .limit(max_keys + 1)
-                   .collect())
-        if len(stats) > max_keys:
-            out[k] = HotKeys([], {}, True)
-            continue
-        widths = {}
-        for r in stats:
-            span = max(int(r["t1"]) - int(r["t0"]) + 1, 1)
-            # ~rows_per_bucket rows per bucket, never wider than the default (a day)
-            widths[r[k]] = max(1, min(default_bucket_us, span * rows_per_bucket // max(int(r["n"]), 1)))
-        out[k] = HotKeys([r[k] for r in stats], widths, False)
-    return out
-
-
-def bucket_width(hot: HotKeys, key: str, default_us: int) -> Column:
-    """Per-row bucket width: the hot key's own width, else ``default_us``."""
-    if not hot.bucket_us:
-        return F.lit(default_us)
-    m = F.create_map(*[x for k, w in hot.bucket_us.items() for x in (F.lit(k), F.lit(w))])
-    return F.coalesce(F.element_at(m, F.col(key)), F.lit(default_us))
+from ..session import write_scratch
+
+# A sliding frame costs rows x rows-in-frame in one task; beyond so many rows a
+# key takes the event form (n log n, split over tasks).  Both give the same rows.
+HOT_KEY_ROWS = 5_000
+# Rows per time slice of the largest hot key, and slices per key at most.
+ROWS_PER_BUCKET = 50_000
+MAX_EDGES = 512
+EDGES = "__edges"
+
+FIND = object()   # "look for hot keys yourself"
+
+
+def hot_keys(df: DataFrame, key: str, time_us: str, hot_rows: int = HOT_KEY_ROWS,
+             rows_per_bucket: int | None = None) -> DataFrame | None:
+    """(key, __edges) of the keys with more than ``hot_rows`` rows, or None.
+
+    The counts are pre-aggregated and stay in a written table however many keys
+    are hot; only the largest count reaches the driver.  The edges are quantiles
+    of the key's own times, so a burst is cut as finely as a quiet stretch."""
+    counts = write_scratch(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+                           .where(F.col("__n") > hot_rows).select(key, "__n"), "hot-counts")
+    top = counts.agg(F.max("__n")).first()[0]
+    if top is None:
+        return None
+    parts = min(MAX_EDGES, math.ceil(top / (rows_per_bucket or ROWS_PER_BUCKET)))
+    if parts < 2:
+        return counts.select(key, F.array().cast("array<bigint>").alias(EDGES))
+    probs = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    edges = (df.select(key, time_us).join(counts.select(key), key).groupBy(key)
+             .agg(F.array_distinct(F.percentile_approx(time_us, probs, 10_000)).alias(EDGES)))
+    return write_scratch(edges.select(key, F.coalesce(EDGES, F.array().cast("array<bigint>")).alias(EDGES)), "hot-edges")
+
+
+def time_slice(event_us: Column) -> Column:
+    """Number of the key's edges at or before the time: a monotone slice of its time line."""
+    return F.size(F.filter(F.col(EDGES), lambda e: e <= event_us)).cast("bigint")

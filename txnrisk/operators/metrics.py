@@ -9,19 +9,26 @@ grouped (map-side combine), then cut into ~quantile buckets and summed with
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schema as S
 from ..functions.numeric import safe_ratio
+from ..session import write_scratch
 from .prefix import bucketed_running_sum
 
-N_SCORE_BUCKETS = 256
+# distinct scores per bucket of the ordered pass, and buckets at most
+SCORES_PER_BUCKET = 20_000
+MAX_SCORE_BUCKETS = 4_096
 
 
 def threshold_metrics(scored: DataFrame, label: str = S.TX_FRAUD, score: str = "score",
                       threshold: float = S.DECISION_THRESHOLD, group_cols: list[str] = ()) -> DataFrame:
-    """Accuracy, F1 of class 1 and G-mean at ``score > threshold``."""
+    """Accuracy, F1 of class 1 and G-mean at ``score > threshold``.
+    Rows without a score take no part, as in :func:`ranking_metrics`."""
+    scored = scored.where(F.col(score).isNotNull())
     pred = F.col(score) > F.lit(threshold)
     y = F.col(label) == 1
     c = scored.groupBy(*group_cols).agg(
@@ -51,13 +58,16 @@ def _score_buckets(g: DataFrame, score: str, n_buckets: int) -> DataFrame:
 
 
 def ranking_metrics(scored: DataFrame, label: str = S.TX_FRAUD, score: str = "score",
-                    group_cols: list[str] = (), n_buckets: int = N_SCORE_BUCKETS) -> DataFrame:
+                    group_cols: list[str] = (), n_buckets: int | None = None) -> DataFrame:
     """Exact ROC-AUC (ties count half) and average precision
     (step sum of precision at each distinct score, recall increments)."""
     group_cols = list(group_cols)
-    g = (scored.where(F.col(score).isNotNull())
-         .groupBy(*group_cols, score)
-         .agg(F.sum(F.col(label).cast("bigint")).alias("tp"), F.count(F.lit(1)).alias("cnt")))
+    # the scored rows are evaluated once: quantiles and sums both read this narrow table
+    g = write_scratch(scored.where(F.col(score).isNotNull())
+                      .groupBy(*group_cols, score)
+                      .agg(F.sum(F.col(label).cast("bigint")).alias("tp"), F.count(F.lit(1)).alias("cnt")), "scores")
+    if n_buckets is None:
+        n_buckets = max(1, min(MAX_SCORE_BUCKETS, math.ceil(g.count() / SCORES_PER_BUCKET)))
     g = _score_buckets(g, score, n_buckets)
     run = bucketed_running_sum(g, group_cols, -F.col("__sb"), [F.col(score).desc()],
                                {"ctp": F.col("tp"), "ccnt": F.col("cnt")}, peers=True)

@@ -22,7 +22,7 @@ def bucketed_running_sum(df: DataFrame, group_cols: list[str], bucket: Column,
     ``order`` must refine ``bucket`` (rows of a later bucket sort later).  With
     ``peers=True`` the frame is RANGE (rows with an equal single order value
     all see each other); otherwise ROWS (``order`` should then be unique).
-    Rows whose group columns are null are not supported: filter them first.
+    Null group values form a group, and a null bucket comes first.
     """
     tmp = {n: f"__m_{i}" for i, n in enumerate(measures)}
     d = df.select("*", bucket.alias(BUCKET), *[m.alias(tmp[n]) for n, m in measures.items()])
@@ -44,7 +44,13 @@ def bucketed_running_sum(df: DataFrame, group_cols: list[str], bucket: Column,
     off = tot.select(*group_cols, BUCKET,
                      *[F.sum(tmp[n]).over(w_off).alias(f"{tmp[n]}_off") for n in measures])
 
-    joined = within.join(off, on=[*group_cols, BUCKET], how="inner")
+    # null-safe: a null group value or bucket (it sorts first) keeps its rows
+    by = [*group_cols, BUCKET]
+    off = off.select(*[F.col(c).alias(f"__by_{i}") for i, c in enumerate(by)], *[f"{tmp[n]}_off" for n in measures])
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & within[c].eqNullSafe(off[f"__by_{i}"])
+    joined = within.join(off, same, "inner")
     out_cols = [c for c in df.columns]
     return joined.select(
         *out_cols,

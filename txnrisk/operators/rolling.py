@@ -23,9 +23,13 @@ Three strategies compute the same numbers:
     best when no key is hot and frames are short.
 
 ``"auto"`` (default)
-    One map-side-combined count per key finds the (bounded) list of hot keys.
-    Cold keys use ``"frame"``; hot keys use ``"events"`` with a per-key bucket
-    width sized to ~200k rows per task.  No hot key: plain ``"frame"``.
+    One map-side-combined count per key finds the keys with more than a few
+    thousand rows.  They take ``"events"``, cut by quantiles of their own times;
+    the others use ``"frame"``.  The two are joined to the rows by key, so no
+    list of keys reaches the driver.  No hot key: plain ``"frame"``.
+
+Rows without a time have no window (count 0, mean null, risk 0) and are in none;
+a window without amounts has a null mean.  All strategies agree on this.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schema as S
 from ..functions.numeric import safe_ratio
-from .hotkeys import HOT_KEY_ROWS, bucket_width, find_hot_keys
+from .hotkeys import EDGES, FIND, HOT_KEY_ROWS, hot_keys, time_slice
 from .prefix import bucketed_running_sum
 
 _PAYLOAD = "__payload"
@@ -47,9 +51,11 @@ def _event_running_sums(df: DataFrame, key: str, lo_us: int, hi_us: list[int],
     """Sums of ``measures`` over rows j of the same key with t - hi < t_j <= t - lo,
     one result per (hi, measure) named ``{measure}@{i}`` (i = index in hi_us)."""
     names = list(measures)
-    base = df.select(F.col(key), F.col(S.TX_US),
-                     *[m.alias(f"__v_{n}") for n, m in measures.items()],
-                     F.struct(*[F.col(c) for c in df.columns]).alias(_PAYLOAD))
+    timed = F.col(S.TX_US).isNotNull()
+    edges = [EDGES] if bucket_us is None else []      # slices: the key's own edges, or a fixed width
+    base = df.select(F.col(key), F.col(S.TX_US), *edges,
+                     *[F.when(timed, m).otherwise(F.lit(0)).alias(f"__v_{n}") for n, m in measures.items()],
+                     F.struct(*[F.col(c) for c in df.columns if c not in edges]).alias(_PAYLOAD))
     # kind 0 = the row itself (a query; also the 'enter' event when lo = 0),
     # kind 1 = delayed 'enter' event at t + lo, kind 2+i = 'leave' event at t + hi_i.
     kinds = [F.struct(F.lit(0).alias("k"), F.lit(0).cast("bigint").alias("s"))]
@@ -57,9 +63,9 @@ def _event_running_sums(df: DataFrame, key: str, lo_us: int, hi_us: list[int],
         kinds.append(F.struct(F.lit(1).alias("k"), F.lit(lo_us).cast("bigint").alias("s")))
     kinds += [F.struct(F.lit(2 + i).alias("k"), F.lit(h).cast("bigint").alias("s"))
               for i, h in enumerate(hi_us)]
-    ev = base.select(key, S.TX_US, *[f"__v_{n}" for n in names], _PAYLOAD,
+    ev = base.select(key, S.TX_US, *edges, *[f"__v_{n}" for n in names], _PAYLOAD,
                      F.inline(F.array(*kinds)))
-    ev = ev.select(key, (F.col(S.TX_US) + F.col("s")).alias(_EVT), F.col("k").alias(_KIND),
+    ev = ev.select(key, *edges, (F.col(S.TX_US) + F.col("s")).alias(_EVT), F.col("k").alias(_KIND),
                    F.when(F.col("k") == 0, F.col(_PAYLOAD)).alias(_PAYLOAD),
                    *[f"__v_{n}" for n in names])
     enter_kind = 0 if lo_us == 0 else 1
@@ -70,43 +76,40 @@ def _event_running_sums(df: DataFrame, key: str, lo_us: int, hi_us: list[int],
             contrib[f"{n}@{i}"] = (F.when(F.col(_KIND) == enter_kind, v)
                                    .when(F.col(_KIND) == 2 + i, -v)
                                    .otherwise(F.lit(0)))
-    width = bucket_us if isinstance(bucket_us, Column) else F.lit(bucket_us)
-    summed = bucketed_running_sum(ev, [key], F.floor(F.col(_EVT) / width),
+    at = time_slice(F.col(_EVT)) if edges else F.floor(F.col(_EVT) / F.lit(bucket_us))
+    summed = bucketed_running_sum(ev, [key], F.when(F.col(_EVT).isNotNull(), at),
                                   [F.col(_EVT)], contrib, peers=True)
     return summed.where(F.col(_KIND) == 0).select(
-        *[F.col(f"{_PAYLOAD}.{c}").alias(c) for c in df.columns],
+        *[F.col(f"{_PAYLOAD}.{c}").alias(c) for c in df.columns if c not in edges],
         *[F.col(f"`{c}`") for c in contrib])
 
 
 def _dispatch(df: DataFrame, key: str, frame_fn, events_fn, strategy: str, bucket_us: int,
-              hot_rows: int, hot=None) -> DataFrame:
+              hot_rows: int, hot=FIND) -> DataFrame:
     if strategy == "frame":
         return frame_fn(df)
     if strategy == "events":
         return events_fn(df, bucket_us)
     if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
+    if hot is FIND:
+        hot = hot_keys(df, key, S.TX_US, hot_rows)
     if hot is None:
-        hot = find_hot_keys(df, key, S.TX_US, hot_rows=hot_rows, default_bucket_us=bucket_us)
-    if hot.empty:
         return frame_fn(df)
-    if hot.overflow:
-        return events_fn(df, bucket_us)
-    is_hot = F.col(key).isin(hot.keys)
-    cold_part = frame_fn(df.where(~is_hot))
-    hot_part = events_fn(df.where(is_hot), bucket_width(hot, key, bucket_us))
+    cold_part = frame_fn(df.join(hot.select(key), key, "left_anti").select(df.columns))
+    hot_part = events_fn(df.join(hot, key).select(*df.columns, EDGES), None)
     return cold_part.unionByName(hot_part)
 
 
 def customer_spending_windows(df: DataFrame, windows=S.WINDOWS_DAYS, key: str = S.CUSTOMER_ID,
                               strategy: str = "auto", bucket_us: int = S.DAY_US,
-                              hot_rows: int = HOT_KEY_ROWS, hot=None) -> DataFrame:
+                              hot_rows: int = HOT_KEY_ROWS, hot=FIND) -> DataFrame:
     """Count and mean amount of the key's rows in (t - N days, t].
 
     Adds ``{key}_NB_TX_{N}DAY_WINDOW`` (bigint) and
     ``{key}_AVG_AMOUNT_{N}DAY_WINDOW`` (double) for each N.
     Rows with a null key are dropped (they belong to no group).  ``hot`` may
-    carry precomputed :class:`HotKeys` for ``key`` (``auto`` only).
+    carry the result of :func:`hot_keys` for ``key`` (``auto`` only).
     """
     df = df.where(F.col(key).isNotNull())
     names = [(f"{key}_NB_TX_{n}DAY_WINDOW", f"{key}_AVG_AMOUNT_{n}DAY_WINDOW") for n in windows]
@@ -116,10 +119,11 @@ def customer_spending_windows(df: DataFrame, windows=S.WINDOWS_DAYS, key: str =
         cols = []
         for n, (nb_name, avg_name) in zip(windows, names):
             wn = w.rangeBetween(-n * S.DAY_US + 1, 0)
-            cnt = F.count(S.TX_AMOUNT).over(wn)
-            amt = F.sum(S.TX_AMOUNT).over(wn)
+            timed = F.col(S.TX_US).isNotNull()
+            cnt = F.when(timed, F.count(S.TX_AMOUNT).over(wn)).otherwise(F.lit(0))
+            amt = F.when(timed, F.sum(S.TX_AMOUNT).over(wn))
             cols += [cnt.cast("bigint").alias(nb_name),
-                     (amt.cast("double") / cnt.cast("double")).alias(avg_name)]
+                     F.try_divide(amt.cast("double"), cnt.cast("double")).alias(avg_name)]
         return d.select("*", *cols)
 
     def events_fn(d: DataFrame, width) -> DataFrame:
@@ -133,15 +137,15 @@ def customer_spending_windows(df: DataFrame, windows=S.WINDOWS_DAYS, key: str =
         for i, (nb_name, avg_name) in enumerate(names):
             cnt, sm = F.col(f"`cnt@{i}`"), F.col(f"`amt@{i}`")
             out += [cnt.cast("bigint").alias(nb_name),
-                    (sm.cast("double") / cnt.cast("double")).alias(avg_name)]
-        return sums.select(*d.columns, *out)
+                    F.try_divide(sm.cast("double"), cnt.cast("double")).alias(avg_name)]
+        return sums.select(*[c for c in d.columns if c != EDGES], *out)
 
     return _dispatch(df, key, frame_fn, events_fn, strategy, bucket_us, hot_rows, hot)
 
 
 def delayed_risk_windows(df: DataFrame, delay: int = S.DELAY_DAYS, windows=S.WINDOWS_DAYS,
                          key: str = S.TERMINAL_ID, strategy: str = "auto",
-                         bucket_us: int = S.DAY_US, hot_rows: int = HOT_KEY_ROWS, hot=None) -> DataFrame:
+                         bucket_us: int = S.DAY_US, hot_rows: int = HOT_KEY_ROWS, hot=FIND) -> DataFrame:
     """For each N, rows and frauds of the key in (t-(d+N) days, t-d days].
 
     Adds ``{key}_NB_TX_{N}DAY_WINDOW`` (bigint) and ``{key}_RISK_{N}DAY_WINDOW``
@@ -155,8 +159,9 @@ def delayed_risk_windows(df: DataFrame, delay: int = S.DELAY_DAYS, windows=S.WIN
         cols = []
         for n, (nb_name, risk_name) in zip(windows, names):
             wn = w.rangeBetween(-(delay + n) * S.DAY_US + 1, -delay * S.DAY_US)
-            nb = F.count(S.TX_FRAUD).over(wn)
-            fr = F.sum(S.TX_FRAUD).over(wn)
+            timed = F.col(S.TX_US).isNotNull()
+            nb = F.when(timed, F.count(S.TX_FRAUD).over(wn)).otherwise(F.lit(0))
+            fr = F.when(timed, F.sum(S.TX_FRAUD).over(wn))
             cols += [nb.cast("bigint").alias(nb_name), safe_ratio(fr, nb).alias(risk_name)]
         return d.select("*", *cols)
 
@@ -171,6 +176,6 @@ def delayed_risk_windows(df: DataFrame, delay: int = S.DELAY_DAYS, windows=S.WIN
         for i, (nb_name, risk_name) in enumerate(names):
             nb, fr = F.col(f"`nb@{i}`"), F.col(f"`fr@{i}`")
             out += [nb.cast("bigint").alias(nb_name), safe_ratio(fr, nb).alias(risk_name)]
-        return sums.select(*d.columns, *out)
+        return sums.select(*[c for c in d.columns if c != EDGES], *out)
 
     return _dispatch(df, key, frame_fn, events_fn, strategy, bucket_us, hot_rows, hot)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schema as S
 from ..functions.time import ntz_literal
 from ..operators.calendar import add_calendar_flags
-from ..operators.hotkeys import HOT_KEY_ROWS, find_hot_keys_many
+from ..operators.hotkeys import HOT_KEY_ROWS, hot_keys
 from ..operators.rolling import customer_spending_windows, delayed_risk_windows
 
 
@@ -23,12 +23,11 @@ def feature_table(tx: DataFrame, windows=S.WINDOWS_DAYS, delay: int = S.DELAY_DA
     hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
     hot_c = hot_t = None
     if strategy == "auto":
-        # hot-key lists from small aggregates over (key, time) of the input;
-        # terminal windows only see rows that have a customer
-        base = tx.select(S.CUSTOMER_ID, S.TERMINAL_ID, S.TX_US).where(F.col(S.CUSTOMER_ID).isNotNull())
-        hot = find_hot_keys_many(base, [S.CUSTOMER_ID, S.TERMINAL_ID], S.TX_US,
-                                 hot_rows=hot_rows, default_bucket_us=bucket_us)
-        hot_c, hot_t = hot[S.CUSTOMER_ID], hot[S.TERMINAL_ID]
+        # from small aggregates over (key, time) of the input; terminal windows
+        # only see rows that have a customer
+        base = tx.where(F.col(S.CUSTOMER_ID).isNotNull())
+        hot_c = hot_keys(base, S.CUSTOMER_ID, S.TX_US, hot_rows)
+        hot_t = hot_keys(base, S.TERMINAL_ID, S.TX_US, hot_rows)
     df = add_calendar_flags(tx)
     df = customer_spending_windows(df, windows, S.CUSTOMER_ID, strategy, bucket_us, hot_rows, hot_c)
     df = delayed_risk_windows(df, delay, windows, S.TERMINAL_ID, strategy, bucket_us, hot_rows, hot_t)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
 from ..ml.pipeline import PROB, fit_pipeline, score
-from ..session import persist_sized
+from ..session import write_scratch
 from ..operators.metrics import ranking_metrics, threshold_metrics
 from ..operators.split import delayed_split
 from .features import feature_table_between
@@ -29,7 +29,7 @@ METRIC_COLS = ["acc", "f1_score", "gmean", "auc", "average_precision"]
 
 def train_test_features(tx: DataFrame, start, delta_train=7, delta_delay=7, delta_test=7,
                         persist: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Feature table -> delayed split.  Both sides are persisted (they feed many fits).
+    """Feature table -> delayed split.  Both sides are written once (they feed many fits).
 
     Features are computed only for the split's time range (plus the windows'
     look-back): the test period ends at most 2 * train + delay + test days
@@ -40,7 +40,7 @@ def train_test_features(tx: DataFrame, start, delta_train=7, delta_delay=7, delt
     feat = feature_table_between(tx, st, end)
     train, test = delayed_split(feat, start, delta_train, delta_delay, delta_test)
     if persist:
-        train, test = persist_sized(train), persist_sized(test)
+        train, test = write_scratch(train, "train"), write_scratch(test, "test")
     return train, test
 
 
@@ -49,6 +49,7 @@ def evaluate(scored: DataFrame, name: str, prob: str = PROB, label: str = S.TX_F
 
     Both inputs are single-row aggregates; they are stacked (each filling its
     own columns) and folded into one row by a global aggregate, not joined."""
+    scored = write_scratch(scored.select(F.col(label).cast("bigint").alias(label), prob), "scored")   # the model runs once
     thr = threshold_metrics(scored, label, prob).select(
         "acc", "f1_score", "gmean", F.lit(None).cast("double").alias("auc"),
         F.lit(None).cast("double").alias("average_precision"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,21 +65,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
-# Rows per partition for persisted model inputs (~100-200 MB of feature rows).
-ROWS_PER_PARTITION = 1_000_000
-
-
-def persist_sized(df, rows_per_partition: int = ROWS_PER_PARTITION):
-    """Persist (memory and disk), count, and read back with ~``rows_per_partition``
-    rows per partition.
-
-    Iterative ML fits launch one task per partition per job, so the partition
-    count of their inputs should follow data size, not shuffle settings.  The
-    coalesce only merges cached partitions (no shuffle); if an executor is lost
-    its cached blocks are recomputed from lineage."""
-    import math
-
-    from pyspark import StorageLevel
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    return cached.coalesce(max(1, math.ceil(n / rows_per_partition)))
+def write_scratch(df, name: str):
+    """Write ``df`` to the shared folder and read it back: evaluated once, its lineage ends here."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
