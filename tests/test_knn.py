@@ -11,9 +11,9 @@ from txnrisk.sources import load_transactions
 
 
 def test_blocked_knn_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(K, "QUERY_CHUNK", 7)
+    monkeypatch.setattr(K, "SLAB", 2_000)
     train, test = train_test_features(load_transactions(spark, SF0001), "2024-01-01")
-    got = {r[S.TX_ID]: r["prob_fraud"] for r in K.knn_scores(train, test, k=5, block_rows=50).collect()}
+    got = {r[S.TX_ID]: r["prob_fraud"] for r in K.knn_scores(train, test, k=5).collect()}
     # brute force in numpy on the same standardised features
     cols = S.INPUT_FEATURES
     n = train.count()

@@ -29,6 +29,77 @@ def test_bagging_checkpoints_keep_results(spark):
     from txnrisk.sources import load_transactions
     train, test = train_test_features(load_transactions(spark, SF0001), "2024-01-01")
     members = fit_bagging(train, "logistic", n_members=3, max_features=0.5, random_state=10)
+    assert len(members.members) == 3
     a = {r["TRANSACTION_ID"]: r[PROB] for r in score_bagging(members, test, checkpoint_every=0).collect()}
     b = {r["TRANSACTION_ID"]: r[PROB] for r in score_bagging(members, test, checkpoint_every=1).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def _small(spark):
+    from txnrisk.plans.training import train_test_features
+    from txnrisk.sources import load_transactions
+    return train_test_features(load_transactions(spark, SF0001), "2024-01-01")
+
+
+def test_bootstrap_weights_do_not_depend_on_partitions(spark):
+    from txnrisk.ml.bagging import bootstrap_weight
+    df = spark.range(20_000).select(F.col("id").alias("TRANSACTION_ID"))
+    a = df.repartition(7).select("TRANSACTION_ID", bootstrap_weight(3, 10).alias("w"))
+    b = df.coalesce(1).select("TRANSACTION_ID", bootstrap_weight(3, 10).alias("w"))
+    assert a.exceptAll(b).count() == 0
+    mean, var = b.agg(F.avg("w"), F.var_samp("w")).first()
+    assert abs(mean - 1) < 0.03 and abs(var - 1) < 0.05
+
+
+def test_models_of_one_class(spark):
+    from txnrisk.ml.bagging import fit_bagging, score_bagging
+    from txnrisk.ml.pipeline import fit_pipeline, score
+    train, test = _small(spark)
+    train = train.where("TX_FRAUD = 0")
+    for kind in ("tree", "forest"):
+        rows = score(fit_pipeline(train, kind, n_estimators=3), test).select(PROB).distinct().collect()
+        assert [r[0] for r in rows] == [0.0]
+    rows = score_bagging(fit_bagging(train, "tree", n_members=2), test).select(PROB).distinct().collect()
+    assert [r[0] for r in rows] == [0.0]
+
+
+def test_models_rank_frauds_above_chance_and_repeat(spark):
+    from txnrisk.ml.tuning import fit_config, predict
+    train, test = _small(spark)
+    train = train.withColumn("TX_AMOUNT", F.col("TX_AMOUNT").cast("double") + 300 * F.col("TX_FRAUD"))
+    test = test.withColumn("TX_AMOUNT", F.col("TX_AMOUNT").cast("double") + 300 * F.col("TX_FRAUD"))
+    rate = test.agg(F.avg("TX_FRAUD")).first()[0]
+    for kind, p in (("logistic", {"C": 0.5}), ("tree", {}), ("bagging", {"n_estimators": 3}), ("forest", {"n_estimators": 5}),
+                    ("gbt", {"n_estimators": 3}), ("bagging_ensemble", {"base": "tree", "max_features": 0.5, "n_members": 4, "random_state": 10})):
+        one = predict(fit_config(train, kind, p), test)
+        assert scorer_average_precision(one).first()["score"] > rate, kind
+        two = predict(fit_config(train, kind, p), test)
+        a, b = ({r["TRANSACTION_ID"]: round(r[PROB], 9) for r in x.select("TRANSACTION_ID", PROB).collect()} for x in (one, two))
+        assert a == b, kind
+
+
+def test_select_refit_save_serve(spark):
+    import uuid
+
+    from txnrisk.ml.tuning import final_report, grid_search, predict
+    from txnrisk.operators.snapshot import customer_snapshot, terminal_snapshot
+    from txnrisk.operators.split import cv_folds
+    from txnrisk.plans import serving as SV
+    from txnrisk.plans.features import feature_table
+    from txnrisk.session import scratch_path
+    from txnrisk.sources import load_transactions
+    train, test = _small(spark)
+    folds = cv_folds(feature_table(load_transactions(spark, SF0001)), "2024-01-08", 2, 7, 7, 7)
+    small = {"logistic": [("l2", "logistic", {"C": 0.5})],
+             "ensemble": [("bag", "bagging_ensemble", {"base": "logistic", "max_features": 0.5, "n_members": 3, "random_state": 10})]}
+    for name, grid in small.items():
+        scores = grid_search(folds, grid=grid)
+        assert scores.count() == 2
+        report, model = final_report(scores, train, test, grid=grid, with_model=True)
+        assert report.first()["test_average_precision"] == report.first()["test_score"]
+        path = scratch_path(spark, f"served-{name}-{uuid.uuid4().hex}")
+        SV.save_artifacts(path, model, customer_snapshot(train), terminal_snapshot(train))
+        back, _, _ = SV.load_artifacts(spark, path)
+        a, b = ({r["TRANSACTION_ID"]: round(r[PROB], 12) for r in predict(m, test).select("TRANSACTION_ID", PROB).collect()} for m in (model, back))
+        assert a == b and len(a) == test.count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0

@@ -1,22 +1,38 @@
-"""Bagging of arbitrary base pipelines with per-member feature subsets.
+"""Bagging of base classifiers with per-member feature subsets.
 
-Each member is fitted on a bootstrap resample of the train rows (Spark's
-Poisson sampler, ``sample(withReplacement=True)``) restricted to a seeded
-random subset of the input columns; the ensemble probability is the mean of
-the members' probabilities.  Members are independent Spark fits.
+The preprocessing is fitted once on the train rows; each member then fits its
+classifier on a seeded random subset of the prepared features, with bootstrap
+weights.  A row's weight for a member is a Poisson(1) value derived from a hash
+of its id, the member and the seed, so the draw does not depend on partitions,
+cluster size or reruns.  The ensemble probability is the members' mean.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import random
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorSlicer
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schema as S
-from ..session import checkpoint_dir
-from .pipeline import PROB, fit_pipeline
+from ..session import checkpoint_dir, write_scratch
+from .pipeline import LABEL, PROB, class_one, fit_classifier, fit_preprocessing, prepare
+
+WEIGHT = "__w"
+# cumulative Poisson(1) probabilities of 0, 1, 2, ... as shares of 10**9
+POISSON = [367_879_441, 735_758_882, 919_698_603, 981_011_843, 996_340_153, 999_405_815, 999_916_759, 999_989_751, 999_998_875]
+
+
+def bootstrap_weight(member: int, random_state: int, id_col: str = S.TX_ID) -> Column:
+    u = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(member), F.lit(random_state)), F.lit(10 ** 9))
+    w = F.lit(float(len(POISSON)))
+    for n in range(len(POISSON) - 1, -1, -1):
+        w = F.when(u < POISSON[n], float(n)).otherwise(w)
+    return w
 
 
 def _n_features(max_features, n_cols: int) -> int:
@@ -25,44 +41,67 @@ def _n_features(max_features, n_cols: int) -> int:
     return max(1, min(int(max_features), n_cols))
 
 
+class BaggingEnsemble:
+    """Fitted preprocessing and members ``(feature indices, classifier model)``."""
+
+    def __init__(self, pre: PipelineModel, cols: list[str], members: list):
+        self.pre, self.cols, self.members = pre, list(cols), members
+
+    def save(self, path: str) -> None:
+        """Each part by ML persistence under ``path``, and a one-line index as JSON."""
+        self.pre.write().overwrite().save(os.path.join(path, "preprocessing"))
+        for m, (_, model) in enumerate(self.members):
+            PipelineModel([model]).write().overwrite().save(os.path.join(path, "members", str(m)))
+        spark = SparkSession.getActiveSession()
+        index = json.dumps({"cols": self.cols, "subsets": [list(sub) for sub, _ in self.members]})
+        spark.createDataFrame([(index,)], "value string").coalesce(1).write.mode("overwrite").text(os.path.join(path, "index"))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "BaggingEnsemble":
+        index = json.loads(spark.read.text(os.path.join(path, "index")).first()[0])
+        pre = PipelineModel.load(os.path.join(path, "preprocessing"))
+        members = [(sub, PipelineModel.load(os.path.join(path, "members", str(m))).stages[0])
+                   for m, sub in enumerate(index["subsets"])]
+        return cls(pre, index["cols"], members)
+
+
 def fit_bagging(train: DataFrame, base_kind: str, n_members: int = 200, max_features=1.0,
-                random_state: int = 10, cols: list[str] = S.INPUT_FEATURES, parallelism: int = 4,
-                **base_params):
-    """Returns [(columns, PipelineModel)] for each member."""
+                random_state: int = 10, cols: list[str] = S.INPUT_FEATURES, parallelism: int = 8,
+                id_col: str = S.TX_ID, **base_params) -> BaggingEnsemble:
+    cols, n, pre = fit_preprocessing(train, cols)
+    ready = write_scratch(pre.transform(prepare(train, cols)).select(F.col(id_col), LABEL, "features"), "bagging-train")
     k = _n_features(max_features, len(cols))
 
     def member(m: int):
         rnd = random.Random(random_state * 100_003 + m)
-        sub = sorted(rnd.sample(list(cols), k), key=list(cols).index)
-        boot = train.sample(withReplacement=True, fraction=1.0, seed=random_state * 100_003 + m)
-        return sub, fit_pipeline(boot, base_kind, cols=sub, seed=m, **base_params)
+        sub = sorted(rnd.sample(range(len(cols)), k))
+        part = VectorSlicer(inputCol="features", outputCol="__sub", indices=sub).transform(
+            ready.withColumn(WEIGHT, bootstrap_weight(m, random_state, id_col)).where(F.col(WEIGHT) > 0))
+        return sub, fit_classifier(part.select(LABEL, WEIGHT, F.col("__sub").alias("features")), base_kind, n, m,
+                                   weight=WEIGHT, **base_params)
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(member, range(n_members)))
+        return BaggingEnsemble(pre, cols, list(pool.map(member, range(n_members))))
 
 
 CHECKPOINT_EVERY = 25
 
 
-def score_bagging(members, df: DataFrame, checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
-    """Mean member probability as ``prob_fraud`` (narrow: one projection per member).
+def score_bagging(ensemble: BaggingEnsemble, df: DataFrame, checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
+    """``df`` with the mean member probability as ``prob_fraud``: one narrow projection per member.
 
-    Every ``checkpoint_every`` members the partial result (the carried columns
-    and a running probability sum) is checkpointed to the shared checkpoint
-    folder, so plans stay shallow and a lost executor recomputes at most that
-    many members."""
+    Every ``checkpoint_every`` members the partial result (the caller's columns, the
+    prepared features and a running sum) is checkpointed to the shared folder, so
+    plans stay shallow and a lost executor recomputes at most that many members."""
     keep = list(df.columns)
-    used = sorted({c.replace("__imp_", "") for _, m in members for c in m.stages[0].getOutputCols()})
-    # members read double inputs; the caller's columns are carried under aliases
-    cur = df.select(*[F.col(c).alias(f"__o_{c}") for c in keep],
-                    *[F.col(c).cast("double").alias(c) for c in used])
-    carried = [f"__o_{c}" for c in keep] + used
-    cur = cur.withColumn("__psum", F.lit(0.0))
-    for m, (_, model) in enumerate(members):
-        out = model.transform(cur)
-        cur = out.select(*carried, (F.col("__psum") + vector_to_array("probability")[1]).alias("__psum"))
-        if checkpoint_every and (m + 1) % checkpoint_every == 0 and m + 1 < len(members):
+    base = df.select(*[F.col(c).alias(f"__o_{c}") for c in keep], *[F.col(c).cast("double").alias(c) for c in ensemble.cols])
+    cur = ensemble.pre.transform(base).select(*[f"__o_{c}" for c in keep], F.col("features").alias("__all"), F.lit(0.0).alias("__sum"))
+    carried = [c for c in cur.columns if c != "__sum"]
+    for m, (sub, model) in enumerate(ensemble.members):
+        part = VectorSlicer(inputCol="__all", outputCol="features", indices=list(sub)).transform(cur)
+        cur = model.transform(part).select(*carried, (F.col("__sum") + class_one()).alias("__sum"))
+        if checkpoint_every and (m + 1) % checkpoint_every == 0 and m + 1 < len(ensemble.members):
             checkpoint_dir(cur.sparkSession)
             cur = cur.checkpoint(eager=True)
     return cur.select(*[F.col(f"__o_{c}").alias(c) for c in keep],
-                      (F.col("__psum") / F.lit(float(len(members)))).alias(PROB))
+                      (F.col("__sum") / F.lit(float(len(ensemble.members)))).alias(PROB))

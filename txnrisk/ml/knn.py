@@ -1,80 +1,61 @@
-"""M8: exact k-nearest-neighbour scoring (uniform weights, Euclidean distance).
+"""M8: k nearest neighbours, exact over the fitted train rows.
 
-Train and query rows (after the train-fitted impute + population-scale
-stages) are cut into blocks of at most ``block_rows`` rows.  Every (query
-block, train block) pair is one cogroup group: its task computes the block's
-distance matrix in numpy and emits only the k best train rows per query.  A
-second pass keeps the overall k best per query (ties by train id) and
-averages their labels.  Nothing goes through the driver; each task holds
-two bounded blocks; the exchanges carry each query row once per train block
-and each train row once per query block.
-"""
-
-from __future__ import annotations
-
-import math
+The standardised train rows are fitted as one matrix of at most
+``max_train_rows`` rows (a documented bound; beyond it, the rows with the
+smallest id hashes are fitted) and sent to the tasks.  Test rows stay where they
+are: each Arrow batch is compared with the matrix, a slab of queries at a time,
+and keeps its k nearest.  Ties go to the smaller train id."""
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
-from .pipeline import LABEL, PROB, prepare, preprocessing_stages, usable_inputs
-
-CAND_SCHEMA = "qid long, tid long, d2 double, y double"
-
+from .pipeline import LABEL, PROB, fit_preprocessing, prepare
 
-QUERY_CHUNK = 128  # query rows per distance slab: 128 x block_rows x d doubles (~31 MB at 2048 x 15)
+MAX_TRAIN_ROWS = 200_000
+# distances held at a time: 4M doubles
+SLAB = 4_000_000
 
 
-def _block_top_k(k: int, chunk: int = QUERY_CHUNK):
-    def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or t.empty:
-            return pd.DataFrame({"qid": [], "tid": [], "d2": [], "y": []})
-        qv = np.stack(q["v"].to_numpy())
-        tv = np.stack(t["v"].to_numpy())
-        qid = q["qid"].to_numpy()
-        tid = t["tid"].to_numpy()
-        ty = t["y"].to_numpy()
-        kk = min(k, len(t))
-        out_q, out_t, out_d, out_y = [], [], [], []
-        for c0 in range(0, len(q), chunk):
-            # squared distances from exact coordinate differences (no dot-product expansion)
-            d2 = ((qv[c0:c0 + chunk, None, :] - tv[None, :, :]) ** 2).sum(axis=2)
-            for i in range(d2.shape[0]):
-                order = np.lexsort((tid, d2[i]))[:kk]
-                out_q.append(np.full(kk, qid[c0 + i]))
-                out_t.append(tid[order])
-                out_d.append(d2[i][order])
-                out_y.append(ty[order])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "tid": np.concatenate(out_t),
-                             "d2": np.concatenate(out_d), "y": np.concatenate(out_y).astype("float64")})
-    return fn
+def nearest(query: np.ndarray, train: np.ndarray, ids: np.ndarray, k: int) -> list[np.ndarray]:
+    """Rows of the k nearest train vectors of each query, by distance and id."""
+    d2 = np.zeros((len(query), len(train)))
+    for j in range(train.shape[1]):                 # exact coordinate differences, summed in column order
+        d2 += (query[:, j, None] - train[None, :, j]) ** 2
+    if k >= len(train):
+        return [np.lexsort((ids, row))[:k] for row in d2]
+    edge = np.partition(d2, k - 1, axis=1)[:, k - 1]
+    out = []
+    for row, e in zip(d2, edge):
+        near = np.flatnonzero(row <= e)             # every tie at the k-th distance
+        out.append(near[np.lexsort((ids[near], row[near]))[:k]])
+    return out
 
 
 def knn_scores(train: DataFrame, test: DataFrame, k: int = 5, cols: list[str] = S.INPUT_FEATURES,
-               block_rows: int = 2048, id_col: str = S.TX_ID, label: str = S.TX_FRAUD) -> DataFrame:
+               max_train_rows: int = MAX_TRAIN_ROWS, id_col: str = S.TX_ID, label: str = S.TX_FRAUD) -> DataFrame:
     """``test`` plus ``prob_fraud`` = share of frauds among the k nearest train rows."""
-    cols, n_train = usable_inputs(train, cols, with_count=True)
-    n_test = test.count()
-    prep_train = prepare(train, cols, label)
-    pre = Pipeline(stages=preprocessing_stages(cols, n_train)).fit(prep_train)
-    tr = pre.transform(prep_train).select(F.col(id_col).alias("tid"), F.col(LABEL).alias("y"),
-                                          vector_to_array("features").alias("v"))
-    te_in = test.withColumn("__lbl", F.lit(0))
-    te = pre.transform(prepare(te_in, cols, "__lbl")).select(F.col(id_col).alias("qid"),
-                                                              vector_to_array("features").alias("v"))
-    bt = max(1, math.ceil(n_train / block_rows))
-    bq = max(1, math.ceil(n_test / block_rows))
-    trb = tr.select("*", F.pmod(F.xxhash64("tid"), F.lit(bt)).alias("tb"),
-                    F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bq - 1).cast("bigint"))).alias("qb"))
-    teb = te.select("*", F.pmod(F.xxhash64("qid"), F.lit(bq)).alias("qb"),
-                    F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bt - 1).cast("bigint"))).alias("tb"))
-    cand = (teb.groupBy("qb", "tb").cogroup(trb.groupBy("qb", "tb"))
-            .applyInPandas(_block_top_k(k), CAND_SCHEMA))
-    w = Window.partitionBy("qid").orderBy("d2", "tid")
-    top = cand.select("*", F.row_number().over(w).alias("__r")).where(F.col("__r") <= k)
-    prob = top.groupBy("qid").agg(F.avg("y").alias(PROB))
-    return test.join(prob, test[id_col] == prob["qid"], "left").drop("qid")
+    cols, n_train, pre = fit_preprocessing(train, cols)
+    fitted = pre.transform(prepare(train, cols, label)).select(
+        F.col(id_col).alias("tid"), F.col(LABEL).alias("y"), vector_to_array("features").alias("v"))
+    if n_train > max_train_rows:
+        fitted = fitted.orderBy(F.xxhash64("tid"), "tid").limit(max_train_rows)
+    rows = fitted.toPandas()                        # max_train_rows at most
+    matrix = np.stack(rows["v"].to_numpy()) if len(rows) else np.zeros((0, len(cols)))
+    sent = train.sparkSession.sparkContext.broadcast((matrix, rows["tid"].to_numpy(), rows["y"].to_numpy(dtype="float64")))
+
+    @F.pandas_udf("double")
+    def share(v: pd.Series) -> pd.Series:
+        vectors, ids, y = sent.value
+        if len(vectors) == 0 or len(v) == 0:
+            return pd.Series([None] * len(v), dtype="float64")
+        step = max(1, SLAB // len(vectors))
+        q = np.stack(v.to_numpy())
+        return pd.Series([float(y[near].mean()) for lo in range(0, len(q), step)
+                          for near in nearest(q[lo:lo + step], vectors, ids, k)])
+
+    keep = test.columns
+    base = test.select(*[F.col(c).alias(f"__o_{c}") for c in keep], *[F.col(c).cast("double").alias(c) for c in cols])
+    return pre.transform(base).select(*[F.col(f"__o_{c}").alias(c) for c in keep], share(vector_to_array("features")).alias(PROB))

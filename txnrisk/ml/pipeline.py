@@ -90,18 +90,35 @@ def make_classifier(kind: str, seed: int = 0, **p):
     raise ValueError(f"unknown classifier {kind!r}")
 
 
-def fit_pipeline(train: DataFrame, kind: str, cols: list[str] = S.INPUT_FEATURES, seed: int = 0,
-                 **params) -> PipelineModel:
-    """M3/M4: fit preprocessing + classifier on ``train`` (label TX_FRAUD)."""
+def fit_preprocessing(train: DataFrame, cols: list[str] = S.INPUT_FEATURES):
+    """(usable columns, train rows, fitted imputer-to-scaler pipeline)."""
     cols, n = usable_inputs(train, cols, with_count=True)
+    return cols, n, Pipeline(stages=preprocessing_stages(cols, n)).fit(prepare(train, cols))
+
+
+def fit_classifier(ready: DataFrame, kind: str, n: int, seed: int = 0, weight: str | None = None, **params):
+    """Fit a classifier on prepared rows (label, features); ``n`` scales the logistic penalty."""
     if kind == "gbt":
-        checkpoint_dir(train.sparkSession)   # the shared folder; a scratch one only when unset
+        checkpoint_dir(ready.sparkSession)   # the shared folder; a scratch one only when unset
     clf = make_classifier(kind, seed, **params)
     if kind == "logistic":
-        c = params.get("C", 1.0)
-        clf.setRegParam(1.0 / (c * max(n, 1)))
-    pipe = Pipeline(stages=preprocessing_stages(cols, n) + [clf])
-    return pipe.fit(prepare(train, cols))
+        clf.setRegParam(1.0 / (params.get("C", 1.0) * max(n, 1)))
+    if weight:
+        clf.setWeightCol(weight)
+    return clf.fit(ready)
+
+
+def fit_pipeline(train: DataFrame, kind: str, cols: list[str] = S.INPUT_FEATURES, seed: int = 0,
+                 **params) -> PipelineModel:
+    """M3/M4: fit preprocessing + classifier on ``train`` (label TX_FRAUD)."""
+    cols, n, pre = fit_preprocessing(train, cols)
+    model = fit_classifier(pre.transform(prepare(train, cols)).select(LABEL, "features"), kind, n, seed, **params)
+    return PipelineModel(pre.stages + [model])
+
+
+def class_one(probability: str = "probability"):
+    """P(class 1); 0 when the model saw class 0 alone and knows no other."""
+    return F.coalesce(F.get(vector_to_array(probability), F.lit(1)), F.lit(0.0))
 
 
 def score(model: PipelineModel, df: DataFrame, cols: list[str] = S.INPUT_FEATURES) -> DataFrame:
@@ -112,4 +129,4 @@ def score(model: PipelineModel, df: DataFrame, cols: list[str] = S.INPUT_FEATURE
                    if S.TX_FRAUD in df.columns else df.withColumn(S.TX_FRAUD, F.lit(0)), used)
     out = model.transform(base)
     keep = [c for c in df.columns]
-    return out.select(*keep, vector_to_array("probability")[1].alias(PROB))
+    return out.select(*keep, class_one().alias(PROB))

@@ -8,6 +8,7 @@ validation rows, with a thread pool keeping several Spark fits in flight.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schema as S
 from ..operators.metrics import cv_summary, mean_precision_top_k, ranking_metrics, select_one_sd
 from ..operators.split import FOLD, ROLE
-from ..session import persist_sized
-from .bagging import fit_bagging, score_bagging
+from ..session import scratch_path, write_scratch
+from .bagging import BaggingEnsemble, fit_bagging, score_bagging
 from .pipeline import PROB, fit_pipeline, score
 
 # The workload's parameter grid (11 configurations).
@@ -36,15 +37,19 @@ GRID = [
 
 
 def fit_config(train: DataFrame, kind: str, params: dict, n_members: int | None = None):
+    """Fitted model of a grid entry: a PipelineModel or a BaggingEnsemble."""
     if kind == "bagging_ensemble":
         p = dict(params)
         base = p.pop("base")
         if n_members is not None:
             p["n_members"] = n_members
-        members = fit_bagging(train, base, **p)
-        return lambda df: score_bagging(members, df)
-    model = fit_pipeline(train, kind, **params)
-    return lambda df: score(model, df)
+        return fit_bagging(train, base, **p)
+    return fit_pipeline(train, kind, **params)
+
+
+def predict(model, df: DataFrame) -> DataFrame:
+    """``df`` with ``prob_fraud``, by any model that :func:`fit_config` returns."""
+    return score_bagging(model, df) if isinstance(model, BaggingEnsemble) else score(model, df)
 
 
 def scorer_average_precision(scored: DataFrame) -> DataFrame:
@@ -59,40 +64,51 @@ def scorer_precision_top_k(k: int = S.TOP_K):
 
 
 def grid_search(folds: DataFrame, grid=GRID, scorer=scorer_average_precision, n_members: int | None = None,
-                parallelism: int = 8) -> DataFrame:
+                parallelism: int = 4) -> DataFrame:
     """Fold scores (config, fold, score) for every configuration.  ``folds``
-    is the output of :func:`cv_folds` over the feature table."""
-    cached = folds
-    folds = persist_sized(cached)
-    fold_ids = sorted(r[0] for r in folds.select(FOLD).distinct().collect())
+    is the output of :func:`cv_folds` over the feature table; it is written once,
+    by fold and role, and each fit reads its own part."""
     spark: SparkSession = folds.sparkSession
+    path = scratch_path(spark, f"folds-{uuid.uuid4().hex}")
+    folds.write.partitionBy(FOLD, ROLE).parquet(path)
+    parts = spark.read.parquet(path)
+    fold_ids = sorted(r[0] for r in parts.select(FOLD).distinct().collect())
+    data = {f: tuple(parts.where((F.col(FOLD) == f) & (F.col(ROLE) == role)).drop(FOLD, ROLE) for role in ("train", "val"))
+            for f in fold_ids}
 
     def run(task):
         name, kind, params, f = task
-        tr = folds.where((F.col(FOLD) == f) & (F.col(ROLE) == "train")).drop(FOLD, ROLE)
-        va = folds.where((F.col(FOLD) == f) & (F.col(ROLE) == "val")).drop(FOLD, ROLE)
-        predict = fit_config(tr, kind, params, n_members)
-        s = scorer(predict(va)).first()["score"]
+        train, val = data[f]
+        s = scorer(predict(fit_config(train, kind, params, n_members), val)).first()["score"]
         return name, f, None if s is None else float(s)
 
     tasks = [(n, k, p, f) for n, k, p in grid for f in fold_ids]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         rows = list(pool.map(run, tasks))
-    cached.unpersist()   # same plan as the persisted one: drops its blocks
     return spark.createDataFrame(rows, "config string, fold bigint, score double")
 
 
-def final_report(fold_scores: DataFrame, train: DataFrame, test: DataFrame, grid=GRID,
-                 scorer=scorer_average_precision, n_members: int | None = None) -> DataFrame:
-    """Choose by the one-SD rule, refit on train, score test."""
+def select_and_refit(fold_scores: DataFrame, train: DataFrame, grid=GRID, n_members: int | None = None):
+    """(configuration, its CV summary row, model refitted on ``train``) of the one-SD choice."""
     summary = cv_summary(fold_scores)
-    chosen = select_one_sd(summary).first()
+    # equal means leave nothing strictly above the threshold: then the best rank, by name
+    chosen = select_one_sd(summary).first() or summary.orderBy("rank_test_score", "config").first()
     name = chosen["config"]
     kind, params = next((k, p) for n, k, p in grid if n == name)
-    predict = fit_config(train, kind, params, n_members)
-    test_score = scorer(predict(test)).first()["score"]
-    row = summary.where(F.col("config") == name).first()
-    spark = train.sparkSession
-    return spark.createDataFrame(
-        [(name, row["mean_test_score"], row["lower_bd"], row["upper_bd"], float(test_score))],
-        "config string, cv_score double, lower_bd double, upper_bd double, test_score double")
+    return name, summary.where(F.col("config") == name).first(), fit_config(train, kind, params, n_members)
+
+
+def final_report(fold_scores: DataFrame, train: DataFrame, test: DataFrame, grid=GRID,
+                 scorer=scorer_average_precision, n_members: int | None = None, with_model: bool = False):
+    """Choose by the one-SD rule, refit on train, score test: the scorer's own
+    value, and both average precision and daily precision of the top alerts.
+    ``with_model`` returns (report, refitted model) for saving and serving."""
+    name, row, model = select_and_refit(fold_scores, train, grid, n_members)
+    scored = write_scratch(predict(model, test).select(S.TX_ID, S.TX_TIME_DAYS, S.TX_FRAUD, PROB), "report-scored")
+    value = lambda s: (lambda x: None if x is None else float(x))(s(scored).first()["score"])
+    report = train.sparkSession.createDataFrame(
+        [(name, row["mean_test_score"], row["lower_bd"], row["upper_bd"], value(scorer),
+          value(scorer_average_precision), value(scorer_precision_top_k(S.TOP_K)))],
+        "config string, cv_score double, lower_bd double, upper_bd double, test_score double, "
+        "test_average_precision double, test_precision_top_k double")
+    return (report, model) if with_model else report

@@ -9,7 +9,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema as S
-from ..ml.pipeline import PROB, score
+from ..ml.bagging import BaggingEnsemble
+from ..ml.pipeline import PROB
+from ..ml.tuning import predict
 from ..operators.calendar import add_calendar_flags
 from ..operators.snapshot import enrich
 
@@ -23,27 +25,26 @@ def enrich_requests(requests: DataFrame, customer_snap: DataFrame, terminal_snap
 
 
 def score_requests(requests: DataFrame, customer_snap: DataFrame, terminal_snap: DataFrame,
-                   model: PipelineModel) -> DataFrame:
+                   model) -> DataFrame:
     """One reply row (TRANSACTION_ID, prob_fraud) per request; unknown keys
-    are imputed by the model's own mean imputer."""
-    return score(model, enrich_requests(requests, customer_snap, terminal_snap)).select(S.TX_ID, PROB)
+    are imputed by the model's own mean imputer.  ``model`` is any fitted
+    configuration: a pipeline or a bagging ensemble."""
+    return predict(model, enrich_requests(requests, customer_snap, terminal_snap)).select(S.TX_ID, PROB)
 
 
 def _table_name(path: str, name: str) -> str:
     return f"txnrisk_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
 
 
-def save_artifacts(path: str, model: PipelineModel, customer_snap: DataFrame, terminal_snap: DataFrame,
-                   buckets: int | None = None) -> None:
-    """Model via ML persistence, snapshots as Parquet, under one folder.
+def save_snapshots(path: str, customer_snap: DataFrame, terminal_snap: DataFrame, buckets: int | None = None) -> None:
+    """Both snapshots as Parquet under one folder.
 
-    With ``buckets`` the snapshots are written as tables bucketed and sorted by
-    their key: a join with them then shuffles only the request side, which
-    matters for streaming, where every micro-batch would otherwise shuffle the
-    whole snapshot again.  The bucket count is kept in a small manifest so
-    another session can re-register the tables."""
+    With ``buckets`` they are written as tables bucketed and sorted by their key: a
+    join with them then shuffles only the request side, which matters for
+    streaming, where every micro-batch would otherwise shuffle the whole snapshot
+    again.  The bucket count is kept beside them, so another session can
+    re-register the tables."""
     spark = customer_snap.sparkSession
-    model.write().overwrite().save(os.path.join(path, "model"))
     for (name, key), df in zip(SNAPSHOTS, (customer_snap, terminal_snap)):
         p = os.path.join(path, name)
         if buckets:
@@ -51,13 +52,11 @@ def save_artifacts(path: str, model: PipelineModel, customer_snap: DataFrame, te
                .option("path", p).saveAsTable(_table_name(path, name)))
         else:
             df.write.mode("overwrite").parquet(p)
-    spark.createDataFrame([(int(buckets or 0),)], "buckets int").write.mode("overwrite") \
-        .json(os.path.join(path, "manifest"))
+    spark.createDataFrame([(int(buckets or 0),)], "buckets int").write.mode("overwrite").json(os.path.join(path, "buckets"))
 
 
-def load_artifacts(spark: SparkSession, path: str):
-    """(model, customer snapshot, terminal snapshot) saved by :func:`save_artifacts`."""
-    buckets = spark.read.json(os.path.join(path, "manifest")).first()["buckets"]
+def load_snapshots(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    buckets = spark.read.json(os.path.join(path, "buckets")).first()["buckets"]
     snaps = []
     for name, key in SNAPSHOTS:
         p = os.path.join(path, name)
@@ -70,4 +69,30 @@ def load_artifacts(spark: SparkSession, path: str):
             snaps.append(spark.table(tbl))
         else:
             snaps.append(spark.read.parquet(p))
-    return (PipelineModel.load(os.path.join(path, "model")), *snaps)
+    return tuple(snaps)
+
+
+def drop_tables(spark: SparkSession, path: str) -> None:
+    """Forget the tables that :func:`save_snapshots` registered; the files stay."""
+    for name, _ in SNAPSHOTS:
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(path, name)}")
+
+
+def save_artifacts(path: str, model, customer_snap: DataFrame, terminal_snap: DataFrame,
+                   buckets: int | None = None) -> None:
+    """Any fitted configuration via ML persistence, and the snapshots, under one folder."""
+    spark = customer_snap.sparkSession
+    ensemble = isinstance(model, BaggingEnsemble)
+    if ensemble:
+        model.save(os.path.join(path, "model"))
+    else:
+        model.write().overwrite().save(os.path.join(path, "model"))
+    save_snapshots(path, customer_snap, terminal_snap, buckets)
+    spark.createDataFrame([(ensemble,)], "ensemble boolean").write.mode("overwrite").json(os.path.join(path, "manifest"))
+
+
+def load_artifacts(spark: SparkSession, path: str):
+    """(model, customer snapshot, terminal snapshot) saved by :func:`save_artifacts`."""
+    about = spark.read.json(os.path.join(path, "manifest")).first()
+    load = (lambda p: BaggingEnsemble.load(spark, p)) if about["ensemble"] else PipelineModel.load
+    return (load(os.path.join(path, "model")), *load_snapshots(spark, path))
