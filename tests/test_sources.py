@@ -24,14 +24,20 @@ def test_day_partitioned_roundtrip_prunes(spark):
 
 def test_request_body_array_and_files(spark):
     body = json.dumps([
-        {"TRANSACTION_ID": 892153, "TX_DATETIME": 1693612359000, "CUSTOMER_ID": 3465, "TERMINAL_ID": 2982,
-         "TX_AMOUNT": 101.76},
-        {"TRANSACTION_ID": 892154, "TX_DATETIME": 1693612692000, "CUSTOMER_ID": 3514, "TERMINAL_ID": 9078,
-         "TX_AMOUNT": 99.75}])
-    df = parse_request_arrays(spark.createDataFrame([(body,)], "body string"))
-    rows = {r[S.TX_ID]: r for r in df.collect()}
-    assert str(rows[892153][S.TX_DATETIME]) == "2023-09-01 23:52:39"
-    assert rows[892154][S.TX_AMOUNT] == 99.75
+        {"TRANSACTION_ID": 11, "TX_DATETIME": 1704103200250, "CUSTOMER_ID": 5, "TERMINAL_ID": 6, "TX_AMOUNT": 12.5},
+        {"TRANSACTION_ID": 12, "TX_DATETIME": "2024-03-10 02:30:00", "CUSTOMER_ID": 7, "TERMINAL_ID": 8, "TX_AMOUNT": 0.99}])
+    frame = spark.createDataFrame([(body,)], "body string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York"):      # 02:30 does not exist there on that day
+            spark.conf.set("spark.sql.session.timeZone", z)
+            rows = {r[S.TX_ID]: r for r in parse_request_arrays(frame).collect()}
+            assert str(rows[11][S.TX_DATETIME]) == "2024-01-01 10:00:00.250000"
+            assert str(rows[12][S.TX_DATETIME]) == "2024-03-10 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    df = parse_request_arrays(frame)
+    assert rows[12][S.TX_AMOUNT] == 0.99
     d = tempfile.mkdtemp(prefix="txnrisk-req-")
     with open(os.path.join(d, "batch.json"), "w") as fh:
         fh.write(body)

@@ -1,8 +1,8 @@
 """Fraud labelling by rules and compromise intervals.
 
 The reference draws its samples with seeded random generators.  Here every
-draw is a deterministic hash order instead: the n entities of day s are the
-n smallest ``md5("<id>:<s>")`` values, and the third of a day's matches are
+draw is a deterministic hash order instead: the n entities of day s follow each
+other in md5 order from a place given by md5 of s, and the third of a day's matches are
 the smallest ``md5("<TRANSACTION_ID>:<s>")``.  Same shape of result, same
 result in every engine and on every run.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schema as S
+from ..session import write_scratch
 from .prefix import bucketed_running_sum
 
 START = "start_day"
@@ -34,17 +35,25 @@ def last_start_day(tx: DataFrame) -> int:
 
 
 def sample_per_day(entities: DataFrame, id_col: str, n: int, last_day: int) -> DataFrame:
-    """For each start day 0..last_day, the n entities with the smallest
-    md5(id:day).  Each entity is paired with every day by an explode (not a
-    join); ``row_number() <= n`` keeps at most n rows per day and map task
-    before the shuffle (WindowGroupLimit)."""
+    """For each start day 0..last_day, n distinct entities.
+
+    Entities are ranked once by md5(id), with a bucketed running count; day d
+    draws the n ranks that follow ``md5(d)`` (as a number, modulo the entity
+    count).  Only the drawn (day, rank) rows exist, joined to the ranks by
+    equality, so the work is entities + n x days, not entities x days."""
+    spark = entities.sparkSession
     if last_day < 0:
-        return entities.sparkSession.createDataFrame([], f"{START} bigint, {id_col} bigint")
-    e = entities.where(F.col(id_col).isNotNull()).select(id_col).distinct()
-    pairs = e.select(id_col, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last_day).cast("bigint"))).alias(START))
-    w = Window.partitionBy(START).orderBy(_md5_key(F.col(id_col), F.col(START)))
-    return pairs.select(START, id_col, F.row_number().over(w).alias("__r")).where(F.col("__r") <= n) \
-        .select(START, id_col)
+        return spark.createDataFrame([], f"{START} bigint, {id_col} bigint")
+    e = entities.where(F.col(id_col).isNotNull()).select(id_col).distinct().withColumn("__h", F.md5(F.col(id_col).cast("string")))
+    ranked = write_scratch(bucketed_running_sum(
+        e, [], F.conv(F.substring("__h", 1, 3), 16, 10).cast("int"), [F.col("__h"), F.col(id_col)],
+        {"__r": F.lit(1).cast("bigint")}, peers=False).select(id_col, (F.col("__r") - 1).alias("__r")), "ranked")
+    total = ranked.count()
+    first = F.conv(F.substring(F.md5(F.col(START).cast("string")), 1, 8), 16, 10).cast("bigint")
+    draws = (spark.range((last_day + 1) * min(n, total))
+             .select(F.expr(f"id div {max(min(n, total), 1)}").alias(START), F.expr(f"id % {max(min(n, total), 1)}").alias("__j"))
+             .select(START, F.pmod(first + F.col("__j"), F.lit(max(total, 1))).alias("__r")))
+    return draws.join(ranked, "__r").select(START, id_col)
 
 
 def intervals(sampled: DataFrame, days: int) -> DataFrame:

@@ -1,11 +1,11 @@
 """Radius (theta) join as a grid equi-join (J6) and per-customer terminal lists (A10).
 
-Points are hashed to square cells of side r; a pair closer than r lies in the
-same or an adjacent cell.  The terminal side is replicated to its 3 x 3
-neighbourhood (9 rows each), the join is an equi-join on the cell, and the
-exact distance test is a residual filter.  Work is proportional to the pairs
-that share a neighbourhood, not customers x terminals.  A dense cell is an
-ordinary skewed equi-join key, which AQE splits.
+Points are hashed to square cells of side r / 4.  The terminal side is replicated
+to the cells that a point within r can lie in, the join is an equi-join on the
+cell, and the exact distance test is a residual filter.  Work is proportional to
+the pairs that share a neighbourhood, not customers x terminals.  Small cells
+leave many join keys on a small map; a cell that is still much denser than the
+others is an ordinary skewed equi-join key, which AQE splits.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ CUSTOMER_X_MUL, CUSTOMER_Y_MUL = 37, 91
 TERMINAL_X_MUL, TERMINAL_Y_MUL = 53, 29
 COORD_MOD, COORD_DIV = 1000, 10.0
 RADIUS = 5.0
+# side of a grid cell: r / CELLS_PER_RADIUS
+CELLS_PER_RADIUS = 4
 
 
 def _coord(id_col: str, mul: int) -> Column:
@@ -40,14 +42,16 @@ def terminal_points(tx: DataFrame) -> DataFrame:
 
 def radius_join(customers: DataFrame, terminals: DataFrame, r: float = RADIUS) -> DataFrame:
     """Pairs (CUSTOMER_ID, TERMINAL_ID, distance) with distance strictly below r."""
-    cx, cy = F.floor(F.col("x_customer_id") / r), F.floor(F.col("y_customer_id") / r)
-    cust = customers.select("*", cx.alias("__gx"), cy.alias("__gy"))
-    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                     for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    cell = r / CELLS_PER_RADIUS
+    cust = customers.select("*", F.floor(F.col("x_customer_id") / cell).alias("__gx"), F.floor(F.col("y_customer_id") / cell).alias("__gy"))
+    reach = range(-CELLS_PER_RADIUS - 1, CELLS_PER_RADIUS + 2)
+    gap = lambda d: max(abs(d) - 1, 0)  # noqa: E731  cells that lie between
+    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in reach for dy in reach
+                     if gap(dx) ** 2 + gap(dy) ** 2 <= CELLS_PER_RADIUS ** 2])
     term = (terminals.select("*", F.inline(offs))
             .select(*terminals.columns,
-                    (F.floor(F.col("x_terminal_id") / r) + F.col("dx")).alias("__gx"),
-                    (F.floor(F.col("y_terminal_id") / r) + F.col("dy")).alias("__gy")))
+                    (F.floor(F.col("x_terminal_id") / cell) + F.col("dx")).alias("__gx"),
+                    (F.floor(F.col("y_terminal_id") / cell) + F.col("dy")).alias("__gy")))
     j = cust.join(term, on=["__gx", "__gy"], how="inner")
     dx = F.col("x_customer_id") - F.col("x_terminal_id")
     dy = F.col("y_customer_id") - F.col("y_terminal_id")

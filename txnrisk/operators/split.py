@@ -124,6 +124,9 @@ def cv_folds(tx: DataFrame, start, n_folds: int = 5, delta_train: int = 7, delta
     """
     starts = _fold_starts(start, n_folds, delta_val)
     ts = F.col(S.TX_DATETIME)
+    # all folds together, as literals that reach the scan
+    span = _dt.timedelta(days=2 * delta_train + delta_delay + delta_val + 1)
+    tx = tx.where((ts >= _ts(min(starts))) & (ts < _ts(max(starts) + span)))
     # train membership per fold: literal bounds, one boolean per fold
     train_tags = F.array(*[F.when((ts >= _ts(st)) & (ts < _ts(st + _dt.timedelta(days=delta_train))), F.lit(i))
                            for i, st in enumerate(starts)])

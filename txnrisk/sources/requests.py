@@ -25,7 +25,7 @@ def request_time(raw) -> Column:
     """Epoch-ms digits -> timestamp_ntz; any other text is parsed as a timestamp."""
     c = F.col(raw) if isinstance(raw, str) else raw
     return F.when(c.rlike(r"^-?[0-9]+$"), from_epoch_ms(c.cast("bigint"))) \
-        .otherwise(F.try_to_timestamp(c).cast("timestamp_ntz"))
+        .otherwise(c.try_cast("timestamp_ntz"))   # never through the session zone
 
 
 def normalize_requests(df: DataFrame) -> DataFrame:

@@ -31,6 +31,8 @@ TRANSACTIONS_SCHEMA = T.StructType([
     T.StructField(S.TX_FRAUD, T.LongType()),
 ])
 
+LABELLED_SCHEMA = T.StructType(TRANSACTIONS_SCHEMA.fields + [T.StructField(S.TX_FRAUD_SCENARIO, T.LongType())])
+
 
 def transactions_from_events(events: DataFrame, origin: str = EVENTS_ORIGIN) -> DataFrame:
     """Project ``events`` onto the transaction schema (narrow, no shuffle)."""
