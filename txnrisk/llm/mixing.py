@@ -56,12 +56,12 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs: int =
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = ordered_totals(sizes, order, ["source_size"], "sources")
     sources = save(ranked.withColumn("weight", F.element_at(
-        F.array(*[F.lit(w) for w in weights]), (F.col("row_no") % len(weights) + 1).cast("int"))), "weights")
+        F.array(*[F.lit(w) for w in weights]), (F.col("__row_no") % len(weights) + 1).cast("int"))), "weights")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     num, den = water_fill(sources, total * share[0] * 2 // share[1], max_epochs)
     level = F.lit(float(num)) / F.lit(float(den))
     plan = sources.select(
-        F.col("source").alias("__source"), "source_size", F.col("source_size_before").alias("__base"),
+        F.col("source").alias("__source"), "source_size", F.col("__before_source_size").alias("__base"),
         F.least(level * F.col("weight"), F.col("source_size").cast("double") * max_epochs).alias("target"))
     plan = plan.withColumn("__words", F.floor(F.col("target") + 0.5).cast("long")).withColumn(
         "__whole", F.when(F.col("source_size") > 0, F.expr("__words div source_size")).otherwise(F.lit(0)).cast("long"))
@@ -69,7 +69,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs: int =
     dealt = ordered_totals(docs.select("doc_id", "source", "size").withColumn("__draw", draw),
                            [*order, "__draw", "doc_id", "size"], ["size"], "deal")
     joined = dealt.join(plan, dealt["source"].eqNullSafe(plan["__source"]))
-    rest = F.col("__words") - F.col("__whole") * F.col("source_size") - (F.col("size_before") - F.col("__base"))
+    rest = F.col("__words") - F.col("__whole") * F.col("source_size") - (F.col("__before_size") - F.col("__base"))
     return joined.select(
         "doc_id", "size", "source_size", "target",
         (F.col("__whole") * F.col("size") + F.greatest(F.lit(0), F.least(rest, F.col("size")))).alias("taken"), "source")

@@ -49,8 +49,8 @@ def quantise(df: DataFrame, dim: str, cell: str, bits: int) -> DataFrame:
     null sorts first.  Only the distinct values are ordered, after a pre-aggregated count."""
     counts = df.groupBy(F.col(dim).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
     ranked = ordered_totals(counts, ["__v"], ["__n"], "cells")
-    total = ranked.agg(F.max(F.col("__n_before") + F.col("__n"))).first()[0] or 1
-    cells = ranked.select("__v", F.floor(F.col("__n_before") * (1 << bits) / F.lit(total)).cast("int").alias(cell))
+    total = ranked.agg(F.max(F.col("__before___n") + F.col("__n"))).first()[0] or 1
+    cells = ranked.select("__v", F.floor(F.col("__before___n") * (1 << bits) / F.lit(total)).cast("int").alias(cell))
     return df.join(cells, df[dim].eqNullSafe(cells["__v"]), "left").drop("__v")
 
 
@@ -71,7 +71,7 @@ def hilbert_order(df: DataFrame, dims: dict[str, Column], ties: list[Column | st
 
     work = work.withColumn("__h", curve(F.struct(*names))).drop(*names, *[f"__d{i}" for i in range(len(dims))])
     out = ordered_totals(work, ["__h", *ties], [], "hilbert")
-    return out.select(*df.columns, F.col("__h").alias("hilbert"), F.col("row_no").alias("position"))
+    return out.select(*df.columns, F.col("__h").alias("hilbert"), F.col("__row_no").alias("position"))
 
 
 def cut_runs(ordered: DataFrame, shards: int = SHARDS) -> DataFrame:

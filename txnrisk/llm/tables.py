@@ -44,17 +44,17 @@ def release(df: DataFrame) -> None:
 
 
 def ordered_totals(df: DataFrame, keys: list[Column | str], weights: list[str], name: str) -> DataFrame:
-    """Add ``row_no`` (0-based position in the order of ``keys``) and, for each weight column,
-    ``<weight>_before`` (sum over the earlier rows), with no single-partition sort.
+    """Add ``__row_no`` (0-based position in the order of ``keys``) and, for each weight column,
+    ``__before_<weight>`` (sum over the earlier rows), with no single-partition sort.
 
     Rows are range-partitioned and sorted, each task numbers its own rows, and the totals of the
     tasks (one small row each) become offsets.  ``keys`` must order equal rows alike in any run;
     rows equal in all keys are interchangeable.  Nulls sort first.  An empty input stays empty."""
     spark = df.sparkSession
-    names = [f"{w}_before" for w in weights]
+    names = [f"__before_{w}" for w in weights]
     ranged = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-              .withColumn("_part", F.spark_partition_id()))
-    schema = T.StructType(ranged.schema.fields + [T.StructField(n, T.LongType()) for n in ["row_no", *names]])
+              .withColumn("__part", F.spark_partition_id()))
+    schema = T.StructType(ranged.schema.fields + [T.StructField(n, T.LongType()) for n in ["__row_no", *names]])
 
     def number(batches):
         rows, sums = 0, [0] * len(weights)
@@ -69,18 +69,18 @@ def ordered_totals(df: DataFrame, keys: list[Column | str], weights: list[str],
             yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema.fields])
 
     local = save(ranged.mapInArrow(number, schema), name)
-    per_part = (local.groupBy("_part").agg(F.count(F.lit(1)).alias("row_no"),
+    per_part = (local.groupBy("__part").agg(F.count(F.lit(1)).alias("__row_no"),
                                            *[F.sum(w).alias(n) for w, n in zip(weights, names)])
-                .orderBy("_part").collect())          # one row per task
+                .orderBy("__part").collect())          # one row per task
     offsets, acc = [], [0] * (1 + len(names))
     for r in per_part:
-        offsets.append((r["_part"], *acc))
-        acc = [a + (r[n] or 0) for a, n in zip(acc, ["row_no", *names])]
+        offsets.append((r["__part"], *acc))
+        acc = [a + (r[n] or 0) for a, n in zip(acc, ["__row_no", *names])]
     small = spark.createDataFrame(offsets, T.StructType(
-        [T.StructField("_part", T.IntegerType())]
-        + [T.StructField(f"_off_{n}", T.LongType()) for n in ["row_no", *names]]))
-    out = local.join(F.broadcast(small), "_part")     # as many rows as the sort had tasks
-    return out.select(*df.columns, *[(F.col(n) + F.col(f"_off_{n}")).alias(n) for n in ["row_no", *names]])
+        [T.StructField("__part", T.IntegerType())]
+        + [T.StructField(f"__off_{n}", T.LongType()) for n in ["__row_no", *names]]))
+    out = local.join(F.broadcast(small), "__part")     # as many rows as the sort had tasks
+    return out.select(*df.columns, *[(F.col(n) + F.col(f"__off_{n}")).alias(n) for n in ["__row_no", *names]])
 
 
 def components(links: DataFrame, name: str) -> DataFrame:

@@ -94,7 +94,8 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = K, wave_values:
     A query is compared with every row of another id and of its own vector length.  Each wave sends
     at most ``wave_values`` integers to the tasks, each task returns k rows per query, and one
     window keeps the best.  A repeated query row is answered as often as it occurs, repeated
-    candidates count each; empty inputs give an empty result."""
+    candidates count each; empty inputs give an empty result.  Scores are exact while they fit a
+    64-bit integer."""
     spark = vectors.sparkSession
     widest = queries.agg(F.max(F.size("v"))).first()[0]
     wave = max(1, wave_values // max(widest or 1, 1))
@@ -102,8 +103,8 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = K, wave_values:
     n = numbered.count()
     found = None
     for w in range(max(1, -(-n // wave))):
-        batch = (numbered.where((F.col("row_no") >= w * wave) & (F.col("row_no") < (w + 1) * wave))
-                 .select("row_no", "vec_id", "v").toArrow().combine_chunks())      # at most `wave` rows
+        batch = (numbered.where((F.col("__row_no") >= w * wave) & (F.col("__row_no") < (w + 1) * wave))
+                 .select("__row_no", "vec_id", "v").toArrow().combine_chunks())      # at most `wave` rows
         sent = spark.sparkContext.broadcast(batch)
 
         def search(batches, sent=sent):
