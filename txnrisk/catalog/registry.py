@@ -781,6 +781,38 @@ for _name, (_kind, _params) in TR.DEFAULT_MODELS.items():
              "GradientBoost": "fit_gbt"}[_name]] = _fit_key(_kind, _name, **_params)
 
 
+@register("logistic_gradient", f"""SELECT name, 0.0::DOUBLE AS largest FROM (VALUES {", ".join(f"('{c}')" for c in [*_IN, "intercept"])}) v(name)""")
+def logistic_gradient(spark, sf):
+    """M6 by its own optimality condition: the penalised mean log-loss has no slope left
+    at the fitted coefficients (absolute partial derivatives, to three digits)."""
+    train, _ = _feat_split(spark, sf, persist=True)
+    cols, n, pre = MLP.fit_preprocessing(train)
+    ready = pre.transform(MLP.prepare(train, cols))
+    model = MLP.fit_classifier(ready.select(MLP.LABEL, "features"), "logistic", n, C=0.5, tol=1e-9)
+    x, w = vector_to_array("features"), model.coefficients.toArray().tolist()
+    z = F.lit(float(model.intercept))
+    for i, c in enumerate(w):
+        z = z + F.lit(c) * x[i]
+    miss = F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) - F.col(MLP.LABEL)
+    slopes = ready.agg(*[F.abs(F.avg(miss * x[i]) + F.lit(w[i] / (0.5 * n))).alias(c) for i, c in enumerate(cols)],
+                       F.abs(F.avg(miss)).alias("intercept"))
+    rows = F.array(*[F.struct(F.lit(c).alias("name"), F.round(F.col(c), 3).alias("largest")) for c in [*cols, "intercept"]])
+    return slopes.select(F.inline(rows))
+
+
+@register("tree_leaves", f"""WITH {Q.TX}, {Q.FEAT}, {_FSPLIT}
+SELECT count(*) AS n_rows, CAST(sum(TX_FRAUD) AS BIGINT) AS n_frauds, 0.0::DOUBLE AS largest_gap FROM trn""")
+def tree_leaves(spark, sf):
+    """M9: every train row falls into one leaf, and a leaf's probability is its observed share."""
+    train, _ = _feat_split(spark, sf, persist=True)
+    cols, n, pre = MLP.fit_preprocessing(train)
+    ready = pre.transform(MLP.prepare(train, cols)).select(MLP.LABEL, "features")
+    leaves = (MLP.fit_classifier(ready, "tree", n).setLeafCol("leaf").transform(ready)
+              .groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum(MLP.LABEL).alias("frauds"), F.max(MLP.class_one()).alias("p")))
+    return leaves.agg(F.sum("n").alias("n_rows"), F.sum("frauds").cast("bigint").alias("n_frauds"),
+                      F.round(F.max(F.abs(F.col("frauds") / F.col("n") - F.col("p"))), R9).alias("largest_gap"))
+
+
 @register("leaderboard")
 def leaderboard_q(spark, sf):
     train, test = _feat_split(spark, sf, persist=True)
@@ -792,6 +824,7 @@ import uuid  # noqa: E402
 
 from ..plans import serving as SV  # noqa: E402
 from ..session import scratch_path  # noqa: E402
+from ..ml.linear import LinearScorer  # noqa: E402
 from ..streaming.scoring import start_scoring  # noqa: E402
 
 # the configuration the workload deploys: logistic regression, L2, C = 0.5
@@ -817,6 +850,34 @@ def score_batch(spark, sf):
     return SV.score_requests(RQ.parse_request_lines(lines), snc, snt, model)
 
 
+# fixed values: a stated linear score, so that SQL can follow the serving paths
+LINEAR = (-4.0, {S.TX_AMOUNT: 0.004, S.NIGHT: 0.1, CUST[3]: -0.002, TERM[3]: 2.0, TERM[2]: 0.01})
+_LINEAR_SQL = " + ".join([f"{LINEAR[0]}::DOUBLE"] + [f"{w}::DOUBLE * coalesce(CAST({c} AS DOUBLE), 0.0)" for c, w in LINEAR[1].items()])
+_SCORED_SQL = f"""WITH {Q.TX}, {Q.FEAT}, {_REQ}, {_SNAPS},
+enr AS (SELECT reqf.*, {", ".join("snc." + c for c in CUST)}, {", ".join("snt." + c for c in TERM)}
+        FROM reqf LEFT JOIN snc USING (CUSTOMER_ID) LEFT JOIN snt USING (TERMINAL_ID))
+SELECT TRANSACTION_ID, round(1.0 / (1.0 + exp(-({_LINEAR_SQL}))), {R9}) AS prob_fraud FROM enr"""
+
+
+@register("score_batch_linear", _SCORED_SQL)
+def score_batch_linear(spark, sf):
+    tx = _tx(spark, sf)
+    lines = RQ.requests_from_transactions(tx.where(F.col(S.TX_TIME_DAYS) >= SERVE_DAY))
+    scored = SV.score_requests(RQ.parse_request_lines(lines), *_frozen_snapshots(spark, sf, tx), LinearScorer(*LINEAR))
+    return scored.select(S.TX_ID, F.round(MLP.PROB, R9).alias(MLP.PROB))
+
+
+@register("score_stream_linear", _SCORED_SQL)
+def score_stream_linear(spark, sf):
+    """The same requests through the streaming query."""
+    tx = _tx(spark, sf)
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    RQ.requests_from_transactions(tx.where(F.col(S.TX_TIME_DAYS) >= SERVE_DAY)).write.text(f"{run}/requests")
+    start_scoring(spark, f"{run}/requests", LinearScorer(*LINEAR), *_frozen_snapshots(spark, sf, tx),
+                  f"{run}/replies", f"{run}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{run}/replies").select(S.TX_ID, F.round(MLP.PROB, R9).alias(MLP.PROB))
+
+
 @register("score_stream")
 def score_stream(spark, sf):
     """Same replies as ``score_batch``, produced by a streaming query over
@@ -877,6 +938,19 @@ def knn_score(spark, sf):
     return knn_scores(train, test.select(S.TX_ID, *_IN), k=KNN_K).select(S.TX_ID, MLP.PROB)
 
 
+_KNN_SQL = ORACLE_SQL["knn_score"]
+
+
+@register("fit_knn", f"""WITH {Q.TX}, {Q.FEAT}, {_FSPLIT},
+ksc AS (SELECT k.prob_fraud AS score, tst.TX_FRAUD FROM ({_KNN_SQL}) k JOIN tst ON tst.TRANSACTION_ID = k.TRANSACTION_ID)
+SELECT 'knn' AS clf, round(t.acc, {R9}) AS acc, round(t.f1_score, {R9}) AS f1_score, round(t.gmean, {R9}) AS gmean,
+       round(r.auc, {R9}) AS auc, round(r.average_precision, {R9}) AS average_precision
+FROM {_thr_sql("ksc")} t, ({Q.ranking_sql("ksc", digits=None)}) r""")
+def fit_knn(spark, sf):
+    train, test = _feat_split(spark, sf, persist=True)
+    return TR.fit_and_evaluate(train, test, "knn", "knn", k=KNN_K).select("clf", *_r(TR.METRIC_COLS))
+
+
 @register("final_report_top_k")
 def final_report_top_k(spark, sf):
     """The second selection of the workload: the same grid scored by the daily

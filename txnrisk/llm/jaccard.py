@@ -59,8 +59,8 @@ def profile(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
 
     One pass writes both: the rows of the documents, and from each task its part of the sketch in
     blocks, which are then added up in two salted steps of bounded memory."""
-    names = ["doc_id", "c1", "c2", "n", "cells"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["doc_id", "c1", "c2", "n", "cells", "counts"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int16()), pa.binary()]
 
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, np.uint32)
@@ -79,7 +79,7 @@ def profile(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
                 ids, last = b.column(0).to_pylist(), b
             s = shingle_set(h, k)
             cells = np.bincount((s & _U(CELLS - 1)).astype(np.int64), minlength=CELLS)
-            rows.append((ids[i], *class_key(s), len(s), np.minimum(cells, 65535).astype("<u2").tobytes()))
+            rows.append((ids[i], *class_key(s), len(s), np.minimum(cells, 32767).astype(np.int16), None))
             sets.append(s)
             size += len(s) + 50
             if size >= 1_000_000:
@@ -91,9 +91,9 @@ def profile(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
             part = total[r * SKETCH_ROW:(r + 1) * SKETCH_ROW]
             if part.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], t) for v, t in zip((None, None, None, -1 - r, part.astype("<u4").tobytes()), kinds)], names=names)
+                    [pa.array([v], t) for v, t in zip((None, None, None, -1 - r, None, part.astype("<u4").tobytes()), kinds)], names=names)
 
-    both = save(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, c1 long, c2 long, n long, cells binary"),
+    both = save(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, c1 long, c2 long, n long, cells array<smallint>, counts binary"),
                 "jaccard-profile", {"compression": "zstd"})
 
     def add(batches):
@@ -104,15 +104,15 @@ def profile(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
                 sums[r] = sums[r] + v if r in sums else v
         for r, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([r], pa.int64()), pa.array([v.astype("<u4").tobytes()], pa.binary())],
-                                             names=["n", "cells"])
+                                             names=["n", "counts"])
 
-    blocks = both.where("n < 0").select("n", "cells", (F.spark_partition_id() % SKETCH_SALT).alias("salt"))
-    part = blocks.repartition("n", "salt").select("n", "cells").mapInArrow(add, "n long, cells binary")
-    rows = part.repartition("n").mapInArrow(add, "n long, cells binary").toArrow()      # 16 MB at most
+    blocks = both.where("n < 0").select("n", "counts", (F.spark_partition_id() % SKETCH_SALT).alias("salt"))
+    part = blocks.repartition("n", "salt").select("n", "counts").mapInArrow(add, "n long, counts binary")
+    rows = part.repartition("n").mapInArrow(add, "n long, counts binary").toArrow()      # 16 MB at most
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
     for r, raw in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
         sketch[(-1 - r) * SKETCH_ROW:-r * SKETCH_ROW] = np.frombuffer(raw, "<u4")
-    return both.where("n >= 0"), sketch
+    return both.where("n >= 0").drop("counts"), sketch
 
 
 def prefixes(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
@@ -180,7 +180,7 @@ def by_suffix(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for b in batches:
             na, nb = (b.column(i).to_numpy().astype(np.int64) for i in (2, 4))
-            ca, cb = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u2").reshape(-1, CELLS).astype(np.int64) for i in (3, 5))
+            ca, cb = (b.column(i).flatten().to_numpy(zero_copy_only=False).reshape(-1, CELLS).astype(np.int64) for i in (3, 5))
             need = -(-percent * (na + nb) // (100 + percent))
             keep = np.abs(ca - cb).sum(1) <= na + nb - 2 * need
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep))
@@ -220,6 +220,12 @@ def near(a: str, b: str, percent: int) -> "F.Column":
             >= {percent} * ({a}.n + {b}.n)""")
 
 
+def suffix_near(a: str, b: str, percent: int) -> "F.Column":
+    """The suffix filter of :func:`by_suffix` as a join condition."""
+    return F.expr(f"""aggregate(zip_with({a}.cells, {b}.cells, (u, v) -> abs(int(u) - int(v))), 0, (s, d) -> s + d)
+        <= {a}.n + {b}.n - 2 * (({percent} * ({a}.n + {b}.n) + {99 + percent}) div {100 + percent})""")
+
+
 def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """Per row of (doc_id, text): doc_id, n_shingles, component_id.
 
@@ -248,8 +254,9 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     split = open_.join(groups, "node", "left").select(
         "token", "node", "n", "pos", F.coalesce("component", "node").alias("component"))
     mixed = split.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    rest = save(split.join(mixed.select("token"), "token"), "jaccard-rest")
-    cross = (rest.alias("x").join(rest.alias("y"), "token").where("x.component < y.component").where(near("x", "y", percent))
+    rest = save(split.join(mixed.select("token"), "token").join(classes.select("node", "cells"), "node"), "jaccard-rest")
+    cross = (rest.alias("x").join(rest.alias("y"), "token").where("x.component < y.component")
+             .where(near("x", "y", percent)).where(suffix_near("x", "y", percent))
              .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
     more = verified(docs, k, percent, cross, classes)
     release(open_)

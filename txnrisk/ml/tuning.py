@@ -18,6 +18,7 @@ from ..operators.metrics import cv_summary, mean_precision_top_k, ranking_metric
 from ..operators.split import FOLD, ROLE
 from ..session import scratch_path, write_scratch
 from .bagging import BaggingEnsemble, fit_bagging, score_bagging
+from .linear import LinearScorer
 from .pipeline import PROB, fit_pipeline, score
 
 # The workload's parameter grid (11 configurations).
@@ -48,7 +49,9 @@ def fit_config(train: DataFrame, kind: str, params: dict, n_members: int | None
 
 
 def predict(model, df: DataFrame) -> DataFrame:
-    """``df`` with ``prob_fraud``, by any model that :func:`fit_config` returns."""
+    """``df`` with ``prob_fraud``, by any model that :func:`fit_config` returns, or a LinearScorer."""
+    if isinstance(model, LinearScorer):
+        return model.transform(df, PROB)
     return score_bagging(model, df) if isinstance(model, BaggingEnsemble) else score(model, df)
 
 
