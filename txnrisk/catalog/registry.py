@@ -434,13 +434,13 @@ snt AS ({_snap_sql("TERMINAL_ID", TERM, f"WHERE TX_TIME_DAYS < {SERVE_DAY}")})""
 @register("customer_snapshot", f"""WITH {Q.TX}, {Q.FEAT}
 {_snap_sql("CUSTOMER_ID", CUST)}""")
 def customer_snapshot_q(spark, sf):
-    return SN.customer_snapshot(_feat(spark, sf))
+    return SN.customer_snapshot_of(_tx(spark, sf))
 
 
 @register("terminal_snapshot", f"""WITH {Q.TX}, {Q.FEAT}
 {_snap_sql("TERMINAL_ID", TERM)}""")
 def terminal_snapshot_q(spark, sf):
-    return SN.terminal_snapshot(_feat(spark, sf))
+    return SN.terminal_snapshot_of(_tx(spark, sf))
 
 
 def _requests(spark, sf, tx=None):
@@ -451,8 +451,8 @@ def _requests(spark, sf, tx=None):
 
 def _frozen_snapshots(spark, sf, tx=None):
     tx = tx if tx is not None else _tx(spark, sf)
-    feat = feature_table(tx.where(F.col(S.TX_TIME_DAYS) < SERVE_DAY))
-    return SN.customer_snapshot(feat), SN.terminal_snapshot(feat)
+    past = tx.where(F.col(S.TX_TIME_DAYS) < SERVE_DAY)
+    return SN.customer_snapshot_of(past), SN.terminal_snapshot_of(past)
 
 
 @register("parse_requests", f"""WITH {Q.TX}, {_REQ}
