@@ -316,6 +316,12 @@ def test_maximal_segments(score):
     assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in brute.segments(x)]
 
 
+@given(st.sets(st.integers(0, (1 << 20) - 1), max_size=30))
+def test_packed_slots(slots):
+    x = np.array(sorted(slots), np.int32)
+    assert toxicity.unpack(toxicity.pack(x)).tolist() == x.tolist()
+
+
 def test_toxicity_learns(spark):
     sf = "/root/testdata/sf0.01"
     rows = QUERIES["op8_toxicity"](spark, sf).collect()

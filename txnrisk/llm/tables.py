@@ -4,6 +4,7 @@ under the folder that ``spark.checkpoint.dir`` names, so a lost executor costs a
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -32,8 +33,11 @@ def save(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
 
 
 def release(df: DataFrame) -> None:
-    """Delete a table made by :func:`save` that no later step reads."""
+    """Delete a table made by :func:`save` that no later step reads, and let Spark's cleaner drop the
+    shuffle files of the steps behind it: it waits for a garbage collection of the driver's JVM."""
     spark = df.sparkSession
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
