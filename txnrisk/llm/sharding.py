@@ -46,12 +46,18 @@ def hilbert_index(cells: list[np.ndarray], bits: int) -> np.ndarray:
 def quantise(df: DataFrame, dim: str, cell: str, bits: int) -> DataFrame:
     """Add ``cell``: the share of rows with a smaller value of ``dim``, in 2**bits steps (an
     equalised histogram).  It works for text and numbers alike; equal values share a cell and a
-    null sorts first.  Only the distinct values are ordered, after a pre-aggregated count."""
+    null is in the lowest.  Only the distinct values are ordered, after a pre-aggregated count;
+    the smallest value of each cell (2**bits at most) then places every row, without a join."""
     counts = df.groupBy(F.col(dim).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
     ranked = ordered_totals(counts, ["__v"], ["__n"], "cells")
     total = ranked.agg(F.max(F.col("__before___n") + F.col("__n"))).first()[0] or 1
-    cells = ranked.select("__v", F.floor(F.col("__before___n") * (1 << bits) / F.lit(total)).cast("int").alias(cell))
-    return df.join(cells, df[dim].eqNullSafe(cells["__v"]), "left").drop("__v")
+    place = F.floor(F.col("__before___n") * (1 << bits) / F.lit(total)).cast("int")
+    lows = sorted((r[0], r[1]) for r in ranked.where("__v is not null").groupBy(place.alias("__c")).agg(F.min("__v")).collect())
+    if not lows:
+        return df.withColumn(cell, F.lit(0))
+    reached = F.size(F.filter(F.array(*[F.lit(v) for _, v in lows]), lambda v: v <= F.col(dim)))
+    return df.withColumn(cell, F.when(F.col(dim).isNull(), 0).otherwise(
+        F.coalesce(F.get(F.array(*[F.lit(c) for c, _ in lows]), reached - 1), F.lit(0))))
 
 
 def hilbert_order(df: DataFrame, dims: dict[str, Column], ties: list[Column | str], bits: int = BITS) -> DataFrame:
