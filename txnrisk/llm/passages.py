@@ -98,7 +98,6 @@ def band_keys(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     def run(batches):
         for _, _, _, _, key, shingles, span in paragraphs(batches):
             key, one = np.unique(key, return_index=True)
-            span = span[0], span[1]
             for band in range(bands):
                 value = np.full(len(span[0]), band + 1, np.uint64)
                 for row in range(rows):
@@ -158,10 +157,14 @@ def repeated_passages(docs: DataFrame, percent: int = SIMILARITY, recall: float
     docs = docs.where("doc_id is not null").select("doc_id", "text")
     occ = save(occurrences(docs), "passage-occurrences", {"compression": "zstd"})
     groups = components(similar_keys(docs, percent, recall), "passages").withColumnRenamed("node", "key")
-    named = occ.join(groups, "key", "left").select("doc_id", "first", "n", F.coalesce("component", "key").alias("cluster"))
-    many = (named.groupBy("cluster").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("first_doc_id"))
+    # counted by key first: only keys that can repeat meet the occurrences again
+    by_key = occ.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("d"))
+    likely = save(by_key.join(groups, "key", "left").where("c > 1 or component is not null")
+                  .select("key", F.coalesce("component", "key").alias("cluster"), "c", "d"), "passage-keys")
+    many = (likely.groupBy("cluster").agg(F.sum("c").alias("c"), F.min("d").alias("first_doc_id"))
             .where("c > 1").select("cluster", "first_doc_id"))
-    again = save(named.join(many, "cluster"), "passage-again")
+    repeated = save(likely.select("key", "cluster").join(many, "cluster"), "passage-repeated")
+    again = save(occ.join(repeated, "key").select("doc_id", "first", "n", "cluster", "first_doc_id"), "passage-again")
     release(occ)
     heads = again.where("doc_id = first_doc_id").groupBy("cluster").agg(F.min("first").alias("head"))
     marked = again.join(heads, "cluster").withColumn("keeps", (F.col("doc_id") == F.col("first_doc_id")) & (F.col("first") == F.col("head")))
