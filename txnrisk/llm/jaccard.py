@@ -25,7 +25,7 @@ SKETCH_ROW = 1 << 16
 #: first-level partial sums of the sketch
 SKETCH_SALT = 16
 #: cells of the suffix filter's histogram
-CELLS = 64
+CELLS = 128
 
 _U = np.uint64
 
@@ -175,7 +175,7 @@ def sets_of(docs: DataFrame, k: int, wanted: DataFrame, name: str) -> DataFrame:
 
 
 def by_suffix(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Suffix filter: the sets' counts in 64 parts of the token space differ by at least the size of
+    """Suffix filter: the sets' counts in 128 parts of the token space differ by at least the size of
     the symmetric difference's lower bound; pairs whose bound is too large are dropped."""
     def run(batches):
         for b in batches:
@@ -192,7 +192,7 @@ def by_suffix(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def verified(docs: DataFrame, k: int, percent: int, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets are similar enough; each is looked at once."""
-    likely = save(by_suffix(pairs, classes, percent), "jaccard-likely")
+    likely = save(pairs, "jaccard-likely")
     nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
     sets = sets_of(docs, k, save(classes.select("c1", "c2", "node").join(nodes, "node"), "jaccard-wanted"), "jaccard-sets")
 
@@ -239,16 +239,16 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     classes = save(prof.where("n > 0 and doc_id is not null").groupBy("c1", "c2")
                    .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("cells").alias("cells")), "jaccard-classes")
     entries = save(prefixes(docs, k, percent, spark.sparkContext.broadcast(counts)), "jaccard-prefixes")
-    # one hub per token: another class for each token, by a mask; two classes at least
-    shared = (entries.groupBy("token").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi"),
-                                           F.min(F.col("c1").bitwiseXOR(F.col("token"))).alias("h"))
-              .where("lo <> hi").select("token", F.col("h").bitwiseXOR(F.col("token")).alias("hub")))
+    shared = entries.groupBy("token").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi")).where("lo <> hi").select("token")
     open_ = save(entries.join(shared, "token").join(classes.select("c1", "node", "n"), "c1"), "jaccard-shared")
     release(entries)
-    hubs = open_.where("c1 = hub").select("token", "node", "n", "pos")
+    # one hub for each token, chosen by a mask, so that a group of copies has many hubs
+    masked = F.min(F.col("c1").bitwiseXOR(F.col("token"))).alias("h")
+    hubs = (open_.groupBy("token").agg(masked).select("token", F.col("h").bitwiseXOR(F.col("token")).alias("c1"))
+            .join(open_, ["token", "c1"]).groupBy("token").agg(F.min("node").alias("node"), F.min("n").alias("n"), F.min("pos").alias("pos")))
     star = (open_.alias("x").join(hubs.alias("y"), "token").where("x.node <> y.node").where(near("x", "y", percent))
             .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-    links = verified(docs, k, percent, star, classes)
+    links = verified(docs, k, percent, by_suffix(star, classes, percent), classes)
     groups = components(links, "jaccard")
     # the exact round: all prefix pairs that no path joins yet
     split = open_.join(groups, "node", "left").select(
