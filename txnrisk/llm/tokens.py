@@ -6,6 +6,7 @@ groups and pages of the documents or token ranges that it asks for."""
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from .tables import new_path, read_table
 
 END_ID = 2
-#: entries of a worker's piece cache; it is emptied when full
-CACHE = 300_000
+#: entries of a worker's piece cache; when full, the later half goes (frequent pieces come early)
+CACHE = 800_000
 #: bytes of text encoded into one Arrow batch
 BATCH = 1 << 21
 FILE_OPTIONS = {
@@ -29,8 +30,11 @@ FILE_OPTIONS = {
 }
 #: White_Space of Unicode, as the pre-tokenizer's pattern sees it
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: cuts only where the pre-tokenizer cuts too: around runs of white space
-PIECE = re.compile(f"[{SPACE}]+(?![^{SPACE}])| ?[^{SPACE}]+|[{SPACE}]")
+#: certain letters, and marks that no contraction starts with
+LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+MARK = "!\"#$%&()*+,\\-./:;<=>?@\\[\\]|"
+#: cuts only where the pre-tokenizer cuts too: around runs of white space, and between a word and a mark
+PIECE = re.compile(f"[{SPACE}]+(?![^{SPACE}])| ?[{LETTER}]+(?=[{SPACE}{MARK}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]")
 
 _tokenizers: dict = {}
 
@@ -51,17 +55,34 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True     # their names in a text are plain text
         self.cache: dict[str, bytes] = {}
 
-    def __call__(self, text: str) -> bytes:
-        pieces = PIECE.findall(text)
-        try:
-            return b"".join(map(self.cache.__getitem__, pieces))
-        except KeyError:
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-            new = list(set(pieces).difference(self.cache))
-            for piece, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                self.cache[piece] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(self.cache.__getitem__, pieces))
+    def learn(self, pieces: set[str]) -> None:
+        if len(self.cache) + len(pieces) > CACHE:
+            for piece in list(itertools.islice(self.cache, CACHE // 2, None)):
+                del self.cache[piece]
+        new = list(pieces)
+        e = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
+        raw = np.array(e.ids, "<u4").tobytes()
+        ends = 4 * np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(new)))
+        for piece, a, b in zip(new, [0, *ends.tolist()], ends.tolist()):
+            self.cache[piece] = raw[a:b]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; the pieces that none had before are encoded together."""
+        out, late, unknown = [], [], set()
+        for text in texts:
+            pieces = PIECE.findall(text)
+            ids = list(map(self.cache.get, pieces))
+            if None in ids:
+                late.append((len(out), pieces, ids))
+                unknown.update(itertools.compress(pieces, [x is None for x in ids]))
+                out.append(b"")
+            else:
+                out.append(b"".join(ids))
+        if unknown:
+            self.learn(unknown)
+            for i, pieces, ids in late:
+                out[i] = b"".join([self.cache[p] if x is None else x for p, x in zip(pieces, ids)])
+        return out
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -92,7 +113,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // BATCH)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(texts)]):
-                blobs = [enc(t or "") + end for t in texts.slice(lo, hi - lo).to_pylist()]
+                blobs = [x + end for x in enc(pc.fill_null(texts.slice(lo, hi - lo), "").to_pylist())]
                 n = np.array([len(x) // 4 for x in blobs], np.int64)
                 ends = np.cumsum(n)
                 lists = pa.ListArray.from_arrays(
