@@ -169,6 +169,18 @@ def test_contamination_edited_and_odd(spark, odd, empty):
     assert decontaminate.contaminated(odd, items.limit(0)).count() == 0
 
 
+def test_contamination_edited_copy_beside_an_exact_one(spark):
+    item = [f"q{i}x{i * i}" for i in range(40)]
+    docs = [(0, " ".join(item), "")]
+    for step in range(4, 8):
+        docs += [(10 * step + at, " ".join("changed" if i % step == at else w for i, w in enumerate(item)), "") for at in range(step)]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(3)
+    got = {r.doc_id: r.score for r in decontaminate.contaminated(df, items).collect()}
+    want = {d: brute.best_alignment(item, t.split()) / 40 for d, t, _ in docs}
+    assert got == {d: s for d, s in want.items() if s >= 0.4} and len(got) == len(docs)
+
+
 # --- 3 WARC ---------------------------------------------------------------------------------
 
 def test_plain_text():

@@ -1,24 +1,22 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
-Test items are cut into parts of at most 64 words.  Their 3-grams are counted over all documents;
-in each run of six consecutive 3-grams of a part the rarest becomes a seed, so every copied
-stretch of eight words holds one.  Documents that hold a seed are joined to the parts of that
-seed, and the words around it are aligned with the part (Smith-Waterman: match 1, mismatch and gap
--1), which also scores edited and paraphrased copies."""
+Test items are cut into parts of at most 64 words, and every 3-gram of a part is a seed, however
+often it occurs: an edited copy may hold none but those that it shares with exact copies.
+Documents that hold a seed are joined to the parts of that seed, and the words around it are
+aligned with the part (Smith-Waterman: match 1, mismatch and gap -1), which also scores edited and
+paraphrased copies.  Pairs with too few words in common to reach the score are not aligned."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import fixed_bitmap, flags, read_table, save
 from .wordhash import documents, sequence
 
 GRAM = 3
-#: consecutive n-grams that share one seed
-RUN = 6
 #: words of a part of an item, and from one part to the next
 PART, STRIDE = 64, 32
 #: seeds in one cell of so many words share a window, with so many words on both sides
@@ -47,50 +45,14 @@ def parts(items: DataFrame) -> DataFrame:
             .mapInArrow(run, "item_id long, part int, words array<long>, grams array<long>").where("size(grams) > 0"))
 
 
-def gram_documents(docs: DataFrame, grams: DataFrame) -> DataFrame:
-    """(gram, df): the documents that hold each of the given n-grams, over all documents."""
-    bits = docs.sparkSession.sparkContext.broadcast(fixed_bitmap(grams, F.col("gram")))
-
-    def run(batches):
-        keep = flags(bits.value)
-        held, size = [], 0
-
-        def flush():
-            g, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n)], names=["gram", "n"])
-
-        for _, _, h in documents(batches, "text"):
-            g = sequence(h, GRAM)
-            g = np.unique(g[keep[(g >> _U(42)).astype(np.int64)]])
-            if len(g):
-                held.append(g)
-                size += len(g)
-                if size > 1_000_000:
-                    size = 0
-                    yield flush()
-        if held:
-            yield flush()
-
-    return (docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("df"))
-            .join(grams, "gram"))
-
-
-def seeds(cut: DataFrame, docs: DataFrame) -> DataFrame:
-    """(gram, item_id, part): the rarest n-gram of each run of RUN among those that occur at all."""
-    places = save(cut.select("item_id", "part", F.posexplode("grams").alias("pos", "gram")), "decon-grams")
-    df = gram_documents(docs, places.select("gram").distinct())
-    run = Window.partitionBy("item_id", "part").orderBy("pos").rangeBetween(0, RUN - 1)     # PART rows at most
-    return (places.join(df, "gram").withColumn("pick", F.min(F.struct("df", "pos", "gram")).over(run))
-            .select(F.col("pick.gram").alias("gram"), "item_id", "part").distinct())
-
-
 def windows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """(doc_id, first, words, grams): the words around the seeds of a document, a row per cell."""
-    bits = docs.sparkSession.sparkContext.broadcast(fixed_bitmap(chosen, F.col("gram")))
+    # the first and the next 22 bits of a gram: chance hits of one bitmap alone would bring many windows
+    bits = docs.sparkSession.sparkContext.broadcast(
+        (fixed_bitmap(chosen, F.col("gram")), fixed_bitmap(chosen, F.shiftleft("gram", 22))))
 
     def run(batches):
-        keep = flags(bits.value)
+        keep, also = map(flags, bits.value)
         names, last, ids, rows = ["doc_id", "first", "words", "grams"], None, [], []
 
         def flush():
@@ -104,6 +66,7 @@ def windows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                 ids, last = b.column(0).to_pylist(), b
             g = sequence(h, GRAM)
             at = np.flatnonzero(keep[(g >> _U(42)).astype(np.int64)])
+            at = at[also[((g[at] << _U(22)) >> _U(42)).astype(np.int64)]]
             for c in np.unique(at // CELL):
                 lo = max(0, int(c) * CELL - MARGIN)
                 held = np.unique(g[at[at // CELL == c]])
@@ -146,16 +109,17 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     """(doc_id, item_id, score, start_word, end_word): documents of (doc_id, text) that hold a copy
     of a test item of (item_id, text), or of a 64-word part of a longer one; the best place each.
 
-    score is the alignment score as a share of the part's words.  Items with fewer than three words
+    score is the alignment score as a share of the part's words.  A copy without any unchanged
+    three words in a row is not found.  Items with fewer than three words
     and rows without id, text or words take no part; repeated rows count once; empty inputs give an
     empty result."""
     cut = save(parts(items), "decon-parts")
-    chosen = save(seeds(cut, docs), "decon-seeds")
+    chosen = save(cut.select(F.explode("grams").alias("gram"), "item_id", "part").distinct(), "decon-seeds")
     held = save(windows(docs, chosen), "decon-windows")
     pairs = (held.select("doc_id", "first", F.explode("grams").alias("gram")).join(chosen, "gram")
              .select("doc_id", "first", "item_id", "part").distinct())
-    work = (pairs.join(held.select("doc_id", "first", "words"), ["doc_id", "first"])
-            .join(cut.select("item_id", "part", F.col("words").alias("test")), ["item_id", "part"])
+    work = (pairs.join(cut.select("item_id", "part", F.col("words").alias("test")), ["item_id", "part"])
+            .join(held.select("doc_id", "first", "words"), ["doc_id", "first"])
             .select("doc_id", "item_id", "first", "words", "test"))
 
     def run(batches):
@@ -164,8 +128,14 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
                 b = big.slice(lo, 256)
                 words = [x.values.to_numpy() for x in b.column(3)]
                 test = [x.values.to_numpy() for x in b.column(4)]
-                best, end = align(padded(test, -1), padded(words, -2))
                 n = np.array([len(t) for t in test])
+                common = np.array([np.isin(t, x).sum() for t, x in zip(test, words)])       # the score at most
+                able = np.flatnonzero((common >= similarity * n) & (common >= np.minimum(least, n)))
+                if len(able) == 0:
+                    continue
+                b, n = b.take(pa.array(able)), n[able]
+                words, test = [words[i] for i in able], [test[i] for i in able]
+                best, end = align(padded(test, -1), padded(words, -2))
                 hit = np.flatnonzero((best >= similarity * n) & (best >= np.minimum(least, n)))
                 if len(hit) == 0:
                     continue
