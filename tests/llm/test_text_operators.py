@@ -281,6 +281,19 @@ def test_passages_odd(spark, odd, empty):
     assert passages.repeated_passages(empty).count() == 0
 
 
+def test_passages_in_short_lines(spark):
+    rng = np.random.default_rng(11)
+    word = lambda n: [f"v{x}" for x in rng.integers(0, 10**9, n)]
+    rows = []
+    for width in range(3, 13):
+        lines = lambda w: "\n".join(" ".join(w[i:i + width]) for i in range(0, len(w), width))  # noqa: E731,B023
+        for k in range(12):
+            same = lines(word(60))
+            rows += [(1000 * width + 2 * k + j, lines(word(50 + j)) + "\n" + same + "\n" + lines(word(40))) for j in (0, 1)]
+    found = {r.doc_id for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {r[0] for r in rows}
+
+
 # --- 6 top-k --------------------------------------------------------------------------------
 
 def test_top_k_waves_ties_and_odd_vectors(spark):

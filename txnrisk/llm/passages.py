@@ -1,7 +1,8 @@
 """Substring dedup by paragraph MinHash banding.
 
-A paragraph ends at a line end, and inside a line where the content says so: at words whose
-two-word hash is the smallest within RADIUS words on both sides.  A passage is therefore cut alike
+A paragraph ends at the end or start of a line of at least SHINGLE words, and elsewhere (also across
+shorter lines) where the content says so: at words whose two-word hash is the smallest within
+RADIUS words on both sides.  A passage is therefore cut alike
 wherever it stands, also in the middle of other text.  Paragraphs whose MinHash signatures collide
 in a band are compared on their exact sets of 5-word shingles; components of the similar ones are
 clusters, one occurrence of each stays, and the neighbouring others are joined to removable passages."""
@@ -38,7 +39,10 @@ def tune_bands(similarity: float, recall: float, rows: int = 2) -> tuple[int, in
 
 def cut(g: np.ndarray, line_start: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """First words of the paragraphs of a block of documents, from the hash that starts at each
-    word, the words that start a line, and the word offsets of the documents."""
+    word, the words that start a line, and the word offsets of the documents.
+
+    A line start between two lines of fewer than SHINGLE words cuts nothing, and neither does the
+    content so close to a line start that cuts: pieces under SHINGLE words stand alone, never two together."""
     n = len(g)
     doc = np.searchsorted(offs, np.arange(n), "right") - 1
     at = np.arange(n) + RADIUS * (doc + 1)                     # RADIUS fillers between documents
@@ -47,8 +51,16 @@ def cut(g: np.ndarray, line_start: np.ndarray, offs: np.ndarray) -> np.ndarray:
     left = np.minimum.reduce([wide[at - d] for d in range(1, RADIUS + 1)])
     right = np.minimum.reduce([wide[at + d] for d in range(1, RADIUS + 1)])
     first = (g < left) & (g <= right)
-    first |= line_start
-    first[offs[:-1][offs[:-1] < n]] = True
+    begins = np.zeros(n, bool)
+    begins[offs[:-1][offs[:-1] < n]] = True
+    line = np.flatnonzero(line_start | begins)
+    long = np.diff(np.concatenate([line, [n]])) >= SHINGLE
+    mark = line[long | np.concatenate([[True], long[:-1]]) | begins[line]]
+    edge = np.concatenate([mark, [n]])
+    for d in range(1, SHINGLE):
+        first[edge[edge >= d] - d] = False
+        first[edge[edge + d < n] + d] = False
+    first[mark] = True
     return np.flatnonzero(first)
 
 
