@@ -371,6 +371,16 @@ def test_toxicity_odd(spark, odd, empty):
     assert toxicity.fit(empty, labels) is not None
 
 
+def test_toxicity_calibrates_on_rare_labels(spark):
+    ids = spark.range(20_000).select("id", F.abs(F.hash("id", F.lit(8)) % 1_000_000).alias("h")).orderBy(F.desc("h")).limit(6).collect()
+    rare = {r.id for r in ids}                                   # none of them in a plain hash sample of 4,000
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(f"plain{x}" for x in rng.integers(0, 300, 12)) + (" vile nasty horrid filth" * 3 if i in rare else "")) for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    model = toxicity.fit(docs, docs.select("doc_id", F.col("doc_id").isin(rare).cast("int").alias("toxic")))
+    assert {r.doc_id for r in toxicity.score(docs, model).collect() if r.score >= toxicity.CUT} == rare
+
+
 # --- 9 personal data ------------------------------------------------------------------------
 
 PLAIN = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),

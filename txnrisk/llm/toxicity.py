@@ -30,7 +30,8 @@ PRIOR = 6.0
 DRIFT = 0.7
 #: log-odds are clipped to plus or minus this
 CLIP = 6.0
-#: labelled documents that fix the calibration curve, about (by hash order)
+#: labelled documents that fix the calibration curve: the smallest hashes of each label, half of
+#: them of each where there are so many, weighted back to the true share
 CALIBRATION_ROWS = 4_000
 #: passages are reported when their expected count by chance is below this
 EXPECTED = 0.05
@@ -141,15 +142,15 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(x, -30, 30))))
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Ridge-penalised logistic coefficients by Newton steps, slopes kept non-negative."""
     mean, std = x.mean(0), x.std(0) + 1e-9
     a = np.column_stack([np.ones(len(x)), (x - mean) / std])
     w = np.zeros(a.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        g = a.T @ (p - y) + 0.1 * w
-        h = (a * (p * (1 - p) + 1e-6)[:, None]).T @ a + 0.1 * np.eye(len(w))
+        g = a.T @ (weight * (p - y)) + 0.1 * w
+        h = (a * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ a + 0.1 * np.eye(len(w))
         w = w - np.linalg.solve(h, g)
     w[1:] = np.maximum(w[1:], 0)
     return np.concatenate([[w[0] - (w[1:] * mean / std).sum()], w[1:] / std])
@@ -172,10 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return m
     share = pos_total / total
     chosen = spark.sparkContext.broadcast(fixed_bitmap(known, F.xxhash64("doc_id")))
-    part = min(1.0, CALIBRATION_ROWS / total)
-    tagged = docs.where(F.col("doc_id").isNotNull()).select(
-        "doc_id", "text", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - 22).alias("spot"),
-        (F.abs(F.hash("doc_id", F.lit(8)) % 1_000_000) < int(part * 1_000_000)).alias("calibrate"))
+    spotted = docs.where(F.col("doc_id").isNotNull()).select(
+        "doc_id", "text", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - 22).alias("spot"))
 
     def pick(batches):
         keep = flags(chosen.value)
@@ -183,16 +182,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             b = b.filter(pa.array(keep[b.column(2).to_numpy(zero_copy_only=False)]))
             if b.num_rows == 0:
                 continue
-            chosen_rows = b.column(3).to_pylist()
-            seen, order = [], []
-            for i, s in token_slots(b.column(1)):
-                seen.append(pack(np.unique(s)))
-                order.append(s.T.reshape(-1) if chosen_rows[i] else None)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(seen, pa.binary()), pa.array(order, pa.list_(pa.int32()))],
-                names=["doc_id", "seen", "tokens"])
+            seen = [pack(np.unique(s)) for _, s in token_slots(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(seen, pa.binary())], names=["doc_id", "seen"])
 
-    train = save(tagged.mapInArrow(pick, "doc_id long, seen binary, tokens array<int>").join(known, "doc_id"), "toxic-train")
+    train = save(spotted.mapInArrow(pick, "doc_id long, seen binary").join(known, "doc_id"), "toxic-train")
 
     def count(batches):
         table = np.zeros((2, slots), np.int64)
@@ -210,7 +203,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     pos[at], neg[at] = sums.column("pos").to_numpy(), sums.column("neg").to_numpy()
     model = Model(pos, neg, share)
 
-    sample = train.where("tokens is not null").select("tokens", "toxic").toArrow()   # CALIBRATION_ROWS or so
+    drawn, rows = [], {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for label in (0, 1):
+        most = max(CALIBRATION_ROWS // 2, CALIBRATION_ROWS - rows.get(1 - label, 0))
+        drawn += (train.where(F.col("toxic") == label).select("doc_id", "toxic").distinct()
+                  .orderBy(F.hash("doc_id", F.lit(8)), "doc_id").limit(most).collect())
+    ids = spark.createDataFrame(drawn, "doc_id long, toxic int")
+
+    def read(batches):
+        for b in batches:
+            order = [s.T.reshape(-1) for _, s in token_slots(b.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array(order, pa.list_(pa.int32())), b.column(1)], names=["tokens", "toxic"])
+
+    sample = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic")     # CALIBRATION_ROWS ids
+              .mapInArrow(read, "tokens array<int>, toxic int").toArrow())
     release(train)
     grid = np.arange(-(CLIP + DRIFT), CLIP, 0.05)
     hist = np.zeros(len(grid) + 1)
@@ -227,7 +233,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     model.scale = gumbel_scale(np.concatenate([grid, [CLIP]]) - 0.025, hist)
     null = [model.scale * max((s for _, _, s in seg), default=0.0) - np.log(max(n, 1)) for t, seg, n in found if t == 0]
     model.location = float(np.mean(null) - 0.5772156649)
-    model.curve = logistic(np.array([model.features(seg, n) for _, seg, n in found]), y)
+    weight = np.where(y == 1, rows[1] / (y == 1).sum(), rows[0] / (y == 0).sum())
+    model.curve = logistic(np.array([model.features(seg, n) for _, seg, n in found]), y, weight)
     return model
 
 
