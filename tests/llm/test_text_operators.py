@@ -433,6 +433,14 @@ def test_pieces_give_the_same_ids(text):
     assert np.frombuffer(e([text])[0], "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>  y\n", "don<|endoftext|>'t a.<|endoftext|><|endoftext|> 1", "<|endoftext|"])
+def test_added_tokens_as_the_library_encodes_them(text):
+    from tokenizers import Tokenizer
+    fresh = Tokenizer.from_file(tokens.vocabulary_path())
+    e = tokens.encoder(tokens.vocabulary_path())
+    assert np.frombuffer(e([text])[0], "<u4").tolist() == fresh.encode(text, add_special_tokens=False).ids
+
+
 def test_piece_cache_stays_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE", 40)
     e = tokens.PieceEncoder(tokens.vocabulary_path())

@@ -45,14 +45,16 @@ def vocabulary_path() -> str:
 
 
 class PieceEncoder:
-    """The tokenizer with a cache of encoded pieces.  White space always starts a new token, so the
-    ids of a text are the ids of its pieces one after the other; each distinct piece is encoded
-    once.  Ids are kept as little-endian unsigned 32-bit bytes."""
+    """The tokenizer with a cache of encoded pieces.  White space always starts a new token, and so
+    does an added token (such as <|endoftext|>), so the ids of a text are the ids of its pieces one
+    after the other; each distinct piece is encoded once.  Ids are kept as little-endian unsigned
+    32-bit bytes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # their names in a text are plain text
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.cache: dict[str, bytes] = {}
 
     def learn(self, pieces: set[str]) -> None:
@@ -66,11 +68,19 @@ class PieceEncoder:
         for piece, a, b in zip(new, [0, *ends.tolist()], ends.tolist()):
             self.cache[piece] = raw[a:b]
 
+    def pieces(self, text: str) -> list[str]:
+        if self.added is None or not self.added.search(text):
+            return PIECE.findall(text)
+        out = []
+        for i, x in enumerate(self.added.split(text)):      # added tokens at odd places
+            out += [x] if i % 2 else PIECE.findall(x)
+        return out
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; the pieces that none had before are encoded together."""
         out, late, unknown = [], [], set()
         for text in texts:
-            pieces = PIECE.findall(text)
+            pieces = self.pieces(text)
             ids = list(map(self.cache.get, pieces))
             if None in ids:
                 late.append((len(out), pieces, ids))
