@@ -294,6 +294,13 @@ def test_passages_in_short_lines(spark):
     assert found == {r[0] for r in rows}
 
 
+def test_first_occurrences_stay_beside_repeats(spark):
+    p, q = (" ".join(f"{c}{i}x{i * i}" for i in range(40)) for c in "pq")
+    docs = spark.createDataFrame([(1, p), (2, p + "\n" + q), (3, q)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.start_word, r.end_word, r.first_doc_id, r.keep) for r in passages.repeated_passages(docs).collect())
+    assert got == [(1, 0, 40, 1, True), (2, 0, 40, 1, False), (2, 40, 80, 2, True), (3, 0, 40, 2, False)]
+
+
 # --- 6 top-k --------------------------------------------------------------------------------
 
 def test_top_k_waves_ties_and_odd_vectors(spark):

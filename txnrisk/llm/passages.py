@@ -160,9 +160,10 @@ def similar_keys(docs: DataFrame, percent: int, recall: float) -> DataFrame:
 
 def repeated_passages(docs: DataFrame, percent: int = SIMILARITY, recall: float = RECALL, passage: int = PASSAGE) -> DataFrame:
     """(doc_id, start_word, end_word, n_paragraphs, cluster, first_doc_id, keep): stretches with at
-    least ``passage`` words in paragraphs that occur again, in the same or another document.
+    least ``passage`` words in paragraphs that occur again, in the same or another document, cut
+    where first occurrences and repeats meet.
 
-    ``keep`` marks the stretch that stays (the first occurrence, by doc_id and place, of all its
+    ``keep`` marks the rows that stay (the first occurrence, by doc_id and place, of all their
     paragraphs); the others can be removed.  ``first_doc_id`` is the smallest document with one of
     its paragraphs.  Rows without id, text or words have none; repeated rows occur in place of each
     other and stay; an empty table gives an empty result."""
@@ -181,10 +182,13 @@ def repeated_passages(docs: DataFrame, percent: int = SIMILARITY, recall: float
     heads = again.where("doc_id = first_doc_id").groupBy("cluster").agg(F.min("first").alias("head"))
     marked = again.join(heads, "cluster").withColumn("keeps", (F.col("doc_id") == F.col("first_doc_id")) & (F.col("first") == F.col("head")))
     w = Window.partitionBy("doc_id").orderBy("first", "n")                       # one document each
-    run = F.sum(F.when(F.col("first") > F.lag(F.col("first") + F.col("n")).over(w) + GAP, 1).otherwise(0)).over(w)
-    return (marked.withColumn("run", run).groupBy("doc_id", "run")
+    apart = F.col("first") > F.lag(F.col("first") + F.col("n")).over(w) + GAP
+    turn = F.col("keeps") != F.lag("keeps").over(w)
+    return (marked.withColumn("stretch", F.sum(F.when(apart, 1).otherwise(0)).over(w))
+            .withColumn("run", F.sum(F.when(apart | turn, 1).otherwise(0)).over(w))
+            .withColumn("words", F.sum("n").over(Window.partitionBy("doc_id", "stretch"))).groupBy("doc_id", "run")
             .agg(F.min("first").cast("long").alias("start_word"), F.max(F.col("first") + F.col("n")).cast("long").alias("end_word"),
-                 F.sum("n").alias("words"), F.count(F.lit(1)).alias("n_paragraphs"), F.min("cluster").alias("cluster"),
+                 F.first("words").alias("words"), F.count(F.lit(1)).alias("n_paragraphs"), F.min("cluster").alias("cluster"),
                  F.min("first_doc_id").alias("first_doc_id"), F.min("keeps").alias("keep"))
             .where(F.col("words") >= passage).drop("run", "words"))
 
