@@ -301,6 +301,24 @@ def test_first_occurrences_stay_beside_repeats(spark):
     assert got == [(1, 0, 40, 1, True), (2, 0, 40, 1, False), (2, 40, 80, 2, True), (3, 0, 40, 2, False)]
 
 
+def test_similar_keys_in_full_bands(spark, monkeypatch):
+    same = lambda docs, *_: docs.select(F.lit(7).cast("long").alias("band"), "key").union(docs.select(F.lit(8).cast("long"), "key"))
+    monkeypatch.setattr(passages, "band_keys", same)                 # every key shares the bands of all others
+    monkeypatch.setattr(passages, "shingles_of", lambda docs, wanted: docs.join(wanted, "key"))
+    rng = np.random.default_rng(4)
+    keys = rng.permutation(240)
+    sets = {}
+    for i in range(0, 240, 3):
+        own = list(range(1000 * i + 100, 1000 * i + 112 + i % 5))
+        for j in range(3):                                           # frequent shingles in front, one edit each
+            sets[int(keys[i + j])] = [1, 2, 3, *own[:-1], 1000 * i + 900 + j] if j else [1, 2, 3, *own]
+    df = spark.createDataFrame(list(sets.items()), "key long, shingles array<long>")
+    links = {(r.a, r.b) for r in passages.similar_keys(df, 80, 0.98).collect()}
+    brute_links = {(a, b) for a in sets for b in sets if a < b
+                   and 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})}
+    assert links <= brute_links and brute.components(set(sets), links) == brute.components(set(sets), brute_links)
+
+
 # --- 6 top-k --------------------------------------------------------------------------------
 
 def test_top_k_waves_ties_and_odd_vectors(spark):

@@ -135,27 +135,61 @@ def shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return (docs.mapInArrow(run, "key long, shingles array<long>").join(wanted, "key", "left_semi").dropDuplicates(["key"]))
 
 
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of keys whose shingle sets are similar enough."""
+    side = lambda c: sets.select(F.col("key").alias(c), F.col("shingles").alias(f"s{c}"))
+    common = F.size(F.array_intersect("sa", "sb"))
+    return save(pairs.join(side("a"), "a").join(side("b"), "b")
+                .where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "passage-links")
+
+
+def unjoined(near: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of keys of one band in different components that can still be similar: sets
+    of like size with a common shingle among the first of both, rare ones first (of n shingles,
+    n - ceil(percent n) + 1), which similar sets always have.  Bands of up to three keys have none."""
+    bands = near.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("band")
+    member = near.select("band", "key").union(near.select("band", F.col("hub").alias("key"))).distinct().join(bands, "band")
+    member = member.join(groups.withColumnRenamed("node", "key"), "key", "left").select(
+        "band", "key", F.coalesce("component", "key").alias("component"))
+    mixed = member.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    member = save(member.join(mixed.select("band"), "band"), "passage-members")
+    token = (sets.join(member.select("key").distinct(), "key")
+             .select("key", F.size("shingles").alias("n"), F.explode("shingles").alias("token")))
+    df = token.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    first = (token.join(df.where("df > 1"), "token")                # a lone shingle takes its place but joins nothing
+             .groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
+             .withColumn("lone", F.col("n") - F.size("t"))
+             .withColumn("most", F.expr(f"n - cast(({percent} * n + 99) div 100 as int) + 1 - lone")).where("most > 0")
+             .select("key", "n", F.explode(F.slice("t", F.lit(1), F.col("most"))).alias("t"))
+             .select("key", "n", F.col("t.token").alias("token")))
+    entry = save(member.join(first, "key"), "passage-prefixes")
+    x, y = entry.alias("x"), entry.alias("y")
+    return (x.join(y, ["band", "token"]).where("x.component < y.component")
+            .where(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+            .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
+
+
 def similar_keys(docs: DataFrame, percent: int, recall: float) -> DataFrame:
     """(a, b): pairs of keys that link all similar paragraphs that share a band.
 
-    In each band, a key is compared with the band's smallest key and with the one before it, so a
-    band of many variants costs two comparisons for each, not all pairs."""
+    In each band, a key is first compared with the band's smallest key and with the one before it, so
+    a band of many variants costs two comparisons for each.  A second round compares the keys of a
+    band that no path joins yet, where :func:`unjoined` does not exclude that they are similar."""
     bands, rows = tune_bands(percent / 100, recall)
     w = Window.partitionBy("band").orderBy("key")
-    near = (band_keys(docs, bands, rows)
-            .withColumn("before", F.lag("key").over(w)).withColumn("hub", F.first("key").over(w))
-            .where("before <> key").select("key", F.array_distinct(F.array("before", "hub")).alias("other"))
-            .select(F.explode("other").alias("other"), "key"))
-    pairs = save(near.select(F.least("other", "key").alias("a"), F.greatest("other", "key").alias("b")).distinct(), "passage-pairs")
+    near = save(band_keys(docs, bands, rows)
+                .withColumn("before", F.lag("key").over(w)).withColumn("hub", F.first("key").over(w))
+                .where("before <> key").select("band", "key", "before", "hub"), "passage-near")
+    pairs = save(near.select("key", F.explode(F.array_distinct(F.array("before", "hub"))).alias("other"))
+                 .select(F.least("other", "key").alias("a"), F.greatest("other", "key").alias("b")).distinct(), "passage-pairs")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     sets = save(shingles_of(docs, wanted), "passage-sets")
-    side = lambda c: sets.select(F.col("key").alias(c), F.col("shingles").alias(f"s{c}"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    links = save(pairs.join(side("a"), "a").join(side("b"), "b")
-                 .where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "passage-links")
-    release(sets)
+    links = verified(pairs, sets, percent)
     release(pairs)
-    return links
+    more = verified(unjoined(near, sets, components(links, "passages-first"), percent), sets, percent)
+    release(sets)
+    release(near)
+    return links.union(more)
 
 
 def repeated_passages(docs: DataFrame, percent: int = SIMILARITY, recall: float = RECALL, passage: int = PASSAGE) -> DataFrame:
