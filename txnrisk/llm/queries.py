@@ -1,6 +1,6 @@
 """The queries of this package by name, and DuckDB SQL where SQL can state them."""
 
-from . import decontaminate, jaccard, mixing, packing, passages, pii, sharding, tokens, topk, toxicity, warc
+from . import decontaminate, dialogue, jaccard, mixing, packing, passages, pii, sharding, tokens, topk, toxicity, warc
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_pii": pii.op9_pii,
     "op10_token_ids": tokens.op10_token_ids,
     "op12_pack": packing.op12_pack,
+    "op13_repair": dialogue.op13_repair,
 }
 
 ORACLE_SQL = {"op6_top_k": topk.OP6_SQL, "op7_mix_sources": mixing.OP7_SQL}
