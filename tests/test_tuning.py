@@ -21,46 +21,21 @@ def test_scorer_hooks(spark):
     assert abs(scorer_average_precision(df).first()["score"] - 5 / 6) < 1e-12
 
 
-def test_bagging_checkpoints_keep_results(spark):
-    from conftest import SF0001
-
-    from txnrisk.ml.bagging import fit_bagging, score_bagging
-    from txnrisk.plans.training import train_test_features
-    from txnrisk.sources import load_transactions
-    train, test = train_test_features(load_transactions(spark, SF0001), "2024-01-01")
-    members = fit_bagging(train, "logistic", n_members=3, max_features=0.5, random_state=10)
-    assert len(members.members) == 3
-    a = {r["TRANSACTION_ID"]: r[PROB] for r in score_bagging(members, test, checkpoint_every=0).collect()}
-    b = {r["TRANSACTION_ID"]: r[PROB] for r in score_bagging(members, test, checkpoint_every=1).collect()}
-    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
-
-
 def _small(spark):
     from txnrisk.plans.training import train_test_features
     from txnrisk.sources import load_transactions
     return train_test_features(load_transactions(spark, SF0001), "2024-01-01")
 
 
-def test_bootstrap_weights_do_not_depend_on_partitions(spark):
-    from txnrisk.ml.bagging import bootstrap_weight
-    df = spark.range(20_000).select(F.col("id").alias("TRANSACTION_ID"))
-    a = df.repartition(7).select("TRANSACTION_ID", bootstrap_weight(3, 10).alias("w"))
-    b = df.coalesce(1).select("TRANSACTION_ID", bootstrap_weight(3, 10).alias("w"))
-    assert a.exceptAll(b).count() == 0
-    mean, var = b.agg(F.avg("w"), F.var_samp("w")).first()
-    assert abs(mean - 1) < 0.03 and abs(var - 1) < 0.05
-
-
 def test_models_of_one_class(spark):
-    from txnrisk.ml.bagging import fit_bagging, score_bagging
-    from txnrisk.ml.pipeline import fit_pipeline, score
+    from txnrisk.ml.tuning import fit_config, predict
     train, test = _small(spark)
     train = train.where("TX_FRAUD = 0")
-    for kind in ("tree", "forest"):
-        rows = score(fit_pipeline(train, kind, n_estimators=3), test).select(PROB).distinct().collect()
+    for kind, params in (("tree", {}), ("forest", {"n_estimators": 3}), ("bagging_ensemble", {"base": "tree", "max_features": 0.5, "n_members": 2, "random_state": 1})):
+        rows = predict(fit_config(train, kind, params), test).select(PROB).distinct().collect()
         assert [r[0] for r in rows] == [0.0]
-    rows = score_bagging(fit_bagging(train, "tree", n_members=2), test).select(PROB).distinct().collect()
-    assert [r[0] for r in rows] == [0.0]
+    for kind in ("logistic", "gbt"):
+        assert predict(fit_config(train, kind, {"n_estimators": 2}), test).agg(F.max(PROB)).first()[0] < 0.05
 
 
 def test_models_rank_frauds_above_chance_and_repeat(spark):

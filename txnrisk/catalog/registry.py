@@ -699,7 +699,9 @@ def time_offsets(spark, sf):
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
 from ..ml import pipeline as MLP  # noqa: E402
+from ..ml import frame as MF, logit as LG, trees as MT, tuning as TU  # noqa: E402
 from ..plans import training as TR  # noqa: E402
+from ..session import write_scratch  # noqa: E402
 
 _FSPLIT = Q.split_ctes(SPLIT_START, TRAIN_D, DELAY_D, TEST_D, src="feat")
 _R6 = 6
@@ -781,36 +783,84 @@ for _name, (_kind, _params) in TR.DEFAULT_MODELS.items():
              "GradientBoost": "fit_gbt"}[_name]] = _fit_key(_kind, _name, **_params)
 
 
-@register("logistic_gradient", f"""SELECT name, 0.0::DOUBLE AS largest FROM (VALUES {", ".join(f"('{c}')" for c in [*_IN, "intercept"])}) v(name)""")
+def _input_rows(spark, sf):
+    train, _ = _feat_split(spark, sf, persist=True)
+    scaling = MF.fit_scaling(train)
+    return scaling, write_scratch(MF.inputs(train, scaling), "fit-rows")
+
+
+_SLOPES_SQL = f"""SELECT name, 0.0::DOUBLE AS largest FROM (VALUES {", ".join(f"('{c}')" for c in [*_IN, "intercept"])}) v(name)"""
+
+
+def _loss_slopes(rows, w):
+    """Mean slope of the log loss in each weight and the intercept, as column expressions over (x, y)."""
+    z = F.lit(float(w[-1]))
+    for i, v in enumerate(w[:-1]):
+        z = z + F.lit(float(v)) * F.col(MF.X)[i]
+    miss = F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) - F.col(MF.Y)
+    return [F.avg(miss * F.col(MF.X)[i]) for i in range(len(w) - 1)] + [F.avg(miss)]
+
+
+def _named(aggregated, names):
+    return aggregated.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.round(F.col(c), 6).alias("largest")) for c in names])))
+
+
+@register("logistic_gradient", _SLOPES_SQL)
 def logistic_gradient(spark, sf):
     """M6 by its own optimality condition: the penalised mean log-loss has no slope left
-    at the fitted coefficients (absolute partial derivatives, to three digits)."""
-    train, _ = _feat_split(spark, sf, persist=True)
-    cols, n, pre = MLP.fit_preprocessing(train)
-    ready = pre.transform(MLP.prepare(train, cols))
-    model = MLP.fit_classifier(ready.select(MLP.LABEL, "features"), "logistic", n, C=0.5, tol=1e-9)
-    x, w = vector_to_array("features"), model.coefficients.toArray().tolist()
-    z = F.lit(float(model.intercept))
-    for i, c in enumerate(w):
-        z = z + F.lit(c) * x[i]
-    miss = F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) - F.col(MLP.LABEL)
-    slopes = ready.agg(*[F.abs(F.avg(miss * x[i]) + F.lit(w[i] / (0.5 * n))).alias(c) for i, c in enumerate(cols)],
-                       F.abs(F.avg(miss)).alias("intercept"))
-    rows = F.array(*[F.struct(F.lit(c).alias("name"), F.round(F.col(c), 3).alias("largest")) for c in [*cols, "intercept"]])
-    return slopes.select(F.inline(rows))
-
-
-@register("tree_leaves", f"""WITH {Q.TX}, {Q.FEAT}, {_FSPLIT}
-SELECT count(*) AS n_rows, CAST(sum(TX_FRAUD) AS BIGINT) AS n_frauds, 0.0::DOUBLE AS largest_gap FROM trn""")
-def tree_leaves(spark, sf):
-    """M9: every train row falls into one leaf, and a leaf's probability is its observed share."""
-    train, _ = _feat_split(spark, sf, persist=True)
-    cols, n, pre = MLP.fit_preprocessing(train)
-    ready = pre.transform(MLP.prepare(train, cols)).select(MLP.LABEL, "features")
-    leaves = (MLP.fit_classifier(ready, "tree", n).setLeafCol("leaf").transform(ready)
-              .groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum(MLP.LABEL).alias("frauds"), F.max(MLP.class_one()).alias("p")))
-    return leaves.agg(F.sum("n").alias("n_rows"), F.sum("frauds").cast("bigint").alias("n_frauds"),
-                      F.round(F.max(F.abs(F.col("frauds") / F.col("n") - F.col("p"))), R9).alias("largest_gap"))
+    at the fitted coefficients (absolute partial derivatives, to six digits)."""
+    scaling, rows = _input_rows(spark, sf)
+    n = scaling.n[0]
+    w = LG.fit_logits(rows, [LG.Logit("m6", 0, "l2", 0.5)], len(_IN), scaling.n).popitem()[1]
+    names = [*_IN, "intercept"]
+    shrink = [v / (0.5 * n) for v in w[:-1]] + [0.0]
+    return _named(rows.agg(*[F.abs(s + F.lit(float(p))).alias(c) for c, s, p in zip(names, _loss_slopes(rows, w), shrink)]), names)
+
+
+@register("logistic_l1_conditions", _SLOPES_SQL)
+def logistic_l1_conditions(spark, sf):
+    """M7 by the optimality (KKT) conditions of the L1 penalty, intercept included: a weight that is not 0
+    has the loss slope -sign(w) / (C n), and one that is 0 a slope within +-1 / (C n).  Distances from
+    that, to six digits, for both C of the grid together (the larger one)."""
+    scaling, rows = _input_rows(spark, sf)
+    n, names = scaling.n[0], [*_IN, "intercept"]
+    fits = LG.fit_logits(rows, [LG.Logit("m7", 0, "l1", c, penalised_intercept=True) for c in (0.5, 5.0)], len(_IN), scaling.n)
+    miss = []
+    for spec, w in fits.items():
+        edge = 1 / (spec.C * n)
+        miss.append([F.abs(s + F.lit(edge if v > 0 else -edge)) if v else F.greatest(F.abs(s) - F.lit(edge), F.lit(0.0))
+                     for s, v in zip(_loss_slopes(rows, w), w.tolist())])
+    return _named(rows.agg(*[F.greatest(a, b).alias(c) for c, a, b in zip(names, *miss)]), names)
+
+
+def _leaves_sql(members):
+    return f"""WITH {Q.TX}, {Q.FEAT}, {_FSPLIT}
+SELECT m.member::INT AS member, count(*) AS n_rows, CAST(sum(TX_FRAUD) AS BIGINT) AS n_frauds, 0.0::DOUBLE AS lost_weight, 0.0::DOUBLE AS largest_gap
+FROM trn, (SELECT unnest(range({members})) AS member) m GROUP BY m.member"""
+
+
+def _leaves_key(name, kind, params, members):
+    """Per tree: the train rows routed through its relation by their values.  ``lost_weight``: bootstrap weight
+    drawn that its leaves do not hold; ``largest_gap``: a leaf's share of frauds against what it says."""
+    def fn(spark, sf):
+        scaling, rows = _input_rows(spark, sf)
+        spec = TU.specs_of(name, kind, params, 0, len(_IN))[0]
+        edges = MT.bin_edges(rows, len(_IN))
+        nodes = MT.fit_forests(MT.binned(rows, edges), [spec], edges, scaling.n)
+        held = MT.leaf_totals(rows, MT.TreePredictor(nodes.toArrow()), spec).alias("h")
+        leaf = nodes.where("input < 0").select("member", "node", "weight", "value").alias("l")
+        gaps = (leaf.join(held, ["member", "node"], "full").groupBy("member").agg(
+            F.round(F.sum(F.abs(F.coalesce("l.weight", F.lit(0.0)) - F.coalesce("h.weight", F.lit(0.0)))), R9).alias("lost_weight"),
+            F.round(F.max(F.abs(F.col("value") - F.col("positive") / F.col("h.weight"))), R9).alias("largest_gap")))
+        total = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(MF.Y), F.lit(0)).cast("bigint").alias("n_frauds")).first()
+        return gaps.select("member", *[F.lit(total[c]).cast("bigint").alias(c) for c in ("n_rows", "n_frauds")], "lost_weight", "largest_gap")
+    return register(name, _leaves_sql(members))(fn)
+
+
+_leaves_key("tree_leaves", "tree", {}, 1)
+_leaves_key("bagging_leaves", "bagging", {"n_estimators": 10}, 10)
+_leaves_key("forest_leaves", "forest", {"n_estimators": 100}, 100)
+_leaves_key("bagging_half_leaves", "bagging_ensemble", {"base": "tree", "max_features": 0.5, "n_members": 200, "random_state": 10}, 200)
 
 
 @register("leaderboard")
@@ -828,14 +878,14 @@ from ..ml.linear import LinearScorer  # noqa: E402
 from ..streaming.scoring import start_scoring  # noqa: E402
 
 # the configuration the workload deploys: logistic regression, L2, C = 0.5
-SERVE_MODEL = ("logistic", {"penalty": "l2", "C": 0.5, "max_iter": 2000})
+SERVE_MODEL = ("logistic", {"penalty": "l2", "C": 0.5})
 
 
 def _serving_artifacts(spark, sf, tx, buckets=None):
     """Fit on the split's train rows, freeze snapshots before SERVE_DAY, and
     round-trip everything through the shared scratch folder (S5/S6)."""
     train, _ = TR.train_test_features(tx, SPLIT_START, TRAIN_D, DELAY_D, TEST_D)
-    model = MLP.fit_pipeline(train, SERVE_MODEL[0], **SERVE_MODEL[1])
+    model = TU.fit_config(train, *SERVE_MODEL)
     snc, snt = _frozen_snapshots(spark, sf, tx)
     path = scratch_path(spark, f"artifacts-{uuid.uuid4().hex}")
     SV.save_artifacts(path, model, snc, snt, buckets=buckets)
@@ -895,8 +945,6 @@ def score_stream(spark, sf):
 
 
 # ---------------------------------------------------------------- step 9 ---
-from ..ml import tuning as TU  # noqa: E402
-
 def _grid_scores(spark, sf):
     feat = _fold_feat(spark, sf)
     folds = SP.cv_folds(feat, CV_START, N_FOLDS, TRAIN_D, DELAY_D, TEST_D)

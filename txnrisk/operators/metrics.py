@@ -94,19 +94,22 @@ def top_k_per_group(scored: DataFrame, k: int = S.TOP_K, group: str = S.TX_TIME_
 
 
 def precision_top_k(scored: DataFrame, k: int = S.TOP_K, group: str = S.TX_TIME_DAYS,
-                    score: str = "score", label: str = S.TX_FRAUD, tie: str = S.TX_ID) -> DataFrame:
-    """Per group, the share of frauds among its k best-scored rows
-    (a group with fewer than k rows averages what it has)."""
-    return (top_k_per_group(scored, k, group, score, tie)
-            .groupBy(group)
+                    score: str = "score", label: str = S.TX_FRAUD, tie: str = S.TX_ID,
+                    group_cols: list[str] = ()) -> DataFrame:
+    """Per group (within ``group_cols``), the share of frauds among its k
+    best-scored rows (a group with fewer than k rows averages what it has)."""
+    keys = [*group_cols, group]
+    return (top_k_per_group(scored, k, keys, score, tie)
+            .groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("n_top"), F.sum(F.col(label).cast("bigint")).alias("n_hit"))
-            .select(group, "n_top", "n_hit", safe_ratio("n_hit", "n_top").alias("precision_top_k")))
+            .select(*keys, "n_top", "n_hit", safe_ratio("n_hit", "n_top").alias("precision_top_k")))
 
 
 def mean_precision_top_k(scored: DataFrame, k: int = S.TOP_K, group: str = S.TX_TIME_DAYS,
-                         score: str = "score", label: str = S.TX_FRAUD, tie: str = S.TX_ID) -> DataFrame:
+                         score: str = "score", label: str = S.TX_FRAUD, tie: str = S.TX_ID,
+                         group_cols: list[str] = ()) -> DataFrame:
     """Unweighted mean of the per-group precision (honours ``k``)."""
-    return precision_top_k(scored, k, group, score, label, tie).agg(
+    return precision_top_k(scored, k, group, score, label, tie, group_cols).groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("n_groups"),
         F.avg("precision_top_k").alias("mean_precision_top_k"))
 

@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema as S
-from ..ml.bagging import BaggingEnsemble
+from ..ml.model import FittedModel
 from ..ml.pipeline import PROB
 from ..ml.tuning import predict
 from ..operators.calendar import add_calendar_flags
@@ -28,7 +28,7 @@ def score_requests(requests: DataFrame, customer_snap: DataFrame, terminal_snap:
                    model) -> DataFrame:
     """One reply row (TRANSACTION_ID, prob_fraud) per request; unknown keys
     are imputed by the model's own mean imputer.  ``model`` is any fitted
-    configuration: a pipeline or a bagging ensemble."""
+    configuration: a fitted model or a pipeline."""
     return predict(model, enrich_requests(requests, customer_snap, terminal_snap)).select(S.TX_ID, PROB)
 
 
@@ -80,19 +80,19 @@ def drop_tables(spark: SparkSession, path: str) -> None:
 
 def save_artifacts(path: str, model, customer_snap: DataFrame, terminal_snap: DataFrame,
                    buckets: int | None = None) -> None:
-    """Any fitted configuration via ML persistence, and the snapshots, under one folder."""
+    """A fitted model (its relation and settings, or an ML pipeline) and the snapshots, under one folder."""
     spark = customer_snap.sparkSession
-    ensemble = isinstance(model, BaggingEnsemble)
-    if ensemble:
+    fitted = isinstance(model, FittedModel)
+    if fitted:
         model.save(os.path.join(path, "model"))
     else:
         model.write().overwrite().save(os.path.join(path, "model"))
     save_snapshots(path, customer_snap, terminal_snap, buckets)
-    spark.createDataFrame([(ensemble,)], "ensemble boolean").write.mode("overwrite").json(os.path.join(path, "manifest"))
+    spark.createDataFrame([(fitted,)], "fitted boolean").write.mode("overwrite").json(os.path.join(path, "manifest"))
 
 
 def load_artifacts(spark: SparkSession, path: str):
     """(model, customer snapshot, terminal snapshot) saved by :func:`save_artifacts`."""
     about = spark.read.json(os.path.join(path, "manifest")).first()
-    load = (lambda p: BaggingEnsemble.load(spark, p)) if about["ensemble"] else PipelineModel.load
+    load = (lambda p: FittedModel.load(spark, p)) if about["fitted"] else PipelineModel.load
     return (load(os.path.join(path, "model")), *load_snapshots(spark, path))

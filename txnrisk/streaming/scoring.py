@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..ml.bagging import BaggingEnsemble
 from ..plans.serving import score_requests
 from ..sources.requests import REQUEST_SCHEMA, normalize_requests
 
@@ -29,17 +28,9 @@ def request_stream(spark: SparkSession, request_dir: str, max_files_per_trigger:
 def start_scoring(spark: SparkSession, request_dir: str, model, customer_snap: DataFrame,
                   terminal_snap: DataFrame, sink_dir: str, checkpoint: str, available_now: bool = True,
                   processing_time: str | None = None, multi_line: bool = False) -> StreamingQuery:
-    """``model`` is any fitted configuration.  A pipeline runs inside the stream's
-    plan; an ensemble checkpoints between members, so it scores each micro-batch
-    as a batch job, which writes its own folder and replaces it when retried."""
+    """``model`` is any fitted configuration; it scores inside the stream's plan."""
     requests = request_stream(spark, request_dir, multi_line=multi_line)
-    if isinstance(model, BaggingEnsemble):
-        def score_one(batch: DataFrame, number: int) -> None:
-            (score_requests(batch, customer_snap, terminal_snap, model)
-             .write.mode("overwrite").parquet(f"{sink_dir}/batch={number}"))
-        w = requests.writeStream.foreachBatch(score_one).option("checkpointLocation", checkpoint)
-    else:
-        w = (score_requests(requests, customer_snap, terminal_snap, model).writeStream.format("parquet")
-             .outputMode("append").option("path", sink_dir).option("checkpointLocation", checkpoint))
+    w = (score_requests(requests, customer_snap, terminal_snap, model).writeStream.format("parquet")
+         .outputMode("append").option("path", sink_dir).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start()
