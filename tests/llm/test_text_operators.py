@@ -455,7 +455,7 @@ def test_pii_bootstrapping_finds_unseen_identifiers(spark, empty, odd):
 @settings(max_examples=400, deadline=None)
 def test_pieces_give_the_same_ids(text):
     e = tokens.encoder(tokens.vocabulary_path())
-    assert np.frombuffer(e([text])[0], "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(e(text), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>  y\n", "don<|endoftext|>'t a.<|endoftext|><|endoftext|> 1", "<|endoftext|"])
@@ -463,17 +463,25 @@ def test_added_tokens_as_the_library_encodes_them(text):
     from tokenizers import Tokenizer
     fresh = Tokenizer.from_file(tokens.vocabulary_path())
     e = tokens.encoder(tokens.vocabulary_path())
-    assert np.frombuffer(e([text])[0], "<u4").tolist() == fresh.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(e(text), "<u4").tolist() == fresh.encode(text, add_special_tokens=False).ids
 
 
-def test_piece_cache_stays_bounded(monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE", 40)
-    e = tokens.PieceEncoder(tokens.vocabulary_path())
-    texts = [" ".join(f"w{i}{chr(97 + j % 26)}" for j in range(i, i + 12)) for i in range(0, 60, 4)]
-    for lo in range(0, len(texts), 2):
-        for t, got in zip(texts[lo:lo + 2], e(texts[lo:lo + 2])):
-            assert np.frombuffer(got, "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
-        assert len(e.cache) <= 40 + 40
+def test_piece_cache_stays_bounded():
+    e = tokens.PieceEncoder(tokens.vocabulary_path(), cache_bytes=20_000)
+    texts = [" ".join(f"w{i}{chr(97 + j % 26)}" + "x" * (j % 3 * 70) for j in range(i, i + 40)) for i in range(0, 400, 4)]
+    for t in texts:
+        assert np.frombuffer(e(t), "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+        assert e.held <= 40_000
+
+
+SPACES = " \n\t\r\x85\xa0\u3000\x1c"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(SPACES + "  \n\n" + "abcdefgzABÉß日'.,!?019<|>"), max_size=40))
+def test_lines_and_words_give_the_same_ids(text):
+    e = tokens.encoder(tokens.vocabulary_path())
+    assert np.frombuffer(e(text), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def check_tokens(rows, docs):

@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 from .tables import new_path, read_table
 
 END_ID = 2
-#: entries of a worker's piece cache; when full, the later half goes (frequent pieces come early)
-CACHE = 800_000
+#: bytes of pieces and ids that a worker remembers; when full, the later half goes (frequent pieces come early)
+CACHE_BYTES = 224 << 20
+#: bytes of an entry besides its piece and ids
+ENTRY = 170
+#: longer pieces are encoded each time
+CACHE_PIECE = 128
 #: bytes of text encoded into one Arrow batch
 BATCH = 1 << 21
 FILE_OPTIONS = {
@@ -35,6 +39,9 @@ LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 MARK = "!\"#$%&()*+,\\-./:;<=>?@\\[\\]|"
 #: cuts only where the pre-tokenizer cuts too: around runs of white space, and between a word and a mark
 PIECE = re.compile(f"[{SPACE}]+(?![^{SPACE}])| ?[{LETTER}]+(?=[{SPACE}{MARK}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]")
+OTHER_SPACE = re.compile(f"[{SPACE.replace(' ', '').replace(chr(9) + '-' + chr(13), chr(9) + chr(11) + '-' + chr(13))}]")
+#: a word of certain letters, and marks after it: the pre-tokenizer cuts between the two
+PLAIN = re.compile(f"([{LETTER}]+)([{MARK}]*)")
 
 _tokenizers: dict = {}
 
@@ -48,27 +55,38 @@ class PieceEncoder:
     """The tokenizer with a cache of encoded pieces.  White space always starts a new token, and so
     does an added token (such as <|endoftext|>), so the ids of a text are the ids of its pieces one
     after the other; each distinct piece is encoded once.  Ids are kept as little-endian unsigned
-    32-bit bytes."""
+    32-bit bytes.
 
-    def __init__(self, path: str):
+    Where its only white space is blanks and line ends that do not meet (two line ends may), a text
+    falls into lines and these into words: a line end is one token, and a blank begins the token of
+    the word after it.  Other texts are cut by PIECE."""
+
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
-        self.cache: dict[str, bytes] = {}
-
-    def learn(self, pieces: set[str]) -> None:
-        if len(self.cache) + len(pieces) > CACHE:
-            for piece in list(itertools.islice(self.cache, CACHE // 2, None)):
-                del self.cache[piece]
-        new = list(pieces)
-        e = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-        raw = np.array(e.ids, "<u4").tobytes()
-        ends = 4 * np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(new)))
-        for piece, a, b in zip(new, [0, *ends.tolist()], ends.tolist()):
-            self.cache[piece] = raw[a:b]
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}          # ids of a blank and the word
+        self.held, self.limit = 0, cache_bytes
+        self.line_end = self.encode(["\n"])[0]
 
-    def pieces(self, text: str) -> list[str]:
+    def encode(self, pieces: list[str]) -> list[bytes]:
+        e = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        raw = np.array(e.ids, "<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(pieces)))).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def keep(self, cache: dict, found: dict[str, bytes]) -> None:
+        short = {p: x for p, x in found.items() if len(p) <= CACHE_PIECE}
+        cache.update(short)
+        self.held += sum(map(len, short)) + sum(map(len, short.values())) + ENTRY * len(short)
+        if self.held > self.limit:
+            for c in (self.words, self.pieces):
+                for piece in list(c)[len(c) // 2:]:
+                    self.held -= len(piece) + len(c.pop(piece)) + ENTRY
+
+    def cut(self, text: str) -> list[str]:
         if self.added is None or not self.added.search(text):
             return PIECE.findall(text)
         out = []
@@ -76,24 +94,54 @@ class PieceEncoder:
             out += [x] if i % 2 else PIECE.findall(x)
         return out
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; the pieces that none had before are encoded together."""
-        out, late, unknown = [], [], set()
-        for text in texts:
-            pieces = self.pieces(text)
-            ids = list(map(self.cache.get, pieces))
-            if None in ids:
-                late.append((len(out), pieces, ids))
-                unknown.update(itertools.compress(pieces, [x is None for x in ids]))
-                out.append(b"")
-            else:
-                out.append(b"".join(ids))
-        if unknown:
-            self.learn(unknown)
-            for i, pieces, ids in late:
-                out[i] = b"".join([self.cache[p] if x is None else x for p, x in zip(pieces, ids)])
+    def encode_pieces(self, cuts: list[list[str]]) -> list[bytes]:
+        """The ids of each list of pieces; those that none had before are encoded together."""
+        known = self.pieces
+        new = list({p for pieces in cuts for p in pieces if p not in known})
+        found = dict(zip(new, self.encode(new))) if new else {}
+        out = [b"".join([known.get(p) or found[p] for p in pieces]) for pieces in cuts]
+        self.keep(known, found)
         return out
 
+    def encode_words(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of new words and the blank before each.  Of letters and the marks after them, both are
+        encoded once."""
+        parts, other, known = [], [], self.words
+        for w in new:
+            m = PLAIN.fullmatch(w)
+            if m:
+                parts.append((w, m[1], m[2]))
+            else:
+                other.append(w)
+        stems = list({stem for _, stem, _ in parts if stem not in known})
+        found = dict(zip(stems, self.encode([" " + stem for stem in stems])))
+        marks = list({mark for _, _, mark in parts if mark})
+        after = dict(zip(marks, self.encode_pieces([[mark] for mark in marks])))
+        for w, stem, mark in parts:
+            ids = known.get(stem) or found[stem]
+            found[w] = ids + after[mark] if mark else ids
+        found.update(zip(other, self.encode_pieces([PIECE.findall(" " + w) for w in other])))
+        self.keep(known, found)
+        return found
+
+    def __call__(self, text: str) -> bytes:
+        """The ids of a text."""
+        if ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text or text.endswith("\n\n")
+                or OTHER_SPACE.search(text) or self.added is not None and self.added.search(text)):
+            return self.encode_pieces([self.cut(text)])[0]
+        lines = [line.split(" ") for line in text.split("\n")]
+        heads = self.encode_pieces([PIECE.findall(words[0]) for words in lines])
+        ids = self.words.__getitem__
+        for _ in range(2):
+            try:
+                return self.line_end.join([head + b"".join(map(ids, words[1:])) for head, words in zip(heads, lines)])
+            except KeyError:
+                need = set(itertools.chain.from_iterable(words[1:] for words in lines))
+                have = {w: x for w in need if (x := self.words.get(w))}
+                have.update(self.encode_words([w for w in need if w not in have]))
+        # a long word, or the later half has just gone
+        return self.line_end.join([head + b"".join([have[w] for w in words[1:]]) for head, words in zip(heads, lines)])
+
 
 def encoder(path: str) -> PieceEncoder:
     """One encoder per Python worker, kept between its tasks."""
@@ -123,7 +171,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // BATCH)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(texts)]):
-                blobs = [x + end for x in enc(pc.fill_null(texts.slice(lo, hi - lo), "").to_pylist())]
+                blobs = [x + end for x in map(enc, pc.fill_null(texts.slice(lo, hi - lo), "").to_pylist())]
                 n = np.array([len(x) // 4 for x in blobs], np.int64)
                 ends = np.cumsum(n)
                 lists = pa.ListArray.from_arrays(
