@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .tables import components, fixed_bitmap, flags, read_table, release, save
@@ -24,8 +24,8 @@ SKETCH_BITS = 22
 SKETCH_ROW = 1 << 16
 #: first-level partial sums of the sketch
 SKETCH_SALT = 16
-#: cells of the suffix filter's histogram
-CELLS = 128
+#: parts of the token space in the suffix filter: one bit each
+PARTS = 1024
 
 _U = np.uint64
 
@@ -55,12 +55,13 @@ def linked(common: int, na: int, nb: int, percent: int) -> bool:
 
 
 def profile(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, c1, c2, n, cells) by document, and the sketch of all shingle counts.
+    """(doc_id, c1, c2, n, bits) by document, and the sketch of all shingle counts.  ``bits``: whether the
+    set has an odd number of shingles in each part of the token space.
 
     One pass writes both: the rows of the documents, and from each task its part of the sketch in
     blocks, which are then added up in two salted steps of bounded memory."""
-    names = ["doc_id", "c1", "c2", "n", "cells", "counts"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int16()), pa.binary()]
+    names = ["doc_id", "c1", "c2", "n", "bits", "counts"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
 
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, np.uint32)
@@ -78,8 +79,8 @@ def profile(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
             if b is not last:
                 ids, last = b.column(0).to_pylist(), b
             s = shingle_set(h, k)
-            cells = np.bincount((s & _U(CELLS - 1)).astype(np.int64), minlength=CELLS)
-            rows.append((ids[i], *class_key(s), len(s), np.minimum(cells, 32767).astype(np.int16), None))
+            odd = np.bincount((s & _U(PARTS - 1)).astype(np.int64), minlength=PARTS) & 1
+            rows.append((ids[i], *class_key(s), len(s), np.packbits(odd.astype(np.uint8)).view(np.int64), None))
             sets.append(s)
             size += len(s) + 50
             if size >= 1_000_000:
@@ -93,7 +94,7 @@ def profile(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v], t) for v, t in zip((None, None, None, -1 - r, None, part.astype("<u4").tobytes()), kinds)], names=names)
 
-    both = save(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, c1 long, c2 long, n long, cells array<smallint>, counts binary"),
+    both = save(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, c1 long, c2 long, n long, bits array<long>, counts binary"),
                 "jaccard-profile", {"compression": "zstd"})
 
     def add(batches):
@@ -115,6 +116,20 @@ def profile(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
     return both.where("n >= 0").drop("counts"), sketch
 
 
+def rows_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(text) of the documents whose doc_id is among ``nodes`` (node), and of a few others: a bitmap of fixed
+    size thins them before any text is looked at."""
+    bits = docs.sparkSession.sparkContext.broadcast(fixed_bitmap(nodes, F.xxhash64("node")))
+
+    def run(batches):
+        keep = flags(bits.value)
+        for b in batches:
+            spot = (b.column(0).to_numpy().view(_U) >> _U(42)).astype(np.int64)
+            yield b.filter(pa.array(keep[spot])).select(["text"])
+
+    return docs.select(F.xxhash64(F.col("doc_id").cast("long")).alias("h"), "text").mapInArrow(run, "text string")
+
+
 def prefixes(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
     """(token, c1, pos): the prefix shingles of every class, once per task."""
     def run(batches):
@@ -170,24 +185,14 @@ def sets_of(docs: DataFrame, k: int, wanted: DataFrame, name: str) -> DataFrame:
         if out:
             yield flush()
 
-    made = docs.select("text").mapInArrow(run, "c1 long, c2 long, set binary")
+    made = rows_of(docs, wanted).mapInArrow(run, "c1 long, c2 long, set binary")
     return save(made.join(wanted, ["c1", "c2"]).select("node", "set").dropDuplicates(["node"]), name)
 
 
 def by_suffix(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Suffix filter: the sets' counts in 128 parts of the token space differ by at least the size of
-    the symmetric difference's lower bound; pairs whose bound is too large are dropped."""
-    def run(batches):
-        for b in batches:
-            na, nb = (b.column(i).to_numpy().astype(np.int64) for i in (2, 4))
-            ca, cb = (b.column(i).flatten().to_numpy(zero_copy_only=False).reshape(-1, CELLS).astype(np.int64) for i in (3, 5))
-            need = -(-percent * (na + nb) // (100 + percent))
-            keep = np.abs(ca - cb).sum(1) <= na + nb - 2 * need
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep))
-
-    side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("cells").alias(f"cells_{c}"))
-    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "cells_a", "n_b", "cells_b")
-            .mapInArrow(run, "a long, b long"))
+    """The pairs (a, b) of nodes that pass the suffix filter."""
+    side = lambda c: classes.select(F.col("node").alias(c), F.struct("n", "bits").alias(f"s_{c}"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b").where(suffix_near("s_a", "s_b", percent)).select("a", "b"))
 
 
 def verified(docs: DataFrame, k: int, percent: int, pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -221,9 +226,10 @@ def near(a: str, b: str, percent: int) -> "F.Column":
 
 
 def suffix_near(a: str, b: str, percent: int) -> "F.Column":
-    """The suffix filter of :func:`by_suffix` as a join condition."""
-    return F.expr(f"""aggregate(zip_with({a}.cells, {b}.cells, (u, v) -> abs(int(u) - int(v))), 0, (s, d) -> s + d)
-        <= {a}.n + {b}.n - 2 * (({percent} * ({a}.n + {b}.n) + {99 + percent}) div {100 + percent})""")
+    """Suffix filter: each shingle that only one of two sets holds changes one part's parity, so the sets
+    differ by at least as many shingles as they have parts of different parity; too many rule the pair out."""
+    differ = " + ".join(f"bit_count({a}.bits[{i}] ^ {b}.bits[{i}])" for i in range(PARTS // 64))
+    return F.expr(f"{differ} <= {a}.n + {b}.n - 2 * (({percent} * ({a}.n + {b}.n) + {99 + percent}) div {100 + percent})")
 
 
 def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
@@ -237,11 +243,12 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     spark = docs.sparkSession
     prof, counts = profile(docs, k)
     classes = save(prof.where("n > 0 and doc_id is not null").groupBy("c1", "c2")
-                   .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("cells").alias("cells")), "jaccard-classes")
-    entries = save(prefixes(docs, k, percent, spark.sparkContext.broadcast(counts)), "jaccard-prefixes")
-    shared = entries.groupBy("token").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi")).where("lo <> hi").select("token")
-    open_ = save(entries.join(shared, "token").join(classes.select("c1", "node", "n"), "c1"), "jaccard-shared")
-    release(entries)
+                   .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bits").alias("bits")), "jaccard-classes")
+    # entries meet by token in one shuffle; tokens of one class alone are dropped before anything is written
+    whole = Window.partitionBy("token")
+    entries = (prefixes(rows_of(docs, classes), k, percent, spark.sparkContext.broadcast(counts))
+               .select("*", F.min("c1").over(whole).alias("lo"), F.max("c1").over(whole).alias("hi")).where("lo <> hi").drop("lo", "hi"))
+    open_ = save(entries.join(classes.select("c1", "node", "n"), "c1"), "jaccard-shared")
     # one hub for each token, chosen by a mask, so that a group of copies has many hubs
     masked = F.min(F.col("c1").bitwiseXOR(F.col("token"))).alias("h")
     hubs = (open_.groupBy("token").agg(masked).select("token", F.col("h").bitwiseXOR(F.col("token")).alias("c1"))
@@ -254,7 +261,7 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     split = open_.join(groups, "node", "left").select(
         "token", "node", "n", "pos", F.coalesce("component", "node").alias("component"))
     mixed = split.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    rest = save(split.join(mixed.select("token"), "token").join(classes.select("node", "cells"), "node"), "jaccard-rest")
+    rest = save(split.join(mixed.select("token"), "token").join(classes.select("node", "bits"), "node"), "jaccard-rest")
     cross = (rest.alias("x").join(rest.alias("y"), "token").where("x.component < y.component")
              .where(near("x", "y", percent)).where(suffix_near("x", "y", percent))
              .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
