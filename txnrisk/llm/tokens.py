@@ -20,7 +20,7 @@ from .tables import new_path, read_table
 
 END_ID = 2
 #: bytes of pieces and ids that a worker remembers; when full, the later half goes (frequent pieces come early)
-CACHE_BYTES = 224 << 20
+CACHE_BYTES = 160 << 20
 #: bytes of an entry besides its piece and ids
 ENTRY = 170
 #: longer pieces are encoded each time
@@ -72,9 +72,9 @@ class PieceEncoder:
         self.line_end = self.encode(["\n"])[0]
 
     def encode(self, pieces: list[str]) -> list[bytes]:
-        e = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        raw = np.array(e.ids, "<u4").tobytes()
-        ends = (4 * np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(pieces)))).tolist()
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        raw = np.fromiter(itertools.chain.from_iterable(ids), "<u4").tobytes()
+        ends = list(itertools.accumulate(4 * len(x) for x in ids))
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def keep(self, cache: dict, found: dict[str, bytes]) -> None:
