@@ -211,6 +211,9 @@ def test_warc_records_round_trip(spark, tmp_path):
             assert fields["WARC-Block-Digest"] == warc.digest(rest[:n].decode()) and fields["WARC-Refers-To"].startswith("<urn:uuid:")
             raw, found = rest[n + 4:], found + 1
     assert found == 10
+    undated = warc.derivatives(warc.responses(pages.limit(1)).withColumn("date", F.lit(None).cast("string")).withColumn("block", F.lit(1)))
+    texts = [r.value for r in warc.record_text(undated).collect()]
+    assert len(texts) == 2 and all(f"WARC-Date: {warc.NO_DATE}\r\n" in t and "Refers-To-Date" not in t for t in texts)
     assert warc.derivatives(warc.responses(pages.limit(0))).count() == 0
 
 
@@ -336,6 +339,9 @@ def test_top_k_waves_ties_and_odd_vectors(spark):
             best = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in plain if i != q and len(x) == len(y))[:10]
             assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
     assert topk.exact_top_k(v.limit(0), v.limit(0)).count() == 0
+    same = topk.integer_vectors(spark.createDataFrame([(100, [1.0, 2.0]), (100, [3.0, 4.0]), (7, [1.0, 1.0])], "vec_id long, embedding array<double>"))
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score >> 20) for r in topk.exact_top_k(same, same.where("vec_id = 100")).collect())
+    assert got == [(100, 1, 100, 11), (100, 1, 100, 11), (100, 2, 7, 3), (100, 2, 7, 7)]
 
 
 # --- 7 mixing -------------------------------------------------------------------------------

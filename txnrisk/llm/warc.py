@@ -27,6 +27,8 @@ TAG = re.compile(r"<(/?[a-zA-Z][a-zA-Z0-9-]*|[!?])(?:[^'\">]++|\"[^\"]*+\"|'[^']
 BLOCKS = frozenset("address article aside blockquote body br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 head "
                    "header hr html li main nav ol p pre section table td th title tr ul".split())
 TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+#: the date of a record that has none
+NO_DATE = "1970-01-01T00:00:00Z"
 LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 HREF = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPACES = re.compile(r"[ \t\f\v\r\xa0]+")
@@ -69,7 +71,8 @@ def derivatives(responses: DataFrame) -> DataFrame:
     """Two records for each response of (page_id, url, date, http, html).
 
     A null page counts as an empty one: its text block is empty, its metadata block has the source
-    fields alone.  A null url leaves the target URI out.  Repeated rows give equal records with
+    fields alone.  A null http leaves those out, a null url the target URI; a null date stays null here.
+    Other columns are not read, whatever their names.  Repeated rows give equal records with
     equal identifiers; an empty table gives none.  Long pages are parsed in linear time."""
     names = [f.split()[0] for f in RECORD.split(", ")]
 
@@ -95,13 +98,14 @@ def responses(pages: DataFrame, date: str = DATE, http: str = HTTP) -> DataFrame
 
 
 def record_text(records: DataFrame) -> DataFrame:
-    """``value``: header lines, an empty line and the block of each record."""
+    """``value``: header lines, an empty line and the block of each record.  The format demands a date, so
+    a null one is written as :data:`NO_DATE`, and the date of what the record refers to is left out."""
     line = lambda name, c: F.concat(F.lit(f"{name}: "), c, F.lit("\r\n"))
     opt = lambda name, c: F.coalesce(line(name, c), F.lit(""))
     return records.select(F.concat(
         F.lit("WARC/1.1\r\n"), line("WARC-Type", F.col("record_type")), line("WARC-Record-ID", F.col("record_id")),
-        line("WARC-Date", F.col("date")), line("WARC-Refers-To", F.col("refers_to")), opt("WARC-Target-URI", F.col("target_uri")),
-        opt("WARC-Refers-To-Target-URI", F.col("target_uri")), line("WARC-Refers-To-Date", F.col("date")),
+        line("WARC-Date", F.coalesce("date", F.lit(NO_DATE))), line("WARC-Refers-To", F.col("refers_to")), opt("WARC-Target-URI", F.col("target_uri")),
+        opt("WARC-Refers-To-Target-URI", F.col("target_uri")), opt("WARC-Refers-To-Date", F.col("date")), opt("WARC-Payload-Digest", F.col("payload_digest")),
         line("WARC-Block-Digest", F.col("block_digest")), line("Content-Type", F.col("content_type")),
         line("Content-Length", F.col("content_length").cast("string")), F.lit("\r\n"), F.col("block")).alias("value"))
 
