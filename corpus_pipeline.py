@@ -19,13 +19,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by a similarity of 0.8 on 5-word shingles, the smallest doc_id stays,
-    once.  Texts without words, and rows without doc_id, stay as they are."""
-    groups = save(jaccard.jaccard_groups(docs.select("doc_id", "text"), k=5, percent=80), "pipeline-groups")
-    out = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    again = groups.where("n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("doc_id")
-    kept = docs.join(out, "doc_id", "left_anti")
-    return (kept.join(again, "doc_id", "left_anti")
-            .unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns))
+    once.  Texts without words, and rows without doc_id, stay as they are.  Where one doc_id stands
+    for several texts, each text is a document of its own, which comes after those of other ids."""
+    name = F.xxhash64("text")
+    several = save(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).agg(F.min(name).alias("lo"), F.max(name).alias("hi"))
+                   .where("lo <> hi").select("__id"), "pipeline-several")
+    own = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
+    docs_ = docs.join(several, docs["doc_id"] == several["__id"], "left").withColumn(
+        "__key", F.when(F.col("__id").isNotNull(), own).otherwise(F.col("doc_id").cast("long"))).drop("__id")
+    groups = save(jaccard.jaccard_groups(docs_.select(F.col("__key").alias("doc_id"), "text"), k=5, percent=80), "pipeline-groups").withColumnRenamed("doc_id", "__key")
+    out = groups.where("component_id <> __key").select("__key").distinct()
+    again = groups.where("n_shingles > 0").groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key")
+    kept = docs_.join(out, "__key", "left_anti")
+    return (kept.join(again, "__key", "left_anti")
+            .unionByName(kept.join(again, "__key", "left_semi").dropDuplicates(["__key"])).select(docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +43,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows are repeated as the mix takes them: whole repetitions, and one more where the fractional
-    one takes at least half of the words.  Documents without words, and rows without doc_id, stay once."""
-    sizes = save(docs.where("doc_id is not null").select("doc_id", "source", mixing.word_count().alias("size")).dropDuplicates(["doc_id"]), "pipeline-sizes")
+    one takes at least half of the words.  Documents without words, and rows without doc_id, stay once.
+    Rows of one doc_id are taken alike, by the smallest source and size among them."""
+    one = F.min(F.struct("source", mixing.word_count().alias("size"))).alias("one")
+    sizes = save(docs.where("doc_id is not null").groupBy("doc_id").agg(one).select("doc_id", "one.source", "one.size"), "pipeline-sizes")
     copies = mixing.mix_sources(sizes).select(
         "doc_id", F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(1).cast("int").alias("__copies"))
     return (docs.join(copies, "doc_id", "left").withColumn("__copies", F.coalesce("__copies", F.lit(1))).where("__copies > 0")

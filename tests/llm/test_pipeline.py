@@ -64,3 +64,12 @@ def test_stage_columns_and_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, frame, SMALL).columns == docs.columns
         assert corpus_pipeline.shard(spark, frame, SMALL).count() == frame.count()
+
+
+def test_one_id_of_several_texts_loses_none(spark):
+    p, q, r = (" ".join(f"{c}{i}" for i in range(30)) for c in "pqr")
+    rows = [(1, p), (2, p), (2, q), (3, r), (3, "a text of its own kind here"), (3, r), (4, q + " more"), (5, r)]
+    docs = spark.createDataFrame([(d, t, "en", "a", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    out = sorted((x.doc_id, x.text) for x in corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect())
+    assert out == sorted([(1, p), (4, q + " more"), (5, r), (3, "a text of its own kind here")])
+    assert corpus_pipeline.mix(spark, docs, SMALL).columns == docs.columns
