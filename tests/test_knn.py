@@ -2,13 +2,55 @@ import numpy as np
 from conftest import SF0001
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from txnrisk import schema as S
 from txnrisk.ml import knn as K
-from txnrisk.ml.pipeline import prepare, preprocessing_stages
+from txnrisk.ml.pipeline import PROB, prepare, preprocessing_stages
 from txnrisk.plans.training import train_test_features
 from txnrisk.sources import load_transactions
 
+COLS = ["a", "b", "c"]
+
+
+def brute(query, train, ids, k):
+    out = []
+    for q in query:
+        d = [sum((x - y) ** 2 for x, y in zip(q, t)) for t in train]
+        out.append([i for _, _, i in sorted((d[i], ids[i], i) for i in range(len(train)))[:k]])
+    return out
+
+
+def test_nearest_equals_brute_force_in_slabs(monkeypatch):
+    rnd = np.random.default_rng(0)
+    train = rnd.integers(0, 4, (200, 3)).astype(float)         # many ties
+    query = rnd.integers(0, 4, (50, 3)).astype(float)
+    ids = rnd.permutation(200)
+    monkeypatch.setattr(K, "SLAB", 700)
+    for k in (1, 5, 199, 200, 300):
+        assert [n.tolist() for n, _ in K.slabs(query, train, ids, k)] == brute(query, train, ids, k)
+
+
+def test_all_rows_by_pivots_equal_the_matrix(spark, monkeypatch):
+    """More train rows than the matrix may hold, a chunk that most test rows meet, ties and odd values."""
+    rnd = np.random.default_rng(1)
+    n = 1500
+    x = np.concatenate([rnd.normal(size=(900, 3)), np.zeros((300, 3)), rnd.normal(5, 0.1, size=(300, 3))]).round(2)
+    rows = [(int(i), *map(float, v), int(rnd.random() < 0.3)) for i, v in zip(rnd.permutation(n), x)]
+    train = spark.createDataFrame(rows, "TRANSACTION_ID long, a double, b double, c double, TX_FRAUD int")
+    q = np.concatenate([rnd.normal(size=(100, 3)), np.zeros((150, 3)), [[100.0, 0, 0]]])
+    test = spark.createDataFrame([(i % 200, *map(float, v)) for i, v in enumerate(q)], "TRANSACTION_ID long, a double, b double, c double")
+    test = test.withColumn("b", F.when(F.col("TRANSACTION_ID") != 3, F.col("b")))
+    monkeypatch.setattr(K, "PIVOTS", 12)
+    monkeypatch.setattr(K, "CHUNK_ROWS", 40)
+    monkeypatch.setattr(K, "QUERY_ROWS", 25)
+    key = lambda df: sorted((tuple(-9.0 if v is None else v for v in r)) for r in df.select("TRANSACTION_ID", *COLS, PROB).collect())
+    for k in (1, 5, 60):
+        assert key(K.knn_scores(train, test, k, COLS, max_matrix_rows=n - 1)) == key(K.knn_scores(train, test, k, COLS))
+    few = train.limit(3)
+    assert key(K.knn_scores(few, test, 5, COLS, max_matrix_rows=2)) == key(K.knn_scores(few, test, 5, COLS))
+    assert K.knn_scores(train, test.limit(0), 5, COLS, max_matrix_rows=10).count() == 0
+
 
 def test_blocked_knn_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(K, "SLAB", 2_000)

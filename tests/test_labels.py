@@ -47,3 +47,41 @@ def test_sample_per_day_sizes(spark):
     s = LB.sample_per_day(tx, S.TERMINAL_ID, 2, last)
     counts = {r[0]: r[1] for r in s.groupBy(LB.START).count().collect()}
     assert sorted(counts) == list(range(last + 1)) and set(counts.values()) == {2}
+
+
+def _draws(spark):
+    from pyspark.sql import functions as F
+    return spark.range(3000).select((F.col("id") % 5).alias(LB.START), F.col("id").alias(S.TX_ID)).union(
+        spark.createDataFrame([(9, 1), (9, 2), (10, 1), (11, 1), (11, 2), (11, 3)], "a bigint, b bigint"))
+
+
+def test_selection_equals_ranking(spark):
+    from hashlib import md5
+    rows = [tuple(r) for r in _draws(spark).collect()]
+    want = set()
+    for day in {d for d, _ in rows}:
+        ranked = sorted((md5(f"{i}:{d}".encode()).hexdigest(), i) for d, i in rows if d == day)
+        want |= {(day, i) for _, i in ranked[:len(ranked) // 3]}
+    assert {tuple(r) for r in LB.sample_fraction(_draws(spark)).collect()} == want
+    narrow = LB.draw_limits(_draws(spark), select_rows=2).collect()          # narrowed down digit by digit
+    assert {r[LB.START] for r in narrow} == {d for d, _ in want}
+    assert {(r[LB.START], r["__lid"]) for r in narrow} <= want
+
+
+def test_interval_joins_against_plain_loops_without_broadcast(spark):
+    tx = load_transactions(spark, SF0001).limit(600)
+    ivals = [(0, 3, 1), (2, 20, 1), (5, 6, 2), (7, 7, 3), (1, 15, 4), (14, 28, 4), (3, 4, None)]
+    df = spark.createDataFrame([(s, e, k) for s, e, k in ivals], f"{LB.START} bigint, {LB.END} bigint, {S.CUSTOMER_ID} bigint")
+    rows = [(r[S.TX_ID], r[S.CUSTOMER_ID], r[S.TX_TIME_DAYS]) for r in tx.collect()]
+    want = sorted((i, s, e) for i, c, d in rows for s, e, k in ivals if k is not None and k == c and s <= d < e)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for t in ("-1", "10MB"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", t)
+            got = LB.interval_matches(tx, df, S.CUSTOMER_ID)
+            assert sorted((r[S.TX_ID], r[LB.START], r[LB.END]) for r in got.collect()) == want
+            flagged = {r[S.TX_ID] for r in LB.in_intervals(tx, df, S.CUSTOMER_ID, "hit").where("hit").collect()}
+            assert flagged == {i for i, _, _ in want}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(want) > 0

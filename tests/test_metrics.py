@@ -83,3 +83,15 @@ def test_one_sd_rule(spark):
     r = select_one_sd(df).first()
     assert r["config"] == "c"
     assert round(r["threshold"], 5) == 0.56087
+
+
+def test_each_group_has_edges_of_its_own(spark):
+    """A group whose scores lie within 1e-6 is spread over buckets like the others."""
+    from pyspark.sql import functions as F
+
+    from txnrisk.operators.metrics import _score_buckets
+    df = spark.range(4000).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 2 == 0, F.col("id") / 4000)
+                                  .otherwise(0.5 + F.col("id") / 4e9).alias("score"))
+    got = _score_buckets(df, "score", 8, ["g"]).groupBy("g", "__sb").count().collect()
+    assert {(r["g"], r["__sb"]) for r in got} == {(g, float(b)) for g in (0, 1) for b in range(8)}
+    assert all(200 < r["count"] < 300 for r in got)

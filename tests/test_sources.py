@@ -44,3 +44,30 @@ def test_request_body_array_and_files(spark):
     assert read_requests(spark, d, multi_line=True).count() == 2
     out = reply_records(df.withColumn("prob_fraud", F.lit(0.25))).collect()
     assert json.loads(out[0]["value"]).keys() == {"TRANSACTION_ID", "prob_fraud"}
+
+
+def test_malformed_records_are_quarantined(spark, tmp_path):
+    from txnrisk.sources.requests import sort_out_arrays, sort_out_files, sort_out_lines
+    good = '{"TRANSACTION_ID":1,"TX_DATETIME":1704103200250,"CUSTOMER_ID":5,"TERMINAL_ID":6,"TX_AMOUNT":1.5,"more":[1]}'
+    bad = ['{"TRANSACTION_ID":2,"TX_DATETIME":17041', "", "[]", "null", '{"TX_DATETIME":1704103200250}', '{"TRANSACTION_ID":3,"TX_DATETIME":"soon"}',
+           '{"TRANSACTION_ID":"x4","TX_DATETIME":1704103200250}', '{"TRANSACTION_ID":5,"CUSTOMER_ID":{"a":1}}']
+    sparse = '{"TRANSACTION_ID":9}'
+    parsed = sort_out_lines(spark.createDataFrame([(x,) for x in [good, sparse, *bad, None]], "value string"))
+    assert sorted(r[S.TX_ID] for r in parsed.requests.collect()) == [1, 9]
+    assert sorted(r["raw"] for r in parsed.quarantined.collect()) == sorted([*bad, ""])
+    arrays = sort_out_arrays(spark.createDataFrame([(f"[{good}, {sparse}]",), (f"[{good},",), (f'[{sparse}, {bad[4]}, 7]',), ("[]",), (None,)], "body string"))
+    assert sorted(r[S.TX_ID] for r in arrays.requests.collect()) == [1, 9, 9]
+    assert sorted(r["raw"] for r in arrays.quarantined.collect()) == sorted([f"[{good},", bad[4], "7", ""])
+    (tmp_path / "a.json").write_text("\n".join([good, bad[0], sparse, ""]))
+    files = sort_out_files(spark, str(tmp_path))
+    assert files.requests.count() == 2 and [r["raw"] for r in files.quarantined.collect()] == [bad[0]]
+
+
+def test_streams_leave_malformed_records_out(spark, tmp_path):
+    from txnrisk.streaming.scoring import request_stream
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"TRANSACTION_ID":1,"TX_DATETIME":"1704103200250"}\n{"TRANSACTION_ID":2,"TX\n{"CUSTOMER_ID":3}\n')
+    q = (request_stream(spark, str(tmp_path / "in")).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [r[S.TX_ID] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [1]

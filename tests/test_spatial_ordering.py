@@ -32,7 +32,7 @@ def test_customer_terminal_lists(spark):
 
 def test_chronological_id_dense_and_ordered(spark):
     tx = load_transactions(spark, SF0001)
-    got = chronological_id(tx, bucket_us=3_600_000_000)
+    got = chronological_id(tx)
     ref = tx.select(S.TX_ID, (F.row_number().over(
         Window.orderBy(S.TX_US, S.CUSTOMER_ID, S.TERMINAL_ID, S.TX_ID)) - 1).alias("ref"))
     j = got.join(ref, S.TX_ID)
@@ -47,3 +47,40 @@ def test_bucketed_running_sum_matches_window(spark):
     w = Window.partitionBy("g").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     ref = df.select("id", F.sum("v").over(w).alias("ref"))
     assert got.join(ref, "id").where("rs <> ref").count() == 0
+
+
+def test_rows_of_one_hour_are_numbered_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from txnrisk.operators.ordering import numbered
+    df = spark.range(20_000).select((F.lit(5_000_000_000) + F.pmod(F.xxhash64("id"), F.lit(3_600_000_000))).alias("t"), "id")
+    out = numbered(df, ["t", "id"], "n")
+    rows = out.orderBy("t", "id").collect()
+    assert [r["n"] for r in rows] == list(range(20_000))
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"      # so few rows would go to one task otherwise
+    try:
+        spark.conf.set(conf, "false")
+        sizes = [r["count"] for r in df.repartitionByRange("t", "id").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+        assert [r["n"] for r in numbered(df, ["t", "id"], "n").orderBy("t", "id").collect()] == list(range(20_000))
+    finally:
+        spark.conf.set(conf, "true")
+    assert numbered(df.limit(0), ["t"], "n").count() == 0
+    same = spark.createDataFrame([(None, 1), (None, 2), (3, 3)], "t int, v int")
+    assert sorted((r["t"] is not None, r["n"]) for r in numbered(same, ["t"], "n").collect()) == [(False, 0), (False, 1), (True, 2)]
+
+
+def test_a_dense_city_is_spread_and_complete(spark):
+    import numpy as np
+
+    from txnrisk.operators import spatial as SP
+    rnd = np.random.default_rng(4)
+    city = np.concatenate([rnd.normal(50.3, 1.0, size=(700, 2)), np.full((200, 2), 47.0), rnd.uniform(-20, 100, size=(150, 2))])
+    shops = np.concatenate([rnd.normal(50, 3.0, size=(60, 2)), rnd.uniform(-20, 100, size=(60, 2)), [[52.0, 47.0], [47.0, 52.0], [50.0, 50.0]]])
+    cust = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(city)], "CUSTOMER_ID long, x_customer_id double, y_customer_id double")
+    term = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(shops)], "TERMINAL_ID long, x_terminal_id double, y_terminal_id double")
+    gap = np.sqrt(((city[:, None, :] - shops[None, :, :]) ** 2).sum(2))
+    want = sorted(zip(*map(lambda a: a.tolist(), np.nonzero(gap < 5.0))))
+    for part in (8, 512):
+        got = SP.radius_join(cust, term, 5.0, part_customers=part)
+        assert sorted((r["CUSTOMER_ID"], r["TERMINAL_ID"]) for r in got.collect()) == want

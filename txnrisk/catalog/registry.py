@@ -461,6 +461,38 @@ def parse_requests(spark, sf):
     return _requests(spark, sf)
 
 
+def _request_lines(spark, sf):
+    """(id, line): the JSON request of each transaction from SERVE_DAY on."""
+    tx = _tx(spark, sf).where(F.col(S.TX_TIME_DAYS) >= SERVE_DAY)
+    return tx.select(S.TX_ID, RQ.request_line().alias("value"))
+
+
+@register("parse_request_arrays", f"""WITH {Q.TX}, {_REQ}
+SELECT * FROM reqf""")
+def parse_request_arrays(spark, sf):
+    """The same requests as array bodies of up to a hundred records."""
+    bodies = _request_lines(spark, sf).groupBy(F.floor(F.col(S.TX_ID) / 100)).agg(
+        F.concat(F.lit("["), F.concat_ws(", ", F.collect_list("value")), F.lit("]")).alias("body"))
+    return add_calendar_flags(RQ.parse_request_arrays(bodies))
+
+
+@register("request_quarantine", f"""WITH {Q.TX}
+SELECT kind, count(*) AS n, CAST(sum(CUSTOMER_ID) AS BIGINT) AS customers FROM (
+  SELECT CASE WHEN TRANSACTION_ID % 7 < 3 THEN 'quarantined' ELSE 'scored' END AS kind, CUSTOMER_ID FROM tx WHERE TX_TIME_DAYS >= {SERVE_DAY}) r
+GROUP BY kind""")
+def request_quarantine(spark, sf):
+    """Requests of which three in seven are damaged: cut off, without an id, with a time that is none."""
+    lines, third = _request_lines(spark, sf), F.col(S.TX_ID) % 7
+    broken = (F.when(third == 0, F.expr("left(value, length(value) - 1)"))
+              .when(third == 1, F.regexp_replace("value", '"TRANSACTION_ID":[0-9]+,?', ""))
+              .when(third == 2, F.regexp_replace("value", '"TX_DATETIME":[0-9]+', '"TX_DATETIME":"soon"')).otherwise(F.col("value")))
+    parsed = RQ.sort_out_lines(lines.select(broken.alias("value")))
+    customer = F.regexp_extract(RQ.RAW, '"CUSTOMER_ID":([0-9]+)', 1).try_cast("bigint")
+    both = (parsed.requests.select(F.lit("scored").alias("kind"), S.CUSTOMER_ID)
+            .unionByName(parsed.quarantined.select(F.lit("quarantined").alias("kind"), customer.alias(S.CUSTOMER_ID))))
+    return both.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum(S.CUSTOMER_ID).alias("customers"))
+
+
 @register("enrich_customer", f"""WITH {Q.TX}, {Q.FEAT}, {_REQ}, {_SNAPS}
 SELECT reqf.*, {", ".join("snc." + c for c in CUST)} FROM reqf LEFT JOIN snc USING (CUSTOMER_ID)""")
 def enrich_customer(spark, sf):

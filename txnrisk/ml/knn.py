@@ -1,48 +1,75 @@
-"""M8: k nearest neighbours, exact over the fitted train rows.
+"""M8: k nearest neighbours, exact, over all train rows.
 
-The standardised train rows are fitted as one matrix of at most
-``max_train_rows`` rows (a documented bound; beyond it, the rows with the
-smallest id hashes are fitted) and sent to the tasks.  Test rows stay where they
-are: each Arrow batch is compared with the matrix, a slab of queries at a time,
-and keeps its k nearest.  Ties go to the smaller train id."""
+Up to ``max_matrix_rows`` standardised train rows travel to the tasks as one matrix, and the test rows
+stay where they are.  Beyond that, train rows are dealt to pivots (a bounded sample of them) and cut
+into chunks of similar distance to their pivot.  A test row is compared with its nearest chunk first;
+the triangle inequality then rules out every chunk that cannot hold a nearer row, and it meets the
+rest.  Both ways give the same neighbours; ties go to the smaller train id."""
+
+from __future__ import annotations
+
+import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schema as S
+from ..operators.ordering import numbered
+from ..session import write_scratch
 from .pipeline import LABEL, PROB, fit_preprocessing, prepare
 
-MAX_TRAIN_ROWS = 200_000
+MAX_MATRIX_ROWS = 200_000
 # distances held at a time: 4M doubles
 SLAB = 4_000_000
+# pivots, train rows of a chunk (or more, so that the list of chunks stays bounded), test rows that meet a chunk in one task
+PIVOTS = 256
+CHUNK_ROWS = 8_192
+MAX_CHUNKS = 1 << 16
+QUERY_ROWS = 4_096
+# share of the squares involved by which rounding may move a squared distance
+ROUNDING = 1e-10
 
 
-def nearest(query: np.ndarray, train: np.ndarray, ids: np.ndarray, k: int) -> list[np.ndarray]:
-    """Rows of the k nearest train vectors of each query, by distance and id."""
-    d2 = np.zeros((len(query), len(train)))
-    for j in range(train.shape[1]):                 # exact coordinate differences, summed in column order
-        d2 += (query[:, j, None] - train[None, :, j]) ** 2
-    if k >= len(train):
-        return [np.lexsort((ids, row))[:k] for row in d2]
-    edge = np.partition(d2, k - 1, axis=1)[:, k - 1]
+def nearest(query: np.ndarray, train: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(rows, squared distances) of the k nearest train vectors of each query, by distance and id.
+    A matrix product finds those that may be among them; their squares are summed in column order."""
+    size_q, size_t = (query ** 2).sum(1), (train ** 2).sum(1)
+    d2 = size_q[:, None] + size_t[None, :] - 2 * query @ train.T
+    if k < len(train):
+        slack = ROUNDING * (size_q + (size_t.max() if len(size_t) else 0.0)) + 1e-300
+        edge = np.partition(d2, k - 1, axis=1)[:, k - 1] + 2 * slack
+    else:
+        edge = np.full(len(query), np.inf)
     out = []
-    for row, e in zip(d2, edge):
-        near = np.flatnonzero(row <= e)             # every tie at the k-th distance
-        out.append(near[np.lexsort((ids[near], row[near]))[:k]])
+    for q, row, e in zip(query, d2, edge):
+        near = np.flatnonzero(row <= e)
+        exact = np.cumsum((q - train[near]) ** 2, axis=1)[:, -1]
+        best = np.lexsort((ids[near], exact))[:k]
+        out.append((near[best], exact[best]))
     return out
 
 
+def slabs(query: np.ndarray, train: np.ndarray, ids: np.ndarray, k: int):
+    step = max(1, SLAB // max(len(train), 1))
+    for lo in range(0, len(query), step):
+        yield from nearest(query[lo:lo + step], train, ids, k)
+
+
 def knn_scores(train: DataFrame, test: DataFrame, k: int = 5, cols: list[str] = S.INPUT_FEATURES,
-               max_train_rows: int = MAX_TRAIN_ROWS, id_col: str = S.TX_ID, label: str = S.TX_FRAUD) -> DataFrame:
-    """``test`` plus ``prob_fraud`` = share of frauds among the k nearest train rows."""
+               max_matrix_rows: int = MAX_MATRIX_ROWS, id_col: str = S.TX_ID, label: str = S.TX_FRAUD) -> DataFrame:
+    """``test`` plus ``prob_fraud`` = share of frauds among the k nearest train rows (null without any)."""
     cols, n_train, pre = fit_preprocessing(train, cols)
     fitted = pre.transform(prepare(train, cols, label)).select(
         F.col(id_col).alias("tid"), F.col(LABEL).alias("y"), vector_to_array("features").alias("v"))
-    if n_train > max_train_rows:
-        fitted = fitted.orderBy(F.xxhash64("tid"), "tid").limit(max_train_rows)
-    rows = fitted.toPandas()                        # max_train_rows at most
+    keep = test.columns
+    base = test.select(*[F.col(c).alias(f"__o_{c}") for c in keep], *[F.col(c).cast("double").alias(c) for c in cols])
+    ready = pre.transform(base).select(*[F.col(f"__o_{c}").alias(c) for c in keep], vector_to_array("features").alias("__v"))
+    if n_train > max_matrix_rows:
+        return _by_pivots(fitted, ready, n_train, k).select(*keep, PROB)
+    rows = fitted.toPandas()                        # max_matrix_rows at most
     matrix = np.stack(rows["v"].to_numpy()) if len(rows) else np.zeros((0, len(cols)))
     sent = train.sparkSession.sparkContext.broadcast((matrix, rows["tid"].to_numpy(), rows["y"].to_numpy(dtype="float64")))
 
@@ -51,11 +78,103 @@ def knn_scores(train: DataFrame, test: DataFrame, k: int = 5, cols: list[str] =
         vectors, ids, y = sent.value
         if len(vectors) == 0 or len(v) == 0:
             return pd.Series([None] * len(v), dtype="float64")
-        step = max(1, SLAB // len(vectors))
-        q = np.stack(v.to_numpy())
-        return pd.Series([float(y[near].mean()) for lo in range(0, len(q), step)
-                          for near in nearest(q[lo:lo + step], vectors, ids, k)])
+        return pd.Series([float(y[near].mean()) for near, _ in slabs(np.stack(v.to_numpy()), vectors, ids, k)])
 
-    keep = test.columns
-    base = test.select(*[F.col(c).alias(f"__o_{c}") for c in keep], *[F.col(c).cast("double").alias(c) for c in cols])
-    return pre.transform(base).select(*[F.col(f"__o_{c}").alias(c) for c in keep], share(vector_to_array("features")).alias(PROB))
+    return ready.select(*keep, share("__v").alias(PROB))
+
+
+def _matrix(lists: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 1))
+
+
+def _meet(queries: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
+    """(qid, d2, tid, y): the k nearest rows of its ``chunk`` for each (qid, chunk, q) row.  A chunk with many
+    test rows is met in several tasks, each with its part of them and all of the chunk."""
+    met = write_scratch(queries.groupBy("chunk").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("parts")), "met")
+    left = queries.join(met, "chunk").select("chunk", F.pmod(F.xxhash64("qid"), "parts").cast("int").alias("part"), "qid", "q")
+    right = chunks.join(met, "chunk").select("chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "tid", "y", "v")
+
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        q, t = _matrix(a.column("q"), a.num_rows), _matrix(b.column("v"), b.num_rows)
+        ids, y = b.column("tid").to_numpy(), b.column("y").to_numpy()
+        found = list(slabs(q, t, ids, k)) if a.num_rows and b.num_rows else []
+        rows = np.concatenate([n for n, _ in found]) if found else np.zeros(0, np.int64)
+        return pa.table({"qid": pa.array(np.repeat(a.column("qid").to_numpy(), [len(n) for n, _ in found]) if found else [], pa.int64()),
+                         "d2": pa.array(np.concatenate([d for _, d in found]) if found else [], pa.float64()),
+                         "tid": pa.array(ids[rows], pa.int64()), "y": pa.array(y[rows], pa.float64())})
+
+    return (left.groupBy("chunk", "part").cogroup(right.groupBy("chunk", "part"))
+            .applyInArrow(compare, "qid long, d2 double, tid long, y double"))
+
+
+def _by_pivots(train: DataFrame, test: DataFrame, n_train: int, k: int) -> DataFrame:
+    """``test`` (with its vector ``__v``) and ``prob_fraud`` over all rows of ``train`` (tid, y, v)."""
+    spark = train.sparkSession
+    train = write_scratch(train.withColumn("tid", F.col("tid").cast("long")), "knn-train")
+    some = train.select("v").orderBy(F.xxhash64("tid"), "tid").limit(PIVOTS).toPandas()           # PIVOTS rows
+    pivots = spark.sparkContext.broadcast(np.unique(np.stack(some["v"].to_numpy()), axis=0))
+
+    def to_pivots(v: np.ndarray) -> np.ndarray:
+        p = pivots.value
+        return np.sqrt(np.maximum(((v[:, None, :] - p[None, :, :]) ** 2).sum(2), 0))
+
+    def assign(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                d = to_pivots(_matrix(part.column(2), part.num_rows))
+                near = d.argmin(1)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(near), pa.array(d[np.arange(len(d)), near])], names=["tid", "y", "v", "pivot", "r"])
+
+    placed = numbered(train.select("tid", "y", "v").mapInArrow(assign, "tid long, y double, v array<double>, pivot long, r double"), ["pivot", "r", "tid"], "n")
+    size = max(CHUNK_ROWS, math.ceil(n_train / (MAX_CHUNKS - PIVOTS)))
+    firsts = placed.groupBy("pivot").agg(F.min("n").alias("first"))                                # PIVOTS rows
+    chunk = F.struct("pivot", F.floor((F.col("n") - F.col("first")) / size).alias("ring"))
+    chunks = write_scratch(placed.join(F.broadcast(firsts), "pivot").select(
+        (chunk["pivot"] * F.lit(1 << 32) + chunk["ring"]).alias("chunk"), "pivot", "r", "tid", "y", "v"), "knn-chunks")
+    listed = (chunks.groupBy("chunk").agg(F.min("pivot").alias("pivot"), F.min("r").alias("low"), F.max("r").alias("high"), F.count(F.lit(1)).alias("n"))
+              .orderBy("chunk").toPandas())                                                         # MAX_CHUNKS rows
+    sent = spark.sparkContext.broadcast((listed["chunk"].to_numpy(), listed["pivot"].to_numpy(), listed["low"].to_numpy(), listed["high"].to_numpy()))
+
+    def least(v: np.ndarray) -> np.ndarray:
+        """No row of a chunk is nearer than this (rows x chunks)."""
+        _, pivot, low, high = sent.value
+        d = to_pivots(v)[:, pivot]
+        return np.maximum(np.maximum(d - high, low - d), 0)
+
+    tests = write_scratch(numbered(test, [test.columns[0]], "__qid"), "knn-test")
+
+    def home(batches):
+        names = sent.value[0]
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                near = least(_matrix(part.column(1), part.num_rows)).argmin(1)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names[near]), part.column(1)], names=["qid", "chunk", "q"])
+
+    first = write_scratch(tests.select(F.col("__qid").alias("qid"), F.col("__v").alias("q")).mapInArrow(home, "qid long, chunk long, q array<double>"), "knn-home")
+    best = write_scratch(_meet(first, chunks.drop("pivot", "r"), k), "knn-first")
+    # with fewer than k rows so far, any chunk may hold the next one
+    reach = best.groupBy("qid").agg(F.max("d2").alias("d2"), F.count(F.lit(1)).alias("found"))
+    reach = first.join(reach, "qid", "left").select("qid", "chunk", "q", F.when(F.col("found") >= k, F.sqrt("d2")).alias("reach"))
+
+    def rest(batches):
+        names = sent.value[0]
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                v = _matrix(part.column(2), part.num_rows)
+                limit = part.column(3).to_numpy(zero_copy_only=False).astype(float)
+                limit = np.where(np.isnan(limit), np.inf, limit)
+                slack = 1e-6 * (1 + np.abs(v).max(1, initial=0))
+                hit = (least(v) <= (limit + slack)[:, None]) & (names[None, :] != part.column(1).to_numpy()[:, None])
+                q, c = np.nonzero(hit)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(q)), pa.array(names[c], pa.int64()), part.column(2).take(pa.array(q))], names=["qid", "chunk", "q"])
+
+    more = write_scratch(reach.mapInArrow(rest, "qid long, chunk long, q array<double>"), "knn-rest")
+    found = best.unionByName(_meet(more, chunks.drop("pivot", "r"), k))
+    rank = F.row_number().over(Window.partitionBy("qid").orderBy("d2", "tid"))
+    share = (found.select("*", rank.alias("rank")).where(F.col("rank") <= k)
+             .groupBy(F.col("qid").alias("__qid")).agg(F.avg("y").alias(PROB)))
+    return tests.join(share, "__qid", "left")

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schema as S
@@ -43,18 +42,27 @@ def threshold_metrics(scored: DataFrame, label: str = S.TX_FRAUD, score: str = "
         F.sqrt(safe_ratio(tp, tp + fn) * safe_ratio(tn, tn + fp)).alias("gmean"))
 
 
-def _score_buckets(g: DataFrame, score: str, n_buckets: int) -> DataFrame:
-    """Attach a monotone bucket id (approximate quantiles of the distinct scores).
-
-    ``approxQuantile`` returns at most ``n_buckets`` edges to the driver."""
+def _score_buckets(g: DataFrame, score: str, n_buckets: int, group_cols: list[str] = ()) -> DataFrame:
+    """Attach ``__sb``, a monotone bucket number of the score within its group: how many of the group's
+    own quantile edges (of its distinct scores) lie below.  The edges are a table, joined by group;
+    none reaches the driver."""
     if n_buckets <= 1:
         return g.withColumn("__sb", F.lit(0.0))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = sorted(set(e for e in g.approxQuantile(score, probs, 0.001) if e is not None))
-    splits = [float("-inf")] + edges + [float("inf")]
-    if len(splits) < 3:
-        return g.withColumn("__sb", F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=score, outputCol="__sb", handleInvalid="keep").transform(g)
+    probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
+    edges = write_scratch(g.groupBy(*[F.col(c).alias(f"__e_{c}") for c in group_cols])
+                          .agg(F.array_distinct(F.percentile_approx(score, probs, 10 * n_buckets)).alias("__edges")), "edges")
+    same = F.lit(True)
+    for c in group_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"__e_{c}"))
+    # binary search: the span [lo, hi) of possible counts halves with each step
+    steps = F.sequence(F.lit(1), F.lit(max(1, math.ceil(math.log2(n_buckets)) + 1)))
+    span = F.aggregate(
+        steps, F.struct(F.lit(0).alias("lo"), F.size("__edges").alias("hi")),
+        lambda s, _: F.when(s["lo"] >= s["hi"], s).when(
+            F.get("__edges", F.floor((s["lo"] + s["hi"]) / 2).cast("int")) < F.col(score),
+            F.struct((F.floor((s["lo"] + s["hi"]) / 2).cast("int") + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(
+            F.struct(s["lo"].alias("lo"), F.floor((s["lo"] + s["hi"]) / 2).cast("int").alias("hi"))))
+    return g.join(edges, same).select(*g.columns, span["lo"].cast("double").alias("__sb"))
 
 
 def ranking_metrics(scored: DataFrame, label: str = S.TX_FRAUD, score: str = "score",
@@ -67,8 +75,9 @@ def ranking_metrics(scored: DataFrame, label: str = S.TX_FRAUD, score: str = "sc
                       .groupBy(*group_cols, score)
                       .agg(F.sum(F.col(label).cast("bigint")).alias("tp"), F.count(F.lit(1)).alias("cnt")), "scores")
     if n_buckets is None:
-        n_buckets = max(1, min(MAX_SCORE_BUCKETS, math.ceil(g.count() / SCORES_PER_BUCKET)))
-    g = _score_buckets(g, score, n_buckets)
+        largest = g.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
+        n_buckets = max(1, min(MAX_SCORE_BUCKETS, math.ceil(largest / SCORES_PER_BUCKET)))
+    g = _score_buckets(g, score, n_buckets, group_cols)
     run = bucketed_running_sum(g, group_cols, -F.col("__sb"), [F.col(score).desc()],
                                {"ctp": F.col("tp"), "ccnt": F.col("cnt")}, peers=True)
     agg = run.groupBy(*group_cols).agg(

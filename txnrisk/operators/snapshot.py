@@ -22,11 +22,13 @@ def last_per_key(df: DataFrame, key: str, cols: list[str], order=(S.TX_US, S.TX_
 
 
 def customer_snapshot(features: DataFrame, windows=S.WINDOWS_DAYS) -> DataFrame:
-    return last_per_key(features, S.CUSTOMER_ID, [S.TX_DATETIME] + S.customer_feature_names(windows))
+    """The last features of each customer; rows without a time are not among them."""
+    return last_per_key(features.where(F.col(S.TX_US).isNotNull()), S.CUSTOMER_ID, [S.TX_DATETIME] + S.customer_feature_names(windows))
 
 
 def terminal_snapshot(features: DataFrame, windows=S.WINDOWS_DAYS) -> DataFrame:
-    return last_per_key(features, S.TERMINAL_ID, [S.TX_DATETIME] + S.terminal_feature_names(windows))
+    """The last features of each terminal; rows without a time are not among them."""
+    return last_per_key(features.where(F.col(S.TX_US).isNotNull()), S.TERMINAL_ID, [S.TX_DATETIME] + S.terminal_feature_names(windows))
 
 
 def _in_reach(rows: DataFrame, last: DataFrame, key: str, reach_us: int) -> DataFrame:

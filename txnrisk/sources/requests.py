@@ -7,6 +7,8 @@ timestamp string).  A reply record is ``{"TRANSACTION_ID", "prob_fraud"}``.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import schema as S
@@ -28,6 +30,11 @@ def request_time(raw) -> Column:
         .otherwise(c.try_cast("timestamp_ntz"))   # never through the session zone
 
 
+RAW, CORRUPT = "raw", "corrupt"
+CHECKED_SCHEMA = T.StructType([*REQUEST_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
 def normalize_requests(df: DataFrame) -> DataFrame:
     """Typed request rows from the raw JSON fields."""
     return df.select(
@@ -38,30 +45,82 @@ def normalize_requests(df: DataFrame) -> DataFrame:
         F.col(S.TX_AMOUNT).cast("double").alias(S.TX_AMOUNT))
 
 
-def read_requests(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+@dataclass(frozen=True)
+class Parsed:
+    """Requests that may be scored, and the raw text (``raw``) of records that may not: malformed JSON, a
+    field of another type, a time that is none, or no transaction id."""
+
+    requests: DataFrame
+    quarantined: DataFrame
+
+
+def sort_out_records(records: DataFrame) -> Parsed:
+    """``records``: the request fields, the record's text in ``corrupt`` where the parser rejected it,
+    and its text in ``raw`` (without that column, the fields written again)."""
+    if RAW not in records.columns:
+        records = records.withColumn(RAW, F.to_json(F.struct(*REQUEST_SCHEMA.fieldNames())))
+    time = F.col(S.TX_DATETIME)
+    bad = (F.col(CORRUPT).isNotNull() | F.col(S.TX_ID).isNull()
+           | (time.isNotNull() & request_time(time.cast("string")).isNull()))
+    return Parsed(normalize_requests(records.where(~bad)), records.where(bad).select(F.coalesce(CORRUPT, RAW).alias(RAW)))
+
+
+def _fields(record: str) -> list[Column]:
+    return [F.col(f"{record}.{f.name}").alias(f.name) for f in REQUEST_SCHEMA.fields]
+
+
+def sort_out_lines(df: DataFrame, col: str = "value") -> Parsed:
+    """One JSON record per row (e.g. a text or Kafka value column)."""
+    parsed = df.select(F.col(col).alias(RAW), F.from_json(F.col(col), CHECKED_SCHEMA, _PERMISSIVE).alias("r"))
+    corrupt = F.when(F.col("r").isNull(), F.coalesce(RAW, F.lit(""))).otherwise(F.col(f"r.{CORRUPT}"))
+    return sort_out_records(parsed.select(*_fields("r"), RAW, corrupt.alias(CORRUPT)))
+
+
+def sort_out_arrays(df: DataFrame, col: str = "body") -> Parsed:
+    """One JSON array of records per row (an API body).  A body that is no array is quarantined
+    whole; of others, each record by itself."""
+    items = F.from_json(F.col(col), T.ArrayType(T.StringType()))      # each record as its own text
+    whole = df.select(F.col(col).alias("b"), items.alias("items"))
+    records = sort_out_lines(whole.select(F.explode("items").alias("value")))
+    bodies = whole.where(F.col("items").isNull()).select(F.coalesce("b", F.lit("")).alias(RAW))
+    return Parsed(records.requests, records.quarantined.unionByName(bodies))
+
+
+def sort_out_files(spark: SparkSession, path: str, multi_line: bool = False) -> Parsed:
     """Request files: JSON lines, or (``multi_line``) files holding a JSON array."""
-    return normalize_requests(spark.read.schema(REQUEST_SCHEMA).option("multiLine", multi_line).json(path))
+    text = spark.read.option("wholetext", multi_line).text(path)
+    if multi_line:
+        return sort_out_arrays(text, "value")
+    return sort_out_lines(text.where(F.trim("value") != ""))
+
+
+def read_requests(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The good requests of :func:`sort_out_files`."""
+    return sort_out_files(spark, path, multi_line).requests
 
 
 def parse_request_lines(df: DataFrame, col: str = "value") -> DataFrame:
-    """One JSON record per row (e.g. a text or Kafka value column)."""
-    return normalize_requests(df.select(F.from_json(F.col(col), REQUEST_SCHEMA).alias("r")).select("r.*"))
+    """The good requests of :func:`sort_out_lines`: a malformed record is never scored."""
+    return sort_out_lines(df, col).requests
 
 
 def parse_request_arrays(df: DataFrame, col: str = "body") -> DataFrame:
-    """One JSON array of records per row (an API body), exploded to rows."""
-    arr = F.from_json(F.col(col), T.ArrayType(REQUEST_SCHEMA))
-    return normalize_requests(df.select(F.inline(arr)))
+    """The good requests of :func:`sort_out_arrays`."""
+    return sort_out_arrays(df, col).requests
 
 
-def requests_from_transactions(tx: DataFrame) -> DataFrame:
-    """Request JSON lines built from stored transactions (time as epoch ms)."""
-    rec = F.struct(
+def request_line() -> Column:
+    """The JSON request of a stored transaction (time as epoch ms)."""
+    return F.to_json(F.struct(
         F.col(S.TX_ID),
         F.floor(F.col(S.TX_US) / 1000).cast("bigint").alias(S.TX_DATETIME),
         F.col(S.CUSTOMER_ID), F.col(S.TERMINAL_ID),
-        F.col(S.TX_AMOUNT).cast("double").alias(S.TX_AMOUNT))
-    return tx.select(F.to_json(rec).alias("value"))
+        F.col(S.TX_AMOUNT).cast("double").alias(S.TX_AMOUNT)))
+
+
+def requests_from_transactions(tx: DataFrame) -> DataFrame:
+    """Request JSON lines built from stored transactions."""
+    return tx.select(request_line().alias("value"))
 
 
 def reply_records(scored: DataFrame, prob: str = "prob_fraud") -> DataFrame:

@@ -12,17 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.serving import score_requests
-from ..sources.requests import REQUEST_SCHEMA, normalize_requests
+from ..sources.requests import CHECKED_SCHEMA, CORRUPT, sort_out_records
 
 
 def request_stream(spark: SparkSession, request_dir: str, max_files_per_trigger: int | None = None,
                    multi_line: bool = False) -> DataFrame:
     """Request files as a stream: JSON lines, or (``multi_line``) one JSON
-    array of records per file, like an API body."""
-    r = spark.readStream.schema(REQUEST_SCHEMA).option("multiLine", multi_line)
+    array of records per file, like an API body.  Records that may not be scored are
+    left out (:func:`sort_out_records` over the same files gives them)."""
+    r = spark.readStream.schema(CHECKED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multi_line)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return normalize_requests(r.json(request_dir))
+    return sort_out_records(r.json(request_dir)).requests
 
 
 def start_scoring(spark: SparkSession, request_dir: str, model, customer_snap: DataFrame,
