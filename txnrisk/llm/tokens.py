@@ -39,7 +39,7 @@ LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 MARK = "!\"#$%&()*+,\\-./:;<=>?@\\[\\]|"
 #: cuts only where the pre-tokenizer cuts too: around runs of white space, and between a word and a mark
 PIECE = re.compile(f"[{SPACE}]+(?![^{SPACE}])| ?[{LETTER}]+(?=[{SPACE}{MARK}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]")
-OTHER_SPACE = re.compile(f"[{SPACE.replace(' ', '').replace(chr(9) + '-' + chr(13), chr(9) + chr(11) + '-' + chr(13))}]")
+OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c not in " \n" and re.match(f"[{SPACE}]", c)]
 #: a word of certain letters, and marks after it: the pre-tokenizer cuts between the two
 PLAIN = re.compile(f"([{LETTER}]+)([{MARK}]*)")
 
@@ -69,7 +69,12 @@ class PieceEncoder:
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}          # ids of a blank and the word
         self.held, self.limit = 0, cache_bytes
+        self.heads: dict[str, bytes] = {}          # ids of the first word of a line
         self.line_end = self.encode(["\n"])[0]
+        #: the tokens that begin with a blank
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
 
     def encode(self, pieces: list[str]) -> list[bytes]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -77,12 +82,21 @@ class PieceEncoder:
         ends = list(itertools.accumulate(4 * len(x) for x in ids))
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
+    def encode_stems(self, stems: list[str]) -> list[bytes]:
+        """The ids of a blank and each word of letters, many words to a call: each begins with the only
+        one of its tokens that begins with a blank."""
+        texts = [" " + " ".join(stems[lo:lo + 64]) for lo in range(0, len(stems), 64)]
+        ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)), "<u4")
+        ends = (4 * np.append(np.flatnonzero(self.opens[ids]), len(ids))).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
     def keep(self, cache: dict, found: dict[str, bytes]) -> None:
         short = {p: x for p, x in found.items() if len(p) <= CACHE_PIECE}
         cache.update(short)
         self.held += sum(map(len, short)) + sum(map(len, short.values())) + ENTRY * len(short)
         if self.held > self.limit:
-            for c in (self.words, self.pieces):
+            for c in (self.words, self.pieces, self.heads):
                 for piece in list(c)[len(c) // 2:]:
                     self.held -= len(piece) + len(c.pop(piece)) + ENTRY
 
@@ -114,7 +128,7 @@ class PieceEncoder:
             else:
                 other.append(w)
         stems = list({stem for _, stem, _ in parts if stem not in known})
-        found = dict(zip(stems, self.encode([" " + stem for stem in stems])))
+        found = dict(zip(stems, self.encode_stems(stems)))
         marks = list({mark for _, _, mark in parts if mark})
         after = dict(zip(marks, self.encode_pieces([[mark] for mark in marks])))
         for w, stem, mark in parts:
@@ -127,10 +141,15 @@ class PieceEncoder:
     def __call__(self, text: str) -> bytes:
         """The ids of a text."""
         if ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text or text.endswith("\n\n")
-                or OTHER_SPACE.search(text) or self.added is not None and self.added.search(text)):
+                or any(map(text.__contains__, OTHER_SPACE)) or self.added is not None and self.added.search(text)):
             return self.encode_pieces([self.cut(text)])[0]
         lines = [line.split(" ") for line in text.split("\n")]
-        heads = self.encode_pieces([PIECE.findall(words[0]) for words in lines])
+        heads = list(map(self.heads.get, [words[0] for words in lines]))
+        if None in heads:
+            fresh = list({words[0] for words, x in zip(lines, heads) if x is None})
+            found = dict(zip(fresh, self.encode_pieces([PIECE.findall(head) for head in fresh])))
+            heads = [found[words[0]] if x is None else x for words, x in zip(lines, heads)]
+            self.keep(self.heads, found)
         ids = self.words.__getitem__
         for _ in range(2):
             try:
