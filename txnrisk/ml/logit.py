@@ -19,6 +19,8 @@ from .frame import GROUP, Y, X, bootstrap_weights, member_features
 MAX_PASSES = 200
 #: a fit is done when no slope of penalty + C * (sum of losses) exceeds this share of C * rows
 TOL = 1e-10
+#: partial sums (tasks times unfinished fits, about 1 kB each) that come straight to the driver
+FEW = 4096
 
 
 @dataclass(frozen=True)
@@ -66,8 +68,9 @@ class LogitPredictor:
         return cls(t.sort_values(["member", "input"])["weight"].to_numpy().reshape(t["member"].nunique(), -1))
 
 
-def _sums(rows: DataFrame, fits: dict[int, list[Logit]], weights: dict[int, np.ndarray], numbers: dict[int, list[int]]) -> dict[int, np.ndarray]:
-    """Per fit number: loss, slope (inputs + 1) and the upper half of the curvature."""
+def _sums(rows: DataFrame, fits: dict[int, list[Logit]], weights: dict[int, np.ndarray], numbers: dict[int, list[int]], few: bool) -> dict[int, np.ndarray]:
+    """Per fit number: loss, slope (inputs + 1) and the upper half of the curvature.  With ``few`` partial
+    sums (see :data:`FEW`) they are added up where they arrive, otherwise by tasks."""
     sent = rows.sparkSession.sparkContext.broadcast((fits, weights, numbers))
 
     def run(batches):
@@ -102,9 +105,12 @@ def _sums(rows: DataFrame, fits: dict[int, list[Logit]], weights: dict[int, np.n
         return pa.table({"fit": table.column("fit")[:1], "sums": pa.array([total], pa.list_(pa.float64()))})
 
     schema = "fit long, sums array<double>"
-    out = (rows.select(GROUP, X, Y, "h").mapInArrow(run, schema).groupBy("fit").applyInArrow(add, schema)
-           .toArrow())                                       # one row per fit
-    return {n: np.array(v) for n, v in zip(out.column("fit").to_pylist(), out.column("sums").to_pylist())}
+    parts = rows.mapInArrow(run, schema)
+    out = (parts if few else parts.groupBy("fit").applyInArrow(add, schema)).toArrow()        # FEW rows, or one per fit
+    found: dict[int, np.ndarray] = {}
+    for n, v in zip(out.column("fit").to_pylist(), out.column("sums").to_pylist()):
+        found[n] = found[n] + np.array(v) if n in found else np.array(v)
+    return found
 
 
 class _Fit:
@@ -179,6 +185,8 @@ def l1_step(slope: np.ndarray, curve: np.ndarray, w: np.ndarray, free: np.ndarra
 def fit_logits(rows: DataFrame, specs: list[Logit], n_inputs: int, n_rows: dict[int, int], max_passes: int = MAX_PASSES) -> dict[Logit, np.ndarray]:
     """Weights (the intercept last) of every fit over ``rows`` (grp, x, y, h) of its group."""
     fits = [_Fit(s, n_inputs, n_rows.get(s.group, 0)) for s in specs]
+    rows = rows.select(GROUP, X, Y, "h")
+    tasks = rows.rdd.getNumPartitions()
     for _ in range(max_passes):
         active = [i for i, f in enumerate(fits) if not f.done]
         if not active:
@@ -187,7 +195,7 @@ def fit_logits(rows: DataFrame, specs: list[Logit], n_inputs: int, n_rows: dict[
         for i in active:
             numbers.setdefault(specs[i].group, []).append(i)
         sums = _sums(rows, {g: [specs[i] for i in some] for g, some in numbers.items()},
-                     {g: np.array([fits[i].trial for i in some]) for g, some in numbers.items()}, numbers)
+                     {g: np.array([fits[i].trial for i in some]) for g, some in numbers.items()}, numbers, tasks * len(active) <= FEW)
         for i in active:
             if i in sums:
                 fits[i].take(sums[i])

@@ -31,10 +31,12 @@ class FittedModel:
 
     def probability(self, spark: SparkSession) -> Column:
         """P(class 1) over the raw input columns."""
-        p, x = self.predictor, self.scaling.vector(self.group)
-        if p.kind == "logit" and len(p.weights) == 1:              # stays in the JVM
-            w = p.weights[0].tolist()
-            z = F.aggregate(F.zip_with(x, F.array(*map(F.lit, w[:-1])), lambda a, b: a * b), F.lit(w[-1]), lambda s, v: s + v)
+        p = self.predictor
+        if p.kind == "logit" and len(p.weights) == 1:              # stays in the JVM, as generated code
+            *w, z = p.weights[0].tolist()
+            z = F.lit(z)
+            for v, x in zip(w, self._inputs()):
+                z = z + F.lit(v) * x
             return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
         if p.kind == "logit":
             return _function(spark, p.predict)(*self._inputs())
