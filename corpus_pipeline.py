@@ -2,7 +2,9 @@
 with benchmark passages go, sources are mixed to target weights, and the rest is cut into shards.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; its result is
-written as Parquet and read again.  All stages but the last keep the columns of ``documents``."""
+written as Parquet and read again.  All stages but the last keep the columns of ``documents``, and any
+others that the rows have.  An empty table stays empty in every stage, and rows equal in all columns
+are treated alike, but that near duplicates keeps one of them."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

@@ -111,8 +111,9 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
 
     score is the alignment score as a share of the part's words.  A copy without any unchanged
     three words in a row is not found.  Items with fewer than three words
-    and rows without id, text or words take no part; repeated rows count once; empty inputs give an
-    empty result."""
+    and rows without id, text or words take no part; repeated rows count once; of equally good places
+    the first one is given; other columns are not read; empty inputs give an empty result.  A task
+    holds the words of one document, about 30 times its bytes."""
     cut = save(parts(items), "decon-parts")
     chosen = save(cut.select(F.explode("grams").alias("gram"), "item_id", "part").distinct(), "decon-seeds")
     held = save(windows(docs, chosen), "decon-windows")

@@ -200,7 +200,8 @@ def repeated_passages(docs: DataFrame, percent: int = SIMILARITY, recall: float
     ``keep`` marks the rows that stay (the first occurrence, by doc_id and place, of all their
     paragraphs); the others can be removed.  ``first_doc_id`` is the smallest document with one of
     its paragraphs.  Rows without id, text or words have none; repeated rows occur in place of each
-    other and stay; an empty table gives an empty result."""
+    other and stay; of equal paragraphs the first by doc_id and place counts as the first; other
+    columns are not read; an empty table gives an empty result."""
     docs = docs.where("doc_id is not null").select("doc_id", "text")
     occ = save(occurrences(docs), "passage-occurrences", {"compression": "zstd"})
     groups = components(similar_keys(docs, percent, recall), "passages").withColumnRenamed("node", "key")

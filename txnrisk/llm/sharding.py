@@ -82,7 +82,7 @@ def hilbert_order(df: DataFrame, dims: dict[str, Column], ties: list[Column | st
 
 def cut_runs(ordered: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Cut the curve order into ``shards`` runs whose row counts differ by one at most: ``shard``
-    (int) and ``slot`` (long, gapless from 0 inside the shard)."""
+    (int) and ``slot`` (long, gapless from 0 inside the shard).  Other columns stay; an empty table stays empty."""
     total = ordered.count()
     pos = F.col("position")
     shard = F.expr(f"cast(cast(position as decimal(38,0)) * {shards} div {max(total, 1)} as long)")
@@ -92,13 +92,14 @@ def cut_runs(ordered: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def manifest(sharded: DataFrame, dims: list[str]) -> DataFrame:
-    """Rows and the smallest and largest value of each dimension by shard, for skipping shards."""
+    """Rows and the smallest and largest value of each dimension by shard, for skipping shards; nulls do not
+    count, and an empty table has no shards."""
     return sharded.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"),
                                         *[f(d).alias(f"{n}_{d}") for d in dims for n, f in (("min", F.min), ("max", F.max))])
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, rows in slot order."""
+    """One folder per shard, rows in slot order, with all their columns; an empty table gives an empty folder."""
     (sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))
 

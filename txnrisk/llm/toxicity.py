@@ -241,7 +241,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, best (length-corrected best segment) and passages (token spans with score and
     the number of such passages expected by chance).  Null and empty texts have no segment and get
-    the score of that."""
+    the score of that.  Each row is scored by itself, repeated ones alike; other columns are not read;
+    an empty table gives an empty result."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -278,7 +279,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose text scores below ``cut``."""
+    """The rows of ``docs`` (all columns, whatever their names) whose text scores below ``cut``; repeated rows
+    go or stay together, and an empty table stays empty."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     text = docs.columns.index("text")
 
