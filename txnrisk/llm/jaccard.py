@@ -25,7 +25,7 @@ SKETCH_ROW = 1 << 16
 #: first-level partial sums of the sketch
 SKETCH_SALT = 16
 #: parts of the token space in the suffix filter: one bit each
-PARTS = 512
+PARTS = 1024
 
 _U = np.uint64
 
@@ -186,8 +186,7 @@ def sets_of(docs: DataFrame, k: int, wanted: DataFrame, name: str) -> DataFrame:
             yield flush()
 
     made = rows_of(docs, wanted).mapInArrow(run, "c1 long, c2 long, set binary")
-    # dropped duplicates lie in one partition already: the join dealt them by class
-    return save(made.join(wanted, ["c1", "c2"]).dropDuplicates(["c1", "c2"]).select("node", "set"), name)
+    return save(made.join(wanted, ["c1", "c2"]).select("node", "set").dropDuplicates(["node"]), name)
 
 
 def by_suffix(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
