@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import SF0001, make_tx
 
@@ -99,3 +101,12 @@ def test_sliced_features_equal_full_history(spark):
     # the slice really cut history: features over the sliced input alone differ
     naive = feature_table(tx.where(F.col(S.TX_DATETIME) >= "2024-01-20"), windows=(1, 3), delay=2)
     assert naive.exceptAll(full).count() > 0
+
+
+def test_frames_only_grow(spark):
+    """No frame slides: each row of a key is added once per bound, not once per frame that holds it."""
+    df = make_tx(spark, [(i, f"2024-01-{1 + i % 20:02d} 10:00:00", i % 3, i % 2, 5 + i, i % 2) for i in range(60)])
+    for fn in (customer_spending_windows, delayed_risk_windows):
+        plan = fn(df, strategy="frame")._jdf.queryExecution().toString().lower()
+        frames = re.findall(r"specifiedwindowframe\(rangeframe, ([^,]*),", plan)
+        assert frames and set(frames) == {"unboundedpreceding$()"}, set(frames)

@@ -107,3 +107,22 @@ def test_origin_predicates_change_nothing_and_push_down(spark):
     assert _ids(a_test) == _ids(b_test) and _ids(a_train) == _ids(b_train)
     plan = b_test._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts,2024-01-15" in plan
+
+
+def test_train_test_features_equal_the_split_of_the_feature_table(spark):
+    """One table of features holds both sides, and the split is the one of the whole feature table."""
+    import datetime as dt
+
+    from conftest import SF0001
+    from txnrisk.operators.split import delayed_split
+    from txnrisk.plans.features import feature_table_between
+    from txnrisk.plans.training import train_test_features
+    from txnrisk.sources import load_transactions
+    tx = load_transactions(spark, SF0001)
+    feat = feature_table_between(tx, dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 30))
+    want = delayed_split(feat, "2024-01-02", 7, 7, 7)
+    train, test = train_test_features(tx, "2024-01-02")
+    for got, side in zip((train, test), want):
+        assert sorted(got.collect(), key=str) == sorted(side.select(got.columns).collect(), key=str) and got.count()
+    assert "Window" not in train._jdf.queryExecution().toString()
+    assert "/features-" in train.inputFiles()[0]
