@@ -172,3 +172,20 @@ def test_models_save_load_and_score_in_blocks(spark, data, tmp_path, kind, param
         assert len(parts) == 4
         x = np.random.default_rng(0).normal(size=(50, 5))
         assert np.allclose(sum(p.sums(x) for p in parts), model.predictor.sums(x))
+
+
+def test_wide_boosting_shares_its_passes(data, monkeypatch):
+    """Boostings of several groups take the same passes, one for each level that splits, and their rows
+    keep their scores between stages."""
+    _, scaling, ready, _ = data
+    edges = MT.bin_edges(ready, 5)
+    table = MT.binned(ready.repartition(3), edges)
+    boosts = [MT.Boosting("b", 0, stages=7, rate=0.3, depth=2), MT.Boosting("c", 1, stages=4, rate=0.2, depth=3)]
+    near = key(MT.fit_boosting(table, boosts, edges, scaling.n))
+    passes, level = [], MT._level
+    monkeypatch.setattr(MT, "RESCORE", 2)
+    monkeypatch.setattr(MT, "_level", lambda *a: passes.append(max(map(len, a[3].values()))) or level(*a))
+    assert key(MT.fit_boosting(table, boosts, edges, scaling.n, small=10)) == near
+    assert len(passes) == 4 * 3 + 3 * 2 and max(passes) < 2
+    monkeypatch.setattr(MT, "FEW_HISTOGRAMS", 0)
+    assert key(MT.fit_boosting(table, boosts, edges, scaling.n, small=10)) == near
