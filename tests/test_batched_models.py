@@ -189,3 +189,47 @@ def test_wide_boosting_shares_its_passes(data, monkeypatch):
     assert len(passes) == 4 * 3 + 3 * 2 and max(passes) < 2
     monkeypatch.setattr(MT, "FEW_HISTOGRAMS", 0)
     assert key(MT.fit_boosting(table, boosts, edges, scaling.n, small=10)) == near
+
+
+def test_levels_of_a_subtree_equal_node_by_node():
+    rnd = np.random.default_rng(5)
+    for n, per_node, depth in ((700, None, None), (700, 2, None), (60, 1, 4), (1, 2, None)):
+        bins = np.column_stack([rnd.integers(0, k, n) for k in (256, 7, 2, 40, 1)]).astype(np.uint8)
+        w, y = rnd.integers(1, 4, n).astype(float), (rnd.random(n) < 0.3).astype(float)
+        want = sorted((*r[:6], len(r[6]), w[r[6]].sum(), (w * y)[r[6]].sum()) for r in MT.grow(bins, w, y, 9, 1, depth, per_node, 77))
+        levels = [np.concatenate(c) for c in zip(*MT.grow_levels(bins, w, y, 9, 1, depth, per_node, 77, part_rows=50))]
+        assert sorted(zip(*(c.tolist() for c in levels[:9]))) == want
+        part = dict(zip(levels[0].tolist(), levels[9].tolist()))
+        for node, left, right, rows in zip(*(levels[i].tolist() for i in (0, 4, 5, 6))):
+            assert part[node] == 0 if rows > 50 else part[node] != 0
+            assert not left or rows > 50 or part[left] == part[right] == part[node]
+
+
+@pytest.mark.parametrize("small", [40, MT.SMALL])
+def test_trees_left_in_their_table_equal_the_arrays(data, small):
+    """Routing rows to parts of trees: the same scores and leaf sums, also with leaves above the parts."""
+    df, scaling, ready, local = data
+    edges = MT.bin_edges(ready, 5)
+    rows = ready.withColumn(MF.Y, F.when(F.col(MF.X)[0] > 0, F.col(MF.Y)).otherwise(0.0))          # half of all rows in pure leaves
+    table = MT.binned(rows, edges)
+    for spec in (MT.Forest("f", 0, members=4, per_node=2, random_state=1), MT.Forest("g", 1, members=2, max_features=0.7)):
+        nodes = MT.fit_forests(table, [spec], edges, scaling.n, small, part_rows=30)
+        assert nodes.where("part = 0 and input < 0").count() and nodes.where("part = node").count() > 2 * spec.members
+        arrays, kept = MT.ensemble(nodes), MT.ensemble(nodes, few=3)
+        assert isinstance(arrays, MT.TreePredictor) and isinstance(kept, MT.TreeTable)
+        sums = [sorted(map(tuple, MT.leaf_totals(rows, p, spec).collect())) for p in (arrays, kept)]
+        assert sums[0] == sums[1]
+        a, b = (FittedModel(scaling, p, spec.group).transform(df).select("TRANSACTION_ID", "c0", PROB).orderBy("TRANSACTION_ID").toPandas() for p in (arrays, kept))
+        assert len(a) == len(b) and np.abs(a[PROB] - b[PROB]).max() < 1e-12 and a["c0"].equals(b["c0"])
+
+
+def test_a_large_forest_is_never_collected(spark, data, tmp_path, monkeypatch):
+    from txnrisk.ml.tuning import fit_config
+    df, _, _, _ = data
+    monkeypatch.setattr(MT.ensemble, "__defaults__", (None, 50))
+    monkeypatch.setattr(MT.TreePredictor, "__init__", lambda *a: pytest.fail("collected"))
+    model = fit_config(df, "forest", {"n_estimators": 4}, cols=COLS)
+    model.save(str(tmp_path / "m"))
+    again = FittedModel.load(spark, str(tmp_path / "m"))
+    a, b = (m.transform(df).select("TRANSACTION_ID", PROB).orderBy("TRANSACTION_ID").collect() for m in (model, again))
+    assert a == b and len(a) == df.count()

@@ -877,7 +877,7 @@ def _leaves_key(name, kind, params, members):
         spec = TU.specs_of(name, kind, params, 0, len(_IN))[0]
         edges = MT.bin_edges(rows, len(_IN))
         nodes = MT.fit_forests(MT.binned(rows, edges), [spec], edges, scaling.n)
-        held = MT.leaf_totals(rows, MT.TreePredictor(nodes.toArrow()), spec).alias("h")
+        held = MT.leaf_totals(rows, MT.ensemble(nodes), spec).alias("h")
         leaf = nodes.where("input < 0").select("member", "node", "weight", "value").alias("l")
         gaps = (leaf.join(held, ["member", "node"], "full").groupBy("member").agg(
             F.round(F.sum(F.abs(F.coalesce("l.weight", F.lit(0.0)) - F.coalesce("h.weight", F.lit(0.0)))), R9).alias("lost_weight"),

@@ -12,9 +12,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import write_scratch
 from .frame import Scaling
 from .logit import LogitPredictor
-from .trees import TreePredictor
+from .trees import TreePredictor, TreeTable, ensemble
 
 PROB = "prob_fraud"
 #: bytes of a tree model's arrays sent with one scoring function (a tree is never cut); more trees go in
@@ -30,8 +31,10 @@ class FittedModel:
         self.scaling, self.predictor, self.group = scaling, predictor, group
 
     def probability(self, spark: SparkSession) -> Column:
-        """P(class 1) over the raw input columns."""
+        """P(class 1) over the raw input columns.  Trees that stay a table are collected for it; see :meth:`transform`."""
         p = self.predictor
+        if isinstance(p, TreeTable):
+            p = TreePredictor(p.nodes.toArrow())
         if p.kind == "logit" and len(p.weights) == 1:              # stays in the JVM, as generated code
             *w, z = p.weights[0].tolist()
             z = F.lit(z)
@@ -56,19 +59,30 @@ class FittedModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with ``prob_fraud``; its other columns stay as they are."""
-        return df.withColumn(PROB, self.probability(df.sparkSession))
+        if not isinstance(self.predictor, TreeTable) or df.isStreaming:        # a stream's plan takes the trees along
+            return df.withColumn(PROB, self.probability(df.sparkSession))
+        keep = [c for c in df.columns if c != PROB]
+        # written once: a row's number must not change between its two uses
+        rows = write_scratch(df.select(*keep, F.array(*self._inputs()).alias("__x"), F.monotonically_increasing_id().alias("__row")), "tree-rows")
+        scores = self.predictor.scores(rows.select("__x", "__row"))
+        return rows.join(scores.withColumnRenamed("row", "__row"), "__row").select(*keep, F.col("share").alias(PROB))
 
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
-        spark.createDataFrame(self.predictor.table().to_pandas()).write.mode("overwrite").parquet(os.path.join(path, "relation"))
+        table = self.predictor.table()
+        (table if isinstance(table, DataFrame) else spark.createDataFrame(table.to_pandas())).write.mode("overwrite").parquet(os.path.join(path, "relation"))
         line = json.dumps({"kind": self.predictor.kind, "group": self.group, "scaling": self.scaling.state(), "settings": self.predictor.state()})
         spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(os.path.join(path, "settings"))
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "FittedModel":
         state = json.loads(spark.read.text(os.path.join(path, "settings")).first()[0])
-        table = spark.read.parquet(os.path.join(path, "relation")).toArrow()
-        return cls(Scaling.of(state["scaling"]), KINDS[state["kind"]].of(table, state["settings"]), state["group"])
+        table = spark.read.parquet(os.path.join(path, "relation"))
+        if state["kind"] == TreePredictor.kind:
+            predictor = ensemble(table, state["settings"]["rate"])
+        else:
+            predictor = KINDS[state["kind"]].of(table.toArrow(), state["settings"])
+        return cls(Scaling.of(state["scaling"]), predictor, state["group"])
 
 
 def blocks(p: TreePredictor, limit: int = BLOCK_BYTES) -> list[TreePredictor]:

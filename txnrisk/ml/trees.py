@@ -6,7 +6,9 @@ rows, for all members' nodes of the level at once.  Rows of smaller nodes are de
 node, which grows the rest of that tree there.  Node ids are hashes of their paths and all random
 choices follow from them, so a tree does not depend on where the two ways meet.
 
-Fitted trees are a relation, one row per node; see :data:`NODES`."""
+Fitted trees are a relation, one row per node; see :data:`NODES`.  Small ensembles score from arrays that
+every task holds (:class:`TreePredictor`); large ones stay in their table, and each row goes to the parts of
+the trees that it reaches (:class:`TreeTable`)."""
 
 from __future__ import annotations
 
@@ -35,8 +37,16 @@ RESCORE = 8
 #: partial histograms (tasks times nodes, about 90 kB each) that come straight to the driver
 FEW_HISTOGRAMS = 512
 
+#: rows of a part, the piece of a tree that one task holds when the trees stay a table
+PART = 1 << 16
+#: nodes of an ensemble that the driver collects (about 100 bytes each) and sends with a scoring function
+FEW_NODES = 1 << 18
+#: scores are summed in units of 2**-48, as whole numbers, so the order of the trees does not matter
+UNIT = float(1 << 48)
+
+#: ``part``: the highest node on the way down with at most PART rows; 0 above it
 NODES = ("config string, grp long, member int, node long, depth int, input int, threshold double, bin int, "
-         "left long, right long, n_rows long, weight double, value double")
+         "left long, right long, n_rows long, weight double, value double, part long")
 ROOT = 1
 
 
@@ -192,6 +202,97 @@ def grow(bins: np.ndarray, w: np.ndarray, v: np.ndarray, node: int, depth: int,
         stack += [(right, depth + 1, at[~side]), (left, depth + 1, at[side])]
 
 
+def _children(nodes: np.ndarray, side: int) -> np.ndarray:
+    """:func:`child` of many nodes."""
+    with np.errstate(over="ignore"):
+        return (mixed(np.uint64(2) * nodes.astype(np.uint64) + np.uint64(side)) & np.uint64(0x7FFFFFFFFFFFFFFF)).astype(np.int64)
+
+
+def _input_splits(bins, w, v, slot, n, W, V):
+    """Best value (-inf: none) and bin of one input for each node; ``slot``: the node (0, 1, ...) of each row."""
+    key = slot * BINS + bins
+    if len(n) * BINS <= 4 * len(key):
+        rows = np.bincount(key, minlength=len(n) * BINS)
+        spot = np.flatnonzero(rows)
+        sums = [rows[spot], *(np.bincount(key, c, len(n) * BINS)[spot] for c in (w, v))]
+    else:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        spot = key[first]
+        sums = [np.diff(np.append(first, len(key))), *(np.add.reduceat(c[order], first) for c in (w, v))]
+    node = spot // BINS
+    start = np.searchsorted(node, np.arange(len(n)))
+    left = []
+    for c in sums:                                             # whole numbers: running sums are exact
+        total = c.cumsum()
+        left.append(total - (total[start] - c[start])[node])
+    value = np.where(left[0] < n[node], gini(*left, W[node], V[node]), -np.inf)
+    best = np.maximum.reduceat(value, start)
+    hit = np.flatnonzero(value == best[node])
+    return best, spot[hit[np.searchsorted(node[hit], np.arange(len(n)))]] % BINS
+
+
+def _best_splits(bins, w, v, slot, n, W, V, order, per_node):
+    """(place of the input or -1, bin) of each node's best split, as :func:`best_split` chooses it."""
+    value, cut = np.full((bins.shape[1], len(n)), -np.inf), np.zeros((bins.shape[1], len(n)), np.int64)
+
+    def fill(i, some):
+        if some.all():
+            value[i], cut[i] = _input_splits(bins[:, i], w, v, slot, n, W, V)
+        elif some.any():
+            at, place = np.flatnonzero(some[slot]), some.cumsum() - 1
+            value[i, some], cut[i, some] = _input_splits(bins[at, i], w[at], v[at], place[slot[at]], n[some], W[some], V[some])
+
+    tried = per_node if order is not None else None
+    for i in range(bins.shape[1]):
+        fill(i, np.ones(len(n), bool) if order is None else (order[:, :tried] == i).any(1))
+    while order is not None and tried < bins.shape[1]:          # no input splits so far: the next one
+        none = ~np.isfinite(value).any(0)
+        if not none.any():
+            break
+        for i in range(bins.shape[1]):
+            fill(i, none & (order[:, tried] == i))
+        tried += 1
+    place = value.argmax(0)
+    found = np.isfinite(value[place, np.arange(len(n))])
+    return np.where(found, place, -1), np.where(found, cut[place, np.arange(len(n))], -1)
+
+
+def grow_levels(bins: np.ndarray, w: np.ndarray, y: np.ndarray, node: int, depth: int, max_depth: int | None, per_node: int | None,
+                salt: int, part: int = 0, part_rows: int = PART):
+    """The nodes that :func:`grow` finds by :func:`gini`, all of a level together, as arrays: (node, depth,
+    input place, bin, left, right, rows, weight, weight of label 1, part).  ``part``: that of the parent."""
+    ids, parts = np.array([node], np.int64), np.array([part], np.int64)
+    slot, v = np.zeros(len(w), np.int64), w * y
+    while len(ids):
+        n, W, V = np.bincount(slot, minlength=len(ids)), np.bincount(slot, w, len(ids)), np.bincount(slot, v, len(ids))
+        parts = np.where(parts != 0, parts, np.where(n <= part_rows, ids, 0))
+        place, cut = np.full(len(ids), -1), np.full(len(ids), -1)
+        mixed_up = (n > 1) & (V > 0) & (V < W) & (max_depth is None or depth < max_depth)
+        at = np.flatnonzero(mixed_up[slot])
+        if len(at):
+            bins, w, v, slot = bins[at], w[at], v[at], (mixed_up.cumsum() - 1)[slot[at]]
+            order = None if per_node is None else node_orders(ids[mixed_up], bins.shape[1], salt)
+            place[mixed_up], cut[mixed_up] = _best_splits(bins, w, v, slot, n[mixed_up], W[mixed_up], V[mixed_up], order, per_node)
+        split = place >= 0
+        sides = [np.where(split, _children(ids, side), 0) for side in (0, 1)]
+        yield ids, np.full(len(ids), depth), place, cut, *sides, n, W, V, parts
+        if not split.any():
+            return
+        at = np.flatnonzero(split[mixed_up][slot])
+        bins, w, v, slot = bins[at], w[at], v[at], (split[mixed_up].cumsum() - 1)[slot[at]]
+        slot = 2 * slot + (bins[np.arange(len(slot)), place[split][slot]] > cut[split][slot])
+        ids, parts, depth = np.stack([c[split] for c in sides], 1).ravel(), np.repeat(parts[split], 2), depth + 1
+
+
+def node_orders(nodes: np.ndarray, k: int, salt: int) -> np.ndarray:
+    """:func:`node_order` of many nodes, one row each."""
+    with np.errstate(over="ignore"):
+        return np.argsort(mixed(nodes.astype(np.uint64)[:, None] + mixed(np.arange(k, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt))),
+                          axis=1, kind="stable")
+
+
 def _salt(spec: Forest, member: int) -> int:
     return int(mixed(np.array([spec.random_state * 1_000_003 + member], np.uint64))[0])
 
@@ -299,7 +400,8 @@ def _grow_top(rows: DataFrame, specs: list[Forest], n_rows: dict[int, int], n_in
     return tops, done
 
 
-def fit_forests(rows: DataFrame, specs: list[Forest], edges: dict[int, list[np.ndarray]], n_rows: dict[int, int], small: int = SMALL) -> DataFrame:
+def fit_forests(rows: DataFrame, specs: list[Forest], edges: dict[int, list[np.ndarray]], n_rows: dict[int, int], small: int = SMALL,
+                part_rows: int = PART) -> DataFrame:
     """The node table (:data:`NODES`) of all ``specs`` over :func:`binned` rows, written once.  ``value``
     of a node is its share of label 1."""
     spark, n_inputs = rows.sparkSession, len(next(iter(edges.values()))) if edges else 0
@@ -343,7 +445,12 @@ def fit_forests(rows: DataFrame, specs: list[Forest], edges: dict[int, list[np.n
         if packs:
             yield flush()
 
-    depths = {(i, m, child(node, side)): depth + 1 for i, m, node, depth, col, *_ in done if col >= 0 for side in (0, 1)}
+    parts: dict[tuple[int, int, int], int] = {}
+    below: dict[tuple[int, int, int], tuple[int, int]] = {}   # depth and parent's part of the nodes under those split here
+    for i, m, node, depth, col, _, n, *_ in done:              # parents first
+        parts[i, m, node] = below.get((i, m, node), (0, 0))[1] or (node if n <= part_rows else 0)
+        if col >= 0:
+            below.update({(i, m, child(node, side)): (depth + 1, parts[i, m, node]) for side in (0, 1)})
 
     def finish(table: pa.Table) -> pa.Table:
         i, m, node = (table.column(c)[0].as_py() for c in ("spec", "member", "node"))
@@ -352,20 +459,22 @@ def fit_forests(rows: DataFrame, specs: list[Forest], edges: dict[int, list[np.n
         join = lambda c: np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8)
         w, y = join("w").astype(float), join("y").astype(float)
         bins = join("bins").reshape(len(w), len(cols))
-        out = []
-        for n, depth, place, cut, left, right, at in grow(bins, w, y, node, depths.get((i, m, node), 0), s.max_depth, s.per_node, _salt(s, m)):
-            col = int(cols[place]) if place >= 0 else -1
-            total = float(w[at].sum())
-            out.append((s.config, s.group, m, n, depth, col, float(edges[s.group][col][cut]) if col >= 0 else None, cut, left, right,
-                        len(at), total, float((w[at] * y[at]).sum()) / total))
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _NODE_TYPES)], names=_NODE_NAMES)
+        depth, part = below.get((i, m, node), (0, 0))
+        levels = grow_levels(bins, w, y, node, depth, s.max_depth, s.per_node, _salt(s, m), part, part_rows)
+        ids, depths, place, cut, left, right, n, total, positive, part = (np.concatenate(c) for c in zip(*levels))
+        col = np.where(place >= 0, cols[place], -1)
+        threshold = pa.array([float(edges[s.group][c][b]) if c >= 0 else None for c, b in zip(col.tolist(), cut.tolist())], pa.float64())
+        k = len(ids)
+        return pa.Table.from_arrays([pa.array([s.config] * k), pa.array([s.group] * k), pa.array([m] * k), pa.array(ids), pa.array(depths), pa.array(col), threshold,
+                                     pa.array(cut), pa.array(left), pa.array(right), pa.array(n), pa.array(total), pa.array(positive / total), pa.array(part)],
+                                    names=_NODE_NAMES).cast(pa.schema(list(zip(_NODE_NAMES, _NODE_TYPES))))
 
     local = (rows.mapInArrow(deal, "spec int, member int, node long, bins binary, w binary, y binary")
              .groupBy("spec", "member", "node").applyInArrow(finish, NODES))
     if done:
         local = local.unionByName(spark.createDataFrame(
             [(specs[i].config, specs[i].group, m, node, depth, col, float(edges[specs[i].group][col][cut]) if col >= 0 else None, cut,
-              child(node, 0) if col >= 0 else 0, child(node, 1) if col >= 0 else 0, n, w, share) for i, m, node, depth, col, cut, n, w, share in done], NODES))
+              child(node, 0) if col >= 0 else 0, child(node, 1) if col >= 0 else 0, n, w, share, parts[i, m, node]) for i, m, node, depth, col, cut, n, w, share in done], NODES))
     return write_scratch(local, "nodes")
 
 
@@ -377,7 +486,7 @@ _NODE_TYPES = [{"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "d
 
 def _stage_rows(s: Boosting, stage: int, tree: list, edges) -> list[tuple]:
     """Node rows of one stage; ``tree``: (node, depth, input, bin, left, right, rows, weight, value)."""
-    return [(s.config, s.group, stage, n, d, col, float(edges[s.group][col][cut]) if col >= 0 else None, cut, a, b, rows, w, value)
+    return [(s.config, s.group, stage, n, d, col, float(edges[s.group][col][cut]) if col >= 0 else None, cut, a, b, rows, w, value, 0)
             for n, d, col, cut, a, b, rows, w, value in tree]
 
 
@@ -556,7 +665,7 @@ class TreePredictor:
     kind = "trees"
 
     def __init__(self, nodes: pa.Table, rate: float | None = None):
-        self.nodes, self.rate = nodes.select(_NODE_NAMES[2:]), rate
+        self.nodes, self.rate = nodes.select([c for c in _NODE_NAMES[2:] if c in nodes.column_names]), rate
         t = self.nodes.to_pandas().sort_values(["member", "node"], ignore_index=True)
         self.start = float(t.loc[t["member"] < 0, "value"].sum())
         t = t[t["member"] >= 0].reset_index(drop=True)
@@ -599,9 +708,158 @@ class TreePredictor:
         return cls(table, state["rate"])
 
 
-def leaf_totals(rows: DataFrame, predictor: TreePredictor, spec: Forest) -> DataFrame:
+class TreeTable:
+    """Trees of a :class:`Forest` that stay a table of nodes.  A row goes down the nodes above the parts
+    where it lies (they hold more than PART rows each, so there are few), and then to each part it reaches:
+    rows and nodes travel once per tree, whatever their number.  Inputs count by their place among the
+    thresholds of the trees."""
+
+    kind, rate = "trees", None
+
+    def __init__(self, nodes: DataFrame):
+        self.nodes = nodes.select(_NODE_NAMES[2:])
+        self.cuts: dict[int, np.ndarray] = {}                  # input -> threshold by bin
+        for r in self.nodes.where("input >= 0").groupBy("input").agg(F.collect_set(F.struct("bin", "threshold")).alias("cuts")).collect():   # BINS per input at most
+            cuts = dict(map(tuple, r["cuts"]))
+            used = sorted(cuts)
+            # a bin that is no threshold takes the next one that is: no row is told apart by it
+            self.cuts[r["input"]] = np.array([cuts[used[k]] for k in np.searchsorted(used, np.arange(used[-1] + 1))])
+        self.members = sorted(r["member"] for r in self.nodes.where(F.col("node") == ROOT).select("member").distinct().collect())   # one row per tree
+        self.tops = {m: Top() for m in self.members}
+        self.top_leaves: dict[tuple[int, int], float] = {}
+        for r in self.nodes.where("part = 0").select("member", "node", "input", "bin", "value").collect():   # nodes of more than PART rows
+            if r["input"] >= 0:
+                self.tops[r["member"]].split[r["node"]] = r["input"], r["bin"]
+            else:
+                self.top_leaves[r["member"], r["node"]] = r["value"]
+
+    def table(self) -> DataFrame:
+        return self.nodes
+
+    def state(self) -> dict:
+        return {"rate": self.rate}
+
+    def _routed(self, rows: DataFrame, load, width: int, last, schema: str) -> DataFrame:
+        """What ``rows`` (x first) give in the leaves they reach.  ``load(batch)`` gives a function of a member's
+        place -> (rows kept, their ``width`` bytes each); ``last(member, leaf ids, leaf values, place of each row's
+        leaf, bytes)`` gives the result columns (``schema``) of a part, or of a leaf above the parts."""
+        members, cuts, leaves = self.members, self.cuts, self.top_leaves
+        arrays = [self.tops[m].arrays() for m in members]
+        names = [c.split()[0] for c in schema.split(", ")]
+
+        def reached(batches):
+            """(member, part or leaf above the parts, bins, bytes) of the rows there."""
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                bins = np.zeros(x.shape, np.uint8)
+                for i, c in cuts.items():
+                    bins[:, i] = np.searchsorted(c, x[:, i], side="left")
+                take = load(batch)
+                for k, m in enumerate(members):
+                    kept, data = take(k)
+                    mine = bins[kept]
+                    node = Top.route(arrays[k], mine)
+                    for part in np.unique(node).tolist():
+                        at = np.flatnonzero(node == part)
+                        yield m, part, mine[at], data[at]
+
+        def deal(batches):
+            packs: dict[tuple[int, int], list] = {}
+            size = 0
+
+            def flush():
+                out = [(*key, *(b"".join(c) for c in zip(*parts))) for key, parts in packs.items()]
+                packs.clear()
+                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                                                  names=["member", "part", "bins", "load"])
+
+            for m, part, bins, data in reached(batches):
+                if (m, part) in leaves:
+                    continue
+                packs.setdefault((m, part), []).append((bins.tobytes(), data.tobytes()))
+                size += bins.nbytes + data.nbytes
+                if size > PACK:
+                    size = 0
+                    yield flush()
+            if packs:
+                yield flush()
+
+        def above(batches):
+            """Rows that end above the parts need no other task."""
+            for m, part, _, data in reached(batches):
+                if (m, part) in leaves:
+                    out = last(m, np.array([part]), np.array([leaves[m, part]]), np.zeros(len(data), np.int64), data)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
+
+        def down(key, nodes: pa.Table, dealt: pa.Table) -> pa.Table:
+            m, part = (k.as_py() for k in key)
+            data = np.frombuffer(b"".join(dealt.column("load").to_pylist()), np.uint8).reshape(-1, width)
+            ids, col, cut, left, right, value = (nodes.column(c).to_numpy() for c in ("node", "input", "bin", "left", "right", "value"))
+            order = np.argsort(ids)
+            ids, col, cut, value = ids[order], col[order], cut[order], value[order]
+            sides = np.stack([np.searchsorted(ids, c[order]) for c in (left, right)], 1)
+            at = np.full(len(data), np.searchsorted(ids, part))
+            if len(data):
+                bins = np.frombuffer(b"".join(dealt.column("bins").to_pylist()), np.uint8).reshape(len(data), -1)
+                live = np.flatnonzero(col[at] >= 0)
+                while len(live):
+                    here = at[live]
+                    at[live] = sides[here, (bins[live, col[here]] > cut[here]).astype(np.int64)]
+                    live = live[col[at[live]] >= 0]
+            return pa.Table.from_arrays([pa.array(c) for c in last(m, ids, value, at, data)], names=names)
+
+        dealt = rows.mapInArrow(deal, "member int, part long, bins binary, load binary")
+        nodes = self.nodes.where("part != 0").select("member", "part", "node", "input", "bin", "left", "right", "value")
+        out = nodes.groupBy("member", "part").cogroup(dealt.groupBy("member", "part")).applyInArrow(down, schema)
+        return out.unionByName(rows.mapInArrow(above, schema)) if leaves else out
+
+    def scores(self, rows: DataFrame) -> DataFrame:
+        """(row, share): the mean leaf value over all trees of each of ``rows`` (x, row)."""
+        def load(batch):
+            ids = batch.column(1).to_numpy().astype(np.int64)[:, None].view(np.uint8)
+            return lambda k: (np.arange(len(ids)), ids)
+
+        def last(m, ids, value, at, data):
+            return np.ascontiguousarray(data).view(np.int64).ravel(), np.rint(value * UNIT).astype(np.int64)[at]
+
+        units = self._routed(rows, load, 8, last, "row long, units long").groupBy("row").agg(F.sum("units").alias("units"))
+        return units.select("row", (F.col("units") / F.lit(UNIT * len(self.members))).alias("share"))
+
+    def totals(self, rows: DataFrame, spec: Forest) -> DataFrame:
+        """As :func:`leaf_totals`, of ``rows`` (x, y, h)."""
+        def load(batch):
+            y, h = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            w, y = spec.weights(h), y.astype(np.uint8)
+
+            def take(k):
+                at = np.flatnonzero(w[:, k])
+                return at, np.stack([w[at, k], y[at]], 1)
+            return take
+
+        def last(m, ids, value, at, data):
+            w = data[:, 0].astype(float)
+            weight, positive = np.bincount(at, w, len(ids)), np.bincount(at, w * data[:, 1], len(ids))
+            hit = np.flatnonzero(weight)
+            return np.full(len(hit), m, np.int32), ids[hit], weight[hit], positive[hit]
+
+        found = self._routed(rows, load, 2, last, "member int, node long, weight double, positive double")
+        return found.groupBy("member", "node").agg(F.sum("weight").alias("weight"), F.sum("positive").alias("positive"))
+
+
+def ensemble(nodes: DataFrame, rate: float | None = None, few: int = FEW_NODES) -> TreePredictor | TreeTable:
+    """The trees of a node table: on the driver while they are few, else left in their table."""
+    if rate is None and "part" in nodes.columns and nodes.limit(few + 1).count() > few:
+        return TreeTable(nodes)
+    return TreePredictor(nodes.toArrow(), rate)
+
+
+def leaf_totals(rows: DataFrame, predictor: TreePredictor | TreeTable, spec: Forest) -> DataFrame:
     """(member, node, weight, positive): what the rows (grp, x, y, h) of the spec's group add up to in each
     leaf, routed by their own values, with the bootstrap weights drawn again."""
+    if isinstance(predictor, TreeTable):
+        return predictor.totals(rows.where(F.col(GROUP) == spec.group).select(X, Y, "h"), spec)
     sent = rows.sparkSession.sparkContext.broadcast(predictor)
 
     def run(batches):

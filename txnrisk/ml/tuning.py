@@ -20,7 +20,7 @@ from .linear import LinearScorer
 from .logit import Logit, LogitPredictor, fit_logits
 from .model import FittedModel
 from .pipeline import PROB, score
-from .trees import SMALL, Boosting, Forest, TreePredictor, bin_edges, binned, fit_boosting, fit_forests
+from .trees import SMALL, Boosting, Forest, bin_edges, binned, ensemble, fit_boosting, fit_forests
 
 # The workload's parameter grid (11 configurations).
 GRID = [
@@ -78,16 +78,16 @@ def fit_grid(rows: DataFrame, scaling: Scaling, grid, n_members: int | None = No
         longest = {(s.group, s.rate, s.depth): s for s in sorted(boosts, key=lambda s: s.stages)}
         stages = fit_boosting(table, list(longest.values()), edges, scaling.n, small) if boosts else None
         for s in forests:
-            found[s.config, s.group] = FittedModel(scaling, TreePredictor(_nodes(nodes, s)), s.group)
+            found[s.config, s.group] = FittedModel(scaling, ensemble(_nodes(nodes, s)), s.group)
         for s in boosts:
             some = _nodes(stages.where(F.col("member") < s.stages), longest[s.group, s.rate, s.depth])
-            found[s.config, s.group] = FittedModel(scaling, TreePredictor(some, s.rate), s.group)
+            found[s.config, s.group] = FittedModel(scaling, ensemble(some, s.rate), s.group)
     return found
 
 
-def _nodes(table: DataFrame, spec):
-    """The nodes of one ensemble: as large as the model itself."""
-    return table.where((F.col("config") == spec.config) & (F.col("grp") == spec.group)).toArrow()
+def _nodes(table: DataFrame, spec) -> DataFrame:
+    """The nodes of one ensemble."""
+    return table.where((F.col("config") == spec.config) & (F.col("grp") == spec.group))
 
 
 def fit_config(train: DataFrame, kind: str, params: dict, n_members: int | None = None, cols: list[str] = S.INPUT_FEATURES) -> FittedModel:
