@@ -69,3 +69,23 @@ def test_blocked_knn_equals_brute_force(spark, monkeypatch):
         top = np.lexsort((tid, d2))[:5]
         assert abs(got[qid] - ty[top].mean()) < 1e-12
     assert len(got) == len(te)
+
+
+def test_leaves_within_reach_hold_the_neighbours():
+    """Of a tree's leaves, those within reach are few and hold all neighbours; equal rows are cut anywhere."""
+    rnd = np.random.default_rng(3)
+    train = np.concatenate([rnd.normal(size=(3000, 4)).round(2), np.ones((600, 4))])
+    query = np.concatenate([rnd.normal(size=(40, 4)).round(2), np.ones((5, 4))])
+    ids, y = rnd.permutation(len(train)), rnd.random(len(train))
+    at = K.kd_leaves(train, 50)
+    assert sorted(np.concatenate(at).tolist()) == list(range(len(train))) and max(map(len, at)) <= 50
+    cuts = K.kd_cuts(train[::7], 12)
+    cell = K.kd_cell(train, cuts)
+    assert len(cuts) == 11 and set(cell.tolist()) == set(range(12))
+    want = [(q, *r) for q, (n, d) in enumerate(K.slabs(query, train, ids, 5)) for r in zip(d.tolist(), ids[n].tolist())]
+    reach = np.array([max(d for p, d, _ in want if p == q) for q in range(len(query))])
+    q, d2, found, _ = K.within(query, reach, [(ids[a], y[a], train[a]) for a in at], 5)
+    assert list(zip(q.tolist(), d2.tolist(), found.tolist())) == want
+    low, high = (np.stack([f(train[a], axis=0) for a in at]) for f in (np.min, np.max))
+    met = K.box_distances(query[:40], low, high) <= K._limit(query[:40], reach[:40])[:, None]
+    assert (met @ np.array([len(a) for a in at])).mean() < 0.2 * len(train)

@@ -1,10 +1,10 @@
 """M8: k nearest neighbours, exact, over all train rows.
 
 Up to ``max_matrix_rows`` standardised train rows travel to the tasks as one matrix, and the test rows
-stay where they are.  Beyond that, train rows are dealt to pivots (a bounded sample of them) and cut
-into chunks of similar distance to their pivot.  A test row is compared with its nearest chunk first;
-the triangle inequality then rules out every chunk that cannot hold a nearer row, and it meets the
-rest.  Both ways give the same neighbours; ties go to the smaller train id."""
+stay where they are.  Beyond that, train rows are dealt to the cells of a k-d tree whose pivots come from a
+bounded sample, and within a cell to leaves of some hundred rows.  A test row is compared with its nearest
+cell first; it then meets only leaves whose bounding box lies within the reach found there.  Both ways give
+the same neighbours; ties go to the smaller train id."""
 
 from __future__ import annotations
 
@@ -17,18 +17,23 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schema as S
-from ..operators.ordering import numbered
 from ..session import write_scratch
 from .pipeline import LABEL, PROB, fit_preprocessing, prepare
 
 MAX_MATRIX_ROWS = 200_000
 # distances held at a time: 4M doubles
 SLAB = 4_000_000
-# pivots, train rows of a chunk (or more, so that the list of chunks stays bounded), test rows that meet a chunk in one task
-PIVOTS = 256
+# cells between pivots at most, sampled rows per cell; train rows of a chunk (a cell, or a part of a crowded one; more
+# where there are cells enough), test rows that meet a chunk in one task
+PIVOTS = 2_048
+SAMPLED = 32
 CHUNK_ROWS = 8_192
-MAX_CHUNKS = 1 << 16
-QUERY_ROWS = 4_096
+QUERY_ROWS = 16_384
+# rows of a leaf (more, so that the list of leaves stays bounded)
+LEAF_ROWS = 256
+MAX_LEAVES = 1 << 16
+# test rows whose boxes are looked up at a time
+LOOKUP = 1_024
 # share of the squares involved by which rounding may move a squared distance
 ROUNDING = 1e-10
 
@@ -88,21 +93,126 @@ def _matrix(lists: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 1))
 
 
-def _meet(queries: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
-    """(qid, d2, tid, y): the k nearest rows of its ``chunk`` for each (qid, chunk, q) row.  A chunk with many
-    test rows is met in several tasks, each with its part of them and all of the chunk."""
+def cut(v: np.ndarray) -> tuple[int, float] | None:
+    """The (input, pivot) that halves the rows at the median of the input with the largest spread."""
+    spread = np.ptp(v, axis=0) if len(v) else np.zeros(0)
+    if not (spread > 0).any():
+        return None
+    i = int(np.where(spread > 0, v.var(0), -1.0).argmax())
+    pivot = float(np.partition(v[:, i], (len(v) - 1) // 2)[(len(v) - 1) // 2])
+    return i, pivot if (v[:, i] > pivot).any() else float(np.max(v[v[:, i] < pivot, i]))
+
+
+def kd_leaves(v: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Row places by leaf of a k-d tree with at most ``rows`` to a leaf; equal rows are cut anywhere."""
+    out, stack = [], [np.arange(len(v))]
+    while stack:
+        at = stack.pop()
+        found = cut(v[at]) if len(at) > rows else None
+        if found is None:
+            out += [at[lo:lo + rows] for lo in range(0, len(at), rows)]
+            continue
+        right = v[at, found[0]] > found[1]
+        stack += [at[right], at[~right]]
+    return out
+
+
+def kd_cuts(v: np.ndarray, cells: int) -> list[tuple[int, float, int, int]]:
+    """(input, pivot, left, right) per inner node of a tree with about ``cells`` cells; a negative side -c-1 is cell c."""
+    nodes: list[list] = []
+    done, todo = 0, [(np.arange(len(v)), None, 0)]
+    while todo:
+        at, parent, side = todo.pop(0)                         # in the order of levels
+        found = cut(v[at]) if done + len(todo) + 1 < cells else None
+        if found is None:
+            me, done = -done - 1, done + 1
+        else:
+            me = len(nodes)
+            nodes.append([*found, 0, 0])
+            right = v[at, found[0]] > found[1]
+            todo += [(at[~right], me, 2), (at[right], me, 3)]
+        if parent is not None:
+            nodes[parent][side] = me
+    return [tuple(n) for n in nodes]
+
+
+def kd_cell(v: np.ndarray, cuts: list) -> np.ndarray:
+    cell, stack = np.zeros(len(v), np.int64), [(0, np.arange(len(v)))] if cuts else []
+    while stack:
+        node, at = stack.pop()
+        if node < 0:
+            cell[at] = -node - 1
+        elif len(at):
+            i, pivot, left, right = cuts[node]
+            side = v[at, i] > pivot
+            stack += [(left, at[~side]), (right, at[side])]
+    return cell
+
+
+def box_distances(v: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """rows x boxes: how far a row lies from a box (0 inside)."""
+    total = np.zeros((len(v), len(low)))
+    for i in range(v.shape[1]):
+        q = v[:, i:i + 1]
+        total += np.maximum(np.maximum(low[None, :, i] - q, q - high[None, :, i]), 0) ** 2
+    return np.sqrt(total)
+
+
+def _limit(v: np.ndarray, d2: np.ndarray) -> np.ndarray:
+    """The distance of boxes that may hold rows within squared distance ``d2``, rounding included."""
+    return np.sqrt(d2) + 1e-6 * (1 + np.abs(v).max(1, initial=0))
+
+
+def _first(q: np.ndarray, d2: np.ndarray, ids: np.ndarray, y: np.ndarray, k: int):
+    """The k nearest of each q, by distance and id."""
+    order = np.lexsort((ids, d2, q))
+    q, d2, ids, y = q[order], d2[order], ids[order], y[order]
+    start = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.zeros(0, np.int64)
+    keep = np.arange(len(q)) - np.repeat(start, np.diff(np.append(start, len(q)))) < k
+    return q[keep], d2[keep], ids[keep], y[keep]
+
+
+def within(query: np.ndarray, d2: np.ndarray, leaves: list, k: int):
+    """(query, squared distance, id, y): the k nearest rows of all ``leaves`` (ids, y, vectors) for each query, of
+    those within its squared distance ``d2``."""
+    parts = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0))]
+    limit, size_q = _limit(query, d2), (query ** 2).sum(1)
+    for ids, y, v in leaves:
+        some = np.flatnonzero(box_distances(query, v.min(0)[None], v.max(0)[None])[:, 0] <= limit)
+        size_t = (v ** 2).sum(1)
+        for lo in range(0, len(some), max(1, SLAB // len(v))):
+            at = some[lo:lo + max(1, SLAB // len(v))]
+            about = size_q[at, None] + size_t[None, :] - 2 * query[at] @ v.T
+            slack = ROUNDING * (size_q[at] + size_t.max()) + 1e-300
+            q, row = np.nonzero(about <= (d2[at] + 2 * slack)[:, None])
+            q = at[q]
+            exact = np.cumsum((query[q] - v[row]) ** 2, axis=1)[:, -1] if v.shape[1] else np.zeros(len(q))
+            parts.append(_first(q, exact, ids[row], y[row], k))
+    return _first(*(np.concatenate(c) for c in zip(*parts)), k)
+
+
+def _meet(queries: DataFrame, leaves: DataFrame, k: int) -> DataFrame:
+    """(qid, d2, tid, y): the k nearest rows of its ``chunk`` for each (qid, chunk, q, limit) row, within the squared
+    distance ``limit``.  A chunk with many test rows is met in several tasks, each with its part of them and all of
+    the chunk."""
     met = write_scratch(queries.groupBy("chunk").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("parts")), "met")
-    left = queries.join(met, "chunk").select("chunk", F.pmod(F.xxhash64("qid"), "parts").cast("int").alias("part"), "qid", "q")
-    right = chunks.join(met, "chunk").select("chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "tid", "y", "v")
+    left = queries.join(met, "chunk").select("chunk", F.pmod(F.xxhash64("qid"), "parts").cast("int").alias("part"), "qid", "q", "limit")
+    right = leaves.join(met, "chunk").select("chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "tid", "y", "v")
 
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
-        q, t = _matrix(a.column("q"), a.num_rows), _matrix(b.column("v"), b.num_rows)
-        ids, y = b.column("tid").to_numpy(), b.column("y").to_numpy()
-        found = list(slabs(q, t, ids, k)) if a.num_rows and b.num_rows else []
-        rows = np.concatenate([n for n, _ in found]) if found else np.zeros(0, np.int64)
-        return pa.table({"qid": pa.array(np.repeat(a.column("qid").to_numpy(), [len(n) for n, _ in found]) if found else [], pa.int64()),
-                         "d2": pa.array(np.concatenate([d for _, d in found]) if found else [], pa.float64()),
-                         "tid": pa.array(ids[rows], pa.int64()), "y": pa.array(y[rows], pa.float64())})
+        names = ["qid", "d2", "tid", "y"]
+        if not a.num_rows or not b.num_rows:
+            return pa.Table.from_arrays([pa.array([], t) for t in (pa.int64(), pa.float64(), pa.int64(), pa.float64())], names=names)
+        q, d2, qid = _matrix(a.column("q"), a.num_rows), a.column("limit").to_numpy(), a.column("qid").to_numpy()
+        packed = [(np.array(t), np.array(y, float), np.array(v, float).reshape(len(t), -1)) for t, y, v in zip(*(b.column(c).to_pylist() for c in ("tid", "y", "v")))]
+        if np.isinf(d2).all():                                 # the first chunk that these meet
+            ids, y, v = (np.concatenate(c) for c in zip(*packed))
+            found = list(slabs(q, v, ids, k))
+            rows = np.concatenate([n for n, _ in found])
+            at, d2 = np.repeat(np.arange(len(q)), [len(n) for n, _ in found]), np.concatenate([d for _, d in found])
+            return pa.Table.from_arrays([pa.array(c) for c in (qid[at], d2, ids[rows], y[rows])], names=names)
+        at, d2, ids, y = within(q, d2, packed, k)
+        return pa.Table.from_arrays([pa.array(c) for c in (qid[at], d2, ids, y)], names=names)
 
     return (left.groupBy("chunk", "part").cogroup(right.groupBy("chunk", "part"))
             .applyInArrow(compare, "qid long, d2 double, tid long, y double"))
@@ -111,69 +221,81 @@ def _meet(queries: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
 def _by_pivots(train: DataFrame, test: DataFrame, n_train: int, k: int) -> DataFrame:
     """``test`` (with its vector ``__v``) and ``prob_fraud`` over all rows of ``train`` (tid, y, v)."""
     spark = train.sparkSession
-    train = write_scratch(train.withColumn("tid", F.col("tid").cast("long")), "knn-train")
-    some = train.select("v").orderBy(F.xxhash64("tid"), "tid").limit(PIVOTS).toPandas()           # PIVOTS rows
-    pivots = spark.sparkContext.broadcast(np.unique(np.stack(some["v"].to_numpy()), axis=0))
-
-    def to_pivots(v: np.ndarray) -> np.ndarray:
-        p = pivots.value
-        return np.sqrt(np.maximum(((v[:, None, :] - p[None, :, :]) ** 2).sum(2), 0))
+    last = F.lit((1 << 63) - 1)                                # rows without an id come last
+    train = write_scratch(train.select(F.coalesce(F.col("tid").cast("long"), last).alias("tid"), "y", "v", F.monotonically_increasing_id().alias("at")), "knn-train")
+    cells = min(PIVOTS, math.ceil(n_train / CHUNK_ROWS))
+    step = max(1, n_train // (SAMPLED * cells))
+    some = train.where(F.pmod("at", F.lit(step)) == 0).select("v").toPandas()                     # SAMPLED rows per cell, and one per task
+    cuts = spark.sparkContext.broadcast(kd_cuts(np.stack(some["v"].to_numpy()), cells))
 
     def assign(batches):
         for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                part = b.slice(lo, 1024)
-                d = to_pivots(_matrix(part.column(2), part.num_rows))
-                near = d.argmin(1)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(near), pa.array(d[np.arange(len(d)), near])], names=["tid", "y", "v", "pivot", "r"])
-
-    placed = numbered(train.select("tid", "y", "v").mapInArrow(assign, "tid long, y double, v array<double>, pivot long, r double"), ["pivot", "r", "tid"], "n")
-    size = max(CHUNK_ROWS, math.ceil(n_train / (MAX_CHUNKS - PIVOTS)))
-    firsts = placed.groupBy("pivot").agg(F.min("n").alias("first"))                                # PIVOTS rows
-    chunk = F.struct("pivot", F.floor((F.col("n") - F.col("first")) / size).alias("ring"))
-    chunks = write_scratch(placed.join(F.broadcast(firsts), "pivot").select(
-        (chunk["pivot"] * F.lit(1 << 32) + chunk["ring"]).alias("chunk"), "pivot", "r", "tid", "y", "v"), "knn-chunks")
-    listed = (chunks.groupBy("chunk").agg(F.min("pivot").alias("pivot"), F.min("r").alias("low"), F.max("r").alias("high"), F.count(F.lit(1)).alias("n"))
-              .orderBy("chunk").toPandas())                                                         # MAX_CHUNKS rows
-    sent = spark.sparkContext.broadcast((listed["chunk"].to_numpy(), listed["pivot"].to_numpy(), listed["low"].to_numpy(), listed["high"].to_numpy()))
-
-    def least(v: np.ndarray) -> np.ndarray:
-        """No row of a chunk is nearer than this (rows x chunks)."""
-        _, pivot, low, high = sent.value
-        d = to_pivots(v)[:, pivot]
-        return np.maximum(np.maximum(d - high, low - d), 0)
-
-    tests = write_scratch(numbered(test, [test.columns[0]], "__qid"), "knn-test")
+            if b.num_rows:
+                cell = kd_cell(_matrix(b.column(2), b.num_rows), cuts.value)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell)], names=["tid", "y", "v", "at", "cell"])
+
+    placed = write_scratch(train.mapInArrow(assign, "tid long, y double, v array<double>, at long, cell long"), "knn-cells")
+    # a cell of very many rows (equal ones cannot be told apart) is dealt over several chunks
+    crowd = 4 * max(CHUNK_ROWS, math.ceil(n_train / cells))
+    sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / crowd).alias("rings"))          # PIVOTS rows
+    dealt = placed.join(F.broadcast(sizes), "cell").select((F.col("cell") * F.lit(1 << 32) + F.pmod("at", "rings")).alias("chunk"), "tid", "y", "v")
+    leaf_rows = max(min(LEAF_ROWS, CHUNK_ROWS), math.ceil(2 * n_train / MAX_LEAVES))
+
+    def split(t: pa.Table) -> pa.Table:
+        v, ids, y = _matrix(t.column("v"), t.num_rows), t.column("tid").to_numpy(), t.column("y").to_numpy().astype(float)
+        at = kd_leaves(v, leaf_rows)
+        k = len(at)
+        return pa.table({"chunk": pa.array([t.column("chunk")[0].as_py()] * k, pa.int64()), **{
+            name: pa.array([f(a).tolist() for a in at], pa.list_(kind)) for name, kind, f in (
+                ("low", pa.float64(), lambda a: v[a].min(0)), ("high", pa.float64(), lambda a: v[a].max(0)), ("tid", pa.int64(), lambda a: ids[a]),
+                ("y", pa.float64(), lambda a: y[a]), ("v", pa.float64(), lambda a: v[a].ravel()))}})
+
+    leaves = write_scratch(dealt.groupBy("chunk").applyInArrow(
+        split, "chunk long, low array<double>, high array<double>, tid array<long>, y array<double>, v array<double>"), "knn-leaves")
+    listed = leaves.select("chunk", "low", "high").toPandas().sort_values("chunk", kind="stable")   # about MAX_LEAVES rows
+    low, high = (np.stack(listed[c].to_numpy()) for c in ("low", "high"))
+    names, start = np.unique(listed["chunk"].to_numpy(), return_index=True)
+    sent = spark.sparkContext.broadcast((names, start, low, high, np.minimum.reduceat(low, start), np.maximum.reduceat(high, start)))
+
+    tests = write_scratch(test.withColumn("__qid", F.monotonically_increasing_id()), "knn-test")
 
     def home(batches):
-        names = sent.value[0]
+        names, _, _, _, low, high = sent.value
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                near = least(_matrix(part.column(1), part.num_rows)).argmin(1)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names[near]), part.column(1)], names=["qid", "chunk", "q"])
+            for lo in range(0, b.num_rows, LOOKUP):
+                part = b.slice(lo, LOOKUP)
+                near = box_distances(_matrix(part.column(1), part.num_rows), low, high).argmin(1)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names[near]), part.column(1), pa.array(np.full(len(near), np.inf))],
+                                                 names=["qid", "chunk", "q", "limit"])
 
-    first = write_scratch(tests.select(F.col("__qid").alias("qid"), F.col("__v").alias("q")).mapInArrow(home, "qid long, chunk long, q array<double>"), "knn-home")
-    best = write_scratch(_meet(first, chunks.drop("pivot", "r"), k), "knn-first")
+    schema = "qid long, chunk long, q array<double>, limit double"
+    first = write_scratch(tests.select(F.col("__qid").alias("qid"), F.col("__v").alias("q")).mapInArrow(home, schema), "knn-home")
+    best = write_scratch(_meet(first, leaves, k), "knn-first")
     # with fewer than k rows so far, any chunk may hold the next one
     reach = best.groupBy("qid").agg(F.max("d2").alias("d2"), F.count(F.lit(1)).alias("found"))
-    reach = first.join(reach, "qid", "left").select("qid", "chunk", "q", F.when(F.col("found") >= k, F.sqrt("d2")).alias("reach"))
+    reach = first.drop("limit").join(reach, "qid", "left").select(
+        "qid", "chunk", "q", F.when(F.col("found") >= k, F.col("d2")).otherwise(F.lit(1e300)).alias("limit"))
 
     def rest(batches):
-        names = sent.value[0]
+        names, start, low, high, chunk_low, chunk_high = sent.value
+        end = [*start[1:].tolist(), len(low)]
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                v = _matrix(part.column(2), part.num_rows)
-                limit = part.column(3).to_numpy(zero_copy_only=False).astype(float)
-                limit = np.where(np.isnan(limit), np.inf, limit)
-                slack = 1e-6 * (1 + np.abs(v).max(1, initial=0))
-                hit = (least(v) <= (limit + slack)[:, None]) & (names[None, :] != part.column(1).to_numpy()[:, None])
-                q, c = np.nonzero(hit)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(q)), pa.array(names[c], pa.int64()), part.column(2).take(pa.array(q))], names=["qid", "chunk", "q"])
-
-    more = write_scratch(reach.mapInArrow(rest, "qid long, chunk long, q array<double>"), "knn-rest")
-    found = best.unionByName(_meet(more, chunks.drop("pivot", "r"), k))
+            for lo in range(0, b.num_rows, LOOKUP):
+                part = b.slice(lo, LOOKUP)
+                v, own = _matrix(part.column(2), part.num_rows), part.column(1).to_numpy()
+                limit = _limit(v, part.column(3).to_numpy())
+                hit = (box_distances(v, chunk_low, chunk_high) <= limit[:, None]) & (names[None, :] != own[:, None])
+                for c in np.flatnonzero(hit.any(0)).tolist():
+                    at = np.flatnonzero(hit[:, c])
+                    leaf = slice(int(start[c]), int(end[c]))
+                    at = at[(box_distances(v[at], low[leaf], high[leaf]) <= limit[at, None]).any(1)]
+                    if len(at):
+                        take = pa.array(at)
+                        yield pa.RecordBatch.from_arrays([part.column(0).take(take), pa.array(np.full(len(at), names[c])), part.column(2).take(take), part.column(3).take(take)],
+                                                         names=["qid", "chunk", "q", "limit"])
+
+    more = write_scratch(reach.mapInArrow(rest, schema), "knn-rest")
+    found = best.unionByName(_meet(more, leaves, k))
     rank = F.row_number().over(Window.partitionBy("qid").orderBy("d2", "tid"))
     share = (found.select("*", rank.alias("rank")).where(F.col("rank") <= k)
              .groupBy(F.col("qid").alias("__qid")).agg(F.avg("y").alias(PROB)))
