@@ -58,7 +58,7 @@ def texts(small):
 
 def oracle(name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{SMALL}/{t}.parquet')")
     res = con.execute(ORACLE_SQL[name])
     cols = [d[0] for d in res.description]

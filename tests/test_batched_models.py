@@ -219,7 +219,7 @@ def test_trees_left_in_their_table_equal_the_arrays(data, small):
         assert isinstance(arrays, MT.TreePredictor) and isinstance(kept, MT.TreeTable)
         sums = [sorted(map(tuple, MT.leaf_totals(rows, p, spec).collect())) for p in (arrays, kept)]
         assert sums[0] == sums[1]
-        a, b = (FittedModel(scaling, p, spec.group).transform(df).select("TRANSACTION_ID", "c0", PROB).orderBy("TRANSACTION_ID").toPandas() for p in (arrays, kept))
+        a, b = (FittedModel(scaling, p, spec.group).transform(df.withColumn("share", F.lit(7))).select("TRANSACTION_ID", "c0", PROB).orderBy("TRANSACTION_ID").toPandas() for p in (arrays, kept))
         assert len(a) == len(b) and np.abs(a[PROB] - b[PROB]).max() < 1e-12 and a["c0"].equals(b["c0"])
 
 
