@@ -75,8 +75,11 @@ def fit_scaling(train: DataFrame, cols: list[str] = S.INPUT_FEATURES, group: Col
 
 def inputs(train: DataFrame, scaling: Scaling, group: Column | None = None, id_col: str = S.TX_ID, label: str = S.TX_FRAUD) -> DataFrame:
     """(grp, x, y, h): labelled rows ready for the fits; ``h`` is a 64-bit hash of the row's id."""
-    return scaling.apply(train.where(F.col(label).isNotNull()), F.lit(0) if group is None else group,
-                         F.col(label).cast("double").alias(Y), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
+    rows = train.where(F.col(label).isNotNull())
+    keep = F.col(label).cast("double").alias(Y), F.xxhash64(F.col(id_col).cast("string")).alias("h")
+    if group is None and 0 in scaling.n:                       # literals: generated code, no join
+        return rows.select(F.lit(0).cast("bigint").alias(GROUP), scaling.vector().alias(X), *keep)
+    return scaling.apply(rows, F.lit(0) if group is None else group, *keep)
 
 
 # ------------------------------------------------------------ bootstrap ---

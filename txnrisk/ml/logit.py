@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import write_scratch
 from .frame import GROUP, Y, X, bootstrap_weights, member_features
 
 MAX_PASSES = 200
@@ -21,6 +22,10 @@ MAX_PASSES = 200
 TOL = 1e-10
 #: partial sums (tasks times unfinished fits, about 1 kB each) that come straight to the driver
 FEW = 4096
+#: rows of one group packed as one value, and packs that a pass takes at a time
+PACK, PACKS = 32, 64
+#: up to so many fits of a group take a matrix product each; more share the products of the inputs
+SINGLE = 8
 
 
 @dataclass(frozen=True)
@@ -68,32 +73,58 @@ class LogitPredictor:
         return cls(t.sort_values(["member", "input"])["weight"].to_numpy().reshape(t["member"].nunique(), -1))
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """(grp, x, y, h) with the numbers of up to ``PACK`` rows of a group as bytes, written once: every
+    pass then hands few long values to Python instead of each input of each row."""
+    def run(batches):
+        for b in batches:
+            group, y, h = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
+            x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(group), -1)
+            out = []
+            for g in np.unique(group).tolist():
+                at = np.flatnonzero(group == g)
+                for k in range(0, len(at), PACK):
+                    some = at[k:k + PACK]
+                    out.append((g, x[some].tobytes(), y[some].tobytes(), h[some].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=[GROUP, X, Y, "h"])
+    return write_scratch(rows.select(GROUP, X, Y, "h").mapInArrow(run, f"{GROUP} long, {X} binary, {Y} binary, h binary"), "packed")
+
+
+def _gram(xg: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Per fit (column of ``weight``): the upper half of the Gram matrix of the weighted inputs."""
+    i, j = np.triu_indices(xg.shape[1])
+    if weight.shape[1] <= SINGLE:
+        return np.stack([(xg.T @ (xg * w[:, None]))[i, j] for w in weight.T])
+    return weight.T @ (xg[:, i] * xg[:, j])
+
+
 def _sums(rows: DataFrame, fits: dict[int, list[Logit]], weights: dict[int, np.ndarray], numbers: dict[int, list[int]], few: bool) -> dict[int, np.ndarray]:
-    """Per fit number: loss, slope (inputs + 1) and the upper half of the curvature.  With ``few`` partial
-    sums (see :data:`FEW`) they are added up where they arrive, otherwise by tasks."""
+    """Per fit number: loss, slope (inputs + 1) and the upper half of the curvature, over :func:`packed`
+    rows.  With ``few`` partial sums (see :data:`FEW`) they are added up where they arrive, otherwise by tasks."""
     sent = rows.sparkSession.sparkContext.broadcast((fits, weights, numbers))
 
     def run(batches):
         fits, weights, numbers = sent.value
         total: dict[int, np.ndarray] = {}
         for b in batches:
-            group, y, h = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
-            x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(group), -1)
+            group = b.column(0).to_numpy(zero_copy_only=False)
             for g in np.unique(group).tolist():
                 if g not in fits:
                     continue
-                at = group == g
-                xg = np.column_stack([x[at], np.ones(int(at.sum()))])
-                z = xg @ weights[g].T
-                p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-                s = np.ones((len(xg), len(fits[g])))
-                for state in {f.random_state for f in fits[g] if f.member >= 0}:
-                    some = [i for i, f in enumerate(fits[g]) if f.member >= 0 and f.random_state == state]
-                    s[:, some] = bootstrap_weights(h[at], np.array([fits[g][i].member for i in some]), state)
-                i, j = np.triu_indices(xg.shape[1])
-                loss = (s * (np.logaddexp(0, z) - y[at][:, None] * z)).sum(0)
-                part = np.column_stack([loss, (s * (p - y[at][:, None])).T @ xg, (s * p * (1 - p)).T @ (xg[:, i] * xg[:, j])])
-                total[g] = total[g] + part if g in total else part
+                mine = np.flatnonzero(group == g)
+                for k in range(0, len(mine), PACKS):
+                    x, y, h = (b"".join(b.column(c).take(pa.array(mine[k:k + PACKS])).to_pylist()) for c in (1, 2, 3))
+                    y, h = np.frombuffer(y), np.frombuffer(h, np.int64)
+                    xg = np.column_stack([np.frombuffer(x).reshape(len(y), -1), np.ones(len(y))])
+                    z = xg @ weights[g].T
+                    p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+                    s = np.ones((len(xg), len(fits[g])))
+                    for state in {f.random_state for f in fits[g] if f.member >= 0}:
+                        some = [i for i, f in enumerate(fits[g]) if f.member >= 0 and f.random_state == state]
+                        s[:, some] = bootstrap_weights(h, np.array([fits[g][i].member for i in some]), state)
+                    loss = (s * (np.logaddexp(0, z) - y[:, None] * z)).sum(0)
+                    part = np.column_stack([loss, (s * (p - y[:, None])).T @ xg, _gram(xg, s * p * (1 - p))])
+                    total[g] = total[g] + part if g in total else part
         for g, part in total.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(numbers[g], pa.int64()), pa.FixedSizeListArray.from_arrays(pa.array(part.ravel()), part.shape[1]).cast(pa.list_(pa.float64()))],
@@ -185,7 +216,7 @@ def l1_step(slope: np.ndarray, curve: np.ndarray, w: np.ndarray, free: np.ndarra
 def fit_logits(rows: DataFrame, specs: list[Logit], n_inputs: int, n_rows: dict[int, int], max_passes: int = MAX_PASSES) -> dict[Logit, np.ndarray]:
     """Weights (the intercept last) of every fit over ``rows`` (grp, x, y, h) of its group."""
     fits = [_Fit(s, n_inputs, n_rows.get(s.group, 0)) for s in specs]
-    rows = rows.select(GROUP, X, Y, "h")
+    rows = packed(rows)
     tasks = rows.rdd.getNumPartitions()
     for _ in range(max_passes):
         active = [i for i, f in enumerate(fits) if not f.done]

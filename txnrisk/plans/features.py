@@ -43,13 +43,18 @@ def feature_table_between(tx: DataFrame, t_from, t_to, windows=S.WINDOWS_DAYS, d
     full-history ones; rows of the look-back margin (truncated history) are
     dropped.  The time predicates reach the Parquet scan, so a job on a few
     weeks of a multi-year table reads only those weeks."""
-    import datetime as dt
-    lo = _ts(t_from) - dt.timedelta(days=delay + max(windows))
+    lo = look_back(t_from, windows, delay)
     sliced = tx.where((F.col(S.TX_DATETIME) >= ntz_literal(lo)) & (F.col(S.TX_DATETIME) < ntz_literal(_ts(t_to))))
     feat = feature_table(sliced, windows, delay, **kw)
     return feat.where(F.col(S.TX_DATETIME) >= ntz_literal(_ts(t_from)))
 
 
+def look_back(t_from, windows=S.WINDOWS_DAYS, delay: int = S.DELAY_DAYS):
+    """The earliest time that a window of a row at ``t_from`` reaches."""
+    import datetime as dt
+    return _ts(t_from) - dt.timedelta(days=delay + max(windows))
+
+
 def _ts(x):
     import datetime as dt
     if isinstance(x, str):

@@ -12,7 +12,7 @@ from ..session import write_scratch
 from ..operators.metrics import ranking_metrics, threshold_metrics
 from ..functions.time import ntz_literal
 from ..operators.split import day_range, exclude_known, first_train_day, known_customers, train_window
-from .features import feature_table_between
+from .features import feature_table_between, look_back
 
 # The model families compared by the leaderboard, with their default settings
 # (fixed values of the workload: kNN k = 5; logistic C = 1; bagging 10 trees;
@@ -31,7 +31,8 @@ METRIC_COLS = ["acc", "f1_score", "gmean", "auc", "average_precision"]
 def train_test_features(tx: DataFrame, start, delta_train=7, delta_delay=7, delta_test=7,
                         persist: bool = True) -> tuple[DataFrame, DataFrame]:
     """Feature table -> delayed split.  The features of both sides' rows are written once (they feed
-    many fits); ``persist=False`` leaves them to the caller's plan.
+    many fits), and so are the transactions in reach of them, which six jobs read; ``persist=False``
+    leaves both to the caller's plan.
 
     The split is decided on the transactions, and features are computed only up to its last test day
     (from the windows' look-back on): the test period ends at most 2 * train + delay + test days after
@@ -39,6 +40,8 @@ def train_test_features(tx: DataFrame, start, delta_train=7, delta_delay=7, delt
     import datetime as dt
     st = dt.datetime.fromisoformat(start) if isinstance(start, str) else start
     end = st + dt.timedelta(days=2 * delta_train + delta_delay + delta_test)
+    if persist:
+        tx = write_scratch(tx.where((F.col(S.TX_DATETIME) >= ntz_literal(look_back(st))) & (F.col(S.TX_DATETIME) < ntz_literal(end))), "transactions")
     # the rows that the feature table keeps
     rows = tx.where(F.col(S.CUSTOMER_ID).isNotNull() & F.col(S.TERMINAL_ID).isNotNull()
                     & (F.col(S.TX_DATETIME) >= ntz_literal(st)) & (F.col(S.TX_DATETIME) < ntz_literal(end)))

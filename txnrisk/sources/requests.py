@@ -70,8 +70,11 @@ def _fields(record: str) -> list[Column]:
 
 
 def sort_out_lines(df: DataFrame, col: str = "value") -> Parsed:
-    """One JSON record per row (e.g. a text or Kafka value column)."""
-    parsed = df.select(F.col(col).alias(RAW), F.from_json(F.col(col), CHECKED_SCHEMA, _PERMISSIVE).alias("r"))
+    """One JSON record per row (e.g. a text or Kafka value column).
+
+    The parsed record passes through ``explode``: conditions on its fields stay above that, where they
+    would otherwise move below the parser, each with a parse of its own."""
+    parsed = df.select(F.col(col).alias(RAW), F.explode(F.array(F.from_json(F.col(col), CHECKED_SCHEMA, _PERMISSIVE))).alias("r"))
     corrupt = F.when(F.col("r").isNull(), F.coalesce(RAW, F.lit(""))).otherwise(F.col(f"r.{CORRUPT}"))
     return sort_out_records(parsed.select(*_fields("r"), RAW, corrupt.alias(CORRUPT)))
 
