@@ -449,8 +449,13 @@ def _requests(spark, sf, tx=None):
     return add_calendar_flags(RQ.parse_request_lines(lines))
 
 
+def _written_tx(spark, sf):
+    """The transactions, parsed once for all that reads them."""
+    return write_scratch(_tx(spark, sf), "transactions")
+
+
 def _frozen_snapshots(spark, sf, tx=None):
-    tx = tx if tx is not None else _tx(spark, sf)
+    tx = tx if tx is not None else _written_tx(spark, sf)
     past = tx.where(F.col(S.TX_TIME_DAYS) < SERVE_DAY)
     return SN.customer_snapshot_of(past), SN.terminal_snapshot_of(past)
 
@@ -496,7 +501,7 @@ def request_quarantine(spark, sf):
 @register("enrich_customer", f"""WITH {Q.TX}, {Q.FEAT}, {_REQ}, {_SNAPS}
 SELECT reqf.*, {", ".join("snc." + c for c in CUST)} FROM reqf LEFT JOIN snc USING (CUSTOMER_ID)""")
 def enrich_customer(spark, sf):
-    tx = _tx(spark, sf)
+    tx = _written_tx(spark, sf)
     snc, _ = _frozen_snapshots(spark, sf, tx)
     return SN.enrich(_requests(spark, sf, tx), snc, S.CUSTOMER_ID)
 
@@ -505,7 +510,7 @@ def enrich_customer(spark, sf):
 SELECT reqf.*, {", ".join("snc." + c for c in CUST)}, {", ".join("snt." + c for c in TERM)}
 FROM reqf LEFT JOIN snc USING (CUSTOMER_ID) LEFT JOIN snt USING (TERMINAL_ID)""")
 def enrich_full(spark, sf):
-    tx = _tx(spark, sf)
+    tx = _written_tx(spark, sf)
     snc, snt = _frozen_snapshots(spark, sf, tx)
     return SN.enrich(SN.enrich(_requests(spark, sf, tx), snc, S.CUSTOMER_ID), snt, S.TERMINAL_ID)
 
@@ -924,7 +929,7 @@ def _serving_artifacts(spark, sf, tx, buckets=None):
 
 @register("score_batch")
 def score_batch(spark, sf):
-    tx = _tx(spark, sf)
+    tx = _written_tx(spark, sf)
     model, snc, snt = _serving_artifacts(spark, sf, tx)
     lines = RQ.requests_from_transactions(tx.where(F.col(S.TX_TIME_DAYS) >= SERVE_DAY))
     return SV.score_requests(RQ.parse_request_lines(lines), snc, snt, model)
@@ -941,7 +946,7 @@ SELECT TRANSACTION_ID, round(1.0 / (1.0 + exp(-({_LINEAR_SQL}))), {R9}) AS prob_
 
 @register("score_batch_linear", _SCORED_SQL)
 def score_batch_linear(spark, sf):
-    tx = _tx(spark, sf)
+    tx = _written_tx(spark, sf)
     lines = RQ.requests_from_transactions(tx.where(F.col(S.TX_TIME_DAYS) >= SERVE_DAY))
     scored = SV.score_requests(RQ.parse_request_lines(lines), *_frozen_snapshots(spark, sf, tx), LinearScorer(*LINEAR))
     return scored.select(S.TX_ID, F.round(MLP.PROB, R9).alias(MLP.PROB))
@@ -950,7 +955,7 @@ def score_batch_linear(spark, sf):
 @register("score_stream_linear", _SCORED_SQL)
 def score_stream_linear(spark, sf):
     """The same requests through the streaming query."""
-    tx = _tx(spark, sf)
+    tx = _written_tx(spark, sf)
     run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     RQ.requests_from_transactions(tx.where(F.col(S.TX_TIME_DAYS) >= SERVE_DAY)).write.text(f"{run}/requests")
     start_scoring(spark, f"{run}/requests", LinearScorer(*LINEAR), *_frozen_snapshots(spark, sf, tx),
@@ -962,7 +967,7 @@ def score_stream_linear(spark, sf):
 def score_stream(spark, sf):
     """Same replies as ``score_batch``, produced by a streaming query over
     request files written from the data (availableNow trigger)."""
-    tx = _tx(spark, sf)
+    tx = _written_tx(spark, sf)
     # snapshots stored bucketed by key: micro-batches shuffle only the requests
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     model, snc, snt = _serving_artifacts(spark, sf, tx, buckets=buckets)
