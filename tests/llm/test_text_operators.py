@@ -522,3 +522,15 @@ def test_token_files(spark, odd, empty, tmp_path):
     tokens.write_token_files(odd, str(tmp_path / "n"), tokens.vocabulary_path())
     starts = sorted((r.start, r.n_tokens) for r in tokens.read_token_files(spark, str(tmp_path / "n")).collect())
     assert len(starts) == len(ODD) and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+
+
+def test_new_words_of_many_texts_are_encoded_together():
+    from tokenizers import Tokenizer
+    e, calls = tokens.PieceEncoder(tokens.vocabulary_path()), []
+    whole = e.encode_words
+    e.encode_words = lambda new: calls.append(sorted(new)) or whole(new)
+    made = ["a zorb, quux\nhead zorb", "", "b zorb quux! zorb,", "two  blanks", "\n\nc " + "long" * 60 + " zorb"]
+    got = e.encode_texts(made)
+    assert calls == [sorted({"zorb,", "quux", "zorb", "quux!", "long" * 60})]
+    fresh = Tokenizer.from_file(tokens.vocabulary_path())
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [fresh.encode(t, add_special_tokens=False).ids for t in made]

@@ -26,7 +26,7 @@ ENTRY = 170
 #: longer pieces are encoded each time
 CACHE_PIECE = 128
 #: bytes of text encoded into one Arrow batch
-BATCH = 1 << 21
+BATCH = 1 << 20
 FILE_OPTIONS = {
     "compression": "zstd", "parquet.writer.version": "v2", "parquet.block.size": str(32 << 20),
     "parquet.page.size": str(256 << 10), "parquet.page.row.count.limit": "2000",
@@ -40,8 +40,10 @@ MARK = "!\"#$%&()*+,\\-./:;<=>?@\\[\\]|"
 #: cuts only where the pre-tokenizer cuts too: around runs of white space, and between a word and a mark
 PIECE = re.compile(f"[{SPACE}]+(?![^{SPACE}])| ?[{LETTER}]+(?=[{SPACE}{MARK}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]")
 OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c not in " \n" and re.match(f"[{SPACE}]", c)]
-#: a word of certain letters, and marks after it: the pre-tokenizer cuts between the two
-PLAIN = re.compile(f"([{LETTER}]+)([{MARK}]*)")
+#: a word of certain letters may have marks after it: the pre-tokenizer cuts between the two
+LETTERS, MARKS = re.compile(f"[{LETTER}]+"), MARK.replace("\\", "")
+#: new words given to the library at a time
+STEMS = 1 << 11
 
 _tokenizers: dict = {}
 
@@ -51,6 +53,25 @@ def vocabulary_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+class Places(dict):
+    """Ids by word.  A word without ids gives an empty place, the same one each time, until :meth:`fill`."""
+
+    def __init__(self):
+        self.open: dict[str, bytearray] = {}
+
+    def __missing__(self, word: str) -> bytearray:
+        return self.open.setdefault(word, bytearray())
+
+    def fill(self, encode, keep=None) -> None:
+        if self.open:
+            found = encode(list(self.open))
+            for word, place in self.open.items():
+                place += found[word]
+            self.open.clear()
+            if keep:
+                keep(self, found)
+
+
 class PieceEncoder:
     """The tokenizer with a cache of encoded pieces.  White space always starts a new token, and so
     does an added token (such as <|endoftext|>), so the ids of a text are the ids of its pieces one
@@ -65,11 +86,12 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added_texts = added
         self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}          # ids of a blank and the word
+        self.words = Places()                      # ids of a blank and the word
         self.held, self.limit = 0, cache_bytes
-        self.heads: dict[str, bytes] = {}          # ids of the first word of a line
+        self.heads = Places()                      # ids of the first word of a line
         self.line_end = self.encode(["\n"])[0]
         #: the tokens that begin with a blank
         vocabulary = self.tokenizer.get_vocab()
@@ -82,14 +104,18 @@ class PieceEncoder:
         ends = list(itertools.accumulate(4 * len(x) for x in ids))
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
-    def encode_stems(self, stems: list[str]) -> list[bytes]:
+    def encode_stems(self, stems: list[str]) -> dict[str, bytes]:
         """The ids of a blank and each word of letters, many words to a call: each begins with the only
         one of its tokens that begins with a blank."""
-        texts = [" " + " ".join(stems[lo:lo + 64]) for lo in range(0, len(stems), 64)]
-        ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)), "<u4")
-        ends = (4 * np.append(np.flatnonzero(self.opens[ids]), len(ids))).tolist()
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+        found = {}
+        for lo in range(0, len(stems), STEMS):
+            some = stems[lo:lo + STEMS]
+            texts = [" " + " ".join(some[i:i + 64]) for i in range(0, len(some), 64)]
+            ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)), "<u4")
+            ends = (4 * np.append(np.flatnonzero(self.opens[ids]), len(ids))).tolist()
+            raw = ids.tobytes()
+            found.update(zip(some, [raw[a:b] for a, b in zip(ends, ends[1:])]))
+        return found
 
     def keep(self, cache: dict, found: dict[str, bytes]) -> None:
         short = {p: x for p, x in found.items() if len(p) <= CACHE_PIECE}
@@ -120,46 +146,48 @@ class PieceEncoder:
     def encode_words(self, new: list[str]) -> dict[str, bytes]:
         """The ids of new words and the blank before each.  Of letters and the marks after them, both are
         encoded once."""
-        parts, other, known = [], [], self.words
+        plain, other, known = {}, [], self.words
         for w in new:
-            m = PLAIN.fullmatch(w)
-            if m:
-                parts.append((w, m[1], m[2]))
+            stem = w.rstrip(MARKS)
+            if stem.isascii() and stem.isalpha() or LETTERS.fullmatch(stem):
+                plain[w] = stem
             else:
                 other.append(w)
-        stems = list({stem for _, stem, _ in parts if stem not in known})
-        found = dict(zip(stems, self.encode_stems(stems)))
-        marks = list({mark for _, _, mark in parts if mark})
-        after = dict(zip(marks, self.encode_pieces([[mark] for mark in marks])))
-        for w, stem, mark in parts:
-            ids = known.get(stem) or found[stem]
-            found[w] = ids + after[mark] if mark else ids
+        found = self.encode_stems(list({stem for stem in plain.values() if stem not in known}))
+        marks = list({w[len(stem):] for w, stem in plain.items()})
+        after = dict(zip(marks, self.encode_pieces([[mark] if mark else [] for mark in marks])))
+        found |= {w: (known.get(stem) or found[stem]) + after[w[len(stem):]] for w, stem in plain.items()}
         found.update(zip(other, self.encode_pieces([PIECE.findall(" " + w) for w in other])))
         self.keep(known, found)
         return found
 
+    def odd(self, text: str) -> bool:
+        """Whether lines and words do not give the text's tokens."""
+        return ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text or text.endswith("\n\n")
+                or any(map(text.__contains__, OTHER_SPACE)) or any(map(text.__contains__, self.added_texts)))
+
     def __call__(self, text: str) -> bytes:
         """The ids of a text."""
-        if ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text or text.endswith("\n\n")
-                or any(map(text.__contains__, OTHER_SPACE)) or self.added is not None and self.added.search(text)):
-            return self.encode_pieces([self.cut(text)])[0]
-        lines = [line.split(" ") for line in text.split("\n")]
-        heads = list(map(self.heads.get, [words[0] for words in lines]))
-        if None in heads:
-            fresh = list({words[0] for words, x in zip(lines, heads) if x is None})
-            found = dict(zip(fresh, self.encode_pieces([PIECE.findall(head) for head in fresh])))
-            heads = [found[words[0]] if x is None else x for words, x in zip(lines, heads)]
-            self.keep(self.heads, found)
-        ids = self.words.__getitem__
-        for _ in range(2):
-            try:
-                return self.line_end.join([head + b"".join(map(ids, words[1:])) for head, words in zip(heads, lines)])
-            except KeyError:
-                need = set(itertools.chain.from_iterable(words[1:] for words in lines))
-                have = {w: x for w in need if (x := self.words.get(w))}
-                have.update(self.encode_words([w for w in need if w not in have]))
-        # a long word, or the later half has just gone
-        return self.line_end.join([head + b"".join([have[w] for w in words[1:]]) for head, words in zip(heads, lines)])
+        return self.encode_texts([text])[0]
+
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text.  Every word is looked up once; new ones get a place that is filled when
+        all texts are read, so they are encoded together."""
+        out, ids, first, line_end = [], self.words.__getitem__, self.heads.__getitem__, [self.line_end]
+        for text in texts:
+            if self.odd(text):
+                out.append(self.encode_pieces([self.cut(text)]))
+                continue
+            found = []
+            for line in text.split("\n"):
+                words = iter(line.split(" "))
+                found += line_end
+                found.append(first(next(words)))
+                found += map(ids, words)
+            out.append(found[1:])
+        self.heads.fill(lambda new: dict(zip(new, self.encode_pieces([PIECE.findall(head) for head in new]))), self.keep)
+        self.words.fill(self.encode_words)
+        return list(map(b"".join, out))
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -190,7 +218,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // BATCH)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(texts)]):
-                blobs = [x + end for x in map(enc, pc.fill_null(texts.slice(lo, hi - lo), "").to_pylist())]
+                blobs = [x + end for x in enc.encode_texts(pc.fill_null(texts.slice(lo, hi - lo), "").to_pylist())]
                 n = np.array([len(x) // 4 for x in blobs], np.int64)
                 ends = np.cumsum(n)
                 lists = pa.ListArray.from_arrays(
