@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import decontaminate, jaccard, mixing, sharding, toxicity
-from txnrisk.llm.tables import read_table, save
+from txnrisk.llm.tables import fixed_bitmap, in_bitmap, read_table, save
+
+#: flags (2**24: 2 MB, whatever the corpus) that tell most of the rows that stay from those that may go
+GONE_BITS = 24
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +35,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = save(jaccard.jaccard_groups(docs_.select(F.col("__key").alias("doc_id"), "text"), k=5, percent=80), "pipeline-groups").withColumnRenamed("doc_id", "__key")
     out = groups.where("component_id <> __key").select("__key").distinct()
     again = groups.where("n_shingles > 0").groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key")
-    kept = docs_.join(out, "__key", "left_anti")
-    return (kept.join(again, "__key", "left_anti")
+    # a bitmap finds the rows that may be concerned; the others stay where they are, and their texts do not travel
+    mark = in_bitmap(spark, fixed_bitmap(out.union(again), F.xxhash64("__key"), GONE_BITS), F.xxhash64("__key"))
+    marked = docs_.withColumn("__mark", mark)
+    kept = marked.where("__mark").join(out, "__key", "left_anti")
+    return (marked.where("not __mark").unionByName(kept.join(again, "__key", "left_anti"))
             .unionByName(kept.join(again, "__key", "left_semi").dropDuplicates(["__key"])).select(docs.columns))
 
 

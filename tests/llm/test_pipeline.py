@@ -7,10 +7,11 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 import pytest  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from txnrisk.llm import toxicity  # noqa: E402
-from txnrisk.llm.tables import read_table  # noqa: E402
+from txnrisk.llm.tables import fixed_bitmap, in_bitmap, read_table  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -73,3 +74,20 @@ def test_one_id_of_several_texts_loses_none(spark):
     out = sorted((x.doc_id, x.text) for x in corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect())
     assert out == sorted([(1, p), (4, q + " more"), (5, r), (3, "a text of its own kind here")])
     assert corpus_pipeline.mix(spark, docs, SMALL).columns == docs.columns
+
+
+def test_near_duplicates_leave_other_texts_where_they_are(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(20)), "en", "a", 1) for i in range(40)]
+    rows += [(100 + i, rows[i][1], "en", "a", 1) for i in range(5)] + [rows[7], (None, "no id", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    plan = out._jdf.queryExecution().optimizedPlan()
+    assert "LeftAnti" in plan.toString() and "LeftAnti" not in plan.children().apply(0).toString()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out.collect()) == [(False, i) for i in range(40)] + [(True, 0)]
+
+
+def test_bitmap_marks_all_and_few_others(spark):
+    ids = spark.range(20_000)
+    bitmap = fixed_bitmap(ids.where("id % 10 = 0"), F.xxhash64("id"), 20)
+    marked = [r.id for r in ids.where(in_bitmap(spark, bitmap, F.xxhash64("id"))).collect()]
+    assert set(marked) >= set(range(0, 20_000, 10)) and len(marked) < 2_200

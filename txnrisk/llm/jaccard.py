@@ -186,7 +186,9 @@ def sets_of(docs: DataFrame, k: int, wanted: DataFrame, name: str) -> DataFrame:
             yield flush()
 
     made = rows_of(docs, wanted).mapInArrow(run, "c1 long, c2 long, set binary")
-    return save(made.join(wanted, ["c1", "c2"]).select("node", "set").dropDuplicates(["node"]), name)
+    # one class for each node, so that a class's copies go where the join has put them: the sets travel once
+    one = wanted.groupBy("node").agg(F.min(F.struct("c1", "c2")).alias("c")).select("node", "c.c1", "c.c2")
+    return save(made.join(one, ["c1", "c2"]).dropDuplicates(["c1", "c2"]).select("node", "set"), name)
 
 
 def by_suffix(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:

@@ -8,6 +8,7 @@ import gc
 import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,3 +128,15 @@ def fixed_bitmap(df: DataFrame, hash64: Column, bits: int = 22) -> np.ndarray:
 
 def flags(bitmap: np.ndarray) -> np.ndarray:
     return np.unpackbits(bitmap, bitorder="little").astype(bool)
+
+
+def in_bitmap(spark: SparkSession, bitmap: np.ndarray, hash64: Column) -> Column:
+    """Whether a 64-bit hash falls on a set flag of a :func:`fixed_bitmap`."""
+    sent, shift = spark.sparkContext.broadcast(bitmap), np.uint64(62 - len(bitmap).bit_length())
+
+    @F.pandas_udf("boolean")
+    def hit(h: pd.Series) -> pd.Series:
+        spot = h.to_numpy().view(np.uint64) >> shift
+        return pd.Series((sent.value[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1)
+
+    return hit(hash64)
