@@ -100,8 +100,11 @@ def bootstrap_weights(h: np.ndarray, members: np.ndarray, random_state: int) ->
     nothing else, so partitions and reruns agree."""
     with np.errstate(over="ignore"):
         salt = mixed(members.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(random_state % (1 << 64)))
-        u = mixed(h.view(np.uint64)[:, None] + salt[None, :]) >> np.uint64(32)
-    return np.searchsorted(_POISSON, u, side="right").astype(np.uint8)
+        u = (mixed(h.view(np.uint64)[:, None] + salt[None, :]) >> np.uint64(32)).astype(np.uint32)
+    out = np.zeros(u.shape, np.uint8)
+    for limit in _POISSON.astype(np.uint32):
+        out += (u >= limit).view(np.uint8)
+    return out
 
 
 def member_features(n_features: int, max_features, member: int, random_state: int) -> np.ndarray:

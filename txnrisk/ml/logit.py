@@ -4,15 +4,16 @@ Each pass over the rows sums loss, slope and curvature (a Gram matrix of the inp
 p (1 - p) and the bootstrap) of every unfinished fit at once; the driver then takes one damped Newton
 step per fit, on at most ``inputs + 1`` unknowns.  With an L1 penalty the step minimises the quadratic
 model plus the penalty by coordinate descent.  A dozen passes fit a whole grid of folds, penalties and
-bootstrap members."""
+bootstrap members.  Large groups are first fitted on a share of their rows; from there, few passes over
+all rows lead to the same optimum."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import write_scratch
 from .frame import GROUP, Y, X, bootstrap_weights, member_features
@@ -24,6 +25,10 @@ TOL = 1e-10
 FEW = 4096
 #: rows of one group packed as one value, and packs that a pass takes at a time
 PACK, PACKS = 32, 64
+#: numbers of rows times fits that a step holds at a time (less than a core's cache)
+CELLS = 1 << 16
+#: groups of so many rows start from a fit of one pack in SHARE, where that has enough rows of both labels
+LARGE, SHARE, ENOUGH = 1 << 18, 16, 500
 #: up to so many fits of a group take a matrix product each; more share the products of the inputs
 SINGLE = 8
 
@@ -90,12 +95,51 @@ def packed(rows: DataFrame) -> DataFrame:
     return write_scratch(rows.select(GROUP, X, Y, "h").mapInArrow(run, f"{GROUP} long, {X} binary, {Y} binary, h binary"), "packed")
 
 
-def _gram(xg: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Per fit (column of ``weight``): the upper half of the Gram matrix of the weighted inputs."""
+def _gram(xg: np.ndarray, weight: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """Per fit (column of ``weight``): the upper half of the Gram matrix of the weighted inputs; of fits with
+    one input (``single``), the squares and the products with the intercept."""
     i, j = np.triu_indices(xg.shape[1])
     if weight.shape[1] <= SINGLE:
         return np.stack([(xg.T @ (xg * w[:, None]))[i, j] for w in weight.T])
-    return weight.T @ (xg[:, i] * xg[:, j])
+    few = np.flatnonzero((i == j) | (j == xg.shape[1] - 1))
+    out, ends = np.zeros((weight.shape[1], len(i))), [0, *(np.flatnonzero(np.diff(single)) + 1).tolist(), len(single)]
+    for lo, hi in zip(ends, ends[1:]):
+        at = few if single[lo] else np.arange(len(i))
+        out[lo:hi, at] = weight[:, lo:hi].T @ (xg[:, i[at]] * xg[:, j[at]])
+    return out
+
+
+def _part(xg: np.ndarray, y: np.ndarray, s: np.ndarray, weights: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """Per fit: loss, slope and curvature of some rows; ``s``: rows x fits, how often a row counts."""
+    z = xg @ weights.T
+    e = np.clip(z, -700, 700)
+    np.exp(np.negative(e, out=e), out=e)
+    p = 1 / (1 + e)
+    losses = np.log1p(e)
+    losses += np.multiply(z, 1 - y[:, None], out=z)
+    loss = np.einsum("ij,ij->j", s, losses)
+    e *= p                                                     # 1 - p
+    p *= s
+    e *= p
+    p -= s * y[:, None]
+    return np.column_stack([loss, p.T @ xg, _gram(xg, e, single)])
+
+
+def _draws(fits: list[Logit]) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
+    """The (random state, members) whose draws the fits need, and each fit's column among them; column 0 is for
+    fits that take every row once.  Configurations share their draws."""
+    names = [(f.random_state, f.member) if f.member >= 0 else None for f in fits]
+    known = sorted({n for n in names if n})
+    states = [(state, np.array([m for s, m in known if s == state])) for state in sorted({s for s, _ in known})]
+    columns = {None: 0, **{n: k + 1 for k, n in enumerate(known)}}
+    return states, np.array([columns[n] for n in names])
+
+
+def _counts(draws, h: np.ndarray) -> np.ndarray:
+    """rows x fits: how often each row counts."""
+    states, columns = draws
+    drawn = [np.ones((len(h), 1), np.uint8), *(bootstrap_weights(h, members, state) for state, members in states)]
+    return np.concatenate(drawn, 1).astype(float).take(columns, 1)
 
 
 def _sums(rows: DataFrame, fits: dict[int, list[Logit]], weights: dict[int, np.ndarray], numbers: dict[int, list[int]], few: bool) -> dict[int, np.ndarray]:
@@ -105,7 +149,8 @@ def _sums(rows: DataFrame, fits: dict[int, list[Logit]], weights: dict[int, np.n
 
     def run(batches):
         fits, weights, numbers = sent.value
-        total: dict[int, np.ndarray] = {}
+        single = {g: np.array([f.member >= 0 and not isinstance(f.max_features, float) and f.max_features == 1 for f in some]) for g, some in fits.items()}
+        draws, total = {g: _draws(some) for g, some in fits.items()}, {}
         for b in batches:
             group = b.column(0).to_numpy(zero_copy_only=False)
             for g in np.unique(group).tolist():
@@ -116,15 +161,11 @@ def _sums(rows: DataFrame, fits: dict[int, list[Logit]], weights: dict[int, np.n
                     x, y, h = (b"".join(b.column(c).take(pa.array(mine[k:k + PACKS])).to_pylist()) for c in (1, 2, 3))
                     y, h = np.frombuffer(y), np.frombuffer(h, np.int64)
                     xg = np.column_stack([np.frombuffer(x).reshape(len(y), -1), np.ones(len(y))])
-                    z = xg @ weights[g].T
-                    p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-                    s = np.ones((len(xg), len(fits[g])))
-                    for state in {f.random_state for f in fits[g] if f.member >= 0}:
-                        some = [i for i, f in enumerate(fits[g]) if f.member >= 0 and f.random_state == state]
-                        s[:, some] = bootstrap_weights(h, np.array([fits[g][i].member for i in some]), state)
-                    loss = (s * (np.logaddexp(0, z) - y[:, None] * z)).sum(0)
-                    part = np.column_stack([loss, (s * (p - y[:, None])).T @ xg, _gram(xg, s * p * (1 - p))])
-                    total[g] = total[g] + part if g in total else part
+                    step = max(PACK, CELLS // len(fits[g]))
+                    for lo in range(0, len(y), step):
+                        at = slice(lo, lo + step)
+                        part = _part(xg[at], y[at], _counts(draws[g], h[at]), weights[g], single[g])
+                        total[g] = total[g] + part if g in total else part
         for g, part in total.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(numbers[g], pa.int64()), pa.FixedSizeListArray.from_arrays(pa.array(part.ravel()), part.shape[1]).cast(pa.list_(pa.float64()))],
@@ -213,10 +254,8 @@ def l1_step(slope: np.ndarray, curve: np.ndarray, w: np.ndarray, free: np.ndarra
     return d
 
 
-def fit_logits(rows: DataFrame, specs: list[Logit], n_inputs: int, n_rows: dict[int, int], max_passes: int = MAX_PASSES) -> dict[Logit, np.ndarray]:
-    """Weights (the intercept last) of every fit over ``rows`` (grp, x, y, h) of its group."""
-    fits = [_Fit(s, n_inputs, n_rows.get(s.group, 0)) for s in specs]
-    rows = packed(rows)
+def _passes(rows: DataFrame, fits: list[_Fit], max_passes: int) -> None:
+    """Newton passes over :func:`packed` rows until all fits are done."""
     tasks = rows.rdd.getNumPartitions()
     for _ in range(max_passes):
         active = [i for i, f in enumerate(fits) if not f.done]
@@ -224,12 +263,41 @@ def fit_logits(rows: DataFrame, specs: list[Logit], n_inputs: int, n_rows: dict[
             break
         numbers: dict[int, list[int]] = {}
         for i in active:
-            numbers.setdefault(specs[i].group, []).append(i)
-        sums = _sums(rows, {g: [specs[i] for i in some] for g, some in numbers.items()},
+            numbers.setdefault(fits[i].spec.group, []).append(i)
+        sums = _sums(rows, {g: [fits[i].spec for i in some] for g, some in numbers.items()},
                      {g: np.array([fits[i].trial for i in some]) for g, some in numbers.items()}, numbers, tasks * len(active) <= FEW)
         for i in active:
             if i in sums:
                 fits[i].take(sums[i])
             else:
                 fits[i].done = True
+
+
+def _starts(rows: DataFrame, some: DataFrame, specs: list[Logit], n_inputs: int, n_rows: dict[int, int]) -> dict[Logit, np.ndarray]:
+    """Weights fitted on a share of the packs, of the groups that have enough rows in it."""
+    def run(batches):
+        for b in batches:
+            group, y = b.column(0).to_numpy(zero_copy_only=False), [np.frombuffer(v) for v in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(group), pa.array([len(v) for v in y], pa.int64()), pa.array([int(v.sum()) for v in y], pa.int64())], names=[GROUP, "n", "p"])
+
+    counted = some.select(GROUP, Y).mapInArrow(run, f"{GROUP} long, n long, p long").groupBy(GROUP).agg(F.sum("n").alias("n"), F.sum("p").alias("p")).collect()   # one row per group
+    n = {r[GROUP]: r["n"] for r in counted if min(r["p"], r["n"] - r["p"]) >= ENOUGH}
+    fits = {s: _Fit(replace(s, C=s.C * n_rows[s.group] / n[s.group]), n_inputs, n[s.group]) for s in specs if s.group in n}
+    for f in fits.values():
+        f.limit *= 1e5                                         # a start need not be exact
+    _passes(some, list(fits.values()), 20)
+    return {s: f.w for s, f in fits.items() if f.done}
+
+
+def fit_logits(rows: DataFrame, specs: list[Logit], n_inputs: int, n_rows: dict[int, int], max_passes: int = MAX_PASSES) -> dict[Logit, np.ndarray]:
+    """Weights (the intercept last) of every fit over ``rows`` (grp, x, y, h) of its group."""
+    fits = [_Fit(s, n_inputs, n_rows.get(s.group, 0)) for s in specs]
+    rows = packed(rows)
+    large = [s for s in specs if n_rows.get(s.group, 0) >= LARGE]
+    if large:
+        share = F.col(GROUP).isin(sorted({s.group for s in large})) & (F.pmod(F.xxhash64("h"), F.lit(SHARE)) == 0)
+        starts = _starts(rows, write_scratch(rows.where(share), "packed-share"), large, n_inputs, n_rows)
+        for f in fits:
+            f.trial = starts.get(f.spec, f.trial)
+    _passes(rows, fits, max_passes)
     return {f.spec: f.w for f in fits}

@@ -1,8 +1,9 @@
 """Trees, bagged trees, forests and boosted trees, all members in one job.
 
-Inputs are binned at quantiles of their group.  While a node holds more than ``SMALL`` rows, its split
-comes from a histogram (weight and label sum by node, input and bin) that every task sums over its
-rows, for all members' nodes of the level at once.  Rows of smaller nodes are dealt to one task per
+Inputs are binned at quantiles of their group.  A group of up to ``SMALL`` rows goes to several tasks whole,
+each of which grows some of its trees.  In larger groups, while a node holds more than ``SMALL`` rows, its
+split comes from a histogram (weight and label sum by node, input and bin) that every task sums over its
+rows, for all members' nodes of the level at once; rows of smaller nodes are dealt to one task per
 node, which grows the rest of that tree there.  Node ids are hashes of their paths and all random
 choices follow from them, so a tree does not depend on where the two ways meet.
 
@@ -24,14 +25,20 @@ from ..session import scratch_path, write_scratch
 from .frame import GROUP, Y, X, bootstrap_weights, member_features, mixed
 
 BINS = 256
-#: rows of a node that one task grows to the end
-SMALL = 1 << 16
+#: rows of a node that one task grows to the end (up to 150 MB there)
+SMALL = 1 << 21
+#: a row's weight, and its weight times its label from this bit on, add up as one number
+LOAD = 26
 #: nodes whose histograms one job sums (about 90 kB each at 15 inputs)
 SLOTS = 512
+#: blocks of trees that the groups which fit a task are grown in (or four to a core), and rows times trees of a block at least
+BLOCKS, BLOCK_ROWS = 32, 1 << 19
 #: bytes of rows that a task packs before it hands them on
 PACK = 32 << 20
-#: rows that a predictor routes at a time
-ROUTE = 2048
+#: rows that a predictor routes at a time, and rows times trees in one step
+ROUTE, CELLS = 2048, 1 << 16
+#: nodes and rows that a scoring task holds, unless one tree has more nodes; a tree of more than TREE_NODES goes in parts
+TASK_NODES, TASK_ROWS, TREE_NODES = 1 << 22, 1 << 20, 1 << 21
 #: stages between two writings of the scores that a boosting has given its rows
 RESCORE = 8
 #: partial histograms (tasks times nodes, about 90 kB each) that come straight to the driver
@@ -69,8 +76,10 @@ class Forest:
     def columns(self, member: int, n_inputs: int) -> np.ndarray:
         return member_features(n_inputs, self.max_features, member, self.random_state)
 
-    def weights(self, h: np.ndarray) -> np.ndarray:
-        return bootstrap_weights(h, np.arange(self.members), self.random_state) if self.bootstrap else np.ones((len(h), self.members), np.uint8)
+    def weights(self, h: np.ndarray, members=None) -> np.ndarray:
+        """rows x members (all, or those named)."""
+        members = np.arange(self.members) if members is None else np.asarray(members)
+        return bootstrap_weights(h, members, self.random_state) if self.bootstrap else np.ones((len(h), len(members)), np.uint8)
 
 
 @dataclass(frozen=True)
@@ -208,81 +217,114 @@ def _children(nodes: np.ndarray, side: int) -> np.ndarray:
         return (mixed(np.uint64(2) * nodes.astype(np.uint64) + np.uint64(side)) & np.uint64(0x7FFFFFFFFFFFFFFF)).astype(np.int64)
 
 
-def _input_splits(bins, w, v, slot, n, W, V):
-    """Best value (-inf: none) and bin of one input for each node; ``slot``: the node (0, 1, ...) of each row."""
-    key = slot * BINS + bins
-    if len(n) * BINS <= 4 * len(key):
-        rows = np.bincount(key, minlength=len(n) * BINS)
-        spot = np.flatnonzero(rows)
-        sums = [rows[spot], *(np.bincount(key, c, len(n) * BINS)[spot] for c in (w, v))]
-    else:
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        spot = key[first]
-        sums = [np.diff(np.append(first, len(key))), *(np.add.reduceat(c[order], first) for c in (w, v))]
+def _node_splits(key, load, code, W, V):
+    """Best value (-inf: none) and bin of one input for each node.  ``key``: node * BINS + bin of each row, from
+    len(W) * BINS on without a node; ``load``: weight and label weight as one number (see LOAD); ``code``: the same
+    as 2 * weight + label, or None for rows that stand for several."""
+    size = len(W) * BINS
+    if code is None or size <= 2 * len(key):
+        sums = np.bincount(key, load, size)[:size]
+        spot = np.flatnonzero(sums)
+        sums = sums[spot]
+    else:                                                      # few rows to a node
+        rows = np.sort(key << 9 | code)
+        rows = rows[:np.searchsorted(rows, size << 9)]
+        first = np.flatnonzero(np.append(True, rows[1:] >> 9 != rows[:-1] >> 9))
+        spot = rows[first] >> 9
+        w = (rows & 511) >> 1
+        sums = np.add.reduceat(w + (w * (rows & 1) << LOAD), first).astype(float)
     node = spot // BINS
-    start = np.searchsorted(node, np.arange(len(n)))
-    left = []
-    for c in sums:                                             # whole numbers: running sums are exact
-        total = c.cumsum()
-        left.append(total - (total[start] - c[start])[node])
-    value = np.where(left[0] < n[node], gini(*left, W[node], V[node]), -np.inf)
+    start = np.searchsorted(node, np.arange(len(W)))
+    total = sums.cumsum()                                      # whole numbers: running sums are exact
+    w, v = _loads(total - (total[start] - sums[start])[node])
+    value = np.where(w < W[node], gini(None, w, v, W[node], V[node]), -np.inf)
     best = np.maximum.reduceat(value, start)
     hit = np.flatnonzero(value == best[node])
-    return best, spot[hit[np.searchsorted(node[hit], np.arange(len(n)))]] % BINS
+    return best, spot[hit[np.searchsorted(node[hit], np.arange(len(W)))]] % BINS
 
 
-def _best_splits(bins, w, v, slot, n, W, V, order, per_node):
-    """(place of the input or -1, bin) of each node's best split, as :func:`best_split` chooses it."""
-    value, cut = np.full((bins.shape[1], len(n)), -np.inf), np.zeros((bins.shape[1], len(n)), np.int64)
+def _loads(load: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(weight, label weight) of summed loads."""
+    v = np.floor(load * 0.5 ** LOAD)
+    return load - v * 2.0 ** LOAD, v
 
-    def fill(i, some):
-        if some.all():
-            value[i], cut[i] = _input_splits(bins[:, i], w, v, slot, n, W, V)
-        elif some.any():
-            at, place = np.flatnonzero(some[slot]), some.cumsum() - 1
-            value[i, some], cut[i, some] = _input_splits(bins[at, i], w[at], v[at], place[slot[at]], n[some], W[some], V[some])
 
-    tried = per_node if order is not None else None
-    for i in range(bins.shape[1]):
-        fill(i, np.ones(len(n), bool) if order is None else (order[:, :tried] == i).any(1))
-    while order is not None and tried < bins.shape[1]:          # no input splits so far: the next one
-        none = ~np.isfinite(value).any(0)
-        if not none.any():
+def _picked(bins: np.ndarray, inputs: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """Each row's bin at the input of its node (0 for none)."""
+    at = np.append(inputs, 0).astype(np.int64).take(slot)
+    at *= len(slot)
+    at += np.arange(len(slot))
+    return bins.ravel().take(at)
+
+
+def _best_splits(bins, slot, load, code, W, V, order, per_node):
+    """(input or -1, bin) of each node's best split, as :func:`best_split` chooses it.  ``slot``: the node (0, 1,
+    ...) of each row, len(W) for none; ``bins``: inputs x rows."""
+    k, first = len(W), slot * BINS
+
+    def tried(inputs):
+        """Value and bin at one input of each node (``inputs``), or at one input of all (a number)."""
+        return _node_splits(first + (bins[inputs] if np.ndim(inputs) == 0 else _picked(bins, inputs, slot)), load, code, W, V)
+
+    # ascending, so that the first of equal values is that of the first input
+    tries = range(len(bins)) if order is None else np.sort(order[:, :per_node], 1).T
+    value, cut = (np.stack(c) for c in zip(*map(tried, tries)))
+    best = value.argmax(0)
+    every = np.arange(k)
+    place, value, cut = (best if order is None else tries[best, every]), value[best, every], cut[best, every]
+    for nth in range(per_node, len(bins)) if order is not None else ():
+        none = np.flatnonzero(~np.isfinite(value))               # no input splits so far: the next one
+        if not len(none):
             break
-        for i in range(bins.shape[1]):
-            fill(i, none & (order[:, tried] == i))
-        tried += 1
-    place = value.argmax(0)
-    found = np.isfinite(value[place, np.arange(len(n))])
-    return np.where(found, place, -1), np.where(found, cut[place, np.arange(len(n))], -1)
+        name = np.full(k + 1, len(none))
+        name[none] = np.arange(len(none))
+        at = np.flatnonzero(name[slot] < len(none))
+        more = _best_splits(bins[:, at], name[slot[at]], load[at], None if code is None else code[at], W[none], V[none], order[none, nth:nth + 1], len(bins))
+        place[none], cut[none] = more
+        value[none[more[0] >= 0]] = 0
+    found = np.isfinite(value)
+    return np.where(found, place, -1), np.where(found, cut, -1)
 
 
 def grow_levels(bins: np.ndarray, w: np.ndarray, y: np.ndarray, node: int, depth: int, max_depth: int | None, per_node: int | None,
                 salt: int, part: int = 0, part_rows: int = PART):
     """The nodes that :func:`grow` finds by :func:`gini`, all of a level together, as arrays: (node, depth,
-    input place, bin, left, right, rows, weight, weight of label 1, part).  ``part``: that of the parent."""
+    input place, bin, left, right, rows, weight, weight of label 1, part).  ``part``: that of the parent;
+    ``w``: whole numbers from 1 to 255, ``y``: 0 or 1."""
+    if w.sum() >= 2 ** LOAD:
+        raise ValueError("too many rows for one task")
     ids, parts = np.array([node], np.int64), np.array([part], np.int64)
-    slot, v = np.zeros(len(w), np.int64), w * y
+    load, code = w + w * y * 2.0 ** LOAD, (2 * w + y).astype(np.int64)
+    bins, slot, rows = np.ascontiguousarray(bins.T), np.zeros(len(w), np.int64), None
+    if len(bins) == 1:                                         # rows of a bin stay together: one stands for all
+        rows, load = np.bincount(bins[0], minlength=BINS).astype(float), np.bincount(bins[0], load, BINS)
+        some = np.flatnonzero(rows)
+        bins, slot, rows, load, code = some.astype(np.uint8)[None], slot[:len(some)], rows[some], load[some], None
     while len(ids):
-        n, W, V = np.bincount(slot, minlength=len(ids)), np.bincount(slot, w, len(ids)), np.bincount(slot, v, len(ids))
+        k = len(ids)
+        n = np.bincount(slot, rows, k)[:k].astype(np.int64)
+        W, V = _loads(np.bincount(slot, load, k)[:k])
         parts = np.where(parts != 0, parts, np.where(n <= part_rows, ids, 0))
-        place, cut = np.full(len(ids), -1), np.full(len(ids), -1)
+        place, cut = np.full(k, -1), np.full(k, -1)
         mixed_up = (n > 1) & (V > 0) & (V < W) & (max_depth is None or depth < max_depth)
-        at = np.flatnonzero(mixed_up[slot])
-        if len(at):
-            bins, w, v, slot = bins[at], w[at], v[at], (mixed_up.cumsum() - 1)[slot[at]]
-            order = None if per_node is None else node_orders(ids[mixed_up], bins.shape[1], salt)
-            place[mixed_up], cut[mixed_up] = _best_splits(bins, w, v, slot, n[mixed_up], W[mixed_up], V[mixed_up], order, per_node)
+        some = int(mixed_up.sum())
+        if some:
+            slot = np.append(np.where(mixed_up, mixed_up.cumsum() - 1, some), some).take(slot) if some < k else slot
+            if np.count_nonzero(slot < some) < 0.9 * len(slot):                      # rows of finished nodes go, many at a time
+                live = np.flatnonzero(slot < some)
+                bins, slot, load = bins.take(live, 1), slot.take(live), load.take(live)
+                rows, code = (None if c is None else c.take(live) for c in (rows, code))
+            order = None if per_node is None else node_orders(ids[mixed_up], len(bins), salt)
+            place[mixed_up], cut[mixed_up] = _best_splits(bins, slot, load, code, W[mixed_up], V[mixed_up], order, per_node)
         split = place >= 0
         sides = [np.where(split, _children(ids, side), 0) for side in (0, 1)]
-        yield ids, np.full(len(ids), depth), place, cut, *sides, n, W, V, parts
+        yield ids, np.full(k, depth), place, cut, *sides, n, W, V, parts
         if not split.any():
             return
-        at = np.flatnonzero(split[mixed_up][slot])
-        bins, w, v, slot = bins[at], w[at], v[at], (split[mixed_up].cumsum() - 1)[slot[at]]
-        slot = 2 * slot + (bins[np.arange(len(slot)), place[split][slot]] > cut[split][slot])
+        taken, ends = split[mixed_up], int(split.sum())
+        right = _picked(bins, np.where(taken, place[mixed_up], 0), slot) > np.append(np.where(taken, cut[mixed_up], BINS - 1), BINS - 1).astype(np.uint8).take(slot)
+        slot = np.append(np.where(taken, 2 * taken.cumsum() - 2, 2 * ends), 2 * ends).take(slot)
+        slot += right
         ids, parts, depth = np.stack([c[split] for c in sides], 1).ravel(), np.repeat(parts[split], 2), depth + 1
 
 
@@ -370,15 +412,15 @@ def _grow_top(rows: DataFrame, specs: list[Forest], n_rows: dict[int, int], n_in
                 at = np.flatnonzero(group == specs[i].group)
                 if not len(at):
                     continue
-                weight = specs[i].weights(h[at])
-                for m in ms:
+                weight = specs[i].weights(h[at], ms)
+                for k, m in enumerate(ms):
                     node = Top.route(arrays[i, m], bins[at])
                     cols = specs[i].columns(m, n_inputs)
                     for node_id in np.unique(node).tolist():
                         slot = slots.get((i, m, node_id))
-                        some = np.flatnonzero((node == node_id) & (weight[:, m] > 0)) if slot is not None else ()
+                        some = np.flatnonzero((node == node_id) & (weight[:, k] > 0)) if slot is not None else ()
                         if len(some):
-                            w = weight[some, m].astype(float)
+                            w = weight[some, k].astype(float)
                             yield slot, histogram(bins[at[some]][:, cols], w, w * y[at[some]])
 
         def pick(slot, hist):
@@ -404,8 +446,80 @@ def fit_forests(rows: DataFrame, specs: list[Forest], edges: dict[int, list[np.n
                 part_rows: int = PART) -> DataFrame:
     """The node table (:data:`NODES`) of all ``specs`` over :func:`binned` rows, written once.  ``value``
     of a node is its share of label 1."""
-    spark, n_inputs = rows.sparkSession, len(next(iter(edges.values()))) if edges else 0
     specs = [s for s in specs if n_rows.get(s.group)]
+    near, wide = ([s for s in specs if (n_rows[s.group] <= small) == way] for way in (True, False))
+    parts = [fit(rows, some, edges, n_rows, small, part_rows) for fit, some in ((_fit_near, near), (_fit_wide, wide)) if some]
+    out = parts[0] if parts else rows.sparkSession.createDataFrame([], NODES)
+    return write_scratch(out.unionByName(parts[1]) if len(parts) > 1 else out, "nodes")
+
+
+def _grown(s: Forest, m: int, levels, cols: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
+    """Node rows of :func:`grow_levels`; ``cuts``: inputs x bins."""
+    ids, depths, place, cut, left, right, n, total, positive, part = (np.concatenate(c) for c in zip(*levels))
+    col, k = np.where(place >= 0, cols[place], -1), len(ids)
+    data = [pa.array([s.config] * k), pa.array(np.full(k, s.group)), pa.array(np.full(k, m)), pa.array(ids), pa.array(depths), pa.array(col),
+            pa.array(cuts[col, cut], mask=place < 0), pa.array(cut), pa.array(left), pa.array(right), pa.array(n), pa.array(total), pa.array(positive / total), pa.array(part)]
+    return pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(data, _NODE_TYPES)], schema=_NODE_SCHEMA)
+
+
+def _cut_table(edges: list[np.ndarray]) -> np.ndarray:
+    return np.stack([np.append(e, np.zeros(BINS - len(e))) for e in edges])
+
+
+def _fit_near(rows: DataFrame, specs: list[Forest], edges, n_rows: dict[int, int], small: int, part_rows: int) -> DataFrame:
+    """Trees of groups that fit a task.  All rows of a group go to each of its blocks, a number of trees to a task."""
+    n_inputs, tasks = len(next(iter(edges.values()))), rows.sparkSession.sparkContext.defaultParallelism
+    groups = sorted({s.group for s in specs})
+    blocks: list[tuple[int, list[tuple[int, int]]]] = []       # (group, its trees (spec, member))
+    first: dict[int, tuple[int, int]] = {}
+    for g in groups:
+        # trees of one member follow each other: they share their weights where the random states agree
+        trees = sorted((m, i) for i, s in enumerate(specs) if s.group == g for m in range(s.members))
+        k = min(len(trees), max(1, n_rows[g] * len(trees) // BLOCK_ROWS), max(1, max(BLOCKS, 4 * tasks) // len(groups)))
+        first[g] = len(blocks), k
+        blocks += [(g, [(i, m) for m, i in trees[j * len(trees) // k:(j + 1) * len(trees) // k]]) for j in range(k)]
+
+    def chunks(batches):
+        """Rows as bytes, a chunk of a group to a row."""
+        for b in batches:
+            group = b.column(0).to_numpy(zero_copy_only=False)
+            for g in groups:
+                at = np.flatnonzero(group == g)
+                if len(at):
+                    _, bins, y, h = _arrays(b.take(pa.array(at)))
+                    yield pa.RecordBatch.from_arrays([pa.array([g], pa.int64()), *(pa.array([c.tobytes()], pa.binary()) for c in (bins, y.astype(np.uint8), h))],
+                                                     names=[GROUP, "bins", Y, "h"])
+
+    def finish(batches):
+        found: dict[int, list] = {}
+        for b in batches:
+            for block, *c in zip(*(b.column(n).to_pylist() for n in ("block", "bins", Y, "h"))):
+                found.setdefault(block, []).append(c)
+        for block in sorted(found):
+            g, trees = blocks[block]
+            bins, y, h = (np.frombuffer(b"".join(c), t) for c, t in zip(zip(*found.pop(block)), (np.uint8, np.uint8, np.int64)))
+            bins, y, cuts, drawn = np.ascontiguousarray(bins.reshape(len(y), -1).T), y.astype(float), _cut_table(edges[g]), None
+            for i, m in trees:
+                s = specs[i]
+                if drawn is None or drawn[0] != (m, s.random_state, s.bootstrap):
+                    w = s.weights(h, [m])[:, 0]
+                    at = np.flatnonzero(w)
+                    drawn = (m, s.random_state, s.bootstrap), at, w[at].astype(float), y[at]
+                _, at, w, label = drawn
+                cols = s.columns(m, n_inputs)
+                if len(at):
+                    mine = np.stack([bins[c].take(at) for c in cols])
+                    yield _grown(s, m, grow_levels(mine.T, w, label, ROOT, 0, s.max_depth, s.per_node, _salt(s, m), 0, part_rows), cols, cuts)
+
+    packed = rows.where(F.col(GROUP).isin(groups)).mapInArrow(chunks, f"{GROUP} long, bins binary, {Y} binary, h binary")
+    spans = [F.when(F.col(GROUP) == g, F.sequence(F.lit(lo), F.lit(lo + k - 1))) for g, (lo, k) in first.items()]
+    dealt = packed.withColumn("block", F.explode(F.coalesce(*spans)))
+    return dealt.repartitionById(len(blocks), F.col("block")).mapInArrow(finish, NODES)
+
+
+def _fit_wide(rows: DataFrame, specs: list[Forest], edges, n_rows: dict[int, int], small: int, part_rows: int) -> DataFrame:
+    """Trees of larger groups: :func:`_grow_top`, then a task per node."""
+    spark, n_inputs = rows.sparkSession, len(next(iter(edges.values())))
     tops, done = _grow_top(rows, specs, n_rows, n_inputs, small)
     arrays = {key: top.arrays() for key, top in tops.items()}
     leaves = {(i, m, node) for i, m, node, _, col, *_ in done if col < 0}
@@ -461,13 +575,7 @@ def fit_forests(rows: DataFrame, specs: list[Forest], edges: dict[int, list[np.n
         bins = join("bins").reshape(len(w), len(cols))
         depth, part = below.get((i, m, node), (0, 0))
         levels = grow_levels(bins, w, y, node, depth, s.max_depth, s.per_node, _salt(s, m), part, part_rows)
-        ids, depths, place, cut, left, right, n, total, positive, part = (np.concatenate(c) for c in zip(*levels))
-        col = np.where(place >= 0, cols[place], -1)
-        threshold = pa.array([float(edges[s.group][c][b]) if c >= 0 else None for c, b in zip(col.tolist(), cut.tolist())], pa.float64())
-        k = len(ids)
-        return pa.Table.from_arrays([pa.array([s.config] * k), pa.array([s.group] * k), pa.array([m] * k), pa.array(ids), pa.array(depths), pa.array(col), threshold,
-                                     pa.array(cut), pa.array(left), pa.array(right), pa.array(n), pa.array(total), pa.array(positive / total), pa.array(part)],
-                                    names=_NODE_NAMES).cast(pa.schema(list(zip(_NODE_NAMES, _NODE_TYPES))))
+        return pa.Table.from_batches([_grown(s, m, levels, cols, _cut_table(edges[s.group]))])
 
     local = (rows.mapInArrow(deal, "spec int, member int, node long, bins binary, w binary, y binary")
              .groupBy("spec", "member", "node").applyInArrow(finish, NODES))
@@ -475,11 +583,12 @@ def fit_forests(rows: DataFrame, specs: list[Forest], edges: dict[int, list[np.n
         local = local.unionByName(spark.createDataFrame(
             [(specs[i].config, specs[i].group, m, node, depth, col, float(edges[specs[i].group][col][cut]) if col >= 0 else None, cut,
               child(node, 0) if col >= 0 else 0, child(node, 1) if col >= 0 else 0, n, w, share, parts[i, m, node]) for i, m, node, depth, col, cut, n, w, share in done], NODES))
-    return write_scratch(local, "nodes")
+    return local
 
 
 _NODE_NAMES = [c.split()[0] for c in NODES.split(", ")]
 _NODE_TYPES = [{"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64()}[c.split()[1]] for c in NODES.split(", ")]
+_NODE_SCHEMA = pa.schema(list(zip(_NODE_NAMES, _NODE_TYPES)))
 
 
 # -------------------------------------------------------------- boosting ---
@@ -503,15 +612,42 @@ def boost(bins: np.ndarray, y: np.ndarray, s: Boosting):
     """Yield the (stage, tree) pairs of a group that fits a task."""
     start = _start(float(y.sum()), len(y))
     yield -1, [(ROOT, 0, -1, -1, 0, 0, len(y), float(len(y)), start)]
-    f, one = np.full(len(y), start), np.ones(len(y))
+    f, bins = np.full(len(y), start), np.ascontiguousarray(bins.T)
+    whole = np.stack([np.bincount(c, minlength=BINS) for c in bins]).astype(float)
     for stage in range(s.stages):
         p = 1 / (1 + np.exp(-f))
         slope, curve, tree = y - p, p * (1 - p), []
-        for n, d, col, cut, a, b, at in grow(bins, one, slope, ROOT, 0, s.depth, None, 0, spread):
-            value = _leaf(float(slope[at].sum()), float(curve[at].sum())) if col < 0 else 0.0
-            if col < 0:
-                f[at] += s.rate * value
-            tree.append((n, d, col, cut, a, b, len(at), float(len(at)), value))
+        frontier, slot = [ROOT], np.zeros(len(y), np.int64)   # slot: the place in the frontier, len(frontier) for none
+        for depth in range(s.depth + 1):
+            ends, k = [], len(frontier)
+            if not depth:
+                n, v = whole[:, None], np.stack([np.bincount(c, slope, BINS) for c in bins])[:, None]
+            elif depth < s.depth:
+                first, n, v = slot * BINS, np.empty((len(bins), k, BINS)), np.empty((len(bins), k, BINS))
+                for i, c in enumerate(bins):
+                    key = first + c
+                    n[i] = np.bincount(key, minlength=k * BINS)[:k * BINS].reshape(k, BINS)
+                    v[i] = np.bincount(key, slope, k * BINS)[:k * BINS].reshape(k, BINS)
+            place, cut = np.zeros(k, np.int64), np.full(k, BINS)
+            for j, node in enumerate(frontier):
+                split = best_split(np.stack([n[:, j], n[:, j], v[:, j]]), None, None, spread) if depth < s.depth and n[0, j].sum() > 1 else None
+                if split is None:
+                    at = np.flatnonzero(slot == j)
+                    value = _leaf(float(slope[at].sum()), float(curve[at].sum()))
+                    f[at] += s.rate * value
+                    tree.append((node, depth, -1, -1, 0, 0, len(at), float(len(at)), value))
+                    continue
+                place[j], cut[j], _ = split
+                ends += [child(node, 0), child(node, 1)]
+                size = int(n[0, j].sum())
+                tree.append((node, depth, int(place[j]), int(cut[j]), *ends[-2:], size, float(size), 0.0))
+            if not ends:
+                break
+            right = _picked(bins, place, slot) > np.append(cut, BINS).take(slot)
+            taken = cut < BINS
+            slot = np.append(np.where(taken, 2 * taken.cumsum() - 2, len(ends)), len(ends)).take(slot)
+            slot += right
+            frontier = ends
         yield stage, tree
 
 
@@ -682,15 +818,22 @@ class TreePredictor:
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """rows x trees: the place among the nodes of the leaf that each row reaches."""
+        parts = [self._leaves(x[lo:lo + max(1, CELLS // max(len(self.roots), 1))]) for lo in range(0, len(x), max(1, CELLS // max(len(self.roots), 1)))]
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.roots)), np.int64)
+
+    def _leaves(self, x: np.ndarray) -> np.ndarray:
         at = np.tile(self.roots, len(x))
-        row = np.repeat(np.arange(len(x)), len(self.roots))
-        live = np.flatnonzero(self.input[at] >= 0)
+        first = np.repeat(np.arange(len(x)) * x.shape[1], len(self.roots))
+        x, sides, live = np.ascontiguousarray(x).ravel(), self.sides.ravel(), np.flatnonzero(self.input.take(at) >= 0)
+        node, first = at.take(live), first.take(live)
         while len(live):
-            node = at[live]
-            node = self.sides[node, (x[row[live], self.input[node]] > self.threshold[node]).astype(np.int64)]
-            at[live] = node
-            live = live[self.input[node] >= 0]
-        return at.reshape(len(x), -1)
+            node = sides.take(2 * node + (x.take(first + self.input.take(node)) > self.threshold.take(node)))
+            on = self.input.take(node) >= 0
+            if not on.all():
+                done, on = np.flatnonzero(~on), np.flatnonzero(on)
+                at[live.take(done)] = node.take(done)
+                live, node, first = live.take(on), node.take(on), first.take(on)
+        return at.reshape(-1, len(self.roots))
 
     def sums(self, x: np.ndarray) -> np.ndarray:
         """The leaf values of all trees added up."""
@@ -824,9 +967,72 @@ class TreeTable:
         def last(m, ids, value, at, data):
             return np.ascontiguousarray(data).view(np.int64).ravel(), np.rint(value * UNIT).astype(np.int64)[at]
 
-        units = self._routed(rows, load, 8, last, "row long, units long").groupBy("row").agg(F.sum("units").alias("units"))
+        sizes = [r["count"] for r in self.nodes.groupBy("member").count().collect()]                # one row per tree
+        units = self._routed(rows, load, 8, last, "row long, units long") if max(sizes) > TREE_NODES else self._whole(rows, sum(sizes))
+        units = units.groupBy("row").agg(F.sum("units").alias("units"))
         return units.select("row", (F.col("units") / F.lit(UNIT * len(self.members))).alias("share"))
 
+    def _whole(self, rows: DataFrame, n_nodes: int) -> DataFrame:
+        """(row, units) per row and block of trees: a task has whole trees of a block and some of the rows."""
+        members, cuts, tasks = self.members, self.cuts, rows.sparkSession.sparkContext.defaultParallelism
+        shares = max(1, math.ceil(rows.count() / TASK_ROWS))
+        blocks = min(len(members), max(math.ceil(n_nodes / TASK_NODES), math.ceil(2 * tasks / shares)))
+        schema = "member int, block int, share int, a binary, b binary, c binary"
+        names = [c.split()[0] for c in schema.split(", ")]
+        place = {m: k for k, m in enumerate(members)}
+
+        def row(*values):
+            return [pa.array([v], t) for v, t in zip(values, (pa.int32(),) * 3 + (pa.binary(),) * 3)]
+
+        def pack(t: pa.Table) -> pa.Table:
+            """A tree: input and bin and children's places of its nodes (a leaf leads to itself), and the root's place and all units."""
+            ids, col, cut, left, right, value = (t.column(c).to_numpy() for c in ("node", "input", "bin", "left", "right", "value"))
+            order = np.argsort(ids)
+            ids, col, cut, value, every = ids[order], col[order], cut[order], value[order], np.arange(len(ids))
+            sides = np.stack([np.where(col >= 0, np.searchsorted(ids, c[order]), every) for c in (left, right)], 1).astype(np.int32)
+            m, units = t.column("member")[0].as_py(), np.append(np.searchsorted(ids, ROOT), np.rint(value * UNIT).astype(np.int64))
+            return pa.Table.from_arrays(row(m, place[m] % blocks, None, np.stack([col, cut], 1).astype(np.int16).tobytes(), sides.tobytes(), units.tobytes()),
+                                        names=names)
+
+        def bin_rows(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    x, ids = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1), batch.column(1).to_numpy().astype(np.int64)
+                    bins = np.zeros(x.shape, np.uint8)
+                    for i, c in cuts.items():
+                        bins[:, i] = np.searchsorted(c, x[:, i], side="left")
+                    share = int(mixed(ids[:1].view(np.uint64))[0] % np.uint64(shares))
+                    yield pa.RecordBatch.from_arrays(row(None, None, share, bins.tobytes(), ids.tobytes(), None), names=names)
+
+        def meet(batches):
+            trees, parts = [], []
+            for b in batches:
+                for m, _, _, *c in zip(*(b.column(n).to_pylist() for n in names)):
+                    (parts if m is None else trees).append(c)
+            trees = [(*np.frombuffer(a, np.int16).reshape(-1, 2).astype(np.int64).T, np.frombuffer(b, np.int32).astype(np.int64), np.frombuffer(c, np.int64)) for a, b, c in trees]
+            for bins, ids, _ in parts:
+                ids, bins = np.frombuffer(ids, np.int64), np.frombuffer(bins, np.uint8)
+                first, total = np.arange(len(ids)) * (len(bins) // len(ids)), np.zeros(len(ids), np.int64)
+                for col, cut, sides, units in trees:
+                    at, live, base = np.full(len(ids), -1), np.arange(len(ids)), first
+                    here, units, step = np.full(len(ids), units[0]), units[1:], 0
+                    while len(live):
+                        step += 1
+                        if step % 4 == 1:                      # rows in leaves stay there; now and then they are set aside
+                            on = col.take(here) >= 0
+                            if not on.all():
+                                at[live] = here
+                                on = np.flatnonzero(on)
+                                live, here, base = live.take(on), here.take(on), base.take(on)
+                        here = sides.take(2 * here + (bins.take(base + np.maximum(col.take(here), 0)) > cut.take(here)))
+                    total += units.take(at)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["row", "units"])
+
+        trees = self.nodes.groupBy("member").applyInArrow(pack, schema).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+        dealt = rows.mapInArrow(bin_rows, schema).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        met = trees.unionByName(dealt).repartitionById(blocks * shares, F.col("block") * F.lit(shares) + F.col("share"))
+        return met.mapInArrow(meet, "row long, units long")
+
     def totals(self, rows: DataFrame, spec: Forest) -> DataFrame:
         """As :func:`leaf_totals`, of ``rows`` (x, y, h)."""
         def load(batch):

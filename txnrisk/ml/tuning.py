@@ -8,6 +8,8 @@ trees of all ensembles grow in one job, and all folds are scored in one plan.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schema as S
@@ -66,17 +68,20 @@ def fit_grid(rows: DataFrame, scaling: Scaling, grid, n_members: int | None = No
     logits, forests, boosts = ([s for s in specs if isinstance(s, t)] for t in (Logit, Forest, Boosting))
     found: dict[tuple[str, int], FittedModel] = {}
     weights: dict[tuple[str, int], list] = {}
-    for spec, w in fit_logits(rows, logits, n, scaling.n).items() if logits else ():
-        weights.setdefault((spec.config, spec.group), []).append((spec.member, w.tolist()))
-    for key, w in weights.items():
-        found[key] = FittedModel(scaling, LogitPredictor([v for _, v in sorted(w)]), key[1])
-    if forests or boosts:
-        edges = bin_edges(rows, n)
-        table = binned(rows, edges)
-        nodes = fit_forests(table, forests, edges, scaling.n, small) if forests else None
+    with ThreadPoolExecutor(1) as aside:
+        if forests or boosts:
+            edges = bin_edges(rows, n)
+            table = binned(rows, edges)
         # a boosting that is the beginning of a longer one is read off its first stages
         longest = {(s.group, s.rate, s.depth): s for s in sorted(boosts, key=lambda s: s.stages)}
-        stages = fit_boosting(table, list(longest.values()), edges, scaling.n, small) if boosts else None
+        # stage after stage on few cores; the other fits take the rest
+        stages = aside.submit(fit_boosting, table, list(longest.values()), edges, scaling.n, small) if boosts else None
+        for spec, w in fit_logits(rows, logits, n, scaling.n).items() if logits else ():
+            weights.setdefault((spec.config, spec.group), []).append((spec.member, w.tolist()))
+        for key, w in weights.items():
+            found[key] = FittedModel(scaling, LogitPredictor([v for _, v in sorted(w)]), key[1])
+        nodes = fit_forests(table, forests, edges, scaling.n, small) if forests else None
+        stages = stages.result() if boosts else None
         for s in forests:
             found[s.config, s.group] = FittedModel(scaling, ensemble(_nodes(nodes, s)), s.group)
         for s in boosts:

@@ -54,15 +54,12 @@ def _score_buckets(g: DataFrame, score: str, n_buckets: int, group_cols: list[st
     same = F.lit(True)
     for c in group_cols:
         same = same & F.col(c).eqNullSafe(F.col(f"__e_{c}"))
-    # binary search: the span [lo, hi) of possible counts halves with each step
-    steps = F.sequence(F.lit(1), F.lit(max(1, math.ceil(math.log2(n_buckets)) + 1)))
-    span = F.aggregate(
-        steps, F.struct(F.lit(0).alias("lo"), F.size("__edges").alias("hi")),
-        lambda s, _: F.when(s["lo"] >= s["hi"], s).when(
-            F.get("__edges", F.floor((s["lo"] + s["hi"]) / 2).cast("int")) < F.col(score),
-            F.struct((F.floor((s["lo"] + s["hi"]) / 2).cast("int") + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(
-            F.struct(s["lo"].alias("lo"), F.floor((s["lo"] + s["hi"]) / 2).cast("int").alias("hi"))))
-    return g.join(edges, same).select(*g.columns, span["lo"].cast("double").alias("__sb"))
+    # binary search, in generated code: each step takes half of what may lie below (an edge beyond the last is null)
+    found = g.join(edges, same).withColumn("__sb", F.lit(0))
+    for half in (1 << k for k in reversed(range(n_buckets.bit_length()))):
+        lies_below = F.get("__edges", F.col("__sb") + F.lit(half - 1)) < F.col(score)
+        found = found.withColumn("__sb", F.col("__sb") + F.when(lies_below, F.lit(half)).otherwise(F.lit(0)))
+    return found.select(*g.columns, F.col("__sb").cast("double").alias("__sb"))
 
 
 def ranking_metrics(scored: DataFrame, label: str = S.TX_FRAUD, score: str = "score",
