@@ -79,6 +79,25 @@ def test_rows_are_scored_by_blocks_of_whole_trees(ready, monkeypatch):
     assert blocked == parted and max(abs(blocked[k] - v) for k, v in want.items()) < 1e-12
 
 
+def test_fold_scores_are_computed_once(spark, ready):
+    from conftest import SF0001
+
+    from txnrisk.ml.tuning import select_and_refit
+    from txnrisk.plans.training import train_test_features
+    from txnrisk.sources import load_transactions
+    read = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    train, _ = train_test_features(load_transactions(spark, SF0001), "2024-01-01")
+    scores = spark.createDataFrame([(c, f, s + f / 10) for c, s in (("a", 0.2), ("b", 0.1)) for f in (0, 1)], "config string, fold long, score double")
+    name, row, _ = select_and_refit(scores.mapInArrow(run, scores.schema), train, [("a", "logistic", {}), ("b", "logistic", {})])
+    assert (name, round(row["mean_test_score"], 9)) == ("a", 0.25) and read.value == 4
+
+
 def test_boosting_by_levels_equals_node_by_node(ready):
     rnd = np.random.default_rng(3)
     bins, y = rnd.integers(0, 40, (500, 3)).astype(np.uint8), (rnd.random(500) < 0.3).astype(float)

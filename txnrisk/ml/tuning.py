@@ -145,7 +145,7 @@ def grid_search(folds: DataFrame, grid=GRID, scorer=scorer_average_precision, n_
 
 def select_and_refit(fold_scores: DataFrame, train: DataFrame, grid=GRID, n_members: int | None = None):
     """(configuration, its CV summary row, model refitted on ``train``) of the one-SD choice."""
-    summary = cv_summary(fold_scores)
+    summary = cv_summary(write_scratch(fold_scores, "fold-scores"))        # read by two jobs
     # equal means leave nothing strictly above the threshold: then the best rank, by name
     chosen = select_one_sd(summary).first() or summary.orderBy("rank_test_score", "config").first()
     name = chosen["config"]
