@@ -3,8 +3,8 @@
 Up to ``max_matrix_rows`` standardised train rows travel to the tasks as one matrix, and the test rows
 stay where they are.  Beyond that, train rows are dealt to the cells of a k-d tree whose pivots come from a
 bounded sample, and within a cell to leaves of some hundred rows.  A test row is compared with its nearest
-cell first; it then meets only leaves whose bounding box lies within the reach found there.  Both ways give
-the same neighbours; ties go to the smaller train id."""
+cell first, then with the next few; it meets only leaves whose bounding box lies within the reach found so far,
+and at last all others of those.  Both ways give the same neighbours; ties go to the smaller train id."""
 
 from __future__ import annotations
 
@@ -32,8 +32,11 @@ QUERY_ROWS = 16_384
 # rows of a leaf (more, so that the list of leaves stays bounded)
 LEAF_ROWS = 256
 MAX_LEAVES = 1 << 16
-# test rows whose boxes are looked up at a time
+# test rows whose boxes are looked up at a time; cells met before the reach is measured again
 LOOKUP = 1_024
+NEXT = 4
+# test rows that travel to a chunk as one value, and all that a task holds before it hands them on
+PACK, PACKED = 4_096, 1 << 17
 # share of the squares involved by which rounding may move a squared distance
 ROUNDING = 1e-10
 
@@ -191,31 +194,81 @@ def within(query: np.ndarray, d2: np.ndarray, leaves: list, k: int):
     return _first(*(np.concatenate(c) for c in zip(*parts)), k)
 
 
+def _reach(q: np.ndarray, leaves: list, k: int) -> np.ndarray:
+    """A squared distance within which each q has k rows: those of the leaf that it lies nearest to."""
+    out = np.full(len(q), 1e300)                               # any distance, where that leaf has fewer
+    near = box_distances(q, np.stack([v.min(0) for _, _, v in leaves]), np.stack([v.max(0) for _, _, v in leaves])).argmin(1)
+    size_q = (q ** 2).sum(1)
+    for n, (_, _, v) in enumerate(leaves):
+        mine, size_t = np.flatnonzero(near == n) if len(v) >= k else np.zeros(0, np.int64), (v ** 2).sum(1)
+        for lo in range(0, len(mine), max(1, SLAB // len(v))):
+            at = mine[lo:lo + max(1, SLAB // len(v))]
+            about = size_q[at, None] + size_t[None, :] - 2 * q[at] @ v.T
+            out[at] = np.maximum(np.partition(about, k - 1, axis=1)[:, k - 1], 0) + 2 * (ROUNDING * (size_q[at] + size_t.max()) + 1e-300)
+    return out
+
+
+class _Packs:
+    """Test rows on their way to the chunks they meet, some thousands as one value."""
+
+    schema = "chunk long, n long, qid binary, q binary, limit binary"
+
+    def __init__(self):
+        self.held, self.n = {}, 0
+
+    def add(self, chunk: int, qid: np.ndarray, q: np.ndarray, limit: np.ndarray):
+        """Take rows for a chunk; the batches that are ready."""
+        self.held.setdefault(chunk, []).append((qid, q, limit))
+        self.n += len(qid)
+        if sum(len(c[0]) for c in self.held[chunk]) >= PACK:
+            yield self._batch([chunk])
+        if self.n >= PACKED:
+            yield from self.rest()
+
+    def rest(self):
+        if self.held:
+            yield self._batch(list(self.held))
+
+    def _batch(self, chunks: list[int]) -> pa.RecordBatch:
+        rows = []
+        for c in chunks:
+            qid, q, limit = (np.concatenate(x) for x in zip(*self.held.pop(c)))
+            self.n -= len(qid)
+            rows.append((c, len(qid), qid.astype(np.int64).tobytes(), q.astype(float).tobytes(), limit.astype(float).tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
+                                          names=["chunk", "n", "qid", "q", "limit"])
+
+
 def _meet(queries: DataFrame, leaves: DataFrame, k: int) -> DataFrame:
-    """(qid, d2, tid, y): the k nearest rows of its ``chunk`` for each (qid, chunk, q, limit) row, within the squared
-    distance ``limit``.  A chunk with many test rows is met in several tasks, each with its part of them and all of
-    the chunk."""
-    met = write_scratch(queries.groupBy("chunk").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("parts")), "met")
-    left = queries.join(met, "chunk").select("chunk", F.pmod(F.xxhash64("qid"), "parts").cast("int").alias("part"), "qid", "q", "limit")
-    right = leaves.join(met, "chunk").select("chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "tid", "y", "v")
-
-    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
-        names = ["qid", "d2", "tid", "y"]
-        if not a.num_rows or not b.num_rows:
-            return pa.Table.from_arrays([pa.array([], t) for t in (pa.int64(), pa.float64(), pa.int64(), pa.float64())], names=names)
-        q, d2, qid = _matrix(a.column("q"), a.num_rows), a.column("limit").to_numpy(), a.column("qid").to_numpy()
-        packed = [(np.array(t), np.array(y, float), np.array(v, float).reshape(len(t), -1)) for t, y, v in zip(*(b.column(c).to_pylist() for c in ("tid", "y", "v")))]
-        if np.isinf(d2).all():                                 # the first chunk that these meet
-            ids, y, v = (np.concatenate(c) for c in zip(*packed))
-            found = list(slabs(q, v, ids, k))
-            rows = np.concatenate([n for n, _ in found])
-            at, d2 = np.repeat(np.arange(len(q)), [len(n) for n, _ in found]), np.concatenate([d for _, d in found])
-            return pa.Table.from_arrays([pa.array(c) for c in (qid[at], d2, ids[rows], y[rows])], names=names)
-        at, d2, ids, y = within(q, d2, packed, k)
-        return pa.Table.from_arrays([pa.array(c) for c in (qid[at], d2, ids, y)], names=names)
-
-    return (left.groupBy("chunk", "part").cogroup(right.groupBy("chunk", "part"))
-            .applyInArrow(compare, "qid long, d2 double, tid long, y double"))
+    """(qid, d2, tid, y): the k nearest rows of its ``chunk`` for each test row of ``queries`` (:class:`_Packs`),
+    within its squared distance ``limit``.  A chunk with many test rows is met in several tasks, each with its part
+    of them and all of the chunk."""
+    spark, names = leaves.sparkSession, ["qid", "d2", "tid", "y"]
+    parts = queries.groupBy("chunk").agg(F.ceil(F.sum("n") / QUERY_ROWS).cast("int").alias("parts")).orderBy("chunk").collect()     # chunks: PIVOTS rows, and parts of crowded ones
+    ends = np.cumsum([r["parts"] for r in parts]).tolist()
+    met = F.broadcast(spark.createDataFrame([(r["chunk"], end - r["parts"], r["parts"]) for r, end in zip(parts, ends)], "chunk long, first int, parts int"))
+    left = queries.join(met, "chunk").select((F.col("first") + F.pmod(F.xxhash64("qid"), "parts").cast("int")).alias("task"), F.col("qid").alias("id"), F.col("q").alias("v"), "limit", F.lit(None).cast("binary").alias("y"))
+    right = leaves.join(met, "chunk").select(F.explode(F.sequence(F.col("first"), F.col("first") + F.col("parts") - 1)).alias("task"), F.col("tid").alias("id"), "v", F.lit(None).cast("binary").alias("limit"), "y")
+
+    def compare(batches):
+        tasks: dict[int, tuple[list, list]] = {}
+        for b in batches:
+            for task, ids, v, limit, y in zip(*(b.column(c).to_pylist() for c in ("task", "id", "v", "limit", "y"))):
+                tasks.setdefault(task, ([], []))[y is not None].append((ids, v, limit if y is None else y))
+        for task in sorted(tasks):
+            rows, packed = tasks.pop(task)
+            if not rows or not packed:
+                continue
+            qid, q, d2 = (np.frombuffer(b"".join(c), t) for c, t in zip(zip(*rows), (np.int64, float, float)))
+            q = q.reshape(len(qid), -1)
+            packed = [(np.frombuffer(t, np.int64), np.frombuffer(y), np.frombuffer(v).reshape(len(t) // 8, -1)) for t, v, y in packed]
+            if np.isinf(d2).all():                             # the first chunk that these meet
+                d2 = _reach(q, packed, k)
+            at, d2, ids, y = within(q, d2, packed, k)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (qid[at], d2, ids, y)], names=names)
+
+    # a task for each chunk and part: few bytes stand for much work, so sizes must not decide
+    return left.unionByName(right).repartitionById(max(1, ends[-1] if ends else 1), F.col("task")).mapInArrow(compare, "qid long, d2 double, tid long, y double")
 
 
 def _by_pivots(train: DataFrame, test: DataFrame, n_train: int, k: int) -> DataFrame:
@@ -245,13 +298,12 @@ def _by_pivots(train: DataFrame, test: DataFrame, n_train: int, k: int) -> DataF
         v, ids, y = _matrix(t.column("v"), t.num_rows), t.column("tid").to_numpy(), t.column("y").to_numpy().astype(float)
         at = kd_leaves(v, leaf_rows)
         k = len(at)
-        return pa.table({"chunk": pa.array([t.column("chunk")[0].as_py()] * k, pa.int64()), **{
-            name: pa.array([f(a).tolist() for a in at], pa.list_(kind)) for name, kind, f in (
-                ("low", pa.float64(), lambda a: v[a].min(0)), ("high", pa.float64(), lambda a: v[a].max(0)), ("tid", pa.int64(), lambda a: ids[a]),
-                ("y", pa.float64(), lambda a: y[a]), ("v", pa.float64(), lambda a: v[a].ravel()))}})
+        return pa.table({"chunk": pa.array([t.column("chunk")[0].as_py()] * k, pa.int64()),
+                         **{name: pa.array([f(a).tolist() for a in at], pa.list_(pa.float64())) for name, f in (("low", lambda a: v[a].min(0)), ("high", lambda a: v[a].max(0)))},
+                         **{name: pa.array([c[a].tobytes() for a in at], pa.binary()) for name, c in (("tid", ids), ("y", y), ("v", v))}})
 
     leaves = write_scratch(dealt.groupBy("chunk").applyInArrow(
-        split, "chunk long, low array<double>, high array<double>, tid array<long>, y array<double>, v array<double>"), "knn-leaves")
+        split, "chunk long, low array<double>, high array<double>, tid binary, y binary, v binary"), "knn-leaves")
     listed = leaves.select("chunk", "low", "high").toPandas().sort_values("chunk", kind="stable")   # about MAX_LEAVES rows
     low, high = (np.stack(listed[c].to_numpy()) for c in ("low", "high"))
     names, start = np.unique(listed["chunk"].to_numpy(), return_index=True)
@@ -265,36 +317,52 @@ def _by_pivots(train: DataFrame, test: DataFrame, n_train: int, k: int) -> DataF
             for lo in range(0, b.num_rows, LOOKUP):
                 part = b.slice(lo, LOOKUP)
                 near = box_distances(_matrix(part.column(1), part.num_rows), low, high).argmin(1)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names[near]), part.column(1), pa.array(np.full(len(near), np.inf))],
-                                                 names=["qid", "chunk", "q", "limit"])
-
-    schema = "qid long, chunk long, q array<double>, limit double"
-    first = write_scratch(tests.select(F.col("__qid").alias("qid"), F.col("__v").alias("q")).mapInArrow(home, schema), "knn-home")
-    best = write_scratch(_meet(first, leaves, k), "knn-first")
-    # with fewer than k rows so far, any chunk may hold the next one
-    reach = best.groupBy("qid").agg(F.max("d2").alias("d2"), F.count(F.lit(1)).alias("found"))
-    reach = first.drop("limit").join(reach, "qid", "left").select(
-        "qid", "chunk", "q", F.when(F.col("found") >= k, F.col("d2")).otherwise(F.lit(1e300)).alias("limit"))
-
-    def rest(batches):
-        names, start, low, high, chunk_low, chunk_high = sent.value
-        end = [*start[1:].tolist(), len(low)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names[near]), part.column(1)], names=["qid", "chunk", "q"])
+
+    def to_home(batches):
+        packs = _Packs()
         for b in batches:
-            for lo in range(0, b.num_rows, LOOKUP):
-                part = b.slice(lo, LOOKUP)
-                v, own = _matrix(part.column(2), part.num_rows), part.column(1).to_numpy()
-                limit = _limit(v, part.column(3).to_numpy())
-                hit = (box_distances(v, chunk_low, chunk_high) <= limit[:, None]) & (names[None, :] != own[:, None])
-                for c in np.flatnonzero(hit.any(0)).tolist():
-                    at = np.flatnonzero(hit[:, c])
-                    leaf = slice(int(start[c]), int(end[c]))
-                    at = at[(box_distances(v[at], low[leaf], high[leaf]) <= limit[at, None]).any(1)]
-                    if len(at):
-                        take = pa.array(at)
-                        yield pa.RecordBatch.from_arrays([part.column(0).take(take), pa.array(np.full(len(at), names[c])), part.column(2).take(take), part.column(3).take(take)],
-                                                         names=["qid", "chunk", "q", "limit"])
-
-    more = write_scratch(reach.mapInArrow(rest, schema), "knn-rest")
+            qid, own, q = b.column(0).to_numpy(), b.column(1).to_numpy(), _matrix(b.column(2), b.num_rows)
+            for c in np.unique(own).tolist():
+                at = np.flatnonzero(own == c)
+                yield from packs.add(c, qid[at], q[at], np.full(len(at), np.inf))
+        yield from packs.rest()
+
+    def to_others(nearest_ones: bool):
+        """To the NEXT chunks nearest to a test row, or to all but these, that lie within its reach."""
+        def run(batches):
+            names, start, low, high, chunk_low, chunk_high = sent.value
+            end, packs = [*start[1:].tolist(), len(low)], _Packs()
+            for b in batches:
+                for lo in range(0, b.num_rows, LOOKUP):
+                    part = b.slice(lo, LOOKUP)
+                    qid, own, d2 = (part.column(i).to_numpy() for i in (0, 1, 3))
+                    v = _matrix(part.column(2), part.num_rows)
+                    limit, far = _limit(v, d2), box_distances(v, chunk_low, chunk_high)
+                    far[names[None, :] == own[:, None]] = np.inf
+                    ranked = np.zeros(far.shape, bool)
+                    some = np.argsort(far, axis=1, kind="stable")[:, :NEXT]
+                    np.put_along_axis(ranked, some, True, axis=1)
+                    hit = (far <= limit[:, None]) & (ranked if nearest_ones else ~ranked)
+                    for c in np.flatnonzero(hit.any(0)).tolist():
+                        at = np.flatnonzero(hit[:, c])
+                        leaf = slice(int(start[c]), int(end[c]))
+                        at = at[(box_distances(v[at], low[leaf], high[leaf]) <= limit[at, None]).any(1)]
+                        if len(at):
+                            yield from packs.add(int(names[c]), qid[at], v[at], d2[at])
+            yield from packs.rest()
+        return run
+
+    def reach(best: DataFrame) -> DataFrame:
+        """(qid, chunk, q, limit) by the rows found so far; with fewer than k, any chunk may hold the next one."""
+        kth = best.groupBy("qid").agg(F.array_sort(F.collect_list("d2")).alias("d2"))          # a few times k values
+        return first.join(kth, "qid", "left").select("qid", "chunk", "q", F.coalesce(F.get("d2", F.lit(k - 1)), F.lit(1e300)).alias("limit"))
+
+    first = write_scratch(tests.select(F.col("__qid").alias("qid"), F.col("__v").alias("q")).mapInArrow(home, "qid long, chunk long, q array<double>"), "knn-home")
+    best = write_scratch(_meet(write_scratch(first.mapInArrow(to_home, _Packs.schema), "knn-own"), leaves, k), "knn-first")
+    more = write_scratch(reach(best).mapInArrow(to_others(True), _Packs.schema), "knn-next")
+    best = best.unionByName(write_scratch(_meet(more, leaves, k), "knn-second"))
+    more = write_scratch(reach(best).mapInArrow(to_others(False), _Packs.schema), "knn-rest")
     found = best.unionByName(_meet(more, leaves, k))
     rank = F.row_number().over(Window.partitionBy("qid").orderBy("d2", "tid"))
     share = (found.select("*", rank.alias("rank")).where(F.col("rank") <= k)
