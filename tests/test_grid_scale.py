@@ -113,3 +113,16 @@ def test_boosting_by_levels_equals_node_by_node(ready):
             want.append((n, d, col, cut, a, b, len(at), float(len(at)), value))
             f[at] += spec.rate * value
         assert sorted(tree) == sorted(want)
+
+
+def test_wide_boosting_keeps_its_rows_packed(ready, monkeypatch):
+    scaling, rows = ready
+    edges = MT.bin_edges(rows, 4)
+    table = MT.binned(rows, edges)
+    boosts = [MT.Boosting("b", g, stages=4, rate=0.3, depth=3) for g in (0, 1)]
+    near = key(MT.fit_boosting(table, boosts, edges, scaling.n))
+    written, write = {}, MT.write_scratch
+    monkeypatch.setattr(MT, "write_scratch", lambda df, name: written.setdefault(name, write(df, name)))
+    monkeypatch.setattr(MT, "RESCORE", 2)
+    assert key(MT.fit_boosting(table, boosts, edges, scaling.n, small=10)) == near
+    assert written["boost-rows"].count() < 20
