@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from txnrisk.ml import frame as MF
 from txnrisk.ml import logit as LG
 from txnrisk.ml import trees as MT
+from txnrisk.session import write_scratch
 
 COLS = [f"c{i}" for i in range(4)]
 
@@ -19,7 +20,7 @@ def ready(spark):
     rows = [(i, int(i % 3 == 0), int(y[i]), *map(float, x[i])) for i in range(1200)]
     df = spark.createDataFrame(rows, "TRANSACTION_ID long, fold long, TX_FRAUD int, " + ", ".join(f"{c} double" for c in COLS))
     scaling = MF.fit_scaling(df, COLS, F.col("fold"))
-    return scaling, MF.inputs(df, scaling, F.col("fold")).repartition(3).localCheckpoint()
+    return scaling, write_scratch(MF.inputs(df, scaling, F.col("fold")).repartition(3), "grid-rows")
 
 
 def key(nodes):
